@@ -28,10 +28,22 @@ def hash_position(df: DataFrame, *, key: str, seed: int, out: str = "_pos") -> D
 
 def permuted_column(df: DataFrame, col: str, *, key: str, seed: int, out: str | None = None) -> DataFrame:
     """``df`` with ``col`` (or a new column ``out``) replaced by its seeded permutation."""
-    target = out or col
-    by_key = index_within(df, order_key=key, out="_pos")
-    by_hash = hash_position(df.select(key, col), key=key, seed=seed).select("_pos", F.col(col).alias("_perm"))
-    joined = by_key.join(by_hash, on="_pos", how="inner").drop("_pos")
     if out is None:
-        return joined.drop(col).withColumnRenamed("_perm", col).select(*df.columns)
-    return joined.withColumnRenamed("_perm", target)
+        joined = permuted_columns(df, {col: seed}, key=key, suffix="_perm")
+        return joined.drop(col).withColumnRenamed(col + "_perm", col).select(*df.columns)
+    joined = permuted_columns(df, {col: seed}, key=key, suffix="_perm")
+    return joined.withColumnRenamed(col + "_perm", out)
+
+
+def permuted_columns(df: DataFrame, seeds: dict[str, int], *, key: str, suffix: str = "_shadow") -> DataFrame:
+    """Add ``{col}{suffix}`` for every column of ``seeds``: its permutation with that seed.
+
+    Every shuffled copy is derived from ``df`` itself and joined on position,
+    so the plan grows linearly with the number of columns.
+    """
+    out = index_within(df, order_key=key, out="_pos")
+    for col, seed in seeds.items():
+        by_hash = hash_position(df.select(key, col), key=key, seed=seed).select(
+            "_pos", F.col(col).alias(col + suffix))
+        out = out.join(by_hash, on="_pos", how="inner")
+    return out.drop("_pos")

@@ -6,9 +6,11 @@ window partition:
 * ``index_within`` numbers rows of a group by a numeric, unique order key in
   two levels: counts per key block -> prefix sums over the (few) blocks ->
   ``row_number`` inside a block. A block holds at most ``block`` rows.
-* ``first_k_threshold`` finds, per group, the k-th row in seeded-hash order with
-  two hex-prefix histograms; the result is one threshold row per group, so the
-  final selection is a plain filter behind a broadcastable join.
+* ``first_k_thresholds`` finds, per group, the k-th row in seeded-hash order with
+  two hex-prefix histograms; the result is one threshold row per group and cut,
+  so the final selection is a plain filter behind a broadcastable join. The
+  small intermediate tables are written to the shared checkpoint folder
+  (eagerly, three jobs), which keeps every plan holding the input only once.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import hex_bucket, seeded_hash
+from tessera.session import materialize
 
 _DIGITS = 4  # hex digits per histogram level: 65,536 buckets
 
@@ -54,48 +57,70 @@ def _boundary(hist: DataFrame, group: list[str], bucket: str, need: str) -> Data
                       (F.col(need) - (F.col("_cum") - F.col("_c"))).alias(need + "_at"))
 
 
-def first_k_threshold(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
-                      need: Callable[[Column], Column]) -> DataFrame:
-    """One row per group: ``(group..., _n, _k, _th, _tkey)``.
+def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
+                       needs: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row per group and cut: ``(group..., _cut, _n, _k, _th, _tkey)``.
 
-    Rows of the group ordered by ``(md5(key:seed), key)`` whose position is < ``_k``
-    are exactly those with ``(hash, key) <= (_th, _tkey)``. ``need`` maps the group
-    size column to k. ``_th`` is null when k <= 0; when k >= n every row qualifies
-    (``_th`` = 'g', above any hex digit).
+    For each cut, rows of the group ordered by ``(md5(key:seed), key)`` whose
+    position is < ``_k`` are exactly those with ``(hash, key) <= (_th, _tkey)``.
+    ``needs`` maps a cut name to a function of the group size column giving k.
+    ``_th`` is null when k <= 0; when k >= n every row qualifies (``_th`` = 'g',
+    above any hex digit). All cuts share the same three passes over ``df``.
     """
     group = list(group)
+    gc = [*group, "_cut"]
     h = seeded_hash(key, seed)
     hashed = df.select(*group, F.col(key).alias("_key"), h.alias("_h"))
     hashed = hashed.withColumn("_b1", hex_bucket(F.col("_h"), 1, _DIGITS))
 
-    hist1 = hashed.groupBy(*group, "_b1").agg(F.count(F.lit(1)).alias("_c"))
-    totals = (hist1.groupBy(*group).agg(F.sum("_c").alias("_n"))
-              .withColumn("_k", need(F.col("_n")).cast("long")))
-    sized = hist1.join(totals, on=group, how="inner") if group else hist1.crossJoin(totals)
+    # job 1: prefix histogram (at most 65,536 rows per group), written once
+    hist1 = materialize(hashed.groupBy(*group, "_b1").agg(F.count(F.lit(1)).alias("_c")), "hist1")
+    totals = hist1.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    cut_list = F.array(*[F.struct(F.lit(name).alias("_cut"), need(F.col("_n")).cast("long").alias("_k"))
+                         for name, need in needs.items()])
+    cuts = totals.select(*group, "_n", F.explode(cut_list).alias("_ck")).select(*group, "_n", "_ck._cut", "_ck._k")
+    sized = hist1.join(cuts, on=group, how="inner") if group else hist1.crossJoin(cuts)
     partial = sized.where((F.col("_k") > 0) & (F.col("_k") < F.col("_n")))
-    b1 = _boundary(partial.withColumnRenamed("_k", "_need"), group, "_b1", "_need")
+    b1 = _boundary(partial.withColumnRenamed("_k", "_need"), gc, "_b1", "_need")  # small, from hist1 only
 
+    # job 2: second-level histogram inside each boundary bucket. b1 has one row
+    # per group and cut, so a data row fans out to at most the cut count.
     join_b1 = (hashed.join(F.broadcast(b1), on=group, how="inner") if group
                else hashed.crossJoin(F.broadcast(b1)))
     edge1 = join_b1.where(F.col("_b1") == F.col("_b1_at")).withColumn(
         "_b2", hex_bucket(F.col("_h"), 1 + _DIGITS, _DIGITS))
-    hist2 = edge1.groupBy(*group, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
-    b2 = _boundary(hist2, group, "_b2", "_need_at")
+    hist2 = edge1.groupBy(*gc, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
+    b2 = materialize(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
 
-    join_b2 = (edge1.join(F.broadcast(b2), on=group, how="inner") if group
-               else edge1.crossJoin(F.broadcast(b2)))
-    edge2 = join_b2.where(F.col("_b2") == F.col("_b2_at"))
-    w_edge = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy("_h", "_key")
+    # job 3: rank the few rows of the final bucket; one threshold row per group and cut
+    edge2 = edge1.join(F.broadcast(b2), on=gc, how="inner").where(F.col("_b2") == F.col("_b2_at"))
+    w_edge = Window.partitionBy(*gc).orderBy("_h", "_key")
     th = (edge2.withColumn("_r", F.row_number().over(w_edge))
           .where(F.col("_r") == F.col("_need_at_at"))
-          .select(*group, F.col("_h").alias("_th"), F.col("_key").alias("_tkey")))
+          .select(*gc, F.col("_h").alias("_th"), F.col("_key").alias("_tkey")))
 
-    out = totals.join(th, on=group, how="left") if group else totals.join(th, how="left")
-    return out.select(
-        *group, "_n", "_k",
+    out = cuts.join(th, on=gc, how="left")
+    return materialize(out.select(
+        *gc, "_n", "_k",
         F.when(F.col("_k") >= F.col("_n"), F.lit("g")).when(F.col("_k") <= 0, F.lit(None))
         .otherwise(F.col("_th")).alias("_th"),
-        F.when(F.col("_k") >= F.col("_n"), F.lit(None)).otherwise(F.col("_tkey")).alias("_tkey"))
+        F.when(F.col("_k") >= F.col("_n"), F.lit(None)).otherwise(F.col("_tkey")).alias("_tkey")), "thresholds")
+
+
+def first_k_threshold(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
+                      need: Callable[[Column], Column]) -> DataFrame:
+    """Single-cut form of ``first_k_thresholds``: ``(group..., _n, _k, _th, _tkey)``."""
+    return first_k_thresholds(df, key=key, seed=seed, group=group, needs={"k": need}).drop("_cut")
+
+
+def thresholds_wide(th: DataFrame, cuts: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """One row per group with ``_th_<cut>``/``_tkey_<cut>`` columns (a tiny pivot)."""
+    aggs = []
+    for c in cuts:
+        hit = F.col("_cut") == F.lit(c)
+        aggs += [F.max(F.when(hit, F.col("_th"))).alias(f"_th_{c}"),
+                 F.max(F.when(hit, F.col("_tkey"))).alias(f"_tkey_{c}")]
+    return th.groupBy(*group).agg(*aggs) if group else th.agg(*aggs)
 
 
 def within_first_k(h: Column, key: Column, th: Column, tkey: Column) -> Column:

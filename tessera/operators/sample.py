@@ -15,7 +15,7 @@ the whole table in one task:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import require_columns, seeded_hash
 from tessera.operators.clean import ENCODE_RANGE, clean_filter
 from tessera.operators.impute import fill_nulls
-from tessera.operators.numbering import first_k_threshold, index_within, within_first_k
+from tessera.operators.numbering import (first_k_threshold, first_k_thresholds, index_within,
+                                         thresholds_wide, within_first_k)
 
 WINDOW_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold default
 GLOBAL_TAKE_LIMIT = 10000
@@ -63,8 +64,33 @@ def sample_n(df: DataFrame, n: int, *, key: str, seed: int = 43) -> DataFrame:
         .drop("_first", "_th", "_tkey")
 
 
+def label_by_rank(df: DataFrame, cuts: Sequence[tuple[str, Callable[[Column], Column]]], *, key: str,
+                  seed: int = 43, rest: str = "train", part: str = "part",
+                  group: Sequence[str] = ()) -> DataFrame:
+    """Label rows by their position in seeded-hash order (within ``group``).
+
+    ``cuts`` is an increasing list of ``(label, k(n))``: rows at positions < k of
+    the first cut get its label, the next cut labels the following rows, and so
+    on; the remaining rows are ``rest``. One threshold computation for all cuts,
+    then a map-only labelling behind a broadcast of one row per group.
+    """
+    require_columns(df, [key, *group])
+    group = list(group)
+    names = [f"c{i}" for i in range(len(cuts))]
+    th = first_k_thresholds(df, key=key, seed=seed, group=group,
+                            needs={n: fn for n, (_, fn) in zip(names, cuts)})
+    wide = thresholds_wide(th, names, group)
+    joined = df.join(F.broadcast(wide), on=group, how="inner") if group else df.crossJoin(F.broadcast(wide))
+    h = seeded_hash(key, seed)
+    label = F.lit(rest)
+    for n, (lab, _) in reversed(list(zip(names, cuts))):
+        label = F.when(within_first_k(h, F.col(key), F.col(f"_th_{n}"), F.col(f"_tkey_{n}")), F.lit(lab)) \
+            .otherwise(label)
+    return joined.withColumn(part, label).drop(*[f"_th_{n}" for n in names], *[f"_tkey_{n}" for n in names])
+
+
 def _share_count(share: float):
-    # sklearn's test size: ceil(share * n)
+    # sklearn's test size: ceil(share * n), in double arithmetic
     return lambda n: F.ceil(n.cast("double") * F.lit(float(share)))
 
 
@@ -75,36 +101,33 @@ def split_by_share(df: DataFrame, share: float, *, key: str, seed: int = 43,
 
     Exact sizes, independent of partitioning (``randomSplit`` is neither).
     """
-    require_columns(df, [key, *group])
-    th = first_k_threshold(df, key=key, seed=seed, group=group,
-                           need=_share_count(share)).select(*group, "_th", "_tkey")
-    out = _threshold_filter(df, th, key=key, seed=seed, group=group)
-    return out.withColumn(part, F.when(F.col("_first"), F.lit(first)).otherwise(F.lit(rest))) \
-        .drop("_first", "_th", "_tkey")
+    return label_by_rank(df, [(first, _share_count(share))], key=key, seed=seed, rest=rest, part=part,
+                         group=group)
 
 
 def split_three_way(df: DataFrame, *, key: str, seed: int = 43, holdout_share: float = 0.3,
                     test_share: float = 0.5, part: str = "part") -> DataFrame:
-    """70/15/15: ceil(.3n) held out, of which ceil(.5m) is test, the rest valid.
-
-    The second split ranks the held-out rows with ``seed + 1``.
+    """70/15/15. ``ceil(.3n)`` rows are held out; the first ``ceil(.5m)`` of them
+    (same hash order) are test, the others valid; the rest is train.
     """
-    first = split_by_share(df, holdout_share, key=key, seed=seed, part="_p1", first="held", rest="train")
-    held = first.where(F.col("_p1") == "held").drop("_p1")
-    second = split_by_share(held, test_share, key=key, seed=seed + 1, part=part, first="test", rest="valid")
-    train = first.where(F.col("_p1") == "train").drop("_p1").withColumn(part, F.lit("train"))
-    return train.unionByName(second)
+    held = _share_count(holdout_share)
+    test = lambda n: F.ceil(held(n).cast("double") * F.lit(float(test_share)))
+    return label_by_rank(df, [("test", test), ("valid", held)], key=key, seed=seed, rest="train", part=part)
 
 
 def split_files(df: DataFrame, *, file_col: str, seed: int = 42, test_share: float = 0.1,
                 valid_share: float = 0.1, part: str = "part") -> DataFrame:
-    """Split by file (chunk), not by row: one row per distinct file with its part."""
+    """Split by file (chunk), not by row -> one row per distinct file with its part.
+
+    test = first ``ceil(.1n)`` files in hash order; valid = the next
+    ``ceil(.1(n - test))`` (the second split of the reference ranks the rest
+    with the same seed, i.e. continues the same order); the rest train.
+    """
     files = df.select(file_col).distinct()
-    first = split_by_share(files, test_share, key=file_col, seed=seed, part="_p1", first="test", rest="rest")
-    rest = first.where(F.col("_p1") == "rest").drop("_p1")
-    second = split_by_share(rest, valid_share, key=file_col, seed=seed, part=part, first="valid", rest="train")
-    test = first.where(F.col("_p1") == "test").drop("_p1").withColumn(part, F.lit("test"))
-    return test.unionByName(second)
+    test = _share_count(test_share)
+    valid = lambda n: test(n) + F.ceil((n - test(n)).cast("double") * F.lit(float(valid_share)))
+    return label_by_rank(files, [("test", test), ("valid", valid)], key=file_col, seed=seed, rest="train",
+                         part=part)
 
 
 def chunk_ids(df: DataFrame, size: int, *, order_key: str, chunk: str = "chunk",

@@ -17,6 +17,7 @@ from tessera.operators.neighbour import neighbour_fill
 from tessera.plans import fixtures as fx
 from tessera.plans.fixtures import with_fixtures as W
 from tessera.plans.registry import query
+from tessera.session import materialize
 from tessera.sources import catalog as K
 from tessera.sources import raster as RS
 from tessera.sources import sinks as SK
@@ -352,7 +353,8 @@ def sample_per_tile(spark: SparkSession, sf: str) -> DataFrame:
 select tile, pix from px qualify row_number() over (partition by tile order by {md5('pix', 7)}, pix) <= 450""", "px"))
 def sample_per_tile_large(spark: SparkSession, sf: str) -> DataFrame:
     """Same operator through the histogram-threshold path (used when N is large)."""
-    return S.sample_per_group(fx.px(spark, sf), 450, key="pix", seed=7, group=["tile"],
+    px = materialize(fx.px(spark, sf).select("tile", "pix"), "px_keys")
+    return S.sample_per_group(px, 450, key="pix", seed=7, group=["tile"],
                               method="threshold").select("tile", "pix")
 
 
@@ -372,31 +374,26 @@ def clean_sample_tiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("split_train_valid", ids="N4", sql=W(f"""
-select pix, case when row_number() over (order by {md5('pix', 43)}, pix) <= ceil(0.1 * count(*) over ())
+select pix, case when row_number() over (order by {md5('pix', 43)}, pix) <= ceil(0.1::double * count(*) over ())
                  then 'valid' else 'train' end part from px""", "px"))
 def split_train_valid(spark: SparkSession, sf: str) -> DataFrame:
     return S.split_by_share(fx.px(spark, sf).select("pix"), 0.1, key="pix", seed=43)
 
 
 @query("split_three_way", ids="N5", sql=W(f"""
-with r as (select pix, row_number() over (order by {md5('pix', 43)}, pix) rn, count(*) over () n from px),
-h as (select pix, row_number() over (order by {md5('pix', 44)}, pix) rn2, count(*) over () m
-      from r where rn <= ceil(0.3 * n))
-select pix, 'train' part from r where rn > ceil(0.3 * n)
-union all
-select pix, case when rn2 <= ceil(0.5 * m) then 'test' else 'valid' end part from h""", "px"))
+with r as (select pix, row_number() over (order by {md5('pix', 43)}, pix) rn, count(*) over () n from px)
+select pix, case when rn <= ceil(0.5::double * ceil(0.3::double * n)) then 'test'
+                 when rn <= ceil(0.3::double * n) then 'valid' else 'train' end part from r""", "px"))
 def split_three_way(spark: SparkSession, sf: str) -> DataFrame:
     return S.split_three_way(fx.px(spark, sf).select("pix"), key="pix", seed=43)
 
 
 @query("split_files", ids="N6", sql=f"""
 with ch as (select distinct cast((row_number() over (order by event_id) - 1) // 500 as bigint) chunk from events),
-r as (select chunk, row_number() over (order by {md5('chunk', 42)}, chunk) rn, count(*) over () n from ch),
-rest as (select chunk, row_number() over (order by {md5('chunk', 42)}, chunk) rn2, count(*) over () m
-         from r where rn > ceil(0.1 * n))
-select chunk, 'test' part from r where rn <= ceil(0.1 * n)
-union all
-select chunk, case when rn2 <= ceil(0.1 * m) then 'valid' else 'train' end part from rest""")
+r as (select chunk, row_number() over (order by {md5('chunk', 42)}, chunk) rn, count(*) over () n from ch)
+select chunk, case when rn <= ceil(0.1::double * n) then 'test'
+                   when rn <= ceil(0.1::double * n) + ceil(0.1::double * (n - ceil(0.1::double * n))) then 'valid'
+                   else 'train' end part from r""")
 def split_files(spark: SparkSession, sf: str) -> DataFrame:
     ev = S.chunk_ids(fx.table(spark, sf, "events").select("event_id"), 500, order_key="event_id")
     return S.split_files(ev, file_col="chunk", seed=42)

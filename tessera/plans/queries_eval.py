@@ -18,6 +18,7 @@ from tessera.plans import fixtures as fx
 from tessera.plans.fixtures import with_fixtures as W
 from tessera.plans.queries_data import CLEAN_WHERE, HI, LO, md5
 from tessera.plans.registry import query
+from tessera.session import materialize
 from tessera.sources import catalog as K
 
 
@@ -48,6 +49,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     d = C.clean_filter(d, ["edem", "ldem"], LO, HI)          # P1 + P3, pushed to the scan
     d = C.target_difference(d, "edem", "ldem", "zdif")        # P4
     d = I.fill_nulls(d, exclude=["roi", "tile", "pix"])       # I1
+    d = materialize(d, "flagship_clean")                      # read by the split jobs and both fits
     d = S.split_by_share(d, 0.1, key="pix", seed=43)          # N4
     train, valid = d.where(F.col("part") == "train"), d.where(F.col("part") == "valid")
     res = fit_score(train, valid, label="zdif", feature="f_qty")  # M0 + A7
@@ -57,8 +59,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 query("flagship_pipeline", ids="P1 P3 P4 I1 N4 M0 A7", sql=W(f"""
 with c as (select *, edem - ldem zdif from pxs where {CLEAN_WHERE}),
 r as (select *, row_number() over (order by {md5('pix', 43)}, pix) rn, count(*) over () nn from c),
-m as (select regr_slope(zdif, f_qty) s, regr_intercept(zdif, f_qty) i from r where rn > ceil(0.1 * nn))
-select {_score_sql('zdif', 'i + s * f_qty')} from r, m where rn <= ceil(0.1 * nn)""", "pxs"))(flagship)
+m as (select regr_slope(zdif, f_qty) s, regr_intercept(zdif, f_qty) i from r where rn > ceil(0.1::double * nn))
+select {_score_sql('zdif', 'i + s * f_qty')} from r, m where rn <= ceil(0.1::double * nn)""", "pxs"))(flagship)
 
 
 # --------------------------------------------------------------------------- outliers
@@ -91,7 +93,7 @@ def outlier_percentile(spark: SparkSession, sf: str) -> DataFrame:
 
 def _compare_sql() -> str:
     split = f"""r as (select *, row_number() over (order by {md5('pix', 43)}, pix) rn, count(*) over () nn from b),
-tr as (select * from r where rn > ceil(0.1 * nn)), va as (select * from r where rn <= ceil(0.1 * nn)),
+tr as (select * from r where rn > ceil(0.1::double * nn)), va as (select * from r where rn <= ceil(0.1::double * nn)),
 z as (select tr.* from tr, (select avg(zdif) mu, stddev_pop(zdif) sd from tr) s where abs((zdif - mu) / sd) <= 3),
 iq as (select tr.* from tr, (select quantile_cont(zdif, 0.25) q1, quantile_cont(zdif, 0.75) q3 from tr) q
        where zdif >= q1 - 1.5 * (q3 - q1) and zdif <= q3 + 1.5 * (q3 - q1)),
@@ -111,7 +113,8 @@ from m cross join va group by m.data, m.n""", "px")
 
 @query("compare_outliers", ids="O5 M0 A7", sql=_compare_sql())
 def compare_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    d = S.split_by_share(labelled(spark, sf), 0.1, key="pix", seed=43)
+    base = materialize(labelled(spark, sf).select("pix", "zdif", "f_qty"), "labelled")
+    d = materialize(S.split_by_share(base, 0.1, key="pix", seed=43), "split")
     train, valid = d.where(F.col("part") == "train"), d.where(F.col("part") == "valid")
     sets = [("Original", train),
             ("Z-Score", remove_outlier(train, "zdif", "zscore", threshold=3)),
@@ -157,9 +160,9 @@ s as (select r.*, k.n_per_tile from r join (values (50), (100), (200)) k(n_per_t
 q as (select *, row_number() over (partition by n_per_tile order by {md5('pix', 43)}, pix) r2,
              count(*) over (partition by n_per_tile) nn from s),
 m as (select n_per_tile, regr_slope(zdif, f_qty) sl, regr_intercept(zdif, f_qty) ic
-      from q where r2 > ceil(0.1 * nn) group by n_per_tile)
+      from q where r2 > ceil(0.1::double * nn) group by n_per_tile)
 select q.n_per_tile, {_score_sql('zdif', 'm.ic + m.sl * f_qty')}
-from q join m on q.n_per_tile = m.n_per_tile where r2 <= ceil(0.1 * nn) group by q.n_per_tile""", "px"))
+from q join m on q.n_per_tile = m.n_per_tile where r2 <= ceil(0.1::double * nn) group by q.n_per_tile""", "px"))
 def sample_size_study(spark: SparkSession, sf: str) -> DataFrame:
     sizes = [50, 100, 200]
     b = labelled(spark, sf)
@@ -168,6 +171,7 @@ def sample_size_study(spark: SparkSession, sf: str) -> DataFrame:
     ranked = b.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= max(sizes))
     nested = ranked.withColumn("n_per_tile", F.explode(F.array(*[F.lit(n) for n in sizes]))) \
         .where(F.col("_rk") <= F.col("n_per_tile"))
+    nested = materialize(nested.select("n_per_tile", "pix", "zdif", "f_qty"), "nested_samples")
     split = S.split_by_share(nested, 0.1, key="pix", seed=43, group=["n_per_tile"])
     train, valid = split.where(F.col("part") == "train"), split.where(F.col("part") == "valid")
     res = fit_score(train, valid, label="zdif", feature="f_qty", by=["n_per_tile"])

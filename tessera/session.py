@@ -63,3 +63,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` below the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a restarted stage reads the written table instead of
+    recomputing upstream work) and keeps later plans small. Used for small
+    statistics tables and for inputs that several jobs read again.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
