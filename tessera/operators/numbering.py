@@ -9,8 +9,8 @@ window partition:
 * ``first_k_thresholds`` finds, per group, the k-th row in seeded-hash order with
   two hex-prefix histograms; the result is one threshold row per group and cut,
   so the final selection is a plain filter behind a broadcastable join. The
-  small intermediate tables are written to the shared checkpoint folder
-  (eagerly, three jobs), which keeps every plan holding the input only once.
+  first histogram is written to the shared checkpoint folder (eagerly), which
+  keeps later plans small; the thresholds themselves stay lazy.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from tessera.functions.columns import hex_bucket, seeded_hash
 from tessera.session import materialize
 
 _DIGITS = 4  # hex digits per histogram level: 65,536 buckets
+DIRECT_RANK_LIMIT = 1_000_000  # rows of one boundary bucket ranked in one task
 
 
 def index_within(df: DataFrame, *, order_key: str, group: Sequence[str] = (),
@@ -54,7 +55,8 @@ def _boundary(hist: DataFrame, group: list[str], bucket: str, need: str) -> Data
     cum = hist.withColumn("_cum", F.sum("_c").over(w_cum))
     hit = cum.where((F.col("_cum") >= F.col(need)) & (F.col("_cum") - F.col("_c") < F.col(need)))
     return hit.select(*group, F.col(bucket).alias(bucket + "_at"),
-                      (F.col(need) - (F.col("_cum") - F.col("_c"))).alias(need + "_at"))
+                      (F.col(need) - (F.col("_cum") - F.col("_c"))).alias(need + "_at"),
+                      F.col("_c").alias(bucket + "_size"))
 
 
 def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
@@ -83,28 +85,35 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     partial = sized.where((F.col("_k") > 0) & (F.col("_k") < F.col("_n")))
     b1 = _boundary(partial.withColumnRenamed("_k", "_need"), gc, "_b1", "_need")  # small, from hist1 only
 
-    # job 2: second-level histogram inside each boundary bucket. b1 has one row
-    # per group and cut, so a data row fans out to at most the cut count.
+    # A boundary bucket holds about n / 65,536 rows of its group. When the
+    # largest one is small it is ranked directly; otherwise a second 16-bit
+    # histogram narrows it to about n / 2^32 rows first. Either way no task
+    # ever ranks more than ``DIRECT_RANK_LIMIT`` rows of one group.
+    largest = b1.agg(F.max("_b1_size")).collect()[0][0] or 0
     join_b1 = (hashed.join(F.broadcast(b1), on=group, how="inner") if group
                else hashed.crossJoin(F.broadcast(b1)))
-    edge1 = join_b1.where(F.col("_b1") == F.col("_b1_at")).withColumn(
-        "_b2", hex_bucket(F.col("_h"), 1 + _DIGITS, _DIGITS))
-    hist2 = edge1.groupBy(*gc, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
-    b2 = materialize(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
-
-    # job 3: rank the few rows of the final bucket; one threshold row per group and cut
-    edge2 = edge1.join(F.broadcast(b2), on=gc, how="inner").where(F.col("_b2") == F.col("_b2_at"))
+    edge1 = join_b1.where(F.col("_b1") == F.col("_b1_at"))
+    if largest <= DIRECT_RANK_LIMIT:
+        edge, need_col = edge1, "_need_at"
+    else:
+        edge1 = edge1.withColumn("_b2", hex_bucket(F.col("_h"), 1 + _DIGITS, _DIGITS))
+        hist2 = edge1.groupBy(*gc, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
+        b2 = materialize(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
+        edge = edge1.join(F.broadcast(b2), on=gc, how="inner").where(F.col("_b2") == F.col("_b2_at"))
+        need_col = "_need_at_at"
+
+    # rank the few rows of the final bucket; one threshold row per group and cut
     w_edge = Window.partitionBy(*gc).orderBy("_h", "_key")
-    th = (edge2.withColumn("_r", F.row_number().over(w_edge))
-          .where(F.col("_r") == F.col("_need_at_at"))
+    th = (edge.withColumn("_r", F.row_number().over(w_edge))
+          .where(F.col("_r") == F.col(need_col))
           .select(*gc, F.col("_h").alias("_th"), F.col("_key").alias("_tkey")))
 
     out = cuts.join(th, on=gc, how="left")
-    return materialize(out.select(
+    return out.select(
         *gc, "_n", "_k",
         F.when(F.col("_k") >= F.col("_n"), F.lit("g")).when(F.col("_k") <= 0, F.lit(None))
         .otherwise(F.col("_th")).alias("_th"),
-        F.when(F.col("_k") >= F.col("_n"), F.lit(None)).otherwise(F.col("_tkey")).alias("_tkey")), "thresholds")
+        F.when(F.col("_k") >= F.col("_n"), F.lit(None)).otherwise(F.col("_tkey")).alias("_tkey"))
 
 
 def first_k_threshold(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
