@@ -69,18 +69,21 @@ def fill_nulls(df: DataFrame, cols: Sequence[str] | None = None, *,
 def fill_per_tile(df: DataFrame, cols: Sequence[str], *, tile: str = "tile") -> DataFrame:
     """Fill numeric ``cols`` with the mean of their own tile.
 
-    Statistics are one aggregate grouped by tile (one row per tile), joined
-    back on the tile key; no window holds a whole tile.
+    Statistics are one aggregate grouped by tile (partial aggregation before
+    the shuffle), joined back on the tile key; no window holds a whole tile.
+    The statistics have one row per tile, and 1 degree tiles number at most
+    360 x 180 = 64,800, so the broadcast is bounded; a hot tile therefore
+    never lands in one join task.
     """
     require_columns(df, [tile, *cols])
     stats = df.groupBy(tile).agg(*[F.avg(F.col(c)).alias("_fill_" + c) for c in cols])
-    joined = df.join(stats, on=tile, how="left")
+    joined = df.join(F.broadcast(stats), on=tile, how="left")
     return joined.select(*_filled(df, cols))
 
 
 def preprocess_chain(df: DataFrame, *, lval: float, hval: float, fill_groups: Sequence[Sequence[str]],
                      key: str = "pixel_idx", tile: str = "tile", exclude: Sequence[str] = (),
-                     final: str = "fill", block: int | None = None) -> DataFrame:
+                     final: str = "fill", block: int | None = 1 << 16) -> DataFrame:
     """P2 -> W1 on each group of columns -> I1 (or drop nulls with ``final='drop:<col>'``)."""
     out = assign_nulls(df, lval, hval, exclude=[key, tile, *exclude])
     for cols in fill_groups:

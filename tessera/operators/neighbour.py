@@ -12,9 +12,11 @@ closed form used here, equal to that loop:
 A run a, _, _, b becomes a, a, (a+b)/2, b; a leading run only fills its last
 cell (with b). Neighbours are 1-D in ``key`` order and cross raster-row ends.
 
-``block=None`` uses one window per tile. With a block size the work is split
-into ``(tile, key div block)`` windows plus a small per-block summary, so no
-task ever holds a whole 81M-pixel tile.
+By default the work is split into ``(tile, key div block)`` windows plus a
+small per-block summary (last non-null value and first cell of each block,
+carried across blocks by a window over the few blocks of a tile), so no task
+ever holds a whole 81M-pixel tile. ``block=None`` uses one window per tile
+(for small tables and for checking the two forms against each other).
 """
 
 from __future__ import annotations
@@ -36,8 +38,11 @@ def _result(df: DataFrame, name: str, prev, nxt):
     return filled.cast(target).alias(name)
 
 
+DEFAULT_BLOCK = 1 << 16
+
+
 def neighbour_fill(df: DataFrame, cols: Sequence[str], *, key: str = "pixel_idx",
-                   tile: str = "tile", block: int | None = None) -> DataFrame:
+                   tile: str = "tile", block: int | None = DEFAULT_BLOCK) -> DataFrame:
     cols = [c for c in cols if c in df.columns]  # unknown columns are ignored
     if not cols:
         return df

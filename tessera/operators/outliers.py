@@ -1,12 +1,25 @@
 """Outlier removal on one column. Rows whose value is null are dropped.
 
-Each method is one global aggregate (a single row: moments or percentiles)
-broadcast back to the rows; the row filter itself stays map-only.
+Each method reduces the column to two bounds (moments or quantiles) and then
+filters map-only against them.
+
+Exact quantiles (A6, linear interpolation as pandas / DuckDB ``quantile_cont``)
+are computed without Spark's exact ``percentile`` aggregate, which merges a
+count for every distinct value into a single task. Instead:
+
+1. one pass: ``count`` and a high-accuracy ``percentile_approx`` bracket
+   ``[q(p - d), q(p + d)]`` around every wanted probability;
+2. one pass: counts below / up to each bracket prove that the wanted order
+   statistics lie inside it (otherwise the bracket is widened and re-checked);
+3. only the rows inside the brackets (about ``2 d n`` per probability) are
+   ranked, and the interpolation is done on the two order statistics.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import require_columns
@@ -14,10 +27,62 @@ from tessera.functions.columns import require_columns
 METHODS = ("zscore", "iqr", "percentile")
 
 
-def _percentile(col: str, probs: list[float], exact: bool):
+APPROX_ACCURACY = 1_000_000
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
+                    accuracy: int = APPROX_ACCURACY) -> list[float | None]:
+    """Exact linear-interpolation quantiles of ``col`` (nulls ignored)."""
+    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    margin = 2.0 / accuracy
+    while True:
+        lo_p = [max(0.0, p - margin) for p in probs]
+        hi_p = [min(1.0, p + margin) for p in probs]
+        row = x.agg(F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx("_x", F.array(*[F.lit(q) for q in lo_p + hi_p]), accuracy).alias("q")
+                    ).collect()[0]
+        n = row["n"]
+        if n == 0:
+            return [None for _ in probs]
+        lo, hi = row["q"][:len(probs)], row["q"][len(probs):]
+        # ranks (0-based) of the order statistics each probability needs
+        pos = [p * (n - 1) for p in probs]
+        need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
+        cnt = x.agg(*[F.count(F.when(F.col("_x") < F.lit(lo[i]), 1)).alias(f"b{i}") for i in range(len(probs))],
+                    *[F.count(F.when(F.col("_x") <= F.lit(hi[i]), 1)).alias(f"u{i}") for i in range(len(probs))]
+                    ).collect()[0]
+        below = [cnt[f"b{i}"] for i in range(len(probs))]
+        upto = [cnt[f"u{i}"] for i in range(len(probs))]
+        if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
+            break
+        margin *= 16  # bracket missed (never expected from the sketch guarantee): widen
+    parts = None
+    for i in range(len(probs)):
+        part = x.where((F.col("_x") >= F.lit(lo[i])) & (F.col("_x") <= F.lit(hi[i]))) \
+            .select(F.lit(i).alias("_p"), "_x")
+        parts = part if parts is None else parts.unionByName(part)
+    # about 2 * margin * n rows per probability: one small window partition each
+    w = Window.partitionBy("_p").orderBy("_x")
+    ranked = parts.withColumn("_r", F.row_number().over(w) - 1)
+    wanted = None
+    for i in range(len(probs)):
+        cond = (F.col("_p") == i) & F.col("_r").isin(need[i][0] - below[i], need[i][1] - below[i])
+        wanted = cond if wanted is None else wanted | cond
+    picked = {(r["_p"], r["_r"]): r["_x"] for r in ranked.where(wanted).collect()}
+    out = []
+    for i in range(len(probs)):
+        a = picked[(i, need[i][0] - below[i])]
+        b = picked[(i, need[i][1] - below[i])]
+        d = pos[i] - need[i][0]
+        out.append(a if (d == 0 or a == b) else a * (1.0 - d) + b * d)
+    return out
+
+
+def _percentile(df: DataFrame, col: str, probs: list[float], exact: bool) -> list[float | None]:
     if exact:
-        return F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs]))
-    return F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), 10000)
+        return exact_quantiles(df, col, probs)
+    row = df.agg(F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), 10000).alias("q")).collect()
+    return list(row[0]["q"]) if row[0]["q"] is not None else [None for _ in probs]
 
 
 def outlier_bounds(df: DataFrame, tcol: str, approach: str = "zscore", threshold: float = 3,
@@ -33,13 +98,15 @@ def outlier_bounds(df: DataFrame, tcol: str, approach: str = "zscore", threshold
             F.when(F.col("_sd") > 0, F.col("_mu") - F.lit(threshold) * F.col("_sd")).alias("_lo"),
             F.when(F.col("_sd") > 0, F.col("_mu") + F.lit(threshold) * F.col("_sd")).alias("_hi"),
             F.col("_mu"), F.col("_sd"))
+    spark = df.sparkSession
     if approach == "iqr":
-        q = df.agg(_percentile(tcol, [0.25, 0.75], exact).alias("_q"))
-        q1, q3 = F.col("_q")[0], F.col("_q")[1]
-        return q.select((q1 - F.lit(1.5) * (q3 - q1)).alias("_lo"), (q3 + F.lit(1.5) * (q3 - q1)).alias("_hi"))
+        q1, q3 = _percentile(df, tcol, [0.25, 0.75], exact)
+        lo = None if q1 is None else q1 - 1.5 * (q3 - q1)
+        hi = None if q1 is None else q3 + 1.5 * (q3 - q1)
+        return spark.createDataFrame([(lo, hi)], "_lo double, _hi double")
     if approach == "percentile":
-        q = df.agg(_percentile(tcol, [lower_percentile, upper_percentile], exact).alias("_q"))
-        return q.select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+        lo, hi = _percentile(df, tcol, [lower_percentile, upper_percentile], exact)
+        return spark.createDataFrame([(lo, hi)], "_lo double, _hi double")
     raise ValueError(f"Unknown approach '{approach}'. Use 'zscore', 'iqr', or 'percentile'.")
 
 

@@ -189,7 +189,7 @@ def pixel_blocks(spark: SparkSession, sf: str) -> DataFrame:
 def write_tiles(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.session import scratch_path
     out = scratch_path(spark, "tiles")
-    SK.write_tiles(fx.px(spark, sf), out)
+    SK.write_tiles(fx.px(spark, sf), out, key="pix")
     return spark.read.parquet(out).groupBy("tile").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
@@ -315,7 +315,7 @@ from (select tile, pixel_idx, v,
 @query("neighbour_fill", ids="W1", sql=W(W1_SQL.format(src="ev"), "ev"))
 def neighbour_fill_q(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.ev(spark, sf).select("tile", "pixel_idx", "v")
-    return neighbour_fill(e, ["v"], key="pixel_idx", tile="tile", block=256)
+    return neighbour_fill(e, ["v"], key="pixel_idx", tile="tile", block=1024)
 
 
 @query("preprocess_chain", ids="I3", sql=W(f"""
@@ -323,7 +323,7 @@ with w as ({W1_SQL.format(src="(select tile, pixel_idx, case when v between 10 a
 select tile, pixel_idx, round(coalesce(v, (select avg(v) from w)), 4) v from w""", "ev"))
 def preprocess_chain(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.ev(spark, sf).select("tile", "pixel_idx", "v")
-    out = I.preprocess_chain(e, lval=10, hval=150, fill_groups=[["v"]], block=256)
+    out = I.preprocess_chain(e, lval=10, hval=150, fill_groups=[["v"]], block=1024)
     return round_all(out, ["v"])
 
 

@@ -94,5 +94,7 @@ def ingest_with_quarantine(pixels: DataFrame, grid: DataFrame, *, tile: str = "t
                F.concat(F.lit("rows "), F.col("n").cast("string"), F.lit(" != expected "),
                         F.col("expected").cast("string")))
         .when(F.col("ok").isNull(), F.lit("grid unknown")).alias("reason"))
-    good = pixels.join(status.where(F.col("status") == "ingested").select(tile), on=tile, how="left_semi")
+    # one row per tile (at most 64,800 one-degree tiles): a bounded broadcast
+    good = pixels.join(F.broadcast(status.where(F.col("status") == "ingested").select(tile)), on=tile,
+                       how="left_semi")
     return good, status

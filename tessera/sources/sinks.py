@@ -29,12 +29,16 @@ def scan_tiles(spark: SparkSession, paths: Sequence[str], *, columns: Sequence[s
     return nan_to_null(df.select(*sel))
 
 
-def write_tiles(df: DataFrame, path: str, *, tile: str = "tile", mode: str = "overwrite") -> None:
+def write_tiles(df: DataFrame, path: str, *, tile: str = "tile", key: str = "pixel_idx",
+                rows_per_task: int = 1 << 22, mode: str = "overwrite") -> None:
     """One Parquet directory per tile; overwrite replaces only the tiles written.
 
-    Rows are clustered by tile first so each task writes few files per tile.
+    Rows are clustered by ``(tile, key div rows_per_task)``: each task writes
+    few files per tile, and a hot tile (say a third of all rows) is spread over
+    many tasks instead of landing in one.
     """
-    (df.repartition(tile).write.mode(mode)
+    slab = F.floor(F.col(key) / F.lit(rows_per_task))
+    (df.repartition(tile, slab).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(tile).parquet(path))
 
