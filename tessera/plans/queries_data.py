@@ -193,6 +193,19 @@ def write_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("tile").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+@query("scan_regions", ids="U3 S1 S7", sql=W("select roi, cast(count(*) as bigint) n, "
+                                               "cast(count(distinct tile) as bigint) n_tiles from px group by roi",
+                                               "px"))
+def scan_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """All regions in one training set: one scan of a roi/tile partitioned table."""
+    from tessera.session import scratch_path
+    out = scratch_path(spark, "regions")
+    SK.write_tiles(fx.px(spark, sf), out, key="pix", partition_by=["roi", "tile"])
+    df = spark.read.parquet(out)  # roi and tile come back from the directory names
+    return df.groupBy("roi").agg(F.count(F.lit(1)).cast("long").alias("n"),
+                                 F.countDistinct("tile").cast("long").alias("n_tiles"))
+
+
 @query("chunk_assign", ids="S9 W5", sql="""
 select chunk, cast(count(*) as bigint) n, min(event_id) min_id, max(event_id) max_id
 from (select event_id, cast((row_number() over (order by event_id) - 1) // 3000 as bigint) chunk from events)

@@ -30,17 +30,19 @@ def scan_tiles(spark: SparkSession, paths: Sequence[str], *, columns: Sequence[s
 
 
 def write_tiles(df: DataFrame, path: str, *, tile: str = "tile", key: str = "pixel_idx",
-                rows_per_task: int = 1 << 22, mode: str = "overwrite") -> None:
-    """One Parquet directory per tile; overwrite replaces only the tiles written.
-
-    Rows are clustered by ``(tile, key div rows_per_task)``: each task writes
-    few files per tile, and a hot tile (say a third of all rows) is spread over
-    many tasks instead of landing in one.
+                rows_per_task: int = 1 << 22, mode: str = "overwrite",
+                partition_by: Sequence[str] | None = None) -> None:
+    """One Parquet directory per tile (or per ``partition_by``, e.g. roi/tile).
+
+    Overwrite replaces only the partitions written. Rows are clustered by
+    ``(tile, key div rows_per_task)``: each task writes few files per tile, and
+    a hot tile (say a third of all rows) is spread over many tasks instead of
+    landing in one.
     """
     slab = F.floor(F.col(key) / F.lit(rows_per_task))
     (df.repartition(tile, slab).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(tile).parquet(path))
+     .partitionBy(*(partition_by or [tile])).parquet(path))
 
 
 def write_chunks(df: DataFrame, path: str, *, rows_per_file: int = 100_000,
