@@ -83,11 +83,16 @@ def fill_per_tile(df: DataFrame, cols: Sequence[str], *, tile: str = "tile") ->
 
 def preprocess_chain(df: DataFrame, *, lval: float, hval: float, fill_groups: Sequence[Sequence[str]],
                      key: str = "pixel_idx", tile: str = "tile", exclude: Sequence[str] = (),
-                     final: str = "fill", block: int | None = 1 << 16) -> DataFrame:
+                     final: str = "fill", block: int | str | None = "auto") -> DataFrame:
     """P2 -> W1 on each group of columns -> I1 (or drop nulls with ``final='drop:<col>'``)."""
     out = assign_nulls(df, lval, hval, exclude=[key, tile, *exclude])
-    for cols in fill_groups:
-        out = neighbour_fill(out, list(cols), key=key, tile=tile, block=block)
+    flat = [c for cols in fill_groups for c in cols]
+    if len(flat) == len(set(flat)):
+        # disjoint groups fill independently: one pass (one shuffle and sort) for all
+        out = neighbour_fill(out, flat, key=key, tile=tile, block=block)
+    else:
+        for cols in fill_groups:
+            out = neighbour_fill(out, list(cols), key=key, tile=tile, block=block)
     if final == "fill":
         return fill_nulls(out, exclude=[key, tile, *exclude])
     if final.startswith("drop:"):

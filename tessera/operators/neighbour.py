@@ -12,11 +12,11 @@ closed form used here, equal to that loop:
 A run a, _, _, b becomes a, a, (a+b)/2, b; a leading run only fills its last
 cell (with b). Neighbours are 1-D in ``key`` order and cross raster-row ends.
 
-By default the work is split into ``(tile, key div block)`` windows plus a
-small per-block summary (last non-null value and first cell of each block,
+For large tiles the work is split into ``(tile, key div block)`` windows plus
+a small per-block summary (last non-null value and first cell of each block,
 carried across blocks by a window over the few blocks of a tile), so no task
-ever holds a whole 81M-pixel tile. ``block=None`` uses one window per tile
-(for small tables and for checking the two forms against each other).
+ever holds a whole 81M-pixel tile. Tiles up to 4M rows use one window per tile,
+which is cheaper (one scan, one shuffle); ``block="auto"`` picks per call.
 """
 
 from __future__ import annotations
@@ -29,23 +29,31 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import INTEGRAL_TYPES
 
 
-def _result(df: DataFrame, name: str, prev, nxt):
+def _result(df: DataFrame, name: str):
+    """Combine ``_p_<name>``/``_n_<name>`` (previous non-null, next cell) into the filled value."""
     dt = df.schema[name].dataType
     v = F.col(name).cast("double")
-    p, n = prev.cast("double"), nxt.cast("double")
+    p, n = F.col("_p_" + name).cast("double"), F.col("_n_" + name).cast("double")
     filled = F.coalesce(v, (p + n) / F.lit(2.0), p, n)
     target = "double" if isinstance(dt, INTEGRAL_TYPES) else dt.simpleString()
     return filled.cast(target).alias(name)
 
 
 DEFAULT_BLOCK = 1 << 16
+ONE_LEVEL_MAX_ROWS = 1 << 22  # largest tile sorted as one window partition under "auto"
 
 
 def neighbour_fill(df: DataFrame, cols: Sequence[str], *, key: str = "pixel_idx",
-                   tile: str = "tile", block: int | None = DEFAULT_BLOCK) -> DataFrame:
+                   tile: str = "tile", block: int | str | None = "auto") -> DataFrame:
+    """W1 on ``cols``. ``block``: "auto" (one small job decides from the largest
+    tile), an int (two-level with that block size) or None (one window per tile).
+    """
     cols = [c for c in cols if c in df.columns]  # unknown columns are ignored
     if not cols:
         return df
+    if block == "auto":
+        largest = df.groupBy(tile).count().agg(F.max("count")).collect()[0][0] or 0
+        block = None if largest <= ONE_LEVEL_MAX_ROWS else DEFAULT_BLOCK
     if block is None:
         return _one_level(df, cols, key=key, tile=tile)
     return _two_level(df, cols, key=key, tile=tile, block=block)
@@ -54,15 +62,13 @@ def neighbour_fill(df: DataFrame, cols: Sequence[str], *, key: str = "pixel_idx"
 def _one_level(df: DataFrame, cols: list[str], *, key: str, tile: str) -> DataFrame:
     w = Window.partitionBy(tile).orderBy(key)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    out = []
-    for name in df.columns:
-        if name in cols:
-            prev = F.last(F.col(name), ignorenulls=True).over(before)
-            nxt = F.lead(F.col(name), 1).over(w)
-            out.append(_result(df, name, prev, nxt))
-        else:
-            out.append(F.col(name))
-    return df.select(*out)
+    # each window function once, as a column; the fill formula then reads the columns
+    helpers = []
+    for c in cols:
+        helpers += [F.last(F.col(c), ignorenulls=True).over(before).alias("_p_" + c),
+                    F.lead(F.col(c), 1).over(w).alias("_n_" + c)]
+    with_nb = df.select("*", *helpers)
+    return with_nb.select(*[_result(df, n) if n in cols else F.col(n) for n in df.columns])
 
 
 def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, block: int) -> DataFrame:
@@ -72,7 +78,8 @@ def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, block: in
     summary_aggs = []
     for c in cols:
         summary_aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key))).alias("_last_" + c))
-        summary_aggs.append(F.min_by(F.struct(F.col(c).alias("v")), F.col(key)).getField("v").alias("_first_" + c))
+        # min_by keeps a null value at the smallest key (a null first cell stays null)
+        summary_aggs.append(F.min_by(F.col(c), F.col(key)).alias("_first_" + c))
     summary = blocked.groupBy(tile, "_blk").agg(*summary_aggs)
 
     wb = Window.partitionBy(tile).orderBy("_blk")
@@ -85,13 +92,14 @@ def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, block: in
     joined = blocked.join(carry, on=[tile, "_blk"], how="left")
     w = Window.partitionBy(tile, "_blk").orderBy(key)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    is_last = F.lead(F.col(key), 1).over(w).isNull()
-    out = []
-    for name in df.columns:
-        if name in cols:
-            prev = F.coalesce(F.last(F.col(name), ignorenulls=True).over(before), F.col("_in_" + name))
-            nxt = F.when(is_last, F.col("_nx_" + name)).otherwise(F.lead(F.col(name), 1).over(w))
-            out.append(_result(df, name, prev, nxt))
-        else:
-            out.append(F.col(name))
-    return joined.select(*out)
+    helpers = [F.lead(F.col(key), 1).over(w).isNull().alias("_is_last")]
+    for c in cols:
+        helpers += [F.last(F.col(c), ignorenulls=True).over(before).alias("_pb_" + c),
+                    F.lead(F.col(c), 1).over(w).alias("_nb_" + c)]
+    with_nb = joined.select("*", *helpers)
+    with_nb = with_nb.select(
+        *df.columns,
+        *[F.coalesce(F.col("_pb_" + c), F.col("_in_" + c)).alias("_p_" + c) for c in cols],
+        *[F.when(F.col("_is_last"), F.col("_nx_" + c)).otherwise(F.col("_nb_" + c)).alias("_n_" + c)
+          for c in cols])
+    return with_nb.select(*[_result(df, n) if n in cols else F.col(n) for n in df.columns])

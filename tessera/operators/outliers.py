@@ -27,13 +27,22 @@ from tessera.functions.columns import require_columns
 METHODS = ("zscore", "iqr", "percentile")
 
 
-APPROX_ACCURACY = 1_000_000
+BRACKET_ROWS = 100_000  # target rows per bracket (ranked in one task)
+MIN_ACCURACY, MAX_ACCURACY = 10_000, 1_000_000
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
-                    accuracy: int = APPROX_ACCURACY) -> list[float | None]:
-    """Exact linear-interpolation quantiles of ``col`` (nulls ignored)."""
+                    accuracy: int | None = None) -> list[float | None]:
+    """Exact linear-interpolation quantiles of ``col`` (nulls ignored).
+
+    The sketch accuracy grows with the row count so that a bracket holds about
+    ``BRACKET_ROWS`` rows (4n / accuracy), within [1e4, 1e6]: cheap sketches on
+    small tables, at most ~4M bracket rows per probability at 10^12 rows.
+    """
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    if accuracy is None:
+        n0 = x.count()
+        accuracy = int(min(MAX_ACCURACY, max(MIN_ACCURACY, 4 * n0 // BRACKET_ROWS)))
     margin = 2.0 / accuracy
     while True:
         lo_p = [max(0.0, p - margin) for p in probs]
