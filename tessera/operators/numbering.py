@@ -20,10 +20,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import hex_bucket, seeded_hash
+from tessera.functions.columns import seeded_hash
 from tessera.session import materialize
 
-_DIGITS = 4  # hex digits per histogram level: 65,536 buckets
+# Hex digits of the md5 per histogram level: level 1 has 4,096 buckets (small
+# enough that map-side partial aggregation shrinks the data), level 2 another
+# 65,536. Fixed-length hex prefixes sort like their values, so buckets are
+# compared as strings.
+_DIGITS1, _DIGITS2 = 3, 4
 DIRECT_RANK_LIMIT = 1_000_000  # rows of one boundary bucket ranked in one task
 
 
@@ -73,9 +77,9 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     gc = [*group, "_cut"]
     h = seeded_hash(key, seed)
     hashed = df.select(*group, F.col(key).alias("_key"), h.alias("_h"))
-    hashed = hashed.withColumn("_b1", hex_bucket(F.col("_h"), 1, _DIGITS))
+    hashed = hashed.withColumn("_b1", F.substring(F.col("_h"), 1, _DIGITS1))
 
-    # job 1: prefix histogram (at most 65,536 rows per group), written once
+    # job 1: prefix histogram (at most 4,096 rows per group), written once
     hist1 = materialize(hashed.groupBy(*group, "_b1").agg(F.count(F.lit(1)).alias("_c")), "hist1")
     totals = hist1.groupBy(*group).agg(F.sum("_c").alias("_n"))
     cut_list = F.array(*[F.struct(F.lit(name).alias("_cut"), need(F.col("_n")).cast("long").alias("_k"))
@@ -85,10 +89,10 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     partial = sized.where((F.col("_k") > 0) & (F.col("_k") < F.col("_n")))
     b1 = _boundary(partial.withColumnRenamed("_k", "_need"), gc, "_b1", "_need")  # small, from hist1 only
 
-    # A boundary bucket holds about n / 65,536 rows of its group. When the
+    # A boundary bucket holds about n / 4,096 rows of its group. When the
     # largest one is small it is ranked directly; otherwise a second 16-bit
-    # histogram narrows it to about n / 2^32 rows first. Either way no task
-    # ever ranks more than ``DIRECT_RANK_LIMIT`` rows of one group.
+    # histogram narrows it to about n / 2^28 rows first (~3,700 rows at 10^12).
+    # Either way no task ranks more than ``DIRECT_RANK_LIMIT`` rows of one group.
     largest = b1.agg(F.max("_b1_size")).collect()[0][0] or 0
     join_b1 = (hashed.join(F.broadcast(b1), on=group, how="inner") if group
                else hashed.crossJoin(F.broadcast(b1)))
@@ -96,7 +100,7 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     if largest <= DIRECT_RANK_LIMIT:
         edge, need_col = edge1, "_need_at"
     else:
-        edge1 = edge1.withColumn("_b2", hex_bucket(F.col("_h"), 1 + _DIGITS, _DIGITS))
+        edge1 = edge1.withColumn("_b2", F.substring(F.col("_h"), 1 + _DIGITS1, _DIGITS2))
         hist2 = edge1.groupBy(*gc, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
         b2 = materialize(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
         edge = edge1.join(F.broadcast(b2), on=gc, how="inner").where(F.col("_b2") == F.col("_b2_at"))

@@ -240,3 +240,22 @@ def test_blocks_round_trip_ragged(spark):
     assert shapes[(1, 2)] == (3, 2) and shapes[(0, 0)] == (4, 4)
     back = {(r.pixel_idx, r.v) for r in SK.blocks_to_pixels(blocks, width=width, block=block).collect()}
     assert back == {(i, v) for _, i, v in rows}
+
+
+@pytest.mark.parametrize("n", [1, 250, 499])
+def test_sample_threshold_two_level_path(spark, keyed, n, monkeypatch):
+    import tessera.operators.numbering as N
+    monkeypatch.setattr(N, "DIRECT_RANK_LIMIT", 0)  # force the second histogram level
+    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, n, key="pix", seed=5, method="threshold").collect()}
+    assert got == _hash_order(spark, keyed, n, 5)
+
+
+def test_exact_quantiles_match_pandas(spark):
+    import pandas as pd
+    from tessera.operators.outliers import exact_quantiles
+    vals = [float((i * 7919) % 1013) / 7.0 for i in range(3000)] + [None] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    want = pd.Series([v for v in vals if v is not None]).quantile(probs).tolist()
+    assert exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
+    assert exact_quantiles(df, "v", probs, accuracy=50) == pytest.approx(want, rel=1e-12)  # widening path
