@@ -7,12 +7,14 @@ Exact quantiles (A6, linear interpolation as pandas / DuckDB ``quantile_cont``)
 are computed without Spark's exact ``percentile`` aggregate, which merges a
 count for every distinct value into a single task. Instead:
 
-1. one pass: ``count`` and a high-accuracy ``percentile_approx`` bracket
-   ``[q(p - d), q(p + d)]`` around every wanted probability;
-2. one pass: counts below / up to each bracket prove that the wanted order
-   statistics lie inside it (otherwise the bracket is widened and re-checked);
-3. only the rows inside the brackets (about ``2 d n`` per probability) are
-   ranked, and the interpolation is done on the two order statistics.
+1. one pass: ``count`` and a ``percentile_approx`` bracket ``[q(p - d), q(p + d)]``
+   around every wanted probability (redone at higher accuracy only for very
+   large tables);
+2. one job: only the rows inside the brackets (about ``2 d n`` per probability)
+   are ranked, the two order statistics each probability needs are picked, and
+   counts below / up to each bracket prove that they lie inside it (otherwise
+   the bracket is widened and the job repeated); the interpolation is done on
+   the picked values.
 """
 
 from __future__ import annotations
@@ -31,53 +33,82 @@ BRACKET_ROWS = 100_000  # target rows per bracket (ranked in one task)
 MIN_ACCURACY, MAX_ACCURACY = 10_000, 1_000_000
 
 
+def _brackets(x: DataFrame, probs: list[float], margin: float, accuracy: int):
+    """One pass: row count and sketch quantiles at ``p - margin`` and ``p + margin``."""
+    lo_p = [max(0.0, p - margin) for p in probs]
+    hi_p = [min(1.0, p + margin) for p in probs]
+    row = x.agg(F.count(F.lit(1)).alias("n"),
+                F.percentile_approx("_x", F.array(*[F.lit(q) for q in lo_p + hi_p]), accuracy).alias("q")
+                ).collect()[0]
+    if row["n"] == 0:
+        return 0, [], []
+    return row["n"], row["q"][:len(probs)], row["q"][len(probs):]
+
+
+def _pick(x: DataFrame, lo: list[float], hi: list[float], need: list[tuple[int, int]]):
+    """One job: the wanted order statistics inside the brackets, with the proof counts.
+
+    Rows inside bracket ``i`` are ranked in their own (small) window partition and
+    the ranks ``need - below`` are kept; ``below``/``upto`` (rows under ``lo`` and up
+    to ``hi``) ride along on every picked row. Returns ``(picked, below, upto)``, or
+    ``None`` when no row was picked (the brackets missed).
+    """
+    k = len(lo)
+    counts = x.agg(*[F.count(F.when(F.col("_x") < F.lit(lo[i]), 1)).alias(f"_b{i}") for i in range(k)],
+                   *[F.count(F.when(F.col("_x") <= F.lit(hi[i]), 1)).alias(f"_u{i}") for i in range(k)])
+    parts = None
+    for i in range(k):
+        part = x.where((F.col("_x") >= F.lit(lo[i])) & (F.col("_x") <= F.lit(hi[i]))) \
+            .select(F.lit(i).alias("_p"), "_x")
+        parts = part if parts is None else parts.unionByName(part)
+    # about 2 * margin * n rows per probability: one small window partition each
+    ranked = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_x")) - 1)
+    wanted = None
+    for i in range(k):
+        cond = (F.col("_p") == i) & F.col("_r").isin(F.lit(need[i][0]) - F.col(f"_b{i}"),
+                                                     F.lit(need[i][1]) - F.col(f"_b{i}"))
+        wanted = cond if wanted is None else wanted | cond
+    rows = ranked.crossJoin(F.broadcast(counts)).where(wanted).collect()  # counts: one row
+    if not rows:
+        return None
+    below = [rows[0][f"_b{i}"] for i in range(k)]
+    upto = [rows[0][f"_u{i}"] for i in range(k)]
+    return {(r["_p"], r["_r"]): r["_x"] for r in rows}, below, upto
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
                     accuracy: int | None = None) -> list[float | None]:
     """Exact linear-interpolation quantiles of ``col`` (nulls ignored).
 
     The sketch accuracy grows with the row count so that a bracket holds about
     ``BRACKET_ROWS`` rows (4n / accuracy), within [1e4, 1e6]: cheap sketches on
-    small tables, at most ~4M bracket rows per probability at 10^12 rows.
+    small tables, at most ~4M bracket rows per probability at 10^12 rows. The
+    first sketch uses the smallest accuracy and is redone only when the count
+    it returns asks for more (over ~250M rows), so smaller tables take two
+    passes in all: sketch, then pick-and-prove.
     """
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    acc = accuracy or MIN_ACCURACY
+    n, lo, hi = _brackets(x, probs, 2.0 / acc, acc)
+    if n == 0:
+        return [None for _ in probs]
     if accuracy is None:
-        n0 = x.count()
-        accuracy = int(min(MAX_ACCURACY, max(MIN_ACCURACY, 4 * n0 // BRACKET_ROWS)))
-    margin = 2.0 / accuracy
+        wanted_acc = int(min(MAX_ACCURACY, max(MIN_ACCURACY, 4 * n // BRACKET_ROWS)))
+        if wanted_acc > acc:
+            acc = wanted_acc
+            n, lo, hi = _brackets(x, probs, 2.0 / acc, acc)
+    margin = 2.0 / acc
+    # ranks (0-based) of the order statistics each probability needs
+    pos = [p * (n - 1) for p in probs]
+    need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
     while True:
-        lo_p = [max(0.0, p - margin) for p in probs]
-        hi_p = [min(1.0, p + margin) for p in probs]
-        row = x.agg(F.count(F.lit(1)).alias("n"),
-                    F.percentile_approx("_x", F.array(*[F.lit(q) for q in lo_p + hi_p]), accuracy).alias("q")
-                    ).collect()[0]
-        n = row["n"]
-        if n == 0:
-            return [None for _ in probs]
-        lo, hi = row["q"][:len(probs)], row["q"][len(probs):]
-        # ranks (0-based) of the order statistics each probability needs
-        pos = [p * (n - 1) for p in probs]
-        need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
-        cnt = x.agg(*[F.count(F.when(F.col("_x") < F.lit(lo[i]), 1)).alias(f"b{i}") for i in range(len(probs))],
-                    *[F.count(F.when(F.col("_x") <= F.lit(hi[i]), 1)).alias(f"u{i}") for i in range(len(probs))]
-                    ).collect()[0]
-        below = [cnt[f"b{i}"] for i in range(len(probs))]
-        upto = [cnt[f"u{i}"] for i in range(len(probs))]
-        if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
-            break
+        got = _pick(x, lo, hi, need)
+        if got is not None:
+            picked, below, upto = got
+            if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
+                break
         margin *= 16  # bracket missed (never expected from the sketch guarantee): widen
-    parts = None
-    for i in range(len(probs)):
-        part = x.where((F.col("_x") >= F.lit(lo[i])) & (F.col("_x") <= F.lit(hi[i]))) \
-            .select(F.lit(i).alias("_p"), "_x")
-        parts = part if parts is None else parts.unionByName(part)
-    # about 2 * margin * n rows per probability: one small window partition each
-    w = Window.partitionBy("_p").orderBy("_x")
-    ranked = parts.withColumn("_r", F.row_number().over(w) - 1)
-    wanted = None
-    for i in range(len(probs)):
-        cond = (F.col("_p") == i) & F.col("_r").isin(need[i][0] - below[i], need[i][1] - below[i])
-        wanted = cond if wanted is None else wanted | cond
-    picked = {(r["_p"], r["_r"]): r["_x"] for r in ranked.where(wanted).collect()}
+        _, lo, hi = _brackets(x, probs, margin, acc)
     out = []
     for i in range(len(probs)):
         a = picked[(i, need[i][0] - below[i])]

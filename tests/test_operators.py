@@ -259,3 +259,30 @@ def test_exact_quantiles_match_pandas(spark):
     want = pd.Series([v for v in vals if v is not None]).quantile(probs).tolist()
     assert exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
     assert exact_quantiles(df, "v", probs, accuracy=50) == pytest.approx(want, rel=1e-12)  # widening path
+
+
+def test_exact_quantiles_resketch_and_missed_bracket(spark, monkeypatch):
+    import pandas as pd
+    import tessera.operators.outliers as O
+    vals = [float((i * 104729) % 4999) / 3.0 for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.1, 0.5, 0.9]
+    want = pd.Series(vals).quantile(probs).tolist()
+    # a count that asks for more accuracy than the first sketch: second sketch pass
+    monkeypatch.setattr(O, "BRACKET_ROWS", 100)
+    monkeypatch.setattr(O, "MIN_ACCURACY", 20)
+    assert O.exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
+    # a first bracket that misses every order statistic: the pick job proves nothing, widen
+    real = O._brackets
+    calls = []
+
+    def narrow_first(x, ps, margin, acc):
+        n, lo, hi = real(x, ps, margin, acc)
+        calls.append(margin)
+        return (n, [10 ** 9] * len(ps), [10 ** 9 + 1] * len(ps)) if len(calls) == 1 else (n, lo, hi)
+
+    monkeypatch.setattr(O, "_brackets", narrow_first)
+    monkeypatch.setattr(O, "BRACKET_ROWS", 100_000)
+    monkeypatch.setattr(O, "MIN_ACCURACY", 10_000)
+    assert O.exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
+    assert len(calls) == 2 and calls[1] > calls[0]
