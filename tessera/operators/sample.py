@@ -10,6 +10,13 @@ the whole table in one task:
 * small k globally: ``orderBy(...).limit(k)`` (TakeOrderedAndProject);
 * anything larger: a per-group hash threshold from two prefix histograms, then a
   plain filter (see ``numbering.first_k_threshold``).
+
+The first two keep k rows per group *per input partition*, and one task merges
+them: a group spread over P partitions sends up to ``min(k * P, group size)``
+rows to one task. Under ``method="auto"`` one cheap count job (group sizes,
+combined map-side) therefore admits them only when the largest group is at most
+``TOPK_TASK_ROWS`` rows; a hot tile holding a third of a 100 TB table takes the
+threshold path, which never ranks more than one hash bucket in a task.
 """
 
 from __future__ import annotations
@@ -28,6 +35,13 @@ from tessera.operators.numbering import (first_k_threshold, first_k_thresholds,
 
 WINDOW_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold default
 GLOBAL_TAKE_LIMIT = 10000
+TOPK_TASK_ROWS = 1 << 22  # largest group a per-partition top-k may merge in one task
+
+
+def _largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group (one aggregate job; the whole frame if no group)."""
+    sizes = df.groupBy(*group).count() if group else df.select(F.count(F.lit(1)).alias("count"))
+    return sizes.agg(F.max("count")).collect()[0][0] or 0
 
 
 def _threshold_filter(df: DataFrame, th: DataFrame, *, key: str, seed: int,
@@ -44,7 +58,7 @@ def sample_per_group(df: DataFrame, n: int, *, key: str, seed: int = 43,
     require_columns(df, [key, *group])
     group = list(group)
     if method == "auto":
-        method = "window" if n <= WINDOW_LIMIT else "threshold"
+        method = "window" if n <= WINDOW_LIMIT and _largest_group(df, group) <= TOPK_TASK_ROWS else "threshold"
     if method == "window":
         w = Window.partitionBy(*group).orderBy(seeded_hash(key, seed), F.col(key))
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
@@ -54,16 +68,46 @@ def sample_per_group(df: DataFrame, n: int, *, key: str, seed: int = 43,
         .drop("_first", "_th", "_tkey")
 
 
-def sample_n(df: DataFrame, n: int, *, key: str, seed: int = 43) -> DataFrame:
+def sample_n(df: DataFrame, n: int, *, key: str, seed: int = 43, method: str = "auto") -> DataFrame:
     """A fixed-size sample of the whole frame (reproducible)."""
     require_columns(df, [key])
-    if n <= GLOBAL_TAKE_LIMIT:
+    if method == "auto":
+        method = "take" if n <= GLOBAL_TAKE_LIMIT and _largest_group(df, ()) <= TOPK_TASK_ROWS else "threshold"
+    if method == "take":
         return df.orderBy(seeded_hash(key, seed), F.col(key)).limit(n)
     th = first_k_threshold(df, key=key, seed=seed, need=lambda _n: F.lit(n)).select("_th", "_tkey")
     return _threshold_filter(df, th, key=key, seed=seed, group=()).where("_first") \
         .drop("_first", "_th", "_tkey")
 
 
+def nested_samples(df: DataFrame, sizes: Sequence[int], *, key: str, seed: int = 43,
+                   group: Sequence[str] = ("tile",), out: str = "n_per_group",
+                   method: str = "auto") -> DataFrame:
+    """For every N in ``sizes``, the W2 sample of N rows per group, stacked.
+
+    The samples are nested (the N-sample is a prefix of every larger one, same
+    hash order), so one ranking serves all sizes: each row appears once per N
+    whose sample holds it, tagged ``out`` = N.
+    """
+    require_columns(df, [key, *group])
+    group, sizes = list(group), sorted(set(int(n) for n in sizes))
+    if method == "auto":
+        method = ("window" if sizes[-1] <= WINDOW_LIMIT and _largest_group(df, group) <= TOPK_TASK_ROWS
+                  else "threshold")
+    if method == "window":
+        w = Window.partitionBy(*group).orderBy(seeded_hash(key, seed), F.col(key))
+        ranked = df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sizes[-1])
+        first = F.array(*[F.lit(n) for n in sizes])
+        return (ranked.withColumn(out, F.explode(first)).where(F.col("_rk") <= F.col(out))
+                .drop("_rk"))
+    # threshold path: label each row with the smallest sample holding it
+    cuts = [(str(n), (lambda k: lambda _n: F.lit(k))(n)) for n in sizes]
+    labelled = label_by_rank(df, cuts, key=key, seed=seed, rest="", part="_in", group=group) \
+        .where(F.col("_in") != "")
+    holds = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n >= F.col("_in").cast("int"))
+    return labelled.withColumn(out, F.explode(holds)).drop("_in")
+
+
 def label_by_rank(df: DataFrame, cuts: Sequence[tuple[str, Callable[[Column], Column]]], *, key: str,
                   seed: int = 43, rest: str = "train", part: str = "part",
                   group: Sequence[str] = ()) -> DataFrame:

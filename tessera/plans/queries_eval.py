@@ -166,11 +166,8 @@ from q join m on q.n_per_tile = m.n_per_tile where r2 <= ceil(0.1::double * nn)
 def sample_size_study(spark: SparkSession, sf: str) -> DataFrame:
     sizes = [50, 100, 200]
     b = labelled(spark, sf)
-    # one hash rank per tile, computed once up to the largest N; smaller N are prefixes
-    w = Window.partitionBy("tile").orderBy(F.md5(F.concat_ws(":", F.col("pix").cast("string"), F.lit("43"))), "pix")
-    ranked = b.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= max(sizes))
-    nested = ranked.withColumn("n_per_tile", F.explode(F.array(*[F.lit(n) for n in sizes]))) \
-        .where(F.col("_rk") <= F.col("n_per_tile"))
+    # one hash rank per tile serves every N; smaller samples are prefixes of larger ones
+    nested = S.nested_samples(b, sizes, key="pix", seed=43, group=["tile"], out="n_per_tile")
     nested = materialize(nested.select("n_per_tile", "pix", "zdif", "f_qty"), "nested_samples")
     split = S.split_by_share(nested, 0.1, key="pix", seed=43, group=["n_per_tile"])
     train, valid = split.where(F.col("part") == "train"), split.where(F.col("part") == "valid")

@@ -286,3 +286,24 @@ def test_exact_quantiles_resketch_and_missed_bracket(spark, monkeypatch):
     monkeypatch.setattr(O, "MIN_ACCURACY", 10_000)
     assert O.exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
     assert len(calls) == 2 and calls[1] > calls[0]
+
+
+@pytest.mark.parametrize("sizes", [[50, 120, 600], [1, 499, 500]])
+def test_nested_samples_paths_agree(spark, keyed, sizes):
+    rows = {m: {(r.n_per_group, r.tile, r.pix)
+                for r in S.nested_samples(keyed, sizes, key="pix", seed=9, method=m).collect()}
+            for m in ("window", "threshold")}
+    assert rows["window"] == rows["threshold"]
+    for n in sizes:
+        assert {(t, p) for k, t, p in rows["threshold"] if k == n} == _hash_order(spark, keyed, n, 9)
+
+
+def test_auto_avoids_topk_on_large_groups(spark, keyed, monkeypatch):
+    monkeypatch.setattr(S, "TOPK_TASK_ROWS", 100)  # every group of `keyed` (500 rows) is "large"
+    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, 30, key="pix", seed=5).collect()}
+    assert got == _hash_order(spark, keyed, 30, 5)
+    assert "WindowGroupLimit" not in S.sample_per_group(keyed, 30, key="pix", seed=5)._jdf \
+        .queryExecution().executedPlan().toString()
+    take = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1, method="take").collect()]
+    auto = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1).collect()]
+    assert sorted(take) == sorted(auto)
