@@ -15,19 +15,30 @@ from tessera.operators.neighbour import neighbour_fill
 def fill_statistics(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One-row frame of fill values: mean for numeric columns, mode otherwise.
 
-    Everything is computed in a single aggregate (partial aggregation on the
-    map side), never one job per column. Ties of the mode go to the smallest
+    Means are one aggregate (partial aggregation on the map side). Modes avoid
+    Spark's ``mode`` aggregate, which merges a count for every distinct value in
+    one task: all non-numeric columns are stacked as ``(column, value)`` pairs and
+    counted with one shuffle by value, then each column keeps its most frequent
+    value through a fixed-size ``min_by``. Ties of the mode go to the smallest
     value; an all-null column gives null.
     """
     cols = list(cols or df.columns)
-    aggs = []
-    for c in cols:
-        dt = df.schema[c].dataType
-        if isinstance(dt, NUMERIC_TYPES):
-            aggs.append(F.avg(F.col(c)).alias(c))
-        else:
-            aggs.append(F.mode(F.col(c), deterministic=True).alias(c))
-    return df.agg(*aggs)
+    numeric = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC_TYPES)]
+    other = [c for c in cols if c not in numeric]
+    rows = []
+    if numeric or not other:
+        rows.append(df.agg(*[F.avg(F.col(c)).alias(c) for c in numeric]))
+    if other:
+        pairs = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val")) for c in other])
+        stacked = df.select(F.explode(pairs).alias("_kv")).select("_kv._col", "_kv._val") \
+            .where(F.col("_val").isNotNull())
+        counts = stacked.groupBy("_col", "_val").agg(F.count(F.lit(1)).alias("_n"))
+        modes = counts.groupBy("_col").agg(
+            F.min_by(F.col("_val"), F.struct((-F.col("_n")).alias("_k"), F.col("_val"))).alias("_mode"))
+        rows.append(modes.agg(*[F.max(F.when(F.col("_col") == F.lit(c), F.col("_mode")))
+                                .cast(df.schema[c].dataType).alias(c) for c in other]))
+    stats = rows[0] if len(rows) == 1 else rows[0].crossJoin(rows[1])  # one row each
+    return stats.select(*cols)
 
 
 def _filled(df: DataFrame, cols: Sequence[str], stats_prefix: str = "_fill_") -> list:

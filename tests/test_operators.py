@@ -307,3 +307,20 @@ def test_auto_avoids_topk_on_large_groups(spark, keyed, monkeypatch):
     take = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1, method="take").collect()]
     auto = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1).collect()]
     assert sorted(take) == sorted(auto)
+
+
+def test_fill_statistics_mode_ties_nulls_and_types(spark):
+    import datetime as dt
+    from tessera.operators.impute import fill_statistics
+    d1, d2 = dt.date(2024, 1, 2), dt.date(2023, 5, 6)
+    rows = [("b", True, d1, None, 1.0), ("a", False, d2, None, 3.0), ("b", False, d1, None, None),
+            ("a", True, d2, None, 2.0), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "s string, f boolean, d date, e string, x double")
+    got = fill_statistics(df).collect()
+    assert len(got) == 1
+    r = got[0]
+    # every categorical column is a tie of two values: the smallest wins
+    assert (r.s, r.f, r.d, r.e, r.x) == ("a", False, d2, None, 2.0)
+    assert fill_statistics(df, ["s", "e"]).columns == ["s", "e"]
+    assert fill_statistics(df.where("x > 100")).collect()[0].asDict() == \
+        {"s": None, "f": None, "d": None, "e": None, "x": None}
