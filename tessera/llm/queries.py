@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import shard, topk, url_filter
+from tessera.llm import shard, token_count, token_records, topk, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
+from tessera.session import scratch_path
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+@query("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    return (token_count.count_tokens(read_table(spark, sf_dir, "documents"), key="doc_id", text="text",
+                                     vocabulary=public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+            .withColumnRenamed("key", "doc_id"))
+
+
+@query("op5_token_records")
+def op5_token_records(spark, sf_dir):
+    path = scratch_path(spark, "token-records")
+    token_records.write_records(read_table(spark, sf_dir, "documents"), path, key="doc_id", text="text",
+                                vocabulary=public_tokenizers.path("word_bpe_49k.json"), end_id=1, width=2)
+    return token_records.write_index(spark, path).select(
+        F.col("key").alias("doc_id"), F.col("first_token").alias("start"), "n_tokens", "ids_crc32", "file", "offset", "length")
+
+
 @query("op7_exact_topk", sql="""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings
