@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import shard, token_count, token_records, topk, url_filter
+from tessera.llm import bpe_fst, shard, token_count, token_records, topk, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -29,6 +29,13 @@ def op5_token_records(spark, sf_dir):
         F.col("key").alias("doc_id"), F.col("first_token").alias("start"), "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark, sf_dir):
+    return bpe_fst.round_trip(read_table(spark, sf_dir, "documents"), key="doc_id", text="text",
+                              vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              pattern=public_tokenizers.PATTERN).withColumnRenamed("key", "doc_id")
+
+
 @query("op7_exact_topk", sql="""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower
+from tessera.llm.common import ascii_lower, written
 
 #: Two-part public suffixes that count as one (a parameter of the functions below).
 SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "gov.uk", "org.uk")
@@ -77,6 +77,7 @@ def host_reputation(outcomes: DataFrame, *, url: str, bad: str, z: float = 1.645
              .groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("k"))
              .withColumn("domain", domain_of(F.col("host"), suffixes))
              .withColumn("suffix", suffix_of(F.col("host"), suffixes)))
+    hosts = written(hosts, "hosts")  # one row per labelled host: every level below reads it again
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     overall = tops.agg(
