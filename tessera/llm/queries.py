@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, shard, token_count, token_records, topk, url_filter
+from tessera.llm import bpe_fst, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -62,6 +62,28 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.filter_urls(pages, outcomes, page_id="page_id", url="url", rules=URL_RULES)
 
 
+#: Score from which a text counts as toxic.
+TOXIC = 0.3
+
+
+def id_crc(doc_id="doc_id"):
+    """Unsigned CRC-32 of the id as text."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+def toxicity_model(spark, docs, sf_dir):
+    return toxicity.fit_labels(docs, read_table(spark, sf_dir, "labels"), key="doc_id", text="text", label="toxic",
+                               learn=id_crc() % 4 != 2)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    scores = toxicity.score_table(docs, toxicity_model(spark, docs, sf_dir), key="doc_id", text="text")
+    return scores.select(F.col("key").alias("doc_id"), F.coalesce(id_crc("key") % 4 == 2, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 @query("op10_jump_shards")
 def op10_jump_shards(spark, sf_dir):
     return (shard.jump_shards(read_table(spark, sf_dir, "documents"), key="doc_id", text="text", shards=24)
