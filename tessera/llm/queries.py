@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -20,6 +20,22 @@ def op2_token_counts(spark, sf_dir):
             .withColumnRenamed("key", "doc_id"))
 
 
+@query("op3_decontaminate", sql=r"""
+WITH d AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d)),
+its AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM i)),
+n AS (SELECT item_id, CAST(count(*) AS INTEGER) AS n_item FROM its GROUP BY 1),
+f AS (SELECT doc_id, item_id, CAST(count(*) AS INTEGER) AS n_found FROM ds JOIN its USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment FROM f JOIN n USING (item_id) WHERE n_found * 100 >= n_item * 80""")
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.contained_items(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), doc_id="doc_id", text="text",
+        item_id="item_id", item_text="text").select("doc_id", "item_id", "n_item", "n_found", "containment")
+
+
 @query("op5_token_records")
 def op5_token_records(spark, sf_dir):
     path = scratch_path(spark, "token-records")
