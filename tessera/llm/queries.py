@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, decontaminate, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, near_dup, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -13,6 +13,12 @@ from tessera.session import scratch_path
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+@query("op1_near_dup")
+def op1_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", width=3,
+                                    percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark, sf_dir):
     return (token_count.count_tokens(read_table(spark, sf_dir, "documents"), key="doc_id", text="text",

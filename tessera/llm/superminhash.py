@@ -12,39 +12,38 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import xxhash
 
-from tessera.llm.texts import Memo
-
-#: Word hashes that a worker keeps.
-MEMO_ROOM = 300_000
+from tessera.llm.wordhash import WordHasher, mixed
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective mix of 64-bit integers (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Distinct shingles of a text's word fingerprints, as sorted 64-bit fingerprints.
+
+    Fewer words than ``width`` make one shingle, no words none.
+    """
+    if not len(words):
+        return words
+    width = min(width, len(words))
+    n = len(words) - width + 1
+    out = words[:n].copy()
+    for i in range(1, width):
+        out = mixed(out + _GOLDEN) + words[i:n + i]
+    return np.unique(mixed(out + np.uint64(width)))
 
 
 class Shingler:
-    """Distinct shingles of texts as sorted 64-bit fingerprints; one per task."""
+    """Shingle sets of a list of texts; one per task."""
 
     def __init__(self, width: int):
-        self.width, self.memo = width, Memo(xxhash.xxh3_64_intdigest, MEMO_ROOM)
+        self.width, self.hasher = width, WordHasher()
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
-        width = min(self.width, len(h))
-        out = h[:len(h) - width + 1].copy()
-        for i in range(1, width):
-            out = mixed(out + _GOLDEN) + h[i:len(h) - width + 1 + i]
-        return np.unique(mixed(out + np.uint64(width)))
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        data = [t.encode() for t in texts]
+        words, starts, _ = self.hasher(b" ".join(data))
+        ends = np.searchsorted(starts, np.cumsum([len(d) + 1 for d in data])).tolist()
+        return [shingles(words[a:b], self.width) for a, b in zip([0, *ends], ends)]
 
 
 def signature(elements: np.ndarray, slots: int) -> np.ndarray:
@@ -86,5 +85,6 @@ def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def set_key(elements: np.ndarray) -> bytes:
-    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+def set_key(elements: np.ndarray) -> int:
+    """A signed 64-bit name of a set."""
+    return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)

@@ -59,24 +59,3 @@ class Memo(dict):
         if len(self) < self.room:
             self[key] = value
         return value
-
-
-class BatchMemo:
-    """A bounded memo whose missing keys are computed together, a list at a time."""
-
-    def __init__(self, compute_all: Callable[[list], list], room: int):
-        self.kept: dict = {}
-        self.compute_all, self.room = compute_all, room
-
-    def over(self, lists: list[list], use: Callable[[Callable, list], object]) -> list:
-        """``use(lookup, keys)`` for each list of keys."""
-        kept, missing = self.kept, set()
-        for keys in lists:
-            missing.update(keys)
-        missing = [k for k in missing if k not in kept]
-        kept.update(zip(missing, self.compute_all(missing)))
-        try:
-            return [use(kept.__getitem__, keys) for keys in lists]
-        finally:
-            while len(kept) > self.room and missing:
-                del kept[missing.pop()]

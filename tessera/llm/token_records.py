@@ -30,18 +30,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.common import blocks_of
-from tessera.llm.texts import BatchMemo, map_texts
 from tessera.llm.token_count import tokenizer
+from tessera.llm.wordhash import WordHasher, WordTable
 
 #: Text bytes that a file holds about: bounds what a reading task keeps in memory.
 FILE_BYTES = 16 << 20
-#: Encoded words that a worker keeps.
-MEMO_ROOM = 250_000
+#: Words whose ids a worker keeps (some 40 bytes each).
+MEMO_ROOM = 1_500_000
 
 # Fixed value: the constant of the masked checksum.
 MASK_DELTA = 0xA282EAD8
 _HEAD, _KEY = struct.Struct("<QI"), struct.Struct("<qBB")
-_WORD = re.compile(r"[^ \t\n\r\f\v]+")
+# Latin letters whose lower case is one letter each, in any context, and that no normal form changes.
+_SIMPLE = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f\u0250-\u02af]+)([.,;:!?]?)").fullmatch
 
 
 def masked_crc(data: bytes | memoryview) -> int:
@@ -83,34 +84,64 @@ def parsed(payload: memoryview) -> tuple[int | None, np.ndarray]:
 def word_encoder(path: str, width: int):
     """A function of texts giving their ids as little-endian bytes.
 
-    For a tokenizer that drops white space, words between ASCII white space are encoded apart: no
-    merge, normalisation or special string spans a space. So a worker keeps the ids of words it
-    has met, in a bounded memo. New words of a slice go to the library in one text, parted by a
-    digit, which always is a token of its own; words that hold that digit go singly.
+    For a tokenizer that lower-cases and drops white space, words between ASCII white space are
+    encoded apart: no merge, normalisation or special string spans a space. So a worker keeps the
+    ids of words it has met, in a bounded table of fingerprints, and gives only new words to the
+    library: words of Latin letters, with a mark of punctuation at the end or without, lower-cased
+    and parted by spaces, through a copy of the tokenizer without the normaliser and the pattern,
+    which change nothing there (a token with the end-of-word suffix ends each part); all others
+    one by one through the whole tokenizer.
     """
-    tok, kind = tokenizer(path), {2: "<u2", 4: "<u4"}[width]
-    mark = tok.encode("0", add_special_tokens=False).ids
-    if len(mark) != 1:
-        raise ValueError("the parting digit isn't one token")
-
-    def encode(new: list[str]) -> list[bytes]:
-        plain = [w for w in new if "0" not in w]
-        ids = np.array(tok.encode(" 0 ".join(plain), add_special_tokens=False).ids if plain else [], np.uint32)
-        ends = np.append(np.flatnonzero(ids == mark[0]), len(ids))
-        if plain and len(ends) != len(plain):  # another character that the tokenizer takes for that digit
-            plain, done = [], {}
-        else:
-            data, done, start = ids.astype(kind).tobytes(), {}, 0
-            for w, end in zip(plain, ends.tolist()):
-                done[w] = data[start * width:end * width]
-                start = end + 1
-        odd = [w for w in new if w not in done]
-        for w, e in zip(odd, tok.encode_batch_fast(odd, add_special_tokens=False)):
-            done[w] = np.array(e.ids, np.uint32).astype(kind).tobytes()
-        return [done[w] for w in new]
-
-    memo = BatchMemo(encode, MEMO_ROOM)
-    return lambda texts: memo.over([_WORD.findall(t) for t in texts], lambda get, keys: b"".join(map(get, keys)))
+    from tokenizers import normalizers
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+    tok = tokenizer(path)
+    plain = tok.from_file(path)
+    plain.normalizer = normalizers.Sequence([])
+    plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    ends_word = np.zeros(tok.get_vocab_size(), bool)
+    ends_word[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
+    kind = {2: "<u2", 4: "<u4"}[width]
+
+    def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, parts, marked, odd = np.zeros(len(new), np.int64), [], [], []
+        simple = np.zeros(len(new), bool)
+        for i, w in enumerate(new):
+            found = _SIMPLE(w.decode())
+            if found:
+                simple[i] = True
+                core, mark = found.groups()
+                parts.append(core.lower() + " " + mark if mark else core.lower())
+                marked.append(2 if mark else 1)
+            else:
+                odd.append(w.decode())
+        done = plain.encode_batch_fast([" ".join(parts[i:i + 1000]) for i in range(0, len(parts), 1000)], add_special_tokens=False)
+        ids = np.array([x for e in done for x in e.ids], np.uint32)
+        stops = np.append(0, np.flatnonzero(ends_word[ids]) + 1)[np.append(0, np.cumsum(marked, dtype=np.int64))]
+        if len(parts) and stops[-1] != len(ids):
+            raise AssertionError("a word without an end")
+        sizes[simple] = np.diff(stops)
+        others = [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(odd, add_special_tokens=False)]
+        sizes[~simple] = [len(x) for x in others]
+        out = np.empty(int(sizes.sum()), np.uint32)
+        owner = np.repeat(simple, sizes)
+        out[owner] = ids
+        if others:
+            out[~owner] = np.concatenate(others)
+        return out.astype(kind), sizes
+
+    hasher, table = WordHasher(), WordTable(encode, MEMO_ROOM)
+
+    def work(texts: list[str]) -> list[bytes]:
+        data = [t.encode() for t in texts]
+        whole = b" ".join(data)
+        hashes, starts, stops = hasher(whole)
+        ids, sizes = table.over(whole, hashes, starts, stops)
+        ids = ids.astype(kind, copy=False)
+        # the last word that starts before a text's end closes its ids
+        text_ends = np.cumsum([len(d) + 1 for d in data])
+        cut = np.append(0, np.cumsum(sizes))[np.searchsorted(starts, text_ends)]
+        return [ids[a:b].tobytes() for a, b in zip([0, *cut[:-1].tolist()], cut.tolist())]
+    return work
 
 
 def write_records(df: DataFrame, path: str, *, key: str, text: str, vocabulary: str, end_id: int, width: int = 4) -> None:
