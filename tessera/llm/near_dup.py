@@ -245,15 +245,47 @@ def groups(docs: DataFrame, *, doc_id: str, text: str, width: int, percent: int)
     return sketch, nodes, written(final, "groups")
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id, kept`` for every document."""
+def grouped(docs: DataFrame, *, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, root, least``: each document's group and the group's least id.
+
+    Null root: a document alone in its group.
+    """
     sketch, nodes, roots = groups(docs, doc_id=doc_id, text=text, width=width, percent=percent)
     named = nodes.select("node", "id", "copies").join(roots, "node", "left")
-    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
+    least = named.where("root IS NOT NULL").groupBy(F.col("root").alias("_r")).agg(F.min("id").alias("least"))
     # only sets that several documents have or that are linked: the others are their own group
-    several = (named.where("root IS NOT NULL OR copies > 1").join(least, "root", "left")
-               .select("node", F.coalesce("least", "id").alias("least")))
-    component = F.when(F.col("least").isNull(), F.col("doc_id")).when(F.col("least") < NO_ID, F.col("least"))
-    return (sketch.select("doc_id", "text_key", "node", "n_shingles").join(several, "node", "left")
-            .select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(component).alias("kept")))
+    several = (named.where("root IS NOT NULL OR copies > 1").join(least, F.col("root") == F.col("_r"), "left")
+               .select("node", F.coalesce("root", "node").alias("root"), F.coalesce("least", "id").alias("least")))
+    return sketch.select("doc_id", "text_key", "node", "n_shingles").join(several, "node", "left").drop("node")
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept`` for every document."""
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).when(F.col("least") < NO_ID, F.col("least"))
+    return grouped(docs, doc_id=doc_id, text=text, width=width, percent=percent).select(
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, *, doc_id: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all its columns, one row of each group: the least id's (null ids last).
+
+    Documents without words are in no group and stay. Where the least id has several texts in the
+    group, or a row repeats, one of them stays.
+    """
+    found = written(grouped(docs, doc_id=doc_id, text=text, width=width, percent=percent), "found")
+    chosen = (found.where("root IS NOT NULL").groupBy("root")
+              .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_key")).alias("one"))
+              .select(F.col("one.text_key").alias("_keep")))
+    dropped = (found.where("root IS NOT NULL").select("text_key").distinct()
+               .join(chosen, F.col("text_key") == F.col("_keep"), "left_anti").select(F.col("text_key").alias("_drop")))
+    dropped = written(dropped, "dropped")
+    key = text_key(doc_id, text)
+    rest = docs.join(_checked(dropped, dropped.count()), key == F.col("_drop"), "left_anti")
+    # the chosen row itself may repeat (same id, same text)
+    again = found.where("root IS NOT NULL").groupBy(F.col("text_key").alias("_again")).count().where("count > 1").select("_again")
+    again = written(again, "repeated")
+    n = again.count()
+    if not n:
+        return rest
+    once = rest.join(_checked(again, n), key == F.col("_again")).dropDuplicates(["_again"]).select(*docs.columns)
+    return rest.join(_checked(again, n), key == F.col("_again"), "left_anti").unionAll(once)

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,10 +151,11 @@ def fit(rows: DataFrame, settings: Settings) -> Model:
         return Model(float(np.log(share / (1 - share))), settings.buckets, settings.prefixes)
 
     def train(table: pa.Table) -> pa.Table:
-        parts = [np.searchsorted(kept, x.as_py()) for x in table["terms"]]  # already kept terms only
-        lengths = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate(parts).astype(np.int64) if lengths.sum() else np.zeros(0, np.int64)
-        bias, w, v = fit_arrays(table["label"].to_numpy().astype(float), lengths, flat, len(kept), settings)
+        # kept terms only, in an order that doesn't depend on the tasks
+        held = sorted(zip(table["label"].to_pylist(), table["terms"].to_pylist()))
+        lengths = np.array([len(t) for _, t in held], np.int64)
+        flat = np.searchsorted(kept, np.array([x for _, t in held for x in t], np.int64))
+        bias, w, v = fit_arrays(np.array([y for y, _ in held], float), lengths, flat, len(kept), settings)
         return pa.table({"bias": [bias], "w": [w.tolist()], "v": [v.ravel().tolist()]})
 
     few = map_kept(rows, kept)
@@ -163,13 +165,13 @@ def fit(rows: DataFrame, settings: Settings) -> Model:
 
 
 def map_kept(rows: DataFrame, kept: np.ndarray) -> DataFrame:
-    """Rows with only the kept terms, under one key, in an order that doesn't depend on the tasks."""
+    """Rows with only the kept terms, under one key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             terms = [np.intersect1d(np.array(x.as_py(), np.int64), kept) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array([1] * b.num_rows, pa.int32()), b.column(0),
                                               pa.array(terms, pa.list_(pa.int64()))], ["one", "label", "terms"])
-    return rows.select("label", "terms").mapInArrow(run, "one int, label int, terms array<long>").sort("terms", "label")
+    return rows.select("label", "terms").mapInArrow(run, "one int, label int, terms array<long>")
 
 
 def scorer(model: Model):
@@ -203,12 +205,11 @@ def score_table(docs: DataFrame, model: Model, *, key: str, text: str) -> DataFr
 
 def score_column(model: Model):
     """The score as a column function of a text column, to filter a table with all its columns."""
-    import pandas as pd
-
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = scorer(model)
-        return pd.Series(score([t or "" for t in texts]), dtype="float64")
+        for texts in batches:
+            yield pd.Series(score([t or "" for t in texts]), dtype="float64")
     return scored
 
 
