@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, decontaminate, near_dup, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, near_dup, ngram_lm, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -42,6 +42,12 @@ def op3_decontaminate(spark, sf_dir):
         item_id="item_id", item_text="text").select("doc_id", "item_id", "n_item", "n_found", "containment")
 
 
+@query("op4_ngram_lm")
+def op4_ngram_lm(spark, sf_dir):
+    scored = ngram_lm.score_documents(read_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", learn=id_crc() % 10 != 0)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_token_records")
 def op5_token_records(spark, sf_dir):
     path = scratch_path(spark, "token-records")
