@@ -22,6 +22,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from tessera.llm.wordhash import WordHasher, WordTable
 #: Text bytes that a file holds about: bounds what a reading task keeps in memory.
 FILE_BYTES = 16 << 20
 #: Words whose ids a worker keeps (some 40 bytes each).
-MEMO_ROOM = 1_500_000
+MEMO_ROOM = 1_000_000
 
 # Fixed value: the constant of the masked checksum.
 MASK_DELTA = 0xA282EAD8
@@ -81,8 +82,9 @@ def parsed(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return (None if null else key), ids.astype("<u4")
 
 
+@cache
 def word_encoder(path: str, width: int):
-    """A function of texts giving their ids as little-endian bytes.
+    """A function of texts giving their ids as little-endian bytes; one per worker process.
 
     For a tokenizer that lower-cases and drops white space, words between ASCII white space are
     encoded apart: no merge, normalisation or special string spans a space. So a worker keeps the
