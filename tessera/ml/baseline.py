@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import rmse_r2_aggs
+from tessera.session import join_null_safe, small_side
 
 
 def fit_baseline(df: DataFrame, *, label: str, feature: str, by: Sequence[str] = ()) -> DataFrame:
@@ -22,9 +23,10 @@ def fit_baseline(df: DataFrame, *, label: str, feature: str, by: Sequence[str] =
 
 def predict_baseline(df: DataFrame, model: DataFrame, *, feature: str, out: str = "pred",
                      by: Sequence[str] = ()) -> DataFrame:
-    """Score rows with a fitted baseline. The model has one row per group."""
+    """Score rows with a fitted baseline. The model has one row per group, or one row."""
     m = model.select(*by, F.col("slope").alias("_s"), F.col("intercept").alias("_i"))
-    joined = df.join(F.broadcast(m), on=list(by), how="inner") if by else df.crossJoin(F.broadcast(m))
+    # rows of a group without a model keep a null prediction
+    joined = join_null_safe(df, small_side(m, "baseline"), by, "left") if by else df.crossJoin(F.broadcast(m))
     return joined.withColumn(out, F.col("_i") + F.col("_s") * F.col(feature).cast("double")).drop("_s", "_i")
 
 

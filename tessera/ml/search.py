@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.ml.select import permuted_columns
 from tessera.ml.train import assemble, feature_importance, make_learner, score, train_model
+from tessera.session import materialize
 
 
 def grid_candidates(grid: dict[str, Sequence]) -> list[dict]:
@@ -23,31 +24,62 @@ def grid_candidates(grid: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
-def random_candidates(spark: SparkSession, n_iter: int, seed: int, *, step=(0.01, 0.3),
-                      depth=(3, 6), bins=(16, 32, 64)) -> DataFrame:
-    """seeded candidate table generated by Spark.
+def uniform(lo: float, hi: float):
+    """A number between lo and hi."""
+    return lambda u: F.lit(lo) + u * F.lit(hi - lo)
 
-    stepSize is log-uniform on ``step``, maxDepth a random integer in ``depth``
-    (inclusive), maxBins a random choice. One partition keeps ``rand(seed)``
-    reproducible.
+
+def log_uniform(lo: float, hi: float):
+    return lambda u: F.exp(F.lit(math.log(lo)) + u * F.lit(math.log(hi) - math.log(lo)))
+
+
+def randint(lo: int, hi: int):
+    """An integer from lo to hi, both included."""
+    return lambda u: (F.lit(lo) + F.floor(u * F.lit(hi - lo + 1))).cast("int")
+
+
+def choice(values: Sequence):
+    return lambda u: F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(u * F.lit(len(values))) + 1).cast("int"))
+
+
+# the learning rate uniform or log-uniform, depth an integer or a choice, leaves and the
+# share of columns a tree sees. A Spark tree has no leaf limit: minInstancesPerNode bounds the leaves
+# to rows / minInstancesPerNode, so ``leaves`` is turned into it when a candidate is fitted.
+SPACES = {
+    "uniform": {"stepSize": uniform(0.01, 0.3), "maxDepth": choice([3, 4, 5, 6]), "leaves": randint(8, 64),
+                "columns": uniform(0.4, 1.0)},
+    "log": {"stepSize": log_uniform(0.01, 0.3), "maxDepth": randint(3, 6), "leaves": choice([16, 32, 64]),
+            "columns": choice([0.5, 0.75, 1.0])},
+}
+
+
+def random_candidates(spark: SparkSession, n_iter: int, seed: int, space: dict | None = None) -> DataFrame:
+    """``candidate`` and one column per parameter of the space, drawn by Spark.
+
+    One partition keeps ``rand(seed)`` reproducible; every parameter has a seed of its own.
     """
-    lo, hi = math.log(step[0]), math.log(step[1])
+    space = space or SPACES["log"]
     base = spark.range(0, n_iter, numPartitions=1)
-    u1, u2, u3 = F.rand(seed), F.rand(seed + 1), F.rand(seed + 2)
-    return base.select(
-        F.col("id").alias("candidate"),
-        F.exp(F.lit(lo) + u1 * F.lit(hi - lo)).alias("stepSize"),
-        (F.lit(depth[0]) + F.floor(u2 * F.lit(depth[1] - depth[0] + 1))).cast("int").alias("maxDepth"),
-        F.element_at(F.array(*[F.lit(b) for b in bins]),
-                     (F.floor(u3 * F.lit(len(bins))) + 1).cast("int")).alias("maxBins"))
+    return base.select(F.col("id").alias("candidate"),
+                       *[draw(F.rand(seed + 7919 * i)).alias(name) for i, (name, draw) in enumerate(space.items())])
+
+
+def fit_params(candidate: dict, rows: int) -> dict:
+    """Learner parameters of a candidate for a training set of ``rows``."""
+    params = {k: v for k, v in candidate.items() if k not in ("candidate", "leaves", "columns") and v is not None}
+    if candidate.get("leaves"):
+        params["minInstancesPerNode"] = max(1, rows // int(candidate["leaves"]))
+    if candidate.get("columns"):
+        params["featureSubsetStrategy"] = str(min(1.0, float(candidate["columns"])))
+    return params
 
 
 def search(train: DataFrame, valid: DataFrame, candidates: list[dict], *, label: str, learner: str = "gbt",
-           rounds: int = 5, seed: int = 42) -> list[dict]:
+           rounds: int = 20, seed: int = 42) -> list[dict]:
     """Fit every candidate on ``train`` (assembled), score on ``valid``; rows sorted by rmse."""
-    rows = []
+    rows, n = [], train.count()
     for i, params in enumerate(candidates):
-        res = train_model(train, valid, label=label, learner=learner, rounds=rounds, seed=seed, params=params)
+        res = train_model(train, valid, label=label, learner=learner, rounds=rounds, seed=seed, params=fit_params(params, n))
         rows.append({"candidate": i, **params, "rmse": res.rmse, "r2": res.r2})
     rows.sort(key=lambda r: (r["rmse"], r["candidate"]))
     for rank, r in enumerate(rows, start=1):
@@ -65,12 +97,13 @@ def _fit_subset(train: DataFrame, valid: DataFrame, features: Sequence[str], *,
 
 
 def rfe(train: DataFrame, valid: DataFrame, features: Sequence[str], *, label: str, learner: str = "gbt",
-        rounds: int = 5, seed: int = 42, min_features: int = 1, step: int = 1, params: dict | None = None
+        rounds: int = 20, seed: int = 42, min_features: int = 1, step: int = 1, params: dict | None = None
         ) -> list[dict]:
     """drop the least important feature(s) per step down to ``min_features``.
 
-    Rows: (step, n_features, features, dropped, rmse). The best subset is the
-    row with the smallest rmse; ``ranking`` = elimination order (1 = kept last).
+    Rows: (step, n_features, features, dropped, rmse, best); ``best`` marks the
+    subset with the smallest rmse (the smaller one on ties). ``ranking`` orders
+    the features by elimination (``ranking_report``).
     """
     current = list(features)
     rows, step_no = [], 0
@@ -83,14 +116,14 @@ def rfe(train: DataFrame, valid: DataFrame, features: Sequence[str], *, label: s
         rows.append({"step": step_no, "n_features": len(current), "features": ",".join(current),
                      "dropped": ",".join(dropped) or None, "rmse": m["rmse"]})
         if not dropped:
-            return rows
+            return _mark_best(rows)
         current = [f for f in current if f not in dropped]
         step_no += 1
 
 
 def rfa(train: DataFrame, valid: DataFrame, features: Sequence[str], *, label: str, learner: str = "gbt",
-        rounds: int = 5, seed: int = 42, params: dict | None = None) -> list[dict]:
-    """add features in importance order (of a fit on all), one at a time."""
+        rounds: int = 20, seed: int = 42, params: dict | None = None) -> list[dict]:
+    """add features in importance order (of a fit on all), one at a time; ``best`` marks the best subset."""
     model, _ = _fit_subset(train, valid, features, label=label, learner=learner, rounds=rounds, seed=seed,
                            params=params or {})
     order = [f for f, _ in feature_importance(model, features)]
@@ -98,43 +131,68 @@ def rfa(train: DataFrame, valid: DataFrame, features: Sequence[str], *, label: s
     for k in range(1, len(order) + 1):
         _, m = _fit_subset(train, valid, order[:k], label=label, learner=learner, rounds=rounds, seed=seed,
                            params=params or {})
-        rows.append({"n_features": k, "added": order[k - 1], "rmse": m["rmse"]})
+        rows.append({"n_features": k, "added": order[k - 1], "features": ",".join(order[:k]), "rmse": m["rmse"]})
+    return _mark_best(rows)
+
+
+def _mark_best(rows: list[dict]) -> list[dict]:
+    best = min(rows, key=lambda r: (r["rmse"], r["n_features"]))
+    for r in rows:
+        r["best"] = r is best
     return rows
 
 
+def ranking_report(rows: list[dict]) -> list[dict]:
+    """feature, its rank by elimination (1 = kept last), whether the best subset has it, that subset's size and rmse."""
+    best = next(r for r in rows if r["best"])
+    order = [f for r in reversed(rows) for f in (r["dropped"] or r["features"]).split(",")]
+    kept = set(best["features"].split(","))
+    return [{"feature": f, "rank": i, "selected": f in kept, "n_features": best["n_features"], "best_rmse": best["rmse"]}
+            for i, f in enumerate(order, start=1)]
+
+
 def _binom_sf(k: int, n: int) -> float:
     """P(X >= k) for X ~ Binomial(n, 1/2)."""
     return sum(math.comb(n, i) for i in range(k, n + 1)) / 2 ** n
 
 
-def boruta(df: DataFrame, features: Sequence[str], *, label: str, key: str, max_iter: int = 5,
+def boruta(df: DataFrame, features: Sequence[str], *, label: str, key: str, max_iter: int = 20,
            seed: int = 42, alpha: float = 0.05, num_trees: int = 20, max_depth: int = 5) -> list[dict]:
     """shadow features (seeded permutations) vs real ones, random-forest importance.
 
     A feature scores a hit in an iteration when its importance beats the best
-    shadow (perc 100). After ``max_iter`` iterations a two-sided binomial test
-    at ``alpha`` (Bonferroni over features) confirms or rejects it.
+    shadow (perc 100). After each iteration a binomial test at ``alpha``
+    (Bonferroni over the features) confirms or rejects; rejected features leave
+    the fits, confirmed ones stay without being tested again, and the loop ends when
+    nothing is open. ``max_iter`` must be large enough to decide at all.
     """
-    hits = {f: 0 for f in features}
+    level = alpha / len(features)
+    if 0.5 ** max_iter >= level:
+        raise ValueError(f"{max_iter} iterations can't decide at a level of {level:g}: take {math.ceil(-math.log2(level)) + 1} or more")
+    hits, tried = {f: 0 for f in features}, {f: 0 for f in features}
+    decision = {f: "tentative" for f in features}
+    rows = materialize(df.select(key, label, *features), "boruta")
     for it in range(max_iter):
-        seeds = {f: seed + 1000 * it + j for j, f in enumerate(features)}
-        shadowed = permuted_columns(df, seeds, key=key, suffix="_shadow")
-        cols = list(features) + [f"{f}_shadow" for f in features]
-        data = assemble(shadowed, cols)
+        live = [f for f in features if decision[f] != "rejected"]
+        if not any(decision[f] == "tentative" for f in live):
+            break
+        seeds = {f: seed + 1000 * it + j for j, f in enumerate(features) if f in live}
+        shadowed = permuted_columns(rows, seeds, key=key, suffix="_shadow")
+        cols = live + [f"{f}_shadow" for f in live]
         rf = make_learner("rf", label=label, seed=seed + it, numTrees=num_trees, maxDepth=max_depth)
-        imp = dict(feature_importance(rf.fit(data), cols))
-        best_shadow = max(imp[f"{f}_shadow"] for f in features)
-        for f in features:
-            if imp[f] > best_shadow:
-                hits[f] += 1
-    level = alpha / len(features)
-    rows = []
-    for f in features:
-        k = hits[f]
-        p_hi, p_lo = _binom_sf(k, max_iter), _binom_sf(max_iter - k, max_iter)
-        decision = "confirmed" if p_hi < level else "rejected" if p_lo < level else "tentative"
-        rows.append({"feature": f, "hits": k, "p_confirm": p_hi, "decision": decision})
-    return rows
+        imp = dict(feature_importance(rf.fit(assemble(shadowed, cols)), cols))
+        best_shadow = max(imp[f"{f}_shadow"] for f in live)
+        for f in live:
+            if decision[f] != "tentative":
+                continue
+            tried[f] += 1
+            hits[f] += imp[f] > best_shadow
+            if _binom_sf(hits[f], tried[f]) < level:
+                decision[f] = "confirmed"
+            elif _binom_sf(tried[f] - hits[f], tried[f]) < level:
+                decision[f] = "rejected"
+    return [{"feature": f, "hits": hits[f], "tried": tried[f], "p_confirm": _binom_sf(hits[f], tried[f]), "decision": decision[f]}
+            for f in features]
 
 
 def leaderboard_fit(train: DataFrame, tuning: DataFrame, holdout: DataFrame, *, label: str,

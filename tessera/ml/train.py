@@ -5,8 +5,7 @@
 * Early stopping is NOT Spark's ``validationIndicatorCol`` rule (which has no
   patience): a GBT is fitted for ``rounds`` trees, its validation curve comes
   from ``evaluateEachIteration``, W4's patience rule picks the best iteration,
-  and the model is scored with its first k trees
-  (prediction = sum of treeWeight_i * tree_i).
+  and the model is cut to its first k trees, which score as one model.
 * Every fit and every score is a distributed Spark job; only metrics, curves
   (one value per round) and importances (one value per feature) reach the
   driver.
@@ -18,14 +17,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.evaluation import RegressionEvaluator  # noqa: F401  (documented equivalence)
+from pyspark import SparkContext
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression,
-                                   LinearRegression, RandomForestRegressor)
+from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressionModel, GBTRegressor,
+                                   GeneralizedLinearRegression, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.metrics import rmse_r2_aggs
+from tessera.operators.metrics import early_stopping_rounds, rmse_r2_aggs  # noqa: F401
 
 FEATURES_COL = "features"
 
@@ -35,17 +34,9 @@ LEARNERS = {
     "dt": DecisionTreeRegressor,
     "lr": LinearRegression,
     "glr": GeneralizedLinearRegression,
+    "fm": FMRegressor,
 }
-SEEDED = {"gbt", "rf", "dt"}
-
-
-def early_stopping_rounds(num_rounds: int) -> int:
-    """X8 on the driver (for a fit's parameters); the column form is in ``metrics``."""
-    if num_rounds > 1000:
-        return max(50, int(num_rounds * 0.05))
-    if num_rounds < 500:
-        return max(20, int(num_rounds * 0.1))
-    return max(100, int(num_rounds * 0.1))
+SEEDED = {"gbt", "rf", "dt", "fm"}
 
 
 def assemble(df: DataFrame, features: Sequence[str], *, out: str = FEATURES_COL) -> DataFrame:
@@ -87,20 +78,22 @@ def best_iteration(curve: Sequence[float], patience: int | None) -> tuple[int, i
     return best_i, stop
 
 
+def first_k_model(model, k: int):
+    """A GBT model of the first k trees: one model, one ``transform``, whatever k is."""
+    k = max(1, min(k, model.getNumTrees))
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    weights = gateway.new_array(gateway.jvm.double, k)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:k], model.treeWeights[:k])):
+        trees[i], weights[i] = tree, float(weight)
+    short = GBTRegressionModel(gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        f"{model.uid}_{k}", trees, weights, model.numFeatures))
+    return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def predict_first_k(model, df: DataFrame, k: int, out: str = "prediction") -> DataFrame:
-    """Score a GBT with its first k trees: sum of treeWeight_i * tree_i prediction."""
-    trees, weights = model.trees, model.treeWeights
-    k = max(1, min(k, len(trees)))
-    cur = df
-    cols = []
-    for i in range(k):
-        name = f"_tree{i}"
-        cur = trees[i].setPredictionCol(name).transform(cur)
-        cols.append(F.col(name) * F.lit(float(weights[i])))
-    total = cols[0]
-    for c in cols[1:]:
-        total = total + c
-    return cur.withColumn(out, total).drop(*[f"_tree{i}" for i in range(k)])
+    """Score a GBT with its first k trees."""
+    return first_k_model(model, k).setPredictionCol(out).transform(df)
 
 
 @dataclass
@@ -114,6 +107,7 @@ class FitResult:
     n_valid: int
     model: object = field(repr=False)
     curve: list[float] = field(default_factory=list, repr=False)
+    stop_iter: int | None = None
 
     def metrics_row(self) -> dict:
         best = None if self.best_iter is None else f"{self.best_iter}_of_{self.rounds}"
@@ -136,10 +130,10 @@ def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str
     model = est.fit(train)
     if learner == "gbt":
         curve = learning_curve(model, valid)
-        best, _ = best_iteration(curve, patience)
-        pred = predict_first_k(model, valid, best)
-        m = score(pred, label)
-        return FitResult(learner, seed, rounds, best, m["rmse"], m["r2"], m["n"], model, curve)
+        best, stop = best_iteration(curve, patience)
+        model = first_k_model(model, best)
+        m = score(model.transform(valid), label)
+        return FitResult(learner, seed, rounds, best, m["rmse"], m["r2"], m["n"], model, curve, stop)
     m = score(model.transform(valid), label)
     return FitResult(learner, seed, None, None, m["rmse"], m["r2"], m["n"], model)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import INTEGRAL_TYPES, NUMERIC_TYPES, require_columns
 from tessera.operators.clean import assign_nulls
 from tessera.operators.neighbour import neighbour_fill
+from tessera.session import join_null_safe, materialize, small_side
 
 
 def fill_statistics(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -82,13 +83,12 @@ def fill_per_tile(df: DataFrame, cols: Sequence[str], *, tile: str = "tile") ->
 
     Statistics are one aggregate grouped by tile (partial aggregation before
     the shuffle), joined back on the tile key; no window holds a whole tile.
-    The statistics have one row per tile, and 1 degree tiles number at most
-    360 x 180 = 64,800, so the broadcast is bounded; a hot tile therefore
-    never lands in one join task.
+    The statistics have one row per tile; they are broadcast if their counted
+    rows allow it, so a hot tile doesn't land in one join task.
     """
     require_columns(df, [tile, *cols])
     stats = df.groupBy(tile).agg(*[F.avg(F.col(c)).alias("_fill_" + c) for c in cols])
-    joined = df.join(F.broadcast(stats), on=tile, how="left")
+    joined = join_null_safe(df, small_side(stats, "tile_means"), [tile], "left")
     return joined.select(*_filled(df, cols))
 
 
@@ -105,6 +105,8 @@ def preprocess_chain(df: DataFrame, *, lval: float, hval: float, fill_groups: Se
         for cols in fill_groups:
             out = neighbour_fill(out, list(cols), key=key, tile=tile, block=block)
     if final == "fill":
+        # written once: the fill statistics and the filled rows both read the neighbour fill
+        out = materialize(out, "neighbour_filled")
         return fill_nulls(out, exclude=[key, tile, *exclude])
     if final.startswith("drop:"):
         col = final.split(":", 1)[1]

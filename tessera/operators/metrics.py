@@ -28,12 +28,20 @@ def score(df: DataFrame, label: str, pred: str, by: Sequence[str] = ()) -> DataF
     return df.groupBy(*by).agg(*rmse_r2_aggs(label, pred))
 
 
-def early_stopping_rounds(rounds: Column) -> Column:
-    """N > 1000 -> max(50, int(.05n)); n < 500 -> max(20, int(.1n)); else max(100, int(.1n))."""
-    n = rounds.cast("long")
-    return (F.when(n > 1000, F.greatest(F.lit(50), F.floor(n * F.lit(0.05))))
-            .when(n < 500, F.greatest(F.lit(20), F.floor(n * F.lit(0.1))))
-            .otherwise(F.greatest(F.lit(100), F.floor(n * F.lit(0.1))))).cast("long")
+# Fixed values of X8, by number of rounds: (applies from, least patience, share of the rounds).
+PATIENCE_RULES = [(0, 20, 0.1), (500, 100, 0.1), (1001, 50, 0.05)]
+
+
+def early_stopping_rounds(rounds: Column | int) -> Column | int:
+    """Patience for a number of boosting rounds; a column gives a column, a number a number."""
+    if isinstance(rounds, Column):
+        n = rounds.cast("long")
+        out = F.lit(None).cast("long")
+        for start, least, share in PATIENCE_RULES:
+            out = F.when(n >= start, F.greatest(F.lit(least), F.floor(n * F.lit(share))).cast("long")).otherwise(out)
+        return out
+    _, least, share = [r for r in PATIENCE_RULES if rounds >= r[0]][-1]
+    return max(least, int(rounds * share))
 
 
 def patience_stop(curve: DataFrame, patience: int | Column, *, run: Sequence[str] = ("run",),
@@ -79,6 +87,11 @@ def last_model_wins(df: DataFrame, *, key: Sequence[str], pred: str = "pred", po
     return df.groupBy(*key).agg(F.max_by(F.col(pred), F.col(pos)).alias(out))
 
 
+def last_model_wide(df: DataFrame, pred_cols: Sequence[str], out: str = "ml_zdif") -> DataFrame:
+    """R3 with the models' predictions as columns, in the order they are applied: the last value counts."""
+    return df.withColumn(out, F.coalesce(*[F.col(c) for c in reversed(pred_cols)]))
+
+
 def leaderboard(scores: DataFrame, *, metric: str = "rmse", model: str = "model") -> DataFrame:
     """Rank models by validation score (ties by name).
 

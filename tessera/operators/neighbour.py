@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import INTEGRAL_TYPES
+from tessera.session import join_null_safe
 
 
 def _result(df: DataFrame, name: str):
@@ -89,7 +90,7 @@ def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, block: in
         *[F.last(F.col("_last_" + c), ignorenulls=True).over(wb_before).alias("_in_" + c) for c in cols],
         *[F.lead(F.col("_first_" + c), 1).over(wb).alias("_nx_" + c) for c in cols])
 
-    joined = blocked.join(carry, on=[tile, "_blk"], how="left")
+    joined = join_null_safe(blocked, carry, [tile, "_blk"], "left")
     w = Window.partitionBy(tile, "_blk").orderBy(key)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     helpers = [F.lead(F.col(key), 1).over(w).isNull().alias("_is_last")]

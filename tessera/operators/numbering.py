@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import seeded_hash
-from tessera.session import materialize
+from tessera.session import join_null_safe, materialize, small_side
 
 # Hex digits of the md5 per histogram level: level 1 has 4,096 buckets (small
 # enough that map-side partial aggregation shrinks the data), level 2 another
@@ -31,25 +31,54 @@ _DIGITS1, _DIGITS2 = 3, 4
 DIRECT_RANK_LIMIT = 1_000_000  # rows of one boundary bucket ranked in one task
 
 
+def key_columns(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def key_struct(key: str | Sequence[str]) -> Column:
+    """The whole key as one comparable value; nulls order first and compare."""
+    return F.struct(*[F.col(k) for k in key_columns(key)])
+
+
 def index_within(df: DataFrame, *, order_key: str, group: Sequence[str] = (),
                  block: int = 1 << 20, out: str = "idx", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """0-based position of each row inside ``group`` ordered by ``order_key``.
+    """0-based position of each row inside ``group`` ordered by ``order_key`` (nulls first).
 
     ``order_key`` must be an integral column, unique inside a group together
-    with ``tiebreak``.
+    with ``tiebreak``, and dense: blocks are ranges of its value. For sparse or
+    composite keys use ``index_ordered``.
     """
     group = list(group)
     blk = F.floor(F.col(order_key) / F.lit(block)).cast("long")
-    with_blk = df.withColumn("_blk", blk)
-    counts = with_blk.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
+    return _numbered(df.withColumn("_blk", blk), group, [order_key, *tiebreak], out)
+
+
+def index_ordered(df: DataFrame, *, order_keys: Sequence[str], group: Sequence[str] = (),
+                  rows_per_block: int = 1 << 20, out: str = "idx") -> DataFrame:
+    """``index_within`` for any keys: blocks are range partitions of about equal row counts.
+
+    The range-partitioned rows are written once, so a restarted task sees the
+    same blocks; offsets run over rows / ``rows_per_block`` blocks.
+    """
+    group = list(group)
+    blocks = max(1, -(-df.count() // rows_per_block))
+    ranged = materialize(df.repartitionByRange(blocks, *group, *order_keys)
+                         .withColumn("_blk", F.spark_partition_id()), "ranged")
+    return _numbered(ranged, group, list(order_keys), out)
+
+
+def _numbered(blocked: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
+    """Rows of each ``(group, _blk)`` numbered behind the counts of the blocks before."""
+    counts = blocked.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
     w_blocks = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))) \
         .orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group, "_blk",
                             F.coalesce(F.sum("_bn").over(w_blocks), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*group, "_blk").orderBy(order_key, *tiebreak)
-    return (with_blk.join(offsets, on=[*group, "_blk"], how="inner")
-            .withColumn(out, (F.col("_off") + F.row_number().over(w_in) - 1).cast("long"))
-            .drop("_blk", "_off"))
+    w_in = Window.partitionBy(*group, "_blk").orderBy(*order)
+    numbered = blocked.withColumn("_rn", F.row_number().over(w_in))
+    return (join_null_safe(numbered, offsets, [*group, "_blk"])
+            .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long"))
+            .drop("_blk", "_off", "_rn"))
 
 
 def _boundary(hist: DataFrame, group: list[str], bucket: str, need: str) -> DataFrame:
@@ -63,10 +92,12 @@ def _boundary(hist: DataFrame, group: list[str], bucket: str, need: str) -> Data
                       F.col("_c").alias(bucket + "_size"))
 
 
-def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
+def first_k_thresholds(df: DataFrame, *, key: str | Sequence[str], seed: int, group: Sequence[str] = (),
                        needs: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """One row per group and cut: ``(group..., _cut, _n, _k, _th, _tkey)``.
 
+    ``key`` is a column or a list of columns that names a row; if rows that share
+    it straddle a cut, the query raises instead of returning too many rows.
     For each cut, rows of the group ordered by ``(md5(key:seed), key)`` whose
     position is < ``_k`` are exactly those with ``(hash, key) <= (_th, _tkey)``.
     ``needs`` maps a cut name to a function of the group size column giving k.
@@ -76,7 +107,7 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     group = list(group)
     gc = [*group, "_cut"]
     h = seeded_hash(key, seed)
-    hashed = df.select(*group, F.col(key).alias("_key"), h.alias("_h"))
+    hashed = df.select(*group, key_struct(key).alias("_key"), h.alias("_h"))
     hashed = hashed.withColumn("_b1", F.substring(F.col("_h"), 1, _DIGITS1))
 
     # job 1: prefix histogram (at most 4,096 rows per group), written once
@@ -85,34 +116,36 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
     cut_list = F.array(*[F.struct(F.lit(name).alias("_cut"), need(F.col("_n")).cast("long").alias("_k"))
                          for name, need in needs.items()])
     cuts = totals.select(*group, "_n", F.explode(cut_list).alias("_ck")).select(*group, "_n", "_ck._cut", "_ck._k")
-    sized = hist1.join(cuts, on=group, how="inner") if group else hist1.crossJoin(cuts)
+    sized = join_null_safe(hist1, cuts, group)
     partial = sized.where((F.col("_k") > 0) & (F.col("_k") < F.col("_n")))
-    b1 = _boundary(partial.withColumnRenamed("_k", "_need"), gc, "_b1", "_need")  # small, from hist1 only
+    # from hist1 only: one row per group and cut, broadcast if that is few
+    b1 = small_side(_boundary(partial.withColumnRenamed("_k", "_need"), gc, "_b1", "_need"), "b1")
 
     # A boundary bucket holds about n / 4,096 rows of its group. When the
     # largest one is small it is ranked directly; otherwise a second 16-bit
     # histogram narrows it to about n / 2^28 rows first (~3,700 rows at 10^12).
     # Either way no task ranks more than ``DIRECT_RANK_LIMIT`` rows of one group.
     largest = b1.agg(F.max("_b1_size")).collect()[0][0] or 0
-    join_b1 = (hashed.join(F.broadcast(b1), on=group, how="inner") if group
-               else hashed.crossJoin(F.broadcast(b1)))
+    join_b1 = join_null_safe(hashed, b1, group)
     edge1 = join_b1.where(F.col("_b1") == F.col("_b1_at"))
     if largest <= DIRECT_RANK_LIMIT:
         edge, need_col = edge1, "_need_at"
     else:
         edge1 = edge1.withColumn("_b2", F.substring(F.col("_h"), 1 + _DIGITS1, _DIGITS2))
         hist2 = edge1.groupBy(*gc, "_b2", "_need_at").agg(F.count(F.lit(1)).alias("_c"))
-        b2 = materialize(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
-        edge = edge1.join(F.broadcast(b2), on=gc, how="inner").where(F.col("_b2") == F.col("_b2_at"))
+        b2 = small_side(_boundary(hist2, gc, "_b2", "_need_at"), "b2")
+        edge = join_null_safe(edge1, b2.drop("_b2_size"), gc).where(F.col("_b2") == F.col("_b2_at"))
         need_col = "_need_at_at"
 
     # rank the few rows of the final bucket; one threshold row per group and cut
     w_edge = Window.partitionBy(*gc).orderBy("_h", "_key")
-    th = (edge.withColumn("_r", F.row_number().over(w_edge))
+    again = F.lead("_key").over(w_edge).eqNullSafe(F.col("_key"))
+    th = (edge.withColumn("_r", F.row_number().over(w_edge)).withColumn("_again", again)
           .where(F.col("_r") == F.col(need_col))
-          .select(*gc, F.col("_h").alias("_th"), F.col("_key").alias("_tkey")))
+          .select(*gc, F.when(F.col("_again"), F.raise_error(F.lit("the key does not name a row: rows that share it straddle a cut")))
+                  .otherwise(F.col("_h")).alias("_th"), F.col("_key").alias("_tkey")))
 
-    out = cuts.join(th, on=gc, how="left")
+    out = join_null_safe(cuts, th, gc, "left")
     return out.select(
         *gc, "_n", "_k",
         F.when(F.col("_k") >= F.col("_n"), F.lit("g")).when(F.col("_k") <= 0, F.lit(None))
@@ -120,7 +153,7 @@ def first_k_thresholds(df: DataFrame, *, key: str, seed: int, group: Sequence[st
         F.when(F.col("_k") >= F.col("_n"), F.lit(None)).otherwise(F.col("_tkey")).alias("_tkey"))
 
 
-def first_k_threshold(df: DataFrame, *, key: str, seed: int, group: Sequence[str] = (),
+def first_k_threshold(df: DataFrame, *, key: str | Sequence[str], seed: int, group: Sequence[str] = (),
                       need: Callable[[Column], Column]) -> DataFrame:
     """Single-cut form of ``first_k_thresholds``: ``(group..., _n, _k, _th, _tkey)``."""
     return first_k_thresholds(df, key=key, seed=seed, group=group, needs={"k": need}).drop("_cut")

@@ -10,29 +10,39 @@ count for every distinct value into a single task. Instead:
 1. one pass: ``count`` and a ``percentile_approx`` bracket ``[q(p - d), q(p + d)]``
    around every wanted probability (redone at higher accuracy only for very
    large tables);
-2. one job: only the rows inside the brackets (about ``2 d n`` per probability)
-   are ranked, the two order statistics each probability needs are picked, and
-   counts below / up to each bracket prove that they lie inside it (otherwise
-   the bracket is widened and the job repeated); the interpolation is done on
-   the picked values.
+2. one pass: every row is tagged with the brackets it lies in and with its zone
+   (below, in or above each bracket), and ``(tag, value)`` is counted: equal
+   values are one row, so a value that fills most of the column costs no task
+   more than any other. The zone counts prove that the order statistics lie in
+   their brackets (otherwise a bracket is widened and the pass repeated); the
+   running count over the distinct values of a bracket picks them.
+
+NaN is a missing value like null: neither takes part.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import require_columns
+from tessera.session import materialize
 
 METHODS = ("zscore", "iqr", "percentile")
 
 
-BRACKET_ROWS = 100_000  # target rows per bracket (ranked in one task)
+BRACKET_ROWS = 100_000  # target rows per bracket (their distinct values are ranked in one task)
 MIN_ACCURACY, MAX_ACCURACY = 10_000, 1_000_000
 
 
+def _present(col: str) -> Column:
+    """The value as double; NaN is null."""
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _brackets(x: DataFrame, probs: list[float], margin: float, accuracy: int):
     """One pass: row count and sketch quantiles at ``p - margin`` and ``p + margin``."""
     lo_p = [max(0.0, p - margin) for p in probs]
@@ -46,34 +56,32 @@ def _brackets(x: DataFrame, probs: list[float], margin: float, accuracy: int):
 
 
 def _pick(x: DataFrame, lo: list[float], hi: list[float], need: list[tuple[int, int]]):
-    """One job: the wanted order statistics inside the brackets, with the proof counts.
+    """One pass: ``(picked, below, upto)`` of the wanted order statistics.
 
-    Rows inside bracket ``i`` are ranked in their own (small) window partition and
-    the ranks ``need - below`` are kept; ``below``/``upto`` (rows under ``lo`` and up
-    to ``hi``) ride along on every picked row. Returns ``(picked, below, upto)``, or
-    ``None`` when no row was picked (the brackets missed).
+    ``below``/``upto`` count the rows under ``lo`` and up to ``hi`` of each bracket;
+    ``picked`` maps (bracket, rank) to a value, for ranks inside the brackets.
     """
     k = len(lo)
-    counts = x.agg(*[F.count(F.when(F.col("_x") < F.lit(lo[i]), 1)).alias(f"_b{i}") for i in range(k)],
-                   *[F.count(F.when(F.col("_x") <= F.lit(hi[i]), 1)).alias(f"_u{i}") for i in range(k)])
-    parts = None
-    for i in range(k):
-        part = x.where((F.col("_x") >= F.lit(lo[i])) & (F.col("_x") <= F.lit(hi[i]))) \
-            .select(F.lit(i).alias("_p"), "_x")
-        parts = part if parts is None else parts.unionByName(part)
-    # about 2 * margin * n rows per probability: one small window partition each
-    ranked = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_x")) - 1)
-    wanted = None
+    v = F.col("_x")
+    zone = F.lit(0)
     for i in range(k):
-        cond = (F.col("_p") == i) & F.col("_r").isin(F.lit(need[i][0]) - F.col(f"_b{i}"),
-                                                     F.lit(need[i][1]) - F.col(f"_b{i}"))
-        wanted = cond if wanted is None else wanted | cond
-    rows = ranked.crossJoin(F.broadcast(counts)).where(wanted).collect()  # counts: one row
-    if not rows:
-        return None
-    below = [rows[0][f"_b{i}"] for i in range(k)]
-    upto = [rows[0][f"_u{i}"] for i in range(k)]
-    return {(r["_p"], r["_r"]): r["_x"] for r in rows}, below, upto
+        zone = zone + F.when(v < F.lit(lo[i]), 1 << (2 * i)).otherwise(0) + F.when(v <= F.lit(hi[i]), 2 << (2 * i)).otherwise(0)
+    tags = [F.struct(F.lit(-1).alias("_p"), zone.cast("double").alias("_v"))]
+    tags += [F.when((v >= F.lit(lo[i])) & (v <= F.lit(hi[i])), F.struct(F.lit(i).alias("_p"), v.alias("_v"))) for i in range(k)]
+    tagged = x.select(F.explode(F.array_compact(F.array(*tags))).alias("_t")).select("_t._p", "_t._v")
+    counts = materialize(tagged.groupBy("_p", "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile_counts")
+    # at most 2k + 1 zones occur
+    zones = [(int(r["_v"]), r["_c"]) for r in counts.where("_p = -1").collect()]
+    below = [sum(c for z, c in zones if z & (1 << (2 * i))) for i in range(k)]
+    upto = [sum(c for z, c in zones if z & (2 << (2 * i))) for i in range(k)]
+    # distinct values of a bracket, about 2 * margin * n of them at most
+    running = F.sum("_c").over(Window.partitionBy("_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.where("_p >= 0").withColumn("_end", running).withColumn("_start", F.col("_end") - F.col("_c"))
+    ranks = [(i, r, r - below[i]) for i in range(k) for r in sorted(set(need[i]))]
+    wanted = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(r).cast("long").alias("r"), F.lit(d).cast("long").alias("d")) for i, r, d in ranks])
+    hits = ranked.select("_v", F.explode(F.filter(wanted, lambda w: (w["p"] == F.col("_p")) & (w["d"] >= F.col("_start"))
+                                                  & (w["d"] < F.col("_end")))).alias("w")).collect()
+    return {(h["w"]["p"], h["w"]["r"]): h["_v"] for h in hits}, below, upto
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
@@ -87,7 +95,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
     it returns asks for more (over ~250M rows), so smaller tables take two
     passes in all: sketch, then pick-and-prove.
     """
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    x = df.select(_present(col).alias("_x")).where(F.col("_x").isNotNull())
     acc = accuracy or MIN_ACCURACY
     n, lo, hi = _brackets(x, probs, 2.0 / acc, acc)
     if n == 0:
@@ -102,17 +110,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
     pos = [p * (n - 1) for p in probs]
     need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
     while True:
-        got = _pick(x, lo, hi, need)
-        if got is not None:
-            picked, below, upto = got
-            if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
-                break
+        picked, below, upto = _pick(x, lo, hi, need)
+        if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
+            break
         margin *= 16  # bracket missed (never expected from the sketch guarantee): widen
         _, lo, hi = _brackets(x, probs, margin, acc)
     out = []
     for i in range(len(probs)):
-        a = picked[(i, need[i][0] - below[i])]
-        b = picked[(i, need[i][1] - below[i])]
+        a, b = picked[(i, need[i][0])], picked[(i, need[i][1])]
         d = pos[i] - need[i][0]
         out.append(a if (d == 0 or a == b) else a * (1.0 - d) + b * d)
     return out
@@ -121,7 +126,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
 def _percentile(df: DataFrame, col: str, probs: list[float], exact: bool) -> list[float | None]:
     if exact:
         return exact_quantiles(df, col, probs)
-    row = df.agg(F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), 10000).alias("q")).collect()
+    row = df.agg(F.percentile_approx(_present(col), F.array(*[F.lit(p) for p in probs]), 10000).alias("q")).collect()
     return list(row[0]["q"]) if row[0]["q"] is not None else [None for _ in probs]
 
 
@@ -130,7 +135,7 @@ def outlier_bounds(df: DataFrame, tcol: str, approach: str = "zscore", threshold
                    exact: bool = True) -> DataFrame:
     """One row ``(_lo, _hi)`` of inclusive bounds for ``tcol``."""
     require_columns(df, [tcol])
-    x = F.col(tcol).cast("double")
+    x = _present(tcol)
     if approach == "zscore":
         stats = df.agg(F.avg(x).alias("_mu"), F.stddev_pop(x).alias("_sd"))
         # |x - mu| / sd <= t  <=>  mu - t*sd <= x <= mu + t*sd  (sd > 0); sd = 0 keeps nothing
@@ -147,14 +152,14 @@ def outlier_bounds(df: DataFrame, tcol: str, approach: str = "zscore", threshold
     if approach == "percentile":
         lo, hi = _percentile(df, tcol, [lower_percentile, upper_percentile], exact)
         return spark.createDataFrame([(lo, hi)], "_lo double, _hi double")
-    raise ValueError(f"Unknown approach '{approach}'. Use 'zscore', 'iqr', or 'percentile'.")
+    raise ValueError(f"approach is one of {', '.join(METHODS)}, not {approach!r}")
 
 
 def remove_outlier(df: DataFrame, tcol: str, approach: str = "zscore", threshold: float = 3,
                    lower_percentile: float = 0.05, upper_percentile: float = 0.95,
                    exact: bool = True) -> DataFrame:
     bounds = outlier_bounds(df, tcol, approach, threshold, lower_percentile, upper_percentile, exact)
-    x = F.col(tcol).cast("double")
+    x = _present(tcol)
     joined = df.crossJoin(F.broadcast(bounds))
     if approach == "zscore":
         # the z-score itself, as the reference compares it (try_divide: sd = 0 -> null -> dropped)

@@ -2,113 +2,71 @@
 
 Every sample and split is keyed: rows are ordered by ``md5(key:seed)`` then key,
 so results do not depend on partitioning and equal DuckDB's
-``md5(key::varchar || ':seed')`` order. No operator here sorts a whole tile or
-the whole table in one task:
-
-* small k (<= ``WINDOW_LIMIT``) per group: ``row_number() <= k``; Spark plans a
-  ``WindowGroupLimit`` that keeps only k rows per group before the shuffle;
-* small k globally: ``orderBy(...).limit(k)`` (TakeOrderedAndProject);
-* anything larger: a per-group hash threshold from two prefix histograms, then a
-  plain filter (see ``numbering.first_k_threshold``).
-
-The first two keep k rows per group *per input partition*, and one task merges
-them: a group spread over P partitions sends up to ``min(k * P, group size)``
-rows to one task. Under ``method="auto"`` one cheap count job (group sizes,
-combined map-side) therefore admits them only when the largest group is at most
-``TOPK_TASK_ROWS`` rows; a hot tile holding a third of a 100 TB table takes the
-threshold path, which never ranks more than one hash bucket in a task.
+``md5(key::varchar || ':seed')`` order. ``key`` is a column or a list of columns
+(``["tile", "pixel_idx"]``) that names a row. There is one way for every size: a
+per-group hash threshold from prefix histograms, then a plain filter (see
+``numbering.first_k_thresholds``). No operator sorts a whole tile or the whole
+table in one task, and no size changes the rows that come out. Null groups are
+groups, null keys are keys; rows that share a key raise where a cut would have
+to choose among them.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import require_columns, seeded_hash
 from tessera.operators.clean import ENCODE_RANGE, clean_filter
 from tessera.operators.impute import fill_nulls
-from tessera.operators.numbering import (first_k_threshold, first_k_thresholds, index_within,
-                                         thresholds_wide, within_first_k)
+from tessera.operators.numbering import (first_k_threshold, first_k_thresholds, index_ordered, index_within,
+                                         key_columns, key_struct, thresholds_wide, within_first_k)
+from tessera.session import join_null_safe, materialize, small_side
 
-WINDOW_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold default
-GLOBAL_TAKE_LIMIT = 10000
-TOPK_TASK_ROWS = 1 << 22  # largest group a per-partition top-k may merge in one task
+Key = str | Sequence[str]
 
 
-def _largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group (one aggregate job; the whole frame if no group)."""
-    sizes = df.groupBy(*group).count() if group else df.select(F.count(F.lit(1)).alias("count"))
-    return sizes.agg(F.max("count")).collect()[0][0] or 0
-
-
-def _threshold_filter(df: DataFrame, th: DataFrame, *, key: str, seed: int,
-                      group: Sequence[str]) -> Column | DataFrame:
-    group = list(group)
-    joined = df.join(F.broadcast(th), on=group, how="inner") if group else df.crossJoin(F.broadcast(th))
-    return joined.withColumn("_first", within_first_k(seeded_hash(key, seed), F.col(key),
+def _within(df: DataFrame, th: DataFrame, *, key: Key, seed: int, group: Sequence[str]) -> DataFrame:
+    """``df`` with ``_first``: whether the row lies within its group's threshold."""
+    joined = join_null_safe(df, small_side(th, "thresholds"), group)
+    return joined.withColumn("_first", within_first_k(seeded_hash(key_columns(key), seed), key_struct(key),
                                                       F.col("_th"), F.col("_tkey")))
 
 
-def sample_per_group(df: DataFrame, n: int, *, key: str, seed: int = 43,
-                     group: Sequence[str] = ("tile",), method: str = "auto") -> DataFrame:
+def sample_per_group(df: DataFrame, n: int, *, key: Key, seed: int = 43, group: Sequence[str] = ("tile",)) -> DataFrame:
     """Exactly ``min(n, size)`` rows of each group, chosen by seeded hash."""
-    require_columns(df, [key, *group])
     group = list(group)
-    if method == "auto":
-        method = "window" if n <= WINDOW_LIMIT and _largest_group(df, group) <= TOPK_TASK_ROWS else "threshold"
-    if method == "window":
-        w = Window.partitionBy(*group).orderBy(seeded_hash(key, seed), F.col(key))
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    require_columns(df, [*key_columns(key), *group])
     th = first_k_threshold(df, key=key, seed=seed, group=group, need=lambda _n: F.lit(n))
-    th = th.select(*group, "_th", "_tkey")
-    return _threshold_filter(df, th, key=key, seed=seed, group=group).where("_first") \
+    return _within(df, th.select(*group, "_th", "_tkey"), key=key, seed=seed, group=group).where("_first") \
         .drop("_first", "_th", "_tkey")
 
 
-def sample_n(df: DataFrame, n: int, *, key: str, seed: int = 43, method: str = "auto") -> DataFrame:
+def sample_n(df: DataFrame, n: int, *, key: Key, seed: int = 43) -> DataFrame:
     """A fixed-size sample of the whole frame (reproducible)."""
-    require_columns(df, [key])
-    if method == "auto":
-        method = "take" if n <= GLOBAL_TAKE_LIMIT and _largest_group(df, ()) <= TOPK_TASK_ROWS else "threshold"
-    if method == "take":
-        return df.orderBy(seeded_hash(key, seed), F.col(key)).limit(n)
-    th = first_k_threshold(df, key=key, seed=seed, need=lambda _n: F.lit(n)).select("_th", "_tkey")
-    return _threshold_filter(df, th, key=key, seed=seed, group=()).where("_first") \
-        .drop("_first", "_th", "_tkey")
+    return sample_per_group(df, n, key=key, seed=seed, group=())
 
 
-def nested_samples(df: DataFrame, sizes: Sequence[int], *, key: str, seed: int = 43,
-                   group: Sequence[str] = ("tile",), out: str = "n_per_group",
-                   method: str = "auto") -> DataFrame:
+def nested_samples(df: DataFrame, sizes: Sequence[int], *, key: Key, seed: int = 43,
+                   group: Sequence[str] = ("tile",), out: str = "n_per_group") -> DataFrame:
     """For every N in ``sizes``, the W2 sample of N rows per group, stacked.
 
     The samples are nested (the N-sample is a prefix of every larger one, same
-    hash order), so one ranking serves all sizes: each row appears once per N
+    hash order), so one labelling serves all sizes: each row appears once per N
     whose sample holds it, tagged ``out`` = N.
     """
-    require_columns(df, [key, *group])
     group, sizes = list(group), sorted(set(int(n) for n in sizes))
-    if method == "auto":
-        method = ("window" if sizes[-1] <= WINDOW_LIMIT and _largest_group(df, group) <= TOPK_TASK_ROWS
-                  else "threshold")
-    if method == "window":
-        w = Window.partitionBy(*group).orderBy(seeded_hash(key, seed), F.col(key))
-        ranked = df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sizes[-1])
-        first = F.array(*[F.lit(n) for n in sizes])
-        return (ranked.withColumn(out, F.explode(first)).where(F.col("_rk") <= F.col(out))
-                .drop("_rk"))
-    # threshold path: label each row with the smallest sample holding it
     cuts = [(str(n), (lambda k: lambda _n: F.lit(k))(n)) for n in sizes]
+    # label each row with the smallest sample holding it
     labelled = label_by_rank(df, cuts, key=key, seed=seed, rest="", part="_in", group=group) \
         .where(F.col("_in") != "")
     holds = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n >= F.col("_in").cast("int"))
     return labelled.withColumn(out, F.explode(holds)).drop("_in")
 
 
-def label_by_rank(df: DataFrame, cuts: Sequence[tuple[str, Callable[[Column], Column]]], *, key: str,
+def label_by_rank(df: DataFrame, cuts: Sequence[tuple[str, Callable[[Column], Column]]], *, key: Key,
                   seed: int = 43, rest: str = "train", part: str = "part",
                   group: Sequence[str] = ()) -> DataFrame:
     """Label rows by their position in seeded-hash order (within ``group``).
@@ -116,19 +74,18 @@ def label_by_rank(df: DataFrame, cuts: Sequence[tuple[str, Callable[[Column], Co
     ``cuts`` is an increasing list of ``(label, k(n))``: rows at positions < k of
     the first cut get its label, the next cut labels the following rows, and so
     on; the remaining rows are ``rest``. One threshold computation for all cuts,
-    then a map-only labelling behind a broadcast of one row per group.
+    then a map-only labelling behind one row per group.
     """
-    require_columns(df, [key, *group])
+    require_columns(df, [*key_columns(key), *group])
     group = list(group)
     names = [f"c{i}" for i in range(len(cuts))]
     th = first_k_thresholds(df, key=key, seed=seed, group=group,
                             needs={n: fn for n, (_, fn) in zip(names, cuts)})
-    wide = thresholds_wide(th, names, group)
-    joined = df.join(F.broadcast(wide), on=group, how="inner") if group else df.crossJoin(F.broadcast(wide))
-    h = seeded_hash(key, seed)
+    joined = join_null_safe(df, small_side(thresholds_wide(th, names, group), "thresholds"), group)
+    h = seeded_hash(key_columns(key), seed)
     label = F.lit(rest)
     for n, (lab, _) in reversed(list(zip(names, cuts))):
-        label = F.when(within_first_k(h, F.col(key), F.col(f"_th_{n}"), F.col(f"_tkey_{n}")), F.lit(lab)) \
+        label = F.when(within_first_k(h, key_struct(key), F.col(f"_th_{n}"), F.col(f"_tkey_{n}")), F.lit(lab)) \
             .otherwise(label)
     return joined.withColumn(part, label).drop(*[f"_th_{n}" for n in names], *[f"_tkey_{n}" for n in names])
 
@@ -138,7 +95,7 @@ def _share_count(share: float):
     return lambda n: F.ceil(n.cast("double") * F.lit(float(share)))
 
 
-def split_by_share(df: DataFrame, share: float, *, key: str, seed: int = 43,
+def split_by_share(df: DataFrame, share: float, *, key: Key, seed: int = 43,
                    part: str = "part", first: str = "valid", rest: str = "train",
                    group: Sequence[str] = ()) -> DataFrame:
     """The first ``ceil(share * n)`` rows in hash order are ``first``, the rest ``rest``.
@@ -149,7 +106,7 @@ def split_by_share(df: DataFrame, share: float, *, key: str, seed: int = 43,
                          group=group)
 
 
-def split_three_way(df: DataFrame, *, key: str, seed: int = 43, holdout_share: float = 0.3,
+def split_three_way(df: DataFrame, *, key: Key, seed: int = 43, holdout_share: float = 0.3,
                     test_share: float = 0.5, part: str = "part") -> DataFrame:
     """70/15/15. ``ceil(.3n)`` rows are held out; the first ``ceil(.5m)`` of them
     (same hash order) are test, the others valid; the rest is train.
@@ -174,11 +131,17 @@ def split_files(df: DataFrame, *, file_col: str, seed: int = 42, test_share: flo
                          part=part)
 
 
-def chunk_ids(df: DataFrame, size: int, *, order_key: str, chunk: str = "chunk",
+def chunk_ids(df: DataFrame, size: int, *, order_key: Key, chunk: str = "chunk",
               block: int = 1 << 20) -> DataFrame:
-    """chunk = position div size in ``order_key`` order, numbered without a global sort."""
-    return (index_within(df, order_key=order_key, block=block, out="_pos")
-            .withColumn(chunk, F.floor(F.col("_pos") / F.lit(size)).cast("long")).drop("_pos"))
+    """chunk = position div size in ``order_key`` order, numbered without a global sort.
+
+    One dense integral column is numbered in ranges of its value; a list of
+    columns (``["tile", "pixel_idx"]``: chunks run through the tiles) in range
+    partitions of equal size.
+    """
+    numbered = (index_within(df, order_key=order_key, block=block, out="_pos") if isinstance(order_key, str)
+                else index_ordered(df, order_keys=list(order_key), rows_per_block=block, out="_pos"))
+    return numbered.withColumn(chunk, F.floor(F.col("_pos") / F.lit(size)).cast("long")).drop("_pos")
 
 
 def clean_tiles(df: DataFrame, *, tcol: str, rcol: str, lval: float = ENCODE_RANGE[0],
@@ -188,13 +151,14 @@ def clean_tiles(df: DataFrame, *, tcol: str, rcol: str, lval: float = ENCODE_RAN
     return fill_nulls(cleaned, exclude=exclude)
 
 
-def clean_sample_tiles(df: DataFrame, n: int, *, tcol: str, rcol: str, key: str,
+def clean_sample_tiles(df: DataFrame, n: int, *, tcol: str, rcol: str, key: Key,
                        tile: str = "tile", seed: int = 43, lval: float = ENCODE_RANGE[0],
                        hval: float = ENCODE_RANGE[1], exclude: Sequence[str] = ()) -> DataFrame:
     """Clean each tile, keep n rows per tile (all if fewer), impute over the union."""
     cleaned = clean_filter(df, [tcol, rcol], lval, hval)
-    sampled = sample_per_group(cleaned, n, key=key, seed=seed, group=[tile])
-    return fill_nulls(sampled, exclude=[key, tile, *exclude])
+    # written once: the statistics and the filled rows both read it
+    sampled = materialize(sample_per_group(cleaned, n, key=key, seed=seed, group=[tile]), "sampled")
+    return fill_nulls(sampled, exclude=[*key_columns(key), tile, *exclude])
 
 
 # Fixed values of the reference: target sample sizes and default multipliers
@@ -207,12 +171,6 @@ RESOLUTION_PLAN = {
 CUSTOM_TARGET = 9000 * 9000
 
 
-def estimate_nsamples(target: int, num_tiles: int, multipliers: Sequence[float]) -> list[int]:
-    """X6 for driver-side use: per-tile samples = target // tiles, then int(per_tile * m)."""
-    per_tile = target // num_tiles
-    return [int(per_tile * m) for m in multipliers]
-
-
 def sample_plan(tiles_per_res: DataFrame, *, res: str = "res", n_tiles: str = "n_tiles",
                 multipliers: Sequence[float] | None = None) -> DataFrame:
     """X6/X7 over a (res, n_tiles) frame -> (res, multiplier, n).

@@ -9,7 +9,7 @@ grows with them:
 * ``ev``  ordered column with gaps (events by type).
 * ``ras`` raster cells from embedding arrays (64 wide).
 * ``cat`` raster file catalogue over nations.
-* ``mdl`` predictions of three linear "models" per pixel.
+* ``mdl`` predictions of seven linear "models" per pixel.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import nan_to_null
 from tessera.operators.numbering import index_within
 from tessera.sources.raster import raster_to_pixels
 
@@ -27,11 +28,16 @@ CAT_VARS = ["edem_W84", "EGM08", "multi_S1_12", "multi_DTM_LiDAR"]
 CAT_SUFFIXES = ["edem_W84.tif", "LiDAR.tif", ".tif"]
 MODELS = [(1, "gbt_100_21", 90000.0, -1500.0),
           (2, "gbt_100_43", 110000.0, -1600.0),
-          (3, "rf_50_42", 60000.0, -1200.0)]
+          (3, "rf_50_42", 60000.0, -1200.0),
+          (4, "gbt_200_21", 95000.0, -1450.0),
+          (5, "gbt_200_43", 105000.0, -1700.0),
+          (6, "rf_100_42", 70000.0, -1000.0),
+          (7, "gbt_400_13", 100000.0, -1550.0)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; NaN -> NULL at the source."""
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def px(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +85,8 @@ def ras(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ras_rows(spark, sf_dir)
     pix = raster_to_pixels(rows, width=RAS_WIDTH, data="embedding", row="rn", keep=("tile",), value="v")
     return pix.select("tile", (F.col("pixel_idx") / RAS_WIDTH).cast("long").alias("rn"),
-                      (F.col("pixel_idx") % RAS_WIDTH).cast("int").alias("col"), "v", "pixel_idx")
+                      (F.col("pixel_idx") % RAS_WIDTH).cast("int").alias("col"),
+                      F.when(~F.isnan("v"), F.col("v")).alias("v"), "pixel_idx")
 
 
 def ras_grid(spark: SparkSession, sf_dir: str, *, wrong_mod: int | None = 3) -> DataFrame:
@@ -123,6 +130,13 @@ def mdl(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("m.a") + F.col("m.b") * F.col("f_qty")).alias("pred"))
 
 
+def mdl_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mdl`` with one prediction column per model (``p1`` ...): k models on one scan."""
+    base = px(spark, sf_dir).where(F.col("ldem").isNotNull())
+    preds = [(F.lit(a) + F.lit(b) * F.col("f_qty")).alias(f"p{p}") for p, _, a, b in MODELS]
+    return base.select("pix", "tile", "edem", (F.col("edem") - F.col("ldem")).alias("zdif"), *preds)
+
+
 # DuckDB spellings of the same fixtures, used as a WITH prefix by the oracles.
 FIXTURE_SQL = {
     "px": """
@@ -160,7 +174,11 @@ select pix, tile, edem, edem - ldem zdif, pos, model, a + b*f_qty pred
 from px cross join (values
   (1,'gbt_100_21',cast(90000.0 as double), cast(-1500.0 as double)),
   (2,'gbt_100_43',cast(110000.0 as double),cast(-1600.0 as double)),
-  (3,'rf_50_42',  cast(60000.0 as double), cast(-1200.0 as double))) as m(pos,model,a,b)
+  (3,'rf_50_42',  cast(60000.0 as double), cast(-1200.0 as double)),
+  (4,'gbt_200_21',cast(95000.0 as double), cast(-1450.0 as double)),
+  (5,'gbt_200_43',cast(105000.0 as double),cast(-1700.0 as double)),
+  (6,'rf_100_42', cast(70000.0 as double), cast(-1000.0 as double)),
+  (7,'gbt_400_13',cast(100000.0 as double),cast(-1550.0 as double))) as m(pos,model,a,b)
 where ldem is not null""",
 }
 

@@ -49,9 +49,14 @@ def scan_projected(spark: SparkSession, sf: str) -> DataFrame:
     return SK.scan_tiles(spark, [f"{sf}/orders.parquet"], columns=["o_orderkey", "o_totalprice"], source_col=None)
 
 
-@query("discover_files", ids="S3")
+FILES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@query("discover_files", ids="S3", sql="select unnest([" + ", ".join(f"'{t}.parquet'" for t in FILES) + "]) name")
 def discover_files(spark: SparkSession, sf: str) -> DataFrame:
-    return K.discover_files(spark, sf, "*.parquet")
+    """Files of the pixel tables' folder, by name."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return K.discover_files(spark, sf, "*.parquet").select(name.alias("name")).where(name.isin(*[f"{t}.parquet" for t in FILES]))
 
 
 # ------------------------------------------------------------------------ catalogue
@@ -118,28 +123,23 @@ def raster_to_pixels(spark: SparkSession, sf: str) -> DataFrame:
     return fx.ras(spark, sf).select("tile", "pixel_idx", "v")
 
 
-@query("multiband_to_columns", ids="S6 J1", sql="""
-select vec_id, embedding[1] emb_band1, embedding[2] emb_band2, embedding[3] emb_band3, embedding[4] emb_band4
-from embeddings""")
+BANDS = range(1, fx.RAS_WIDTH + 1)
+
+
+@query("multiband_to_columns", ids="S6 J1", sql="select vec_id, " + ", ".join(
+    f"embedding[{b}] emb_band{b}" for b in BANDS) + " from embeddings")
 def multiband_to_columns(spark: SparkSession, sf: str) -> DataFrame:
-    emb = fx.table(spark, sf, "embeddings")
-    long = emb.select(F.col("label").alias("tile"), "vec_id", F.lit("emb").alias("var"),
-                      F.posexplode(F.slice("embedding", 1, 4)).alias("_pos", "value"))
-    long = long.withColumn("band", F.col("_pos") + 1)
-    named = RS.band_names(long, group=["tile"])
-    names = [f"emb_band{b}" for b in range(1, 5)]
-    return RS.align_columns(named, keys=["vec_id"], names=names)
-
-
-@query("align_columns", ids="J1", sql=W("""
-select tile, rn, max(case when col = 0 then v end) c0, max(case when col = 1 then v end) c1,
-       max(case when col = 2 then v end) c2, max(case when col = 3 then v end) c3
-from ras where col < 4 group by tile, rn""", "ras"))
+    emb = fx.table(spark, sf, "embeddings").select(F.col("label").alias("tile"), "vec_id", F.lit("emb").alias("var"), "embedding")
+    named = RS.band_arrays(emb, data="embedding", group=["tile"], keep=["vec_id"])
+    return RS.align_columns(named, keys=["vec_id"], names=[f"emb_band{b}" for b in BANDS])
+
+
+@query("align_columns", ids="J1", sql=W("select tile, rn, " + ", ".join(
+    f"max(case when col = {c} then v end) c{c}" for c in range(fx.RAS_WIDTH)) + " from ras group by tile, rn", "ras"))
 def align_columns(spark: SparkSession, sf: str) -> DataFrame:
-    r = fx.ras(spark, sf).where(F.col("col") < 4)
-    long = r.select("tile", "rn", F.concat(F.lit("c"), F.col("col").cast("string")).alias("name"),
-                    F.col("v").alias("value"))
-    return RS.align_columns(long, keys=["tile", "rn"], names=["c0", "c1", "c2", "c3"])
+    long = fx.ras(spark, sf).select("tile", "rn", F.concat(F.lit("c"), F.col("col").cast("string")).alias("name"),
+                                    F.col("v").alias("value"))
+    return RS.align_columns(long, keys=["tile", "rn"], names=[f"c{c}" for c in range(fx.RAS_WIDTH)])
 
 
 @query("nodata_to_null", ids="P11", sql=W("""
@@ -163,29 +163,47 @@ def grid_check(spark: SparkSession, sf: str) -> DataFrame:
     return RS.grid_check(fx.ras(spark, sf), fx.ras_grid(spark, sf))
 
 
-@query("ingest_with_quarantine", ids="S8", sql=W(f"""
-select tile, case when ok = false then 'quarantined' else 'ingested' end status,
-       case when ok = false then 'rows ' || cast(n as varchar) || ' != expected ' || cast(expected as varchar)
-            when ok is null then 'grid unknown' end reason
-from ({GRID_CHECK_SQL})""", "ras", "ras_grid"))
+@query("ingest_with_quarantine", ids="S8 P9", sql=W(f"""
+select tile, status, reason, n, v_sum from (
+  select coalesce(g.tile, -1) tile, case when g.reason is not null and g.reason <> 'grid unknown' then 'quarantined' else 'ingested' end status, g.reason,
+         case when g.reason is null or g.reason = 'grid unknown' then p.n else 0 end n,
+         case when g.reason is null or g.reason = 'grid unknown' then p.v_sum end v_sum
+  from (select tile, case when tile = 3 then 'unreadable file' when n = 0 then 'no rows'
+               when ok = false then 'rows ' || cast(n as varchar) || ' != expected ' || cast(expected as varchar)
+               when ok is null then 'grid unknown' end reason
+        from (select g.tile, coalesce(c.n, 0) n, g.width * g.height expected, coalesce(c.n, 0) = g.width * g.height ok
+              from (select * from ras_grid union all select 1000, 64, 2) g
+                   left join (select tile, cast(count(*) as bigint) n from ras group by tile) c on c.tile = g.tile)) g
+  left join (select tile, cast(count(*) as bigint) n, round(sum(round(cast(v as double), 4)), 4) v_sum from ras group by tile) p
+       on p.tile = g.tile)""", "ras", "ras_grid"))
 def ingest_with_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    _, status = RS.ingest_with_quarantine(fx.ras(spark, sf), fx.ras_grid(spark, sf))
-    return status
+    """A tile with wrong rows, one whose file can't be read, one without rows; kept pixels and status together."""
+    grid = fx.ras_grid(spark, sf)
+    empty = grid.limit(1).select(F.lit(1000).alias("tile"), F.lit(64).cast("long").alias("width"), F.lit(2).cast("long").alias("height"))
+    failed = grid.where("tile = 3").select("tile", F.lit("unreadable file").alias("reason"))
+    good, status = RS.ingest_with_quarantine(fx.ras(spark, sf), grid.unionByName(empty), failed=failed)
+    kept = good.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round(F.col("v").cast("double"), 4)), 4).alias("v_sum"))
+    return status.join(kept, "tile", "left").select("tile", "status", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "v_sum")
 
 
 @query("pixel_blocks", ids="S10", sql=W("""
+select b.tile, b.brow, b.bcol, b.h, b.w, b.n, b.data from (
 select tile, rn // 24 brow, cast(col // 24 as bigint) bcol, cast(max(rn) - min(rn) + 1 as bigint) h,
        cast(max(col) - min(col) + 1 as bigint) w, cast(count(*) as bigint) n,
-       round(sum(round(cast(v as double), 4)), 4) v_sum
-from ras group by all""", "ras"))
+       array_to_string(list(cast(round(cast(v as double) * 10000) as bigint) order by rn, col), ',') data
+from ras group by all) b""", "ras"))
 def pixel_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = SK.pixel_blocks(fx.ras(spark, sf), width=fx.RAS_WIDTH, block=24, value="v")
-    rounded = F.transform("data", lambda x: F.round(x.cast("double"), 4))
-    v_sum = F.round(F.aggregate(rounded, F.lit(0.0), lambda a, x: a + x), 4)
-    return blocks.select("tile", "brow", "bcol", "h", "w", "n", v_sum.alias("v_sum"))
+    """Blocks written and read again; ``data`` lists the cells in order, as ten-thousandths."""
+    from tessera.session import scratch_path
+    pixels = fx.ras(spark, sf).join(fx.ras_grid(spark, sf, wrong_mod=None), "tile")
+    blocks = SK.pixel_blocks(pixels, width="width", height="height", block=24, value="v")
+    out = scratch_path(spark, "blocks")
+    SK.write_blocks(blocks, out)
+    cells = F.concat_ws(",", F.transform("data", lambda x: F.round(x.cast("double") * 10000).cast("long").cast("string")))
+    return spark.read.parquet(out).select("tile", "brow", "bcol", "h", "w", "n", cells.alias("data"))
 
 
-@query("write_tiles", ids="S7")
+@query("write_tiles", ids="S7", sql=W("select tile, cast(count(*) as bigint) n from px group by tile", "px"))
 def write_tiles(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.session import scratch_path
     out = scratch_path(spark, "tiles")
@@ -367,8 +385,7 @@ select tile, pix from px qualify row_number() over (partition by tile order by {
 def sample_per_tile_large(spark: SparkSession, sf: str) -> DataFrame:
     """Same operator through the histogram-threshold path (used when N is large)."""
     px = materialize(fx.px(spark, sf).select("tile", "pix"), "px_keys")
-    return S.sample_per_group(px, 450, key="pix", seed=7, group=["tile"],
-                              method="threshold").select("tile", "pix")
+    return S.sample_per_group(px, 450, key="pix", seed=7, group=["tile"]).select("tile", "pix")
 
 
 @query("sample_n", ids="N3", sql=W(f"select pix from px order by {md5('pix', 43)}, pix limit 1000", "px"))
@@ -427,3 +444,41 @@ from t join (values {_plan_values()}) p(res_, target, multiplier) on t.res = p.r
 def sample_plan(spark: SparkSession, sf: str) -> DataFrame:
     tiles = fx.cat(spark, sf).groupBy("res").agg(F.countDistinct("tile").alias("n_tiles"))
     return S.sample_plan(tiles)
+
+
+REGION_CHUNK = 1000
+
+
+@query("region_chunks", ids="N2 P7 S9 W5", sql=W(f"""
+with c as (select roi, tile, pix, edem, ldem, f_qty from px
+           where edem between {LO} and {HI} and edem <> -9999 and ldem between {LO} and {HI} and ldem <> -9999),
+f as (select roi, pix, edem, ldem, coalesce(f_qty, avg(f_qty) over (partition by roi)) f_qty from c),
+n as (select roi, pix, edem - ldem zdif, f_qty, cast((row_number() over (partition by roi order by pix) - 1) // {REGION_CHUNK} as bigint) chunk from f)
+select roi, chunk, cast(count(*) as bigint) n, min(pix) min_pix, max(pix) max_pix, round(sum(zdif), 2) zdif, round(sum(f_qty), 2) f_qty
+from n group by all""", "px"))
+def region_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The region cleaning job: per region clean (N2), align the columns (P7), write chunks of fixed size (S9), read back."""
+    from tessera.session import scratch_path
+    px = fx.px(spark, sf).select("roi", "tile", "pix", "edem", "ldem", "f_qty")
+    regions = [r.roi for r in px.select("roi").distinct().orderBy("roi").collect()]  # a handful
+    out = scratch_path(spark, "region_chunks")
+    for roi in regions:
+        cleaned = S.clean_tiles(px.where(F.col("roi") == roi), tcol="edem", rcol="ldem", lval=LO, hval=HI, exclude=["roi", "tile", "pix"])
+        numbered = S.chunk_ids(cleaned, REGION_CHUNK, order_key=["pix"])
+        SK.write_chunks(numbered.withColumn("zdif", F.col("edem") - F.col("ldem")), f"{out}/roi={roi}", rows_per_file=REGION_CHUNK, chunk="chunk")
+    back = spark.read.parquet(out)
+    return back.groupBy("roi", F.col("chunk").cast("long").alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("pix").alias("min_pix"), F.max("pix").alias("max_pix"),
+        F.round(F.sum("zdif"), 2).alias("zdif"), F.round(F.sum("f_qty"), 2).alias("f_qty"))
+
+
+@query("catalog_union", ids="U2 S4", sql=W("""
+select res, tile, cast(count(*) as bigint) n, min(path) first_path, max(path) last_path from cat group by res, tile
+union all select 12, 'extra', 1, '/data/TILES/extra/extra_edem_W84.tif', '/data/TILES/extra/extra_edem_W84.tif' from region where r_regionkey = 0""", "cat"))
+def catalog_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalogues of two listings as one, rasters of a tile as a sorted list."""
+    extra = fx.table(spark, sf, "region").where("r_regionkey = 0").select(
+        F.lit(12).alias("res"), F.lit("extra").alias("tile"), F.lit("/data/TILES/extra/extra_edem_W84.tif").alias("path"))
+    lists = K.rasters_by_tile(K.union_catalogs([fx.cat(spark, sf), extra]))
+    return lists.select("res", "tile", F.size("paths").cast("long").alias("n"), F.element_at("paths", 1).alias("first_path"),
+                        F.element_at("paths", -1).alias("last_path"))

@@ -12,7 +12,7 @@ from tessera.operators import clean as C
 from tessera.operators import impute as I
 from tessera.operators import metrics as M
 from tessera.operators import sample as S
-from tessera.operators.numbering import index_within
+from tessera.sources import sinks as SK
 from tessera.operators.outliers import remove_outlier
 from tessera.plans import fixtures as fx
 from tessera.plans.fixtures import with_fixtures as W
@@ -211,7 +211,7 @@ def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
 select pix, round(avg(pred), 4) ml_zdif, round(any_value(edem) - avg(pred), 4) ml_edem from mdl group by pix""",
                                             "px", "mdl"))
 def ensemble_mean(spark: SparkSession, sf: str) -> DataFrame:
-    e = M.ensemble_mean_long(fx.mdl(spark, sf), key=["pix"], keep=["edem"])
+    e = M.ensemble_mean_wide(fx.mdl_wide(spark, sf), [f"p{m[0]}" for m in fx.MODELS])
     return e.select("pix", F.round("ml_zdif", 4).alias("ml_zdif"),
                     F.round(F.col("edem") - F.col("ml_zdif"), 4).alias("ml_edem"))
 
@@ -219,22 +219,22 @@ def ensemble_mean(spark: SparkSession, sf: str) -> DataFrame:
 @query("last_model_wins", ids="R3", sql=W("select pix, round(arg_max(pred, pos), 4) ml_zdif from mdl group by pix",
                                           "px", "mdl"))
 def last_model_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return round_all(M.last_model_wins(fx.mdl(spark, sf), key=["pix"]), ["ml_zdif"])
+    cols = [f"p{m[0]}" for m in sorted(fx.MODELS)]
+    return round_all(M.last_model_wide(fx.mdl_wide(spark, sf), cols).select("pix", "ml_zdif"), ["ml_zdif"])
 
 
-@query("corrected_surface", ids="P5", sql=W("select pix, round(edem - pred, 4) ml_edem from mdl where pos = 2",
-                                            "px", "mdl"))
+@query("corrected_surface", ids="P5", sql=W("select pix, model, round(edem - pred, 4) ml_edem from mdl", "px", "mdl"))
 def corrected_surface(spark: SparkSession, sf: str) -> DataFrame:
-    d = fx.mdl(spark, sf).where(F.col("pos") == 2)
-    return round_all(C.corrected_surface(d, "edem", "pred", "ml_edem").select("pix", "ml_edem"), ["ml_edem"])
+    d = C.corrected_surface(fx.mdl(spark, sf), "edem", "pred", "ml_edem").select("pix", "model", "ml_edem")
+    return round_all(d, ["ml_edem"])
 
 
 def _top(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    mdl = fx.mdl(spark, sf)
-    lb = M.leaderboard(M.score(mdl, "zdif", "pred", by=["model"])).where(F.col("rank") <= k).select("model")
-    # the leaderboard has one row per model: a broadcast bounded by the model count
-    picked = mdl.join(F.broadcast(lb), on="model", how="left_semi")
-    e = M.ensemble_mean_long(picked, key=["pix"], keep=["edem"])
+    """The k best models by the leaderboard, averaged as columns of one scan."""
+    wide = fx.mdl_wide(spark, sf)
+    scored = wide.agg(*[M.rmse_r2_aggs("zdif", f"p{p}")[1].alias(m) for p, m, _, _ in fx.MODELS]).first()  # one row
+    best = sorted((scored[m], m, p) for p, m, _, _ in fx.MODELS)[:k]
+    e = M.ensemble_mean_wide(wide, [f"p{p}" for _, _, p in best])
     return e.select("pix", F.round(F.col("edem") - F.col("ml_zdif"), 4).alias("ml_edem"))
 
 
@@ -299,13 +299,21 @@ def registry_counts(spark: SparkSession, sf: str) -> DataFrame:
     return registry_status(spark, sf).groupBy("status").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
-@query("run_time_summary", ids="S14 A8 X10", sql="""
-select event_type tile, round(sum(value), 4) total_s, round(sum(value) / 60, 4) total_min
+@query("run_time_summary", ids="S14 S11 A8 X10", sql="""
+select event_type tile, round(sum(value), 4) total_s, round(sum(value) / 60, 4) total_min,
+       round(sum(value) / 3600, 4) total_h, round(sum(value) / 86400, 4) total_d
 from events group by event_type""")
 def run_time_summary(spark: SparkSession, sf: str) -> DataFrame:
-    ev = fx.table(spark, sf, "events")
-    agg = ev.groupBy(F.col("event_type").alias("tile")).agg(F.sum("value").alias("_s"))
-    return agg.select("tile", F.round("_s", 4).alias("total_s"), F.round(F.col("_s") / 60, 4).alias("total_min"))
+    """A runs table, appended day by day as runs end, summed over all of them."""
+    from tessera.session import scratch_path
+    runs = fx.table(spark, sf, "events").select(F.col("event_type").alias("tile"), F.col("value").alias("elapsed_s"),
+                                                (F.dayofmonth("ts") % 2).alias("half"))
+    path = scratch_path(spark, "runs")
+    for half in (0, 1):
+        SK.append_table(runs.where(F.col("half") == half).drop("half"), path)
+    agg = spark.read.parquet(path).groupBy("tile").agg(F.sum("elapsed_s").alias("_s"))
+    return agg.select("tile", F.round("_s", 4).alias("total_s"),
+                      *[F.round(F.col("_s") / n, 4).alias(f"total_{u}") for u, n in (("min", 60), ("h", 3600), ("d", 86400))])
 
 
 CURVE_SQL = "select event_type tile, cast(day(ts) as bigint) iteration, avg(value) rmse from events group by all"
@@ -397,14 +405,18 @@ def head_rows(spark: SparkSession, sf: str) -> DataFrame:
     return fx.ev(spark, sf).select("event_id", "v").orderBy("event_id").limit(10)
 
 
-@query("feature_schema_check", ids="P10", sql="""
-select name missing_feature from (values ('f_qty'), ('f_disc'), ('f_x')) t(name)
-where name not in ('roi', 'tile', 'pix', 'edem', 'ldem', 'f_qty', 'f_disc', 'f_tax', 'f_n', 'cls')""")
+@query("feature_schema_check", ids="P10", sql=W("""
+select feature, present, case when present then n_null end n_null from (
+  select unnest(['f_qty', 'f_disc', 'f_x']) feature, unnest([true, true, false]) present,
+         unnest([count(*) filter (where f_qty is null), count(*) filter (where f_disc is null), 0]) n_null from px)""", "px"))
 def feature_schema_check(spark: SparkSession, sf: str) -> DataFrame:
-    required = spark.createDataFrame([(c,) for c in ["f_qty", "f_disc", "f_x"]], "missing_feature string")
-    known = spark.createDataFrame([(c,) for c in fx.px(spark, sf).columns], "missing_feature string")
-    # schema-only check: no data is read before the model/feature match is known
-    return required.join(known, on="missing_feature", how="left_anti")
+    """The schema answers first; only features that exist are then counted for nulls."""
+    p, required = fx.px(spark, sf), ["f_qty", "f_disc", "f_x"]
+    have = [c for c in required if c in p.columns]
+    nulls = p.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in have])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(c in have).alias("present"),
+                              (F.col(c) if c in have else F.lit(None).cast("long")).alias("n_null")) for c in required])
+    return nulls.select(F.inline(rows))
 
 
 FEATURES = ["f_qty", "f_disc", "f_tax"]
@@ -422,24 +434,29 @@ def feature_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return long.select("feature", F.round("sc", 4).alias("score"), F.rank().over(w).cast("long").alias("rank"))
 
 
+def _permutation_sql(f: str) -> str:
+    return f"""(
+with a as (select pix, zdif, row_number() over (order by pix) i from b),
+h as (select {f} x, row_number() over (order by {md5('pix', 43)}, pix) i from b),
+m as (select regr_slope(zdif, {f}) s, regr_intercept(zdif, {f}) ic from b),
+o as (select sqrt(avg({_err2('zdif', f'ic + s * {f}')})) r from b, m),
+p as (select sqrt(avg({_err2('a.zdif', 'ic + s * h.x')})) r from a join h on a.i = h.i, m)
+select '{f}' feature, round(p.r - o.r, 4) delta_rmse from o, p)"""
+
+
 @query("permutation_importance", ids="F7 F6 M0", sql=W(f"""
-with b as ({LABELLED_SQL}),
-a as (select pix, zdif, row_number() over (order by pix) i from b),
-h as (select f_qty, row_number() over (order by {md5('pix', 43)}, pix) i from b),
-m as (select regr_slope(zdif, f_qty) s, regr_intercept(zdif, f_qty) ic from b),
-o as (select sqrt(avg({_err2('zdif', 'ic + s * f_qty')})) r from b, m),
-p as (select sqrt(avg({_err2('a.zdif', 'ic + s * h.f_qty')})) r from a join h on a.i = h.i, m)
-select 'f_qty' feature, round(p.r - o.r, 4) delta_rmse from o, p""", "px"))
+with b as ({LABELLED_SQL})
+select * from (""" + " union all ".join(_permutation_sql(f) for f in FEATURES) + ")", "px"))
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
-    from tessera.ml.select import permuted_column
-    b = labelled(spark, sf).select("pix", "zdif", "f_qty")
-    model = fit_baseline(b, label="zdif", feature="f_qty")
-    base = predict_baseline(b, model, feature="f_qty").agg(*M.rmse_r2_aggs("zdif", "pred")).select("rmse")
-    shuffled = permuted_column(b, "f_qty", key="pix", seed=43)
-    perm = predict_baseline(shuffled, model, feature="f_qty").agg(*M.rmse_r2_aggs("zdif", "pred")) \
-        .select(F.col("rmse").alias("rmse_p"))
-    return base.crossJoin(perm).select(F.lit("f_qty").alias("feature"),
-                                       F.round(F.col("rmse_p") - F.col("rmse"), 4).alias("delta_rmse"))
+    from tessera.ml.select import permuted_columns
+    # written once, with every feature's permutation beside it
+    b = materialize(labelled(spark, sf).select("pix", "zdif", *FEATURES), "permutation_input")
+    shuffled = materialize(permuted_columns(b, {f: 43 for f in FEATURES}, key="pix", suffix="_perm"), "permuted")
+    fits = b.agg(*[F.struct(F.regr_slope("zdif", f).alias("s"), F.regr_intercept("zdif", f).alias("i")).alias(f"m_{f}") for f in FEATURES])
+    both = shuffled.crossJoin(F.broadcast(fits))  # one row
+    rmse = lambda f, x: F.sqrt(F.avg(F.pow(F.col("zdif") - (F.col(f"m_{f}.i") + F.col(f"m_{f}.s") * F.col(x)), 2)))
+    deltas = both.agg(*[F.round(rmse(f, f"{f}_perm") - rmse(f, f), 4).alias(f) for f in FEATURES])
+    return deltas.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("delta_rmse")) for f in FEATURES])))
 
 
 @query("incremental_clean", ids="ST1 P1 P3 P4", sql=W(f"""

@@ -1,8 +1,9 @@
 """Registered rows-only queries: Spark ML training, search and selection.
 
 All fits use the whole labelled pixel table (px rows with a reference),
-imputed (I1) and split exactly by seeded hash (N4/N5/N6). Boosting rounds are
-kept small (<= 20); results are one row per fit, curve point or feature.
+imputed (I1) and split exactly by seeded hash (N4/N5/N6). Rounds are enough for
+the patience of X8 (20 rounds below 200) to act; results are one row per fit,
+curve point or feature.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.ml import predict as PR
 from tessera.ml import search as SE
 from tessera.ml import train as T
 from tessera.operators import impute as I
@@ -23,8 +25,9 @@ from tessera.session import materialize, scratch_path
 
 FEATURES = ["f_qty", "f_disc", "f_tax", "f_n"]
 LABEL = "zdif"
-ROUNDS = 10
-GBT_PARAMS = {"maxDepth": 4, "subsamplingRate": 0.8}
+ROUNDS = 40
+SEARCH_ROUNDS = 10
+GBT_PARAMS = {"maxDepth": 4, "subsamplingRate": 0.8, "stepSize": 0.3}
 
 
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,7 +48,8 @@ def _split(spark: SparkSession, sf: str, share: float = 0.1, seed: int = 43, fea
         valid.unpersist()
 
 
-FIT_SCHEMA = "learner string, seed int, rmse double, r2 double, best_iter string, n_valid long, model_path string"
+FIT_SCHEMA = ("learner string, seed int, rmse double, r2 double, best_iter string, stop_iter int, n_valid long, "
+              "model_path string")
 
 
 @query("train_gbt", ids="M1 M11 P6 X8")
@@ -83,7 +87,7 @@ def seed_ensemble(spark: SparkSession, sf: str) -> DataFrame:
             res = T.train_model(train, valid, label=LABEL, rounds=ROUNDS, seed=s,
                                 patience=T.early_stopping_rounds(ROUNDS), params=GBT_PARAMS)
             rows.append(res.metrics_row())
-            scored = T.predict_first_k(res.model, scored, res.best_iter, out=f"p_{s}")
+            scored = res.model.setPredictionCol(f"p_{s}").transform(scored)
         # k predictions as columns of one scan, averaged without a join
         ens = ensemble_mean_wide(scored, [f"p_{s}" for s in seeds], out="ml_zdif")
         m = ens.agg(*rmse_r2_aggs(LABEL, "ml_zdif")).collect()[0]
@@ -93,21 +97,22 @@ def seed_ensemble(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("best_iter_chain", ids="M3 W4 A9")
 def best_iter_chain(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = [42, 43, 44]
+    """Seed 42 runs without patience; its best iteration + 10 is the patience of the next seed, whose
+    best iteration is the plain patience of the one after, and so on."""
     rows, patience = [], None
     with _split(spark, sf) as (train, valid):
-        for s in seeds:
+        for s in [42, 43, 44]:
             res = T.train_model(train, valid, label=LABEL, rounds=ROUNDS, seed=s, patience=patience,
                                 params=GBT_PARAMS)
-            rows.append({"seed": s, "patience": patience, "best_iteration": res.best_iter,
+            rows.append({"seed": s, "patience": patience, "best_iteration": res.best_iter, "stop_iteration": res.stop_iter,
                          "rmse": res.rmse, "r2": res.r2})
-            patience = res.best_iter + 10  # the best iteration (+10) of one seed is the next one's patience
-    return T.results_frame(spark, rows, "seed int, patience int, best_iteration int, rmse double, r2 double")
+            patience = res.best_iter + (10 if s == 42 else 0)
+    return T.results_frame(spark, rows, "seed int, patience int, best_iteration int, stop_iteration int, rmse double, r2 double")
 
 
 @query("rounds_study", ids="M5 X8 W4")
 def rounds_study(spark: SparkSession, sf: str) -> DataFrame:
-    study = [5, 10, 20]
+    study = [10, 20, 40, 80]
     with _split(spark, sf) as (train, valid):
         # one fit at the largest round count: its curve answers every smaller one
         res = T.train_model(train, valid, label=LABEL, rounds=max(study), seed=42, params=GBT_PARAMS)
@@ -132,7 +137,7 @@ def model_variants(spark: SparkSession, sf: str) -> DataFrame:
         for label in ["zdif", "ldem"]:
             tr = T.assemble(d.where(F.col("part") == "train"), feats)
             va = T.assemble(d.where(F.col("part") == "valid"), feats)
-            res = T.train_model(tr, va, label=label, rounds=5, seed=42, params=GBT_PARAMS)
+            res = T.train_model(tr, va, label=label, rounds=SEARCH_ROUNDS, seed=42, params=GBT_PARAMS)
             rows.append({"variant": vname, "label": label, "rmse": res.rmse, "r2": res.r2})
     return T.results_frame(spark, rows, "variant string, label string, rmse double, r2 double")
 
@@ -142,7 +147,7 @@ def automl_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     d = S.split_three_way(_prepared(spark, sf), key="pix", seed=43)
     parts = {p: T.assemble(d.where(F.col("part") == p), FEATURES).persist() for p in ["train", "valid", "test"]}
     learners = {"gbt": {"maxIter": ROUNDS, **GBT_PARAMS}, "rf": {"numTrees": 20, "maxDepth": 5},
-                "dt": {"maxDepth": 5}, "lr": {}, "glr": {}}
+                "dt": {"maxDepth": 5}, "lr": {}, "glr": {"regParam": 10.0}, "fm": {"factorSize": 2, "stepSize": 0.1, "maxIter": 30}}
     try:
         # roles as in the reference: tuning = its test split, holdout = its valid split
         rows = SE.leaderboard_fit(parts["train"], parts["test"], parts["valid"], label=LABEL, learners=learners)
@@ -153,30 +158,36 @@ def automl_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
                                         "r2_holdout double")
 
 
-GRID = {"stepSize": [0.2, 0.1], "maxDepth": [4, 6], "maxBins": [24, 32]}
+GRID = {"stepSize": [0.2, 0.1], "maxDepth": [4, 6], "leaves": [24, 32]}
+RANKED = "rank int, candidate int, stepSize double, maxDepth int, leaves int, columns double, rmse double, r2 double"
 
 
 @query("grid_search", ids="F1")
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     with _split(spark, sf) as (train, valid):
-        rows = SE.search(train, valid, SE.grid_candidates(GRID), label=LABEL, rounds=5)
-    return T.results_frame(spark, rows, "rank int, candidate int, stepSize double, maxDepth int, maxBins int, "
-                                        "rmse double, r2 double")
+        rows = SE.search(train, valid, SE.grid_candidates(GRID), label=LABEL, rounds=SEARCH_ROUNDS)
+    return T.results_frame(spark, rows, RANKED)
 
 
 @query("random_candidates", ids="F2 F3")
 def random_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return SE.random_candidates(spark, 8, 0)
+    """Candidates of both spaces, with what their leaves mean for the rows of the labelled table."""
+    rows = labelled(spark, sf).agg(F.count(F.lit(1)).alias("n"))
+    both = None
+    for name in SE.SPACES:
+        c = SE.random_candidates(spark, 8, 0, SE.SPACES[name]).withColumn("space", F.lit(name))
+        both = c if both is None else both.unionByName(c)
+    return (both.crossJoin(F.broadcast(rows))  # one row
+            .withColumn("minInstancesPerNode", F.greatest(F.lit(1), F.floor(F.col("n") / F.col("leaves"))).cast("int")).drop("n"))
 
 
 @query("random_search", ids="F2 F3")
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
-    cands = [{"stepSize": r["stepSize"], "maxDepth": r["maxDepth"], "maxBins": r["maxBins"]}
-             for r in SE.random_candidates(spark, 8, 0).orderBy("candidate").collect()]
+    cands = [r.asDict() for space in SE.SPACES.values()
+             for r in SE.random_candidates(spark, 4, 0, space).orderBy("candidate").drop("candidate").collect()]
     with _split(spark, sf) as (train, valid):
-        rows = SE.search(train, valid, cands, label=LABEL, rounds=5)
-    return T.results_frame(spark, rows, "rank int, candidate int, stepSize double, maxDepth int, maxBins int, "
-                                        "rmse double, r2 double")
+        rows = SE.search(train, valid, cands, label=LABEL, rounds=SEARCH_ROUNDS)
+    return T.results_frame(spark, rows, RANKED)
 
 
 def _raw_split(spark: SparkSession, sf: str):
@@ -186,29 +197,82 @@ def _raw_split(spark: SparkSession, sf: str):
 
 @query("rfe", ids="F4 F8")
 def rfe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature with its elimination rank and whether the best subset has it."""
     train, valid = _raw_split(spark, sf)
     try:
-        rows = SE.rfe(train, valid, FEATURES, label=LABEL, rounds=5, params={"maxDepth": 4})
+        rows = SE.rfe(train, valid, FEATURES, label=LABEL, rounds=SEARCH_ROUNDS, params={"maxDepth": 4})
     finally:
         train.unpersist(), valid.unpersist()
-    return T.results_frame(spark, rows, "step int, n_features int, features string, dropped string, rmse double")
+    return T.results_frame(spark, SE.ranking_report(rows), "feature string, rank int, selected boolean, n_features int, best_rmse double")
 
 
 @query("rfa", ids="F5 F8")
 def rfa(spark: SparkSession, sf: str) -> DataFrame:
     train, valid = _raw_split(spark, sf)
     try:
-        rows = SE.rfa(train, valid, FEATURES, label=LABEL, rounds=5, params={"maxDepth": 4})
+        rows = SE.rfa(train, valid, FEATURES, label=LABEL, rounds=SEARCH_ROUNDS, params={"maxDepth": 4})
     finally:
         train.unpersist(), valid.unpersist()
-    return T.results_frame(spark, rows, "n_features int, added string, rmse double")
+    return T.results_frame(spark, rows, "n_features int, added string, features string, rmse double, best boolean")
 
 
 @query("boruta", ids="F6")
 def boruta(spark: SparkSession, sf: str) -> DataFrame:
-    data = _prepared(spark, sf).persist()
-    try:
-        rows = SE.boruta(data, FEATURES, label=LABEL, key="pix", max_iter=3, seed=42)
-    finally:
-        data.unpersist()
-    return T.results_frame(spark, rows, "feature string, hits int, p_confirm double, decision string")
+    rows = SE.boruta(_prepared(spark, sf), FEATURES, label=LABEL, key="pix", max_iter=12, seed=42)
+    return T.results_frame(spark, rows, "feature string, hits int, tried int, p_confirm double, decision string")
+
+
+def _saved(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, str]:
+    """(pixels to predict, registry, root): seven small models trained, saved, found again and tried."""
+    root = scratch_path(spark, "saved_models")
+    rows = []
+    learners = [("gbt", 21, {**GBT_PARAMS}), ("gbt", 43, {**GBT_PARAMS}), ("gbt", 13, {"maxDepth": 3}), ("rf", 42, {"numTrees": 10}),
+                ("rf", 7, {"numTrees": 5, "maxDepth": 6}), ("dt", 42, {"maxDepth": 5}), ("lr", None, {})]
+    with _split(spark, sf) as (train, valid):
+        for name, seed, params in learners:
+            res = T.train_model(train, valid, label=LABEL, learner=name, rounds=SEARCH_ROUNDS, seed=seed, params=params)
+            model = f"{name}_{SEARCH_ROUNDS}_{seed or 0}_model"
+            T.save_model(res.model, f"{root}/{model}")
+            rows.append((model, FEATURES, res.rmse))
+    # one registered directory whose model is incomplete
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{root}/gbt_broken_model/metadata")
+    scores = spark.createDataFrame(rows, "model string, features array<string>, rmse double")
+    registry = PR.try_models(spark, PR.saved_models(spark, root)).join(scores, "model", "left").select(
+        "model", "path", "features", "status", "rmse")
+    return _prepared(spark, sf), materialize(registry, "registry"), root
+
+
+@query("predict_saved_models", ids="R1 R2 R7 S13 M11 P5 P10 P15")
+def predict_saved_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean of all saved models that load, and the corrected surface, for every labelled pixel."""
+    pixels, registry, _ = _saved(spark, sf)
+    return PR.predict_surface(pixels, registry, target="edem").select("tile", "pix", "ml_zdif", "ml_edem")
+
+
+@query("predict_best_model", ids="R4 R5 R6 W6")
+def predict_best_model(spark: SparkSession, sf: str) -> DataFrame:
+    """The best saved model's and the five best models' surfaces."""
+    pixels, registry, _ = _saved(spark, sf)
+    one = PR.predict_surface(pixels, registry, target="edem", best=1, surface="ml_best").drop("ml_zdif")
+    both = PR.predict_surface(one, registry, target="edem", best=5, surface="ml_top5")
+    return both.select("tile", "pix", "ml_best", "ml_top5")
+
+
+@query("model_registry", ids="R6 P15 A11 S13")
+def model_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Every model directory with its status; a broken one has status 0."""
+    return _saved(spark, sf)[1].select("model", "status", F.size(F.coalesce("features", F.array())).alias("n_features"), "rmse")
+
+
+@query("predict_tiles", ids="R7 S10 S12 P8")
+def predict_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Surfaces of the tiles that aren't done yet, written as blocks over a grid of 16 columns."""
+    pixels, registry, _ = _saved(spark, sf)
+    lines = S.index_ordered(pixels, order_keys=["pix"], group=["tile"], out="pixel_idx")
+    grid = lines.groupBy("tile").agg(F.lit(16).cast("long").alias("width"), F.floor(F.count(F.lit(1)) / 16).cast("long").alias("height"))
+    grid = materialize(grid, "grid")
+    whole = lines.join(grid, "tile").where(F.col("pixel_idx") < F.col("width") * F.col("height")).drop("width", "height")
+    done = grid.orderBy("tile").limit(3).select("tile")
+    out = scratch_path(spark, "predicted")
+    PR.predict_tiles(materialize(whole, "whole"), grid, registry, out, target="edem", best=5, block=8, done=materialize(done, "done"))
+    return spark.read.parquet(out).groupBy("tile").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("cells"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -54,11 +55,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
 
 
+#: Rows up to which a small side is broadcast; beyond it the join is left to Spark.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, name: str = "small") -> DataFrame:
+    """Write a statistics table and hint its broadcast only if its counted rows allow it."""
+    df = materialize(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` that also matches nulls; columns of ``left`` and the rest of ``right``."""
+    on = list(on)
+    if not on:
+        return left.crossJoin(right)  # a one-row side: there is no key
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = None
+    for c in on:
+        same = left[c].eqNullSafe(other[f"_r_{c}"])
+        cond = same if cond is None else cond & same
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

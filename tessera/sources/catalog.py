@@ -35,6 +35,14 @@ def tile_catalog(cat: DataFrame, *, root: str, suffix: str = "_byldem.parquet")
                            .alias("fparquet"), "n_files")
 
 
+def union_catalogs(parts: Sequence[DataFrame]) -> DataFrame:
+    """Several listings as one catalogue, columns matched by name; a path listed twice stays once."""
+    out = parts[0].select("res", "tile", "path")
+    for p in parts[1:]:
+        out = out.unionByName(p.select("res", "tile", "path"))
+    return out.distinct()
+
+
 def rasters_by_tile(cat: DataFrame) -> DataFrame:
     """Rasters of each tile as a sorted list (bounded by bands per tile)."""
     return cat.groupBy("res", "tile").agg(F.array_sort(F.collect_list("path")).alias("paths"))

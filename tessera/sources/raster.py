@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import BROADCAST_ROWS, materialize
+
 
 def raster_to_pixels(rows: DataFrame, *, width: int | str, data: str = "data", row: str = "row",
                      keep: Sequence[str] = ("tile",), value: str = "value") -> DataFrame:
@@ -39,6 +41,20 @@ def band_names(long: DataFrame, *, var: str = "var", band: str = "band",
     return named.withColumn("name", name).drop("_nb")
 
 
+def band_arrays(rows: DataFrame, *, data: str, var: str = "var", group: Sequence[str] = ("tile",),
+                keep: Sequence[str] = ()) -> DataFrame:
+    """S6 on a raster-line table whose arrays hold one value per band -> (group..., keep..., name, value).
+
+    The number of bands is metadata of the line (its array's size), so the names
+    are made before the arrays are exploded: no join of pixel size.
+    """
+    n = F.size(data)
+    one = lambda x, i: F.struct(
+        F.when(n > 1, F.concat(F.col(var), F.lit("_band"), (i + 1).cast("string"))).otherwise(F.col(var)).alias("name"),
+        x.cast("float").alias("value"))
+    return rows.select(*group, *keep, F.explode(F.transform(data, one)).alias("_b")).select(*group, *keep, "_b.name", "_b.value")
+
+
 def align_columns(long: DataFrame, *, keys: Sequence[str], names: Sequence[str],
                   name: str = "name", value: str = "value") -> DataFrame:
     """One column per name, aligned on ``keys`` (full-outer semantics).
@@ -71,30 +87,49 @@ def nodata_to_null(value: Column, nodata: Column | float | None) -> Column:
 def grid_check(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile") -> DataFrame:
     """Rows per tile against width*height -> (tile, n, expected, ok).
 
-    A tile without a grid entry (unknown resolution) only warns: expected and
-    ok are null.
+    Every tile of either side is reported: a tile of the grid without a row has
+    n = 0 and fails; a tile without a grid entry (unknown resolution) only
+    warns, expected and ok are null.
     """
-    counts = pixels.groupBy(tile).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    g = grid.select(tile, (F.col("width").cast("long") * F.col("height").cast("long")).alias("expected"))
-    return (counts.join(g, on=tile, how="left")
-            .select(tile, "n", "expected", (F.col("n") == F.col("expected")).alias("ok")))
+    counts = pixels.groupBy(tile).agg(F.count(F.lit(1)).cast("long").alias("_n"))
+    g = grid.select(F.col(tile).alias("_g"), (F.col("width").cast("long") * F.col("height").cast("long")).alias("expected"))
+    n = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
+    return (counts.join(g, F.col(tile).eqNullSafe(F.col("_g")), "full")
+            .select(F.coalesce(tile, "_g").alias(tile), n.alias("n"), "expected", (n == F.col("expected")).alias("ok")))
 
 
-def ingest_with_quarantine(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile"
+def ingest_with_quarantine(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile", failed: DataFrame | None = None
                            ) -> tuple[DataFrame, DataFrame]:
-    """All tiles in one job; tiles failing the grid check go to a quarantine table.
+    """All tiles in one job; tiles that cannot be used go to a quarantine table with a reason.
 
-    Returns (pixels of good tiles, status table (tile, status, reason)).
+    ``failed`` (tile, reason) adds what the reader or the catalogue found: an unreadable
+    file, no rasters, no reference raster. Returns (pixels of good tiles, status table
+    (tile, status, reason)); a tile of the grid without a row is quarantined too.
     """
     chk = grid_check(pixels, grid, tile=tile)
+    if failed is not None:
+        reasons = failed.groupBy(F.col(tile).alias("_f")).agg(F.min("reason").alias("_why"))
+        chk = chk.join(reasons, F.col(tile).eqNullSafe(F.col("_f")), "full").withColumn(tile, F.coalesce(tile, "_f")).drop("_f")
+    else:
+        chk = chk.withColumn("_why", F.lit(None).cast("string"))
+    bad = F.coalesce(~F.col("ok"), F.lit(False)) | F.col("_why").isNotNull()
     status = chk.select(
-        tile,
-        F.when(F.col("ok") == F.lit(False), F.lit("quarantined")).otherwise(F.lit("ingested")).alias("status"),
-        F.when(F.col("ok") == F.lit(False),
-               F.concat(F.lit("rows "), F.col("n").cast("string"), F.lit(" != expected "),
-                        F.col("expected").cast("string")))
+        tile, F.when(bad, F.lit("quarantined")).otherwise(F.lit("ingested")).alias("status"),
+        F.when(F.col("_why").isNotNull(), F.col("_why")).when(F.col("n") == 0, F.lit("no rows"))
+        .when(F.col("ok") == F.lit(False), F.concat(F.lit("rows "), F.col("n").cast("string"), F.lit(" != expected "),
+                                                    F.col("expected").cast("string")))
         .when(F.col("ok").isNull(), F.lit("grid unknown")).alias("reason"))
-    # one row per tile (at most 64,800 one-degree tiles): a bounded broadcast
-    good = pixels.join(F.broadcast(status.where(F.col("status") == "ingested").select(tile)), on=tile,
-                       how="left_semi")
-    return good, status
+    status = materialize(status, "ingest_status")
+    good = status.where(F.col("status") == "ingested").select(F.col(tile).alias("_ok"))
+    good = F.broadcast(good) if status.count() <= BROADCAST_ROWS else good
+    return pixels.join(good, F.col(tile).eqNullSafe(F.col("_ok")), "left_semi"), status
+
+
+def missing_inputs(catalog: DataFrame, tiles: DataFrame, *, suffix: str, tile: str = "tile") -> DataFrame:
+    """(tile, reason) of tiles without rasters or without exactly one reference raster."""
+    hit = F.count(F.when(F.col("path").endswith(F.lit(suffix)), 1))
+    found = catalog.groupBy(F.col(tile).alias("_t")).agg(F.count("path").alias("_files"), hit.alias("_refs"))
+    all_ = tiles.select(tile).distinct().join(found, F.col(tile).eqNullSafe(F.col("_t")), "left")
+    reason = (F.when(F.coalesce("_files", F.lit(0)) == 0, F.lit("no rasters"))
+              .when(F.col("_refs") == 0, F.lit("no reference raster")).when(F.col("_refs") > 1, F.lit("several reference rasters")))
+    return all_.select(tile, reason.alias("reason")).where(F.col("reason").isNotNull())

@@ -54,25 +54,35 @@ def write_chunks(df: DataFrame, path: str, *, rows_per_file: int = 100_000,
     w.parquet(path)
 
 
-def pixel_blocks(pixels: DataFrame, *, width: int | str, block: int, value: str = "v",
+def pixel_blocks(pixels: DataFrame, *, width: int | str, height: int | str, block: int, value: str = "v",
                  tile: str = "tile", idx: str = "pixel_idx") -> DataFrame:
     """Pixels -> blocks of ``block x block`` cells, ragged at the right/bottom edge.
 
-    -> (tile, brow, bcol, h, w, n, data array<float> row-major). A group is one
-    block, so its size is bounded by block^2 whatever the data size.
+    -> (tile, brow, bcol, h, w, n, data array<float> row-major). ``width`` and
+    ``height`` (numbers or columns) are the tile's grid: a block's shape follows
+    from them, and a block with missing, repeated or surplus cells raises. A
+    group is one block, so its size is bounded by block^2 whatever the data size.
     """
-    w = F.lit(width) if isinstance(width, int) else F.col(width)
-    cells = pixels.select(tile, (F.col(idx) / w).cast("long").alias("_r"),
-                          (F.col(idx) % w).cast("long").alias("_c"), F.col(value).alias("_v"))
-    cells = cells.withColumn("brow", F.floor(F.col("_r") / block).cast("long")) \
-        .withColumn("bcol", F.floor(F.col("_c") / block).cast("long"))
+    own = lambda x: (F.lit(x) if isinstance(x, int) else F.col(x)).cast("long")
+    cells = pixels.select(tile, own(width).alias("_w"), own(height).alias("_h"), F.col(idx).alias("_i"), F.col(value).alias("_v"))
+    cells = cells.selectExpr(tile, "_w", "_h", "_i", "_v", f"(_i div _w) div {block} AS brow", f"(_i % _w) div {block} AS bcol")
     agg = cells.groupBy(tile, "brow", "bcol").agg(
-        (F.max("_r") - F.min("_r") + 1).cast("long").alias("h"),
-        (F.max("_c") - F.min("_c") + 1).cast("long").alias("w"),
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.array_sort(F.collect_list(F.struct("_r", "_c", "_v"))).alias("_cells"))
+        F.max(F.least(F.lit(block).cast("long"), F.col("_h") - F.col("brow") * block)).alias("h"),
+        F.max(F.least(F.lit(block).cast("long"), F.col("_w") - F.col("bcol") * block)).alias("w"),
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_i").alias("_cells_n"),
+        F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_cells"))
+    whole = (F.col("n") == F.col("h") * F.col("w")) & (F.col("_cells_n") == F.col("n"))
+    wrong = F.concat(F.lit("block of "), F.col("n").cast("string"), F.lit(" cells where the grid has "),
+                     (F.col("h") * F.col("w")).cast("string"))
+    data = F.transform("_cells", lambda x: x.getField("_v").cast("float"))
     return agg.select(tile, "brow", "bcol", "h", "w", "n",
-                      F.transform("_cells", lambda x: x.getField("_v")).alias("data"))
+                      F.when(whole, data).otherwise(F.raise_error(wrong)).alias("data"))
+
+
+def write_blocks(blocks: DataFrame, path: str, *, tile: str = "tile") -> None:
+    """Block table partitioned by tile; a tile's blocks are dealt over tasks by block row."""
+    (blocks.repartition(tile, "brow").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(tile).parquet(path))
 
 
 def blocks_to_pixels(blocks: DataFrame, *, width: int, block: int, tile: str = "tile",

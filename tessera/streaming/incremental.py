@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.functions.columns import nan_to_null
 from tessera.operators.clean import ENCODE_RANGE, clean_filter, target_difference
 from tessera.session import scratch_path
 
@@ -23,7 +24,7 @@ def run_incremental_clean(spark: SparkSession, source: str, sink: str, checkpoin
                           tcol: str, rcol: str, lval: float = ENCODE_RANGE[0], hval: float = ENCODE_RANGE[1],
                           key: str = "pix", yvar: str = "zdif") -> None:
     """Process every file present in ``source`` now; append the result to ``sink``."""
-    stream = spark.readStream.schema(schema).parquet(source)
+    stream = nan_to_null(spark.readStream.schema(schema).parquet(source))
     cleaned = clean_stream(stream, tcol=tcol, rcol=rcol, lval=lval, hval=hval, yvar=yvar).select(key, yvar)
     q = (cleaned.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint)

@@ -20,6 +20,76 @@ def data(spark):
     return T.assemble(df, ["a", "b"]).persist()
 
 
+def test_first_k_model_is_the_sum_over_its_trees(data):
+    model = T.make_learner("gbt", label="y", seed=1, maxIter=6, maxDepth=3).fit(data)
+    short = T.first_k_model(model, 4)
+    row = data.first()
+    want = sum(w * t.predict(row.features) for w, t in list(zip(model.treeWeights, model.trees))[:4])
+    assert short.getNumTrees == 4 and short.transform(data).first().prediction == pytest.approx(want)
+
+
+def test_patience_stops_a_fit(data):
+    train, valid = data.where("pix % 4 > 0"), data.where("pix % 4 = 0")
+    res = T.train_model(train, valid, label="y", rounds=25, seed=1, patience=3, params={"maxDepth": 6, "stepSize": 1.0})
+    assert res.stop_iter is not None and res.stop_iter < 25 and res.model.getNumTrees == res.best_iter == res.stop_iter - 3
+
+
+def test_boruta_tells_signal_from_noise(spark):
+    import random
+    from tessera.ml import search as SE
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        x = rng.random()
+        rows.append((i, x, rng.random(), rng.random(), rng.random(), 10 * x + rng.random()))
+    df = spark.createDataFrame(rows, "pix long, signal double, noise double, n2 double, n3 double, y double")
+    got = {r["feature"]: r for r in SE.boruta(df, ["signal", "noise", "n2", "n3"], label="y", key="pix", max_iter=25, num_trees=8, max_depth=4)}
+    assert got["signal"]["decision"] == "confirmed" and got["signal"]["tried"] < 10
+    assert "rejected" in {got[f]["decision"] for f in ("noise", "n2", "n3")}
+    assert "confirmed" not in {got[f]["decision"] for f in ("noise", "n2", "n3")}
+    with pytest.raises(ValueError, match="can't decide"):
+        SE.boruta(df, ["signal", "noise"], label="y", key="pix", max_iter=3)
+
+
+def test_saved_models_and_their_errors(spark, data, tmp_path):
+    from tessera.ml import predict as PR
+    root = f"file://{tmp_path}/models"
+    for name, params in (("gbt", {"maxIter": 4}), ("rf", {"numTrees": 4}), ("lr", {})):
+        T.save_model(T.make_learner(name, label="y", seed=1, **params).fit(data), f"{root}/{name}_model")
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{root}/bad_model/metadata")
+    tried = PR.try_models(spark, PR.saved_models(spark, root))
+    assert {r.model: r.status for r in tried.collect()} == {"gbt_model": 1, "rf_model": 1, "lr_model": 1, "bad_model": 0}
+    raw = data.drop("features").withColumn("edem", F.lit(100.0))
+    registry = tried.withColumn("features", F.array(F.lit("a"), F.lit("b"))).withColumn(
+        "rmse", F.expr("case model when 'rf_model' then 1.0 when 'gbt_model' then 2.0 else 3.0 end"))
+    out = PR.predict_surface(raw, registry, target="edem")
+    assert out.columns == [*raw.columns, "ml_zdif", "ml_edem"]
+    row = out.orderBy("pix").first()
+    one = data.where(F.col("pix") == row.pix)
+    preds = [PR.load_model(spark, f"{root}/{m}_model").transform(one).first().prediction for m in ("gbt", "rf", "lr")]
+    assert row.ml_zdif == pytest.approx(sum(preds) / 3) and row.ml_edem == pytest.approx(100 - sum(preds) / 3)
+    best = PR.predict_surface(raw, registry, target="edem", best=1).orderBy("pix").first()
+    assert best.ml_zdif == pytest.approx(preds[1])
+    with pytest.raises(ValueError, match="needs the column"):
+        PR.predict_surface(raw.drop("b"), registry, target="edem")
+    with pytest.raises(ValueError, match="no usable model"):
+        PR.predict_surface(raw, registry.where("status = 0"), target="edem")
+    with pytest.raises(ValueError, match="no model can be loaded"):
+        PR.predict_surface(raw, registry.withColumn("status", F.lit(1)), target="edem")
+    pixels = spark.createDataFrame([("t", i, float(i % 3), 1.0, 50.0) for i in range(15)], "tile string, pixel_idx long, a double, b double, edem double")
+    grid = spark.createDataFrame([("t", 4, 4)], "tile string, width long, height long")
+    with pytest.raises(ValueError, match="don't fill the grid"):
+        PR.predict_tiles(pixels, grid, registry, f"{root}/out", target="edem")
+
+
+def test_rules_of_patience(spark):
+    assert [T.early_stopping_rounds(n) for n in (10, 400, 500, 1000, 1001, 5000)] == [20, 40, 100, 100, 50, 250]
+    from tessera.operators import metrics as M
+    got = spark.createDataFrame([(n,) for n in (10, 400, 500, 1000, 1001, 5000)], "n int").select(
+        M.early_stopping_rounds(F.col("n")).alias("p")).collect()
+    assert [r.p for r in got] == [20, 40, 100, 100, 50, 250]
+
+
 def test_first_k_of_all_trees_equals_model(data):
     model = T.make_learner("gbt", label="y", seed=1, maxIter=6, maxDepth=3).fit(data)
     full = model.transform(data).select("pix", "prediction")

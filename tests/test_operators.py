@@ -22,20 +22,26 @@ from tessera.sources import sinks as SK
 
 # ----------------------------------------------------------------- reference loops
 
-def sequential_fill(values):
-    """The reference's in-place loop over nulls, ascending."""
-    v = list(values)
-    for i in range(len(v)):
-        if v[i] is None:
-            cand = []
-            if i - 1 >= 0:
-                cand.append(v[i - 1])
-            if i + 1 < len(v):
-                cand.append(v[i + 1])
-            cand = [c for c in cand if c is not None]
-            if cand:
-                v[i] = sum(cand) / len(cand)
-    return v
+def run_fill(values):
+    """What W1 promises, run by run: k nulls between a and b become a, ..., a, (a + b) / 2; a leading
+    run keeps its nulls but for the last, which becomes b; a trailing run repeats a."""
+    out, i = list(values), 0
+    while i < len(values):
+        if values[i] is not None:
+            i += 1
+            continue
+        j = i
+        while j < len(values) and values[j] is None:
+            j += 1
+        a, b = (values[i - 1] if i else None), (values[j] if j < len(values) else None)
+        if a is not None:
+            out[i:j] = [a] * (j - i)
+            if b is not None:
+                out[j - 1] = (a + b) / 2
+        elif b is not None:
+            out[j - 1] = b
+        i = j
+    return out
 
 
 def patience_loop(curve, patience):
@@ -112,7 +118,7 @@ def test_fill_per_tile(spark):
 def test_neighbour_fill_matches_loop(spark, values, block):
     rows = [("t", i, None if v is None else float(v)) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "tile string, pixel_idx long, v double")
-    want = sequential_fill([r[2] for r in rows])
+    want = run_fill([r[2] for r in rows])
     for blk in (None, block):
         got = {r.pixel_idx: r.v for r in neighbour_fill(df, ["v"], block=blk).collect()}
         assert [got[i] for i in range(len(values))] == want  # halves of integers: exact
@@ -151,14 +157,14 @@ def _hash_order(spark, df, n, seed):
 
 @pytest.mark.parametrize("n", [0, 1, 100, 499, 500, 800])
 def test_sample_threshold_equals_window(spark, keyed, n):
-    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, n, key="pix", seed=5, method="threshold").collect()}
+    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, n, key="pix", seed=5).collect()}
     assert got == _hash_order(spark, keyed, n, 5)
     assert len(got) == 4 * min(n, 500)
 
 
 def test_nested_samples(spark, keyed):
     small = {r.pix for r in S.sample_per_group(keyed, 50, key="pix", seed=9).collect()}
-    big = {r.pix for r in S.sample_per_group(keyed, 120, key="pix", seed=9, method="threshold").collect()}
+    big = {r.pix for r in S.sample_per_group(keyed, 120, key="pix", seed=9).collect()}
     assert small < big
 
 
@@ -186,8 +192,8 @@ def test_sample_plan_truncates(spark):
     rows = S.sample_plan(tiles).collect()
     assert {r.res for r in rows} == {12, 30}  # unknown resolution: no plan
     got = {(r.res, r.multiplier): r.n for r in rows}
-    assert got[(12, 0.1)] == S.estimate_nsamples(81_000_000, 6, [0.1])[0]
-    assert got[(30, 0.5)] == S.estimate_nsamples(3600 * 3600, 7, [0.5])[0]
+    assert got[(12, 0.1)] == 1_350_000  # 81,000,000 over 6 tiles, a tenth
+    assert got[(30, 0.5)] == 925_714  # 12,960,000 over 7 tiles is 1,851,428; half of it
 
 
 # ----------------------------------------------------------------------- outliers
@@ -235,7 +241,7 @@ def test_blocks_round_trip_ragged(spark):
     width, height, block = 10, 7, 4
     rows = [("t", r * width + c, float(r * 100 + c)) for r in range(height) for c in range(width)]
     df = spark.createDataFrame(rows, "tile string, pixel_idx long, v double")
-    blocks = SK.pixel_blocks(df, width=width, block=block)
+    blocks = SK.pixel_blocks(df, width=width, height=height, block=block)
     shapes = {(b.brow, b.bcol): (b.h, b.w) for b in blocks.collect()}
     assert shapes[(1, 2)] == (3, 2) and shapes[(0, 0)] == (4, 4)
     back = {(r.pixel_idx, r.v) for r in SK.blocks_to_pixels(blocks, width=width, block=block).collect()}
@@ -246,7 +252,7 @@ def test_blocks_round_trip_ragged(spark):
 def test_sample_threshold_two_level_path(spark, keyed, n, monkeypatch):
     import tessera.operators.numbering as N
     monkeypatch.setattr(N, "DIRECT_RANK_LIMIT", 0)  # force the second histogram level
-    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, n, key="pix", seed=5, method="threshold").collect()}
+    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, n, key="pix", seed=5).collect()}
     assert got == _hash_order(spark, keyed, n, 5)
 
 
@@ -289,24 +295,132 @@ def test_exact_quantiles_resketch_and_missed_bracket(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("sizes", [[50, 120, 600], [1, 499, 500]])
-def test_nested_samples_paths_agree(spark, keyed, sizes):
-    rows = {m: {(r.n_per_group, r.tile, r.pix)
-                for r in S.nested_samples(keyed, sizes, key="pix", seed=9, method=m).collect()}
-            for m in ("window", "threshold")}
-    assert rows["window"] == rows["threshold"]
+def test_nested_samples_are_prefixes(spark, keyed, sizes):
+    rows = {(r.n_per_group, r.tile, r.pix) for r in S.nested_samples(keyed, sizes, key="pix", seed=9).collect()}
     for n in sizes:
-        assert {(t, p) for k, t, p in rows["threshold"] if k == n} == _hash_order(spark, keyed, n, 9)
-
-
-def test_auto_avoids_topk_on_large_groups(spark, keyed, monkeypatch):
-    monkeypatch.setattr(S, "TOPK_TASK_ROWS", 100)  # every group of `keyed` (500 rows) is "large"
-    got = {(r.tile, r.pix) for r in S.sample_per_group(keyed, 30, key="pix", seed=5).collect()}
-    assert got == _hash_order(spark, keyed, 30, 5)
-    assert "WindowGroupLimit" not in S.sample_per_group(keyed, 30, key="pix", seed=5)._jdf \
-        .queryExecution().executedPlan().toString()
-    take = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1, method="take").collect()]
-    auto = [r.pix for r in S.sample_n(keyed, 37, key="pix", seed=1).collect()]
-    assert sorted(take) == sorted(auto)
+        assert {(t, p) for k, t, p in rows if k == n} == _hash_order(spark, keyed, n, 9)
+
+
+@pytest.fixture(scope="module")
+def tiled(spark):
+    """Keys unique only with their tile; one tile and some keys are null."""
+    rows = [(None if t == 3 else f"t{t}", i) for t in range(4) for i in range(250)] + [("t0", None)]
+    return spark.createDataFrame(rows, "tile string, pixel_idx long")
+
+
+KEY = ["tile", "pixel_idx"]
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_composite_keys_and_null_tiles_lose_nothing(spark, tiled, limit, monkeypatch):
+    import tessera.operators.numbering as N
+    monkeypatch.setattr(N, "DIRECT_RANK_LIMIT", limit)
+    rows = S.split_by_share(tiled, 0.1, key=KEY, group=["tile"]).collect()
+    assert len(rows) == 1001
+    for t in (None, "t0", "t1", "t2"):
+        own = [r for r in rows if r.tile == t]
+        assert sum(r.part == "valid" for r in own) == math.ceil(0.1 * len(own))
+    sampled = S.sample_per_group(tiled, 200, key=KEY).collect()
+    assert sorted((r.tile or "", r.pixel_idx is None) for r in sampled if r.tile is None) == [("", False)] * 200
+    assert len(sampled) == 800 and len({(r.tile, r.pixel_idx) for r in sampled}) == 800
+    assert S.sample_n(tiled, 30, key=KEY).count() == 30
+    three = S.split_three_way(tiled, key=KEY).collect()
+    held = math.ceil(0.3 * 1001)
+    assert sum(r.part == "test" for r in three) == math.ceil(0.5 * held) and sum(r.part == "train" for r in three) == 1001 - held
+
+
+def test_keys_that_name_no_row_raise(spark, tiled):
+    with pytest.raises(Exception, match="does not name a row"):
+        S.sample_n(tiled, 30, key="pixel_idx").collect()
+
+
+def test_numbering_of_sparse_null_and_composite_keys(spark, tiled):
+    from tessera.operators.numbering import index_ordered
+    keys = [hash((i, "x")) for i in range(500)]
+    df = spark.createDataFrame([(None if i % 3 == 0 else "g", k) for i, k in enumerate(keys)] + [("g", None)], "g string, k long")
+    out = index_ordered(df, order_keys=["k"], group=["g"], rows_per_block=37, out="i").collect()
+    for g in (None, "g"):
+        own = sorted((r for r in out if r.g == g), key=lambda r: r.i)
+        assert [r.i for r in own] == list(range(len(own)))
+        assert [r.k for r in own] == sorted((r.k for r in own), key=lambda k: (k is not None, k or 0))
+    dense = index_within(tiled, order_key="pixel_idx", group=["tile"], block=64, out="i").collect()
+    assert len(dense) == 1001 and sorted(r.i for r in dense if r.tile is None) == list(range(250))
+    chunks = S.chunk_ids(tiled, 100, order_key=KEY, block=64).collect()
+    assert len(chunks) == 1001 and all(len({r.tile for r in chunks if r.chunk == c}) <= 2 for c in range(11))
+
+
+def test_blocks_raise_on_a_wrong_length(spark):
+    rows = [("t", i, float(i)) for i in range(16)]
+    for wrong in (rows[:5] + rows[6:], [*rows, ("t", 5, 1.0)], rows[:5] + rows[6:] + [rows[7]]):
+        df = spark.createDataFrame(wrong, "tile string, pixel_idx long, v double")
+        with pytest.raises(Exception, match="where the grid has"):
+            SK.pixel_blocks(df, width=4, height=4, block=2).collect()
+
+
+def test_grid_check_reports_every_tile(spark):
+    from tessera.sources import raster as RS
+    pixels = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("x", 1), (None, 1)], "tile string, pixel_idx int")
+    grid = spark.createDataFrame([("a", 2, 1), ("b", 2, 1), ("c", 2, 1), ("d", 2, 1)], "tile string, width int, height int")
+    got = {r.tile: (r.n, r.ok) for r in RS.grid_check(pixels, grid).collect()}
+    assert got == {"a": (2, True), "b": (1, False), "c": (0, False), "d": (0, False), "x": (1, None), None: (1, None)}
+    cat = spark.createDataFrame([("a", "/a_ref.tif"), ("b", "/b.tif"), ("c", "/c_ref.tif"), ("c", "/c2_ref.tif")], "tile string, path string")
+    failed = RS.missing_inputs(cat, grid, suffix="ref.tif")
+    assert {r.tile: r.reason for r in failed.collect()} == {
+        "b": "no reference raster", "c": "several reference rasters", "d": "no rasters"}
+    good, status = RS.ingest_with_quarantine(pixels, grid, failed=failed)
+    assert {r.tile: (r.status, r.reason) for r in status.collect()} == {
+        "a": ("ingested", None), "b": ("quarantined", "no reference raster"), "c": ("quarantined", "several reference rasters"),
+        "d": ("quarantined", "no rasters"), "x": ("ingested", "grid unknown"), None: ("ingested", "grid unknown")}
+    assert sorted((r.tile or "") for r in good.collect()) == ["", "a", "a", "x"]
+
+
+def test_quantiles_of_tied_values(spark):
+    import pandas as pd
+    from tessera.operators.outliers import exact_quantiles
+    vals = [0.0] * 800 + [float(i) / 3 for i in range(1200)] + [float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.0, 0.05, 0.25, 0.4, 0.401, 0.75, 1.0]
+    want = pd.Series(vals[:2000]).quantile(probs).tolist()
+    assert exact_quantiles(df, "v", probs) == pytest.approx(want, rel=1e-12)
+
+
+def test_outliers_ignore_nan(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (None,)], "v double")
+    for how in ("zscore", "iqr"):
+        assert remove_outlier(df, "v", how).count() == 10
+
+
+def test_neighbour_fill_paths_agree_on_null_tiles(spark):
+    rows = [(t, i, None if i in (0, 3, 4, 7, 8) else float(i)) for t in (None, "a") for i in range(10)]
+    df = spark.createDataFrame(rows, "tile string, pixel_idx long, v double")
+    one, two = ({(r.tile, r.pixel_idx): r.v for r in neighbour_fill(df, ["v"], block=b).collect()} for b in (None, 4))
+    assert one == two and all(one[None, i] == one["a", i] for i in range(10))
+
+
+def test_baseline_keeps_groups_without_a_model(spark):
+    from tessera.ml.baseline import fit_baseline, predict_baseline
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), (None, 1.0, 1.0), (None, 2.0, 3.0)], "g string, x double, y double")
+    model = fit_baseline(df.where("x > 0"), label="y", feature="x", by=["g"])
+    out = predict_baseline(df.unionByName(spark.createDataFrame([("new", 1.0, 1.0)], df.schema)), model, feature="x", by=["g"]).collect()
+    assert len(out) == 5 and [r.pred for r in out if r.g == "new"] == [None] and all(r.pred is not None for r in out if r.g != "new")
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from tessera import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_fill_statistics_mode_ties_nulls_and_types(spark):
