@@ -42,7 +42,7 @@ from tessera.llm.texts import slices
 from tessera.llm.wordhash import WordHasher, mixed
 
 #: Tokens of a block, and text bytes per shard.
-BLOCK_TOKENS, SHARD_BYTES = 4_000_000, 8 << 20
+BLOCK_TOKENS, SHARD_BYTES = 1_500_000, 8 << 20
 #: Fingerprints of the document's end and of the context before its first word.
 END, BEGIN = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0xB0E0B0E0B0E0B0E3)
 
@@ -306,7 +306,7 @@ def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int):
         seen = np.zeros(len(words), np.int64)
         for shard, at in block.parts(np.argsort(block.shard[:-1], kind="stable"), block.shard[:-1]):
             seen[at] = unpacked(table["data"][by["words"][shard]].as_buffer())[0]
-        p_word = (np.maximum(seen - e[np.minimum(seen, 3)], 0) / types if types else 0) + back_off / (known_words + 1)
+        p_word = np.maximum(seen - e[np.minimum(seen, 3)], 0) / max(types, 1) + back_off / (known_words + 1)
         total = about[0][block.context]
         some = np.maximum(total, 1)
         left = (d[1] * about[1] + d[2] * about[2] + d[3] * about[3])[block.context]
