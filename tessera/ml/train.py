@@ -112,7 +112,7 @@ class FitResult:
     def metrics_row(self) -> dict:
         best = None if self.best_iter is None else f"{self.best_iter}_of_{self.rounds}"
         return {"learner": self.learner, "seed": self.seed, "rmse": self.rmse, "r2": self.r2,
-                "best_iter": best, "n_valid": self.n_valid}
+                "best_iter": best, "stop_iter": self.stop_iter, "n_valid": self.n_valid}
 
 
 def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str = "gbt",
