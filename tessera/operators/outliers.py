@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import require_columns
-from tessera.session import materialize
+from tessera.session import materialize, scratch_scope
 
 METHODS = ("zscore", "iqr", "percentile")
 
@@ -110,7 +110,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
     pos = [p * (n - 1) for p in probs]
     need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
     while True:
-        picked, below, upto = _pick(x, lo, hi, need)
+        with scratch_scope(df.sparkSession):
+            picked, below, upto = _pick(x, lo, hi, need)
         if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
             break
         margin *= 16  # bracket missed (never expected from the sketch guarantee): widen

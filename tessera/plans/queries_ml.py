@@ -21,7 +21,7 @@ from tessera.operators import sample as S
 from tessera.operators.metrics import ensemble_mean_wide, rmse_r2_aggs
 from tessera.plans.queries_eval import labelled
 from tessera.plans.registry import query
-from tessera.session import materialize, scratch_path
+from tessera.session import materialize, scratch_path, scratch_scope
 
 FEATURES = ["f_qty", "f_disc", "f_tax", "f_n"]
 LABEL = "zdif"
@@ -38,14 +38,15 @@ def _prepared(spark: SparkSession, sf: str) -> DataFrame:
 
 @contextmanager
 def _split(spark: SparkSession, sf: str, share: float = 0.1, seed: int = 43, features=FEATURES):
-    d = S.split_by_share(_prepared(spark, sf), share, key="pix", seed=seed)
-    train = T.assemble(d.where(F.col("part") == "train"), features).persist()
-    valid = T.assemble(d.where(F.col("part") == "valid"), features).persist()
-    try:
-        yield train, valid
-    finally:
-        train.unpersist()
-        valid.unpersist()
+    with scratch_scope(spark):  # results are metrics and models: nothing reads the input afterwards
+        d = S.split_by_share(_prepared(spark, sf), share, key="pix", seed=seed)
+        train = T.assemble(d.where(F.col("part") == "train"), features).persist()
+        valid = T.assemble(d.where(F.col("part") == "valid"), features).persist()
+        try:
+            yield train, valid
+        finally:
+            train.unpersist()
+            valid.unpersist()
 
 
 FIT_SCHEMA = ("learner string, seed int, rmse double, r2 double, best_iter string, stop_iter int, n_valid long, "
@@ -218,7 +219,8 @@ def rfa(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("boruta", ids="F6")
 def boruta(spark: SparkSession, sf: str) -> DataFrame:
-    rows = SE.boruta(_prepared(spark, sf), FEATURES, label=LABEL, key="pix", max_iter=12, seed=42)
+    with scratch_scope(spark):
+        rows = SE.boruta(_prepared(spark, sf), FEATURES, label=LABEL, key="pix", max_iter=12, seed=42)
     return T.results_frame(spark, rows, "feature string, hits int, tried int, p_confirm double, decision string")
 
 

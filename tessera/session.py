@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,4 +103,22 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Paths of the tables that ``materialize`` has written, in order.
+_WRITTEN: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete at the end what ``materialize`` wrote inside: for callers whose results no longer read it."""
+    start = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        own, _WRITTEN[start:] = _WRITTEN[start:], []
+        for path in own:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

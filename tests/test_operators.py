@@ -405,6 +405,18 @@ def test_baseline_keeps_groups_without_a_model(spark):
     assert len(out) == 5 and [r.pred for r in out if r.g == "new"] == [None] and all(r.pred is not None for r in out if r.g != "new")
 
 
+def test_scratch_scope_deletes_what_it_wrote(spark):
+    from tessera import session
+    outer = session.materialize(spark.range(3), "outer")
+    with session.scratch_scope(spark):
+        inner = session.materialize(spark.range(4), "inner")
+        files = inner.inputFiles()
+        assert inner.count() == 4
+    import os
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert outer.count() == 3
+
+
 def test_a_cluster_needs_a_shared_folder(monkeypatch):
     from tessera import session
 
