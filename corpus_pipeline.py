@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.llm import bpe_fst, decontaminate, near_dup, toxicity
 from tessera.llm.common import read_table, written
@@ -19,8 +18,7 @@ from tessera.llm.queries import TOXIC, toxicity_model
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score stays below the threshold; labelled rows of ``docs`` teach the model."""
-    scored = toxicity.score_column(toxicity_model(spark, docs, sf_dir))
-    return docs.where(scored(F.col("text")) < TOXIC)
+    return toxicity.keep_below(docs, toxicity_model(spark, docs, sf_dir), text="text", limit=TOXIC)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,17 +27,16 @@ import hashlib
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.texts import Memo, map_texts
+from tessera.llm.texts import Memo, map_texts, releasing, worker_cache
 
 #: Determinised states kept, pieces whose ids are kept, characters of a pre-token window, ids of a decoded block.
-STATES, MEMO_ROOM, WINDOW, DECODE_BLOCK = 200_000, 300_000, 1 << 18, 1 << 16
+STATES, MEMO_ROOM, WINDOW, DECODE_BLOCK = 90_000, 150_000, 1 << 18, 1 << 16
 #: A rank above all ranks.
 NEVER = 1 << 62
 
@@ -78,10 +77,13 @@ class Transducer:
             self.ends[node] = rank
         self.pairs: dict[int, bool] = {}
         self.spines: dict[int, dict[int, list[bytes]]] = {0: {}, -1: {}}
+        self.states: dict[tuple, State] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.states: dict[tuple, State] = {}
+        for state in self.states.values():
+            state.moves.clear()  # states refer to each other: without this they would never be freed
+        self.states = {}
         self.start = self._state((((), -1, 0),))
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -120,7 +122,7 @@ class Transducer:
         key = last << 32 | token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 4 * STATES:
+            if len(self.pairs) >= 3 * STATES:
                 self.pairs.clear()
             left, right, rank = self.spine(last, -1), self.spine(token, 0), self.ranks
             i = j = 0
@@ -263,6 +265,9 @@ class Codec:
         """Ids of a text as little-endian 32-bit integers."""
         return b"".join(b"".join(map(self.memo.__getitem__, found)) for found in pieces(self.pattern, text))
 
+    def close(self) -> None:
+        self.transducer._clear()
+
     def token_bytes(self, ids: np.ndarray) -> bytes:
         if len(ids) and int(ids.max()) >= len(self.sizes):
             raise ValueError("unknown token id")
@@ -278,10 +283,9 @@ class Codec:
         yield stream.end()
 
 
-@cache
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker process."""
-    return Codec(read_ranks(path), pattern)
+    return worker_cache(("codec", path, pattern), lambda: Codec(read_ranks(path), pattern))
 
 
 def encode_table(df: DataFrame, *, key: str, text: str, vocabulary: str, pattern: str) -> DataFrame:
@@ -289,7 +293,7 @@ def encode_table(df: DataFrame, *, key: str, text: str, vocabulary: str, pattern
     def make():
         own = codec(vocabulary, pattern)
         return lambda texts: {"ids": [np.frombuffer(own.encode(t), "<i4") for t in texts]}
-    return map_texts(df, key, text, make, [("ids", "array<int>", pa.list_(pa.int32()))])
+    return map_texts(df, key, text, make, [("ids", "array<int>", pa.list_(pa.int32()))], keeps=True)
 
 
 def decode_table(df: DataFrame, *, key: str, ids: str, vocabulary: str, pattern: str) -> DataFrame:
@@ -301,7 +305,7 @@ def decode_table(df: DataFrame, *, key: str, ids: str, vocabulary: str, pattern:
         for batch in batches:
             out = ["".join(own.decode(np.array(x.as_py(), "<u4"))) if x.is_valid else None for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["key", "text"])
-    return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, text string")
+    return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(releasing(run), f"key {kind}, text string")
 
 
 def round_trip(df: DataFrame, *, key: str, text: str, vocabulary: str, pattern: str) -> DataFrame:
@@ -324,4 +328,4 @@ def round_trip(df: DataFrame, *, key: str, text: str, vocabulary: str, pattern:
             return out
         return work
     return map_texts(df, key, text, make, [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()),
-                                           ("decoded_sha256", "string", pa.string()), ("same", "boolean", pa.bool_())])
+                                           ("decoded_sha256", "string", pa.string()), ("same", "boolean", pa.bool_())], keeps=True)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
+from tessera.llm.texts import releasing
 
 
 class UnionFind:
@@ -79,7 +80,7 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of the edges (a, b): root is the least node it can reach."""
-    forest = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_forest, "u long, v long")
+    forest = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(releasing(_forest), "u long, v long")
     stars = written(forest.where("u <> v").distinct(), "forest")
     if stars.isEmpty():
         return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))

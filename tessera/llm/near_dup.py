@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tessera.llm import superminhash as smh
 from tessera.llm.common import written
 from tessera.llm.components import UnionFind, components
-from tessera.llm.texts import map_texts
+from tessera.llm.texts import map_texts, releasing
 
 BANDS, ROWS = 25, 4
 #: Members of a block in the exhaustive step.
@@ -119,6 +119,7 @@ def hub_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     weight = members.groupBy(F.col("node").alias("_n")).agg(F.sum("company").alias("w"))
     hubs = (members.join(weight, F.col("node") == F.col("_n"))
             .groupBy(F.col("bucket").alias("_b")).agg(F.max_by("node", F.struct("w", "node")).alias("hub")))
+    hubs = written(hubs, "hubs")  # so that the join below can be split where a bucket is large
     pairs = (members.join(hubs, F.col("bucket") == F.col("_b")).where("node <> hub")
              .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
@@ -134,7 +135,7 @@ def hub_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             near = (sig[0] == sig[1]).sum(1) >= least
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near))
 
-    return written(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(estimate, "a long, b long"), "pairs")
+    return written(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(releasing(estimate), "a long, b long"), "pairs")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -147,7 +148,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"s_{s}"))
     return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
-                   .mapInArrow(check, "a long, b long"), "links")
+                   .mapInArrow(releasing(check), "a long, b long"), "links")
 
 
 def _several(members: DataFrame) -> DataFrame:
@@ -172,7 +173,7 @@ def linkable(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     owners = open_.select("node", "root").distinct()
     parts = (sets.join(owners.select("node"), "node", "left_semi").select("node", "shingles")
-             .mapInArrow(spread, "node long, s array<long>")
+             .mapInArrow(releasing(spread), "node long, s array<long>")
              .join(owners, "node").select("node", "root", F.explode("s").alias("s")))
     shared = (parts.groupBy(F.col("s").alias("_s")).agg(F.min("root").alias("x"), F.max("root").alias("y"))
               .where("x <> y").select("_s"))

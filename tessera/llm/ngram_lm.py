@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import blocks_of, written
-from tessera.llm.texts import slices
+from tessera.llm.texts import releasing, slices
 from tessera.llm.wordhash import WordHasher, mixed
 
 #: Tokens of a block, and text bytes per shard.
@@ -122,7 +122,7 @@ def token_blocks(docs: DataFrame, *, doc_id: str, text: str, learn: Column, shar
                     ids, learns, lengths, parts, size, made = [], [], [], [], 0, made + 1
         if parts:
             yield block()
-    return written(rows.mapInArrow(run, schema), "lm-blocks")
+    return written(rows.mapInArrow(releasing(run), schema), "lm-blocks")
 
 
 class Block:
@@ -348,9 +348,9 @@ def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column) -
     size = docs.agg(F.sum(F.octet_length(text).cast("long") + F.lit(8))).first()[0] or 0
     shards = blocks_of(size, SHARD_BYTES)
     blocks = token_blocks(docs, doc_id=doc_id, text=text, learn=learn, shards=shards)
-    asked = blocks.mapInArrow(_ask_bigrams(shards), _ROW)
+    asked = blocks.mapInArrow(releasing(_ask_bigrams(shards)), _ROW)
     counted = written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards), _ROW), "lm-bigrams")
-    words = blocks.select("block", "vocabulary").mapInArrow(_ask_words(shards), _ROW)
+    words = blocks.select("block", "vocabulary").mapInArrow(releasing(_ask_words(shards)), _ROW)
     continued = written(words.unionAll(counted.where("kind = 'part'")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words")
     score = _scores(_sums(counted), _sums(continued), shards)
     none = lambda kind: F.lit(None).cast(kind)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +15,42 @@ from pyspark.sql import functions as F
 SLICE_CHARS, SLICE_ROWS = 1 << 20, 1024
 
 
+_KEPT: dict = {}
+
+
+def worker_cache(key: tuple, make: Callable[[], object]):
+    """What a worker process keeps from task to task: the last thing asked for, under its key, and no other.
+
+    Workers live as long as their executor, so what one operator keeps must not add to another's memory.
+    """
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Free what the worker keeps; ``close`` breaks reference cycles that the collector may not look at."""
+    for kept in _KEPT.values():
+        getattr(kept, "close", lambda: None)()
+    _KEPT.clear()
+    gc.unfreeze()
+    gc.collect()
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that hands freed memory back to the system at its end: workers live on, idle."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+    return task
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) runs of a batch, each of about SLICE_CHARS characters; nulls are empty."""
     texts, start, size = [], 0, 0
@@ -27,15 +66,19 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]
 
 
 def map_texts(df: DataFrame, key: str, text: str, make: Callable[[], Callable[[list[str]], dict[str, list]]],
-              columns: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+              columns: list[tuple[str, str, pa.DataType]], keeps: bool = False) -> DataFrame:
     """``key`` and new columns per row: ``make()`` runs once a task and gives a function of text lists.
 
+    What it keeps for later tasks goes through ``worker_cache`` (``keeps``); any other task frees what
+    an operator before it has left in the worker.
     Other columns of ``df`` are not read, so their names cannot clash.
     """
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, " + ", ".join(f"{n} {sql}" for n, sql, _ in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         work = make()
         for batch in batches:
             for start, texts in slices(batch, 1):
@@ -44,7 +87,7 @@ def map_texts(df: DataFrame, key: str, text: str, make: Callable[[], Callable[[l
                     [batch.column(0).slice(start, len(texts)), *(pa.array(out[n], t) for n, _, t in columns)],
                     ["key", *(n for n, _, _ in columns)])
 
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(releasing(run), schema)
 
 
 class Memo(dict):

@@ -22,7 +22,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.common import blocks_of
+from tessera.llm.texts import releasing, slices, worker_cache
 from tessera.llm.token_count import tokenizer
 from tessera.llm.wordhash import WordHasher, WordTable
 
@@ -82,9 +82,8 @@ def parsed(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return (None if null else key), ids.astype("<u4")
 
 
-@cache
 def word_encoder(path: str, width: int):
-    """A function of texts giving their ids as little-endian bytes; one per worker process.
+    """A function of texts giving their ids as little-endian bytes.
 
     For a tokenizer that lower-cases and drops white space, words between ASCII white space are
     encoded apart: no merge, normalisation or special string spans a space. So a worker keeps the
@@ -159,15 +158,14 @@ def write_records(df: DataFrame, path: str, *, key: str, text: str, vocabulary:
     end = int(end_id).to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tessera.llm.texts import slices
-        encode = word_encoder(vocabulary, width)
+        encode = worker_cache(("words", vocabulary, width), lambda: word_encoder(vocabulary, width))
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for start, texts in slices(batch, 1):
                 out = [frame(payload_of(k, ids + end, width)) for k, ids in zip(keys[start:start + len(texts)], encode(texts))]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    (dealt.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    (dealt.mapInArrow(releasing(run), "frame binary").select(F.col("frame").cast("string").alias("value"))
      .write.mode("overwrite").text(f"{path}/records"))
 
 
@@ -196,8 +194,9 @@ def write_index(spark: SparkSession, path: str) -> DataFrame:
         run, "file string, ordinal long, key long, offset long, length long, n_tokens long, ids_crc32 long, before long")
     raw.write.mode("overwrite").parquet(f"{path}/scanned")
     scanned = spark.read.schema(raw.schema).parquet(f"{path}/scanned")
-    # one row per file; names sort as the partitions did
-    before = Window.orderBy("_name").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file, in the order of the partitions
+    part = F.regexp_extract("_name", r"^part-(\d+)", 1).cast("long")
+    before = Window.orderBy(part, "_name").rowsBetween(Window.unboundedPreceding, -1)
     first = (scanned.groupBy(F.col("file").alias("_name")).agg(F.sum("n_tokens").alias("n"))
              .select("_name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first")))
     index = (scanned.join(first, F.col("file") == F.col("_name"))

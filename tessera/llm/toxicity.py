@@ -5,8 +5,8 @@ learns that an insult next to a group mention weighs more than both alone, which
 cannot express. Terms are a text's distinct words (ASCII lower-cased, anything but letters parts
 words) and their prefixes, hashed to ``buckets``; whole texts count, wherever the terms stand.
 
-Fitting uses at most ``sample`` labelled rows, the smallest by a hash of the key (a documented
-bound; with fewer labels, all). Chi-square keeps at most ``kept`` buckets, so the model, which
+Fitting uses at most ``sample`` labelled rows, chosen by a hash of the key (a documented bound;
+with fewer labels, all). Chi-square keeps at most ``kept`` buckets, so the model, which
 travels to every task, has at most kept * (factors + 1) numbers at any corpus size. Everything
 else covers all rows.
 
@@ -22,18 +22,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.texts import Memo, map_texts
+from tessera.llm.texts import Memo, forget, map_texts, releasing, slices
 
 #: Labelled rows that a fit takes at most.
 SAMPLE = 20_000
 #: Words whose terms a worker remembers.
-MEMO_ROOM = 300_000
+MEMO_ROOM = 100_000
 
 
 @dataclass(frozen=True)
@@ -203,14 +202,20 @@ def score_table(docs: DataFrame, model: Model, *, key: str, text: str) -> DataFr
     return map_texts(docs, key, text, make, [("score", "double", pa.float64())])
 
 
-def score_column(model: Model):
-    """The score as a column function of a text column, to filter a table with all its columns."""
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def keep_below(docs: DataFrame, model: Model, *, text: str, limit: float) -> DataFrame:
+    """``docs`` with all its columns, without the rows that score ``limit`` or more.
+
+    Batches pass through as they came; only a slice of their texts at a time becomes Python strings.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         score = scorer(model)
-        for texts in batches:
-            yield pd.Series(score([t or "" for t in texts]), dtype="float64")
-    return scored
+        for batch in batches:
+            kept = [s < limit for _, texts in slices(batch, at) for s in score(texts)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def fit_labels(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str, learn: Column,
