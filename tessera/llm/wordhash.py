@@ -28,11 +28,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """``hasher(data)`` gives fingerprints, starts and ends of the words; A-Z equal a-z."""
+    """``hasher(data)`` gives fingerprints, starts and ends of the words; A-Z equal a-z if ``fold``."""
 
-    def __init__(self):
+    def __init__(self, fold: bool = True):
         self.values = mixed(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
-        self.values[65:91] = self.values[97:123]
+        if fold:
+            self.values[65:91] = self.values[97:123]
         self.power = self.inverse = np.zeros(0, np.uint64)
 
     def _grow(self, n: int) -> None:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from functools import cache
 
 import brute
 import numpy as np
@@ -19,13 +20,16 @@ BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+library_of = cache(token_count.tokenizer)
+
+
 def _library(path, text):
-    return token_count.tokenizer(path).encode(text or "", add_special_tokens=False).ids
+    return library_of(path).encode(text or "", add_special_tokens=False).ids
 
 
 def test_chunks_splice_to_the_whole(odd_texts):
     rng = random.Random(1)
-    tok = token_count.tokenizer(BYTE)
+    tok = library_of(BYTE)
     for t in odd_texts:
         t = (t or "") * 3
         chunk, overlap = rng.choice([20, 37, 64]), rng.choice([4, 9, 16])
@@ -34,10 +38,22 @@ def test_chunks_splice_to_the_whole(odd_texts):
 
 @pytest.mark.parametrize("text", ["a" * 3000, " " * 3000, "x" + " " * 900 + "y z", "é" * 500 + "." * 2000, "<|endoftext|>" * 200, "\n\n a" * 600])
 def test_widening_where_nothing_aligns(text):
-    tok = token_count.tokenizer(BYTE)
+    tok = library_of(BYTE)
     assert [i for part in token_count.chunked_ids(tok, text, 64, 8) for i in part] == _library(BYTE, text)
 
 
+def test_runs_count_like_the_whole(odd_texts, monkeypatch):
+    monkeypatch.setattr(token_count, "ROOM", 50)
+    count = token_count.counter(library_of(BYTE))
+    rng = random.Random(4)
+    words = ["word", "the", "a", "x.", "don't", "é", "12", "!?", "<|endoftext|>", "日本", "\x1c", "<|", "'s", "\u200b"]
+    texts = [t or "" for t in odd_texts] + ["".join(rng.choice(words) + rng.choice([" ", "\n", "", " ", " "]) for _ in range(40)).strip()
+                                            for _ in range(500)]
+    for at in range(0, len(texts), 37):
+        some = texts[at:at + 37]
+        assert count(some) == [len(_library(BYTE, t)) for t in some]
+
+
 def test_counts(spark, doc_table, odd_texts):
     rows = [(i if i % 9 else None, t) for i, t in enumerate(odd_texts[:300] + odd_texts[-4:])] + [(1, "word " * 20_000)] * 2
     got = token_count.count_tokens(doc_table(rows), key="doc_id", text="text", vocabulary=BYTE, limit=10).collect()
