@@ -13,7 +13,24 @@ from tessera.session import scratch_path
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
-@query("op1_near_dup")
+#: DuckDB: the lower-cased words of a text, as ``w``.
+WORDS_SQL = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w"""
+
+
+@query("op1_near_dup", sql=f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS_SQL} FROM documents),
+s AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.a, r.c FROM r JOIN e ON r.doc_id = e.b),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id, d.doc_id = coalesce(m.c, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""")
 def op1_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", width=3,
                                     percent=85).select("doc_id", "n_shingles", "component_id", "kept")
@@ -26,11 +43,9 @@ def op2_token_counts(spark, sf_dir):
             .withColumnRenamed("key", "doc_id"))
 
 
-@query("op3_decontaminate", sql=r"""
-WITH d AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-i AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+@query("op3_decontaminate", sql=f"""
+WITH d AS (SELECT DISTINCT doc_id, {WORDS_SQL} FROM documents),
+i AS (SELECT DISTINCT item_id, {WORDS_SQL} FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d)),
 its AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM i)),
 n AS (SELECT item_id, CAST(count(*) AS INTEGER) AS n_item FROM its GROUP BY 1),
@@ -80,14 +95,48 @@ def op7_exact_topk(spark, sf_dir):
                       is_query=F.col("vec_id") % 50 == 0, k=5)
 
 
-@query("op8_url_filter")
+#: DuckDB: prior weight of a level, from the rows (n, k, prior) of that level.
+_WEIGHT_SQL = """SELECT coalesce(least(greatest(CASE WHEN b > 0 THEN q / b - 1 ELSE 1000 END, 2), 1000), 1000) AS m FROM (
+  SELECT sum(n * (pow(k / n - prior, 2) - prior * (1 - prior) / n)) AS b, sum(n * prior * (1 - prior)) AS q FROM {0})"""
+
+
+@query("op8_url_filter", sql=f"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+x AS (SELECT *, array_to_string(string_split(host, '.')[-2:], '.') AS two, string_split(host, '.')[-1] AS one,
+             array_to_string(string_split(host, '.')[-3:], '.') AS three FROM u),
+v AS (SELECT page_id, host, path, CASE WHEN two IN {url_filter.SUFFIXES} THEN three ELSE two END AS domain,
+             CASE WHEN two IN {url_filter.SUFFIXES} THEN two ELSE one END AS suffix FROM x),
+h AS (SELECT host, domain, suffix, count(*) AS n, sum(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS k
+      FROM v JOIN labels l ON l.doc_id = v.page_id GROUP BY ALL),
+g AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
+t AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM g GROUP BY ALL),
+o AS (SELECT coalesce(sum(k), 0) + 0.2 AS a, coalesce(sum(n) - sum(k), 0) + 1.8 AS b FROM t),
+t1 AS (SELECT suffix, n, k, a / (a + b) AS prior FROM t, o), t2 AS ({_WEIGHT_SQL.format("t1")}),
+t3 AS (SELECT suffix, k + prior * m AS a, n - k + (1 - prior) * m AS b FROM t1, t2),
+g1 AS (SELECT domain, g.n, g.k, a / (a + b) AS prior FROM g JOIN t3 USING (suffix)), g2 AS ({_WEIGHT_SQL.format("g1")}),
+g3 AS (SELECT domain, k + prior * m AS a, n - k + (1 - prior) * m AS b FROM g1, g2),
+h1 AS (SELECT host, h.n, h.k, a / (a + b) AS prior FROM h JOIN g3 USING (domain)), h2 AS ({_WEIGHT_SQL.format("h1")}),
+h3 AS (SELECT host, k + prior * m AS a, n - k + (1 - prior) * m AS b FROM h1, h2),
+z AS (SELECT v.*, coalesce(h3.a, g3.a, t3.a, o.a) AS a, coalesce(h3.b, g3.b, t3.b, o.b) AS b,
+             CASE WHEN h3.a IS NOT NULL THEN 'host' WHEN g3.a IS NOT NULL THEN 'domain' WHEN t3.a IS NOT NULL THEN 'suffix'
+                  ELSE 'overall' END AS level,
+             CASE WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+                  WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+                  WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+                  WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+      FROM v LEFT JOIN h3 USING (host) LEFT JOIN g3 USING (domain) LEFT JOIN t3 USING (suffix), o),
+y AS (SELECT *, a / (a + b) AS rate, greatest(a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)), 0) AS bound FROM z)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict, round(rate, 6) AS bad_rate, round(bound, 6) AS bad_bound, level FROM y""")
 def op8_url_filter(spark, sf_dir):
     pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
     # the outcome of a page: bad where its label says toxic or low quality
     outcomes = pages.select("page_id", "url").join(
         labels.select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad")),
         "page_id")
-    return url_filter.filter_urls(pages, outcomes, page_id="page_id", url="url", rules=URL_RULES)
+    judged = url_filter.filter_urls(pages, outcomes, page_id="page_id", url="url", rules=URL_RULES)
+    return judged.withColumns({c: F.round(c, 6) for c in ("bad_rate", "bad_bound")})
 
 
 #: Score from which a text counts as toxic.
