@@ -50,15 +50,6 @@ def seeded_hash(key: str | Column | Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))
 
 
-def hex_bucket(h: Column, start: int, digits: int) -> Column:
-    """Integer value of ``digits`` hex characters of ``h`` starting at ``start`` (1-based).
-
-    Equal-length hex strings sort like their integer values, so bucket order
-    agrees with the order of the full hash.
-    """
-    return F.conv(F.substring(h, start, digits), 16, 10).cast("int")
-
-
 def round_all(df: DataFrame, cols: Iterable[str], scale: int = 4) -> DataFrame:
     cols = set(cols)
     return df.select(*[F.round(F.col(c).cast("double"), scale).alias(c) if c in cols else F.col(c)
