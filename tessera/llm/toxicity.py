@@ -79,8 +79,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, key: str, text: str, la
     """Written table ``label, terms`` of the bounded sample of labelled rows where ``learn`` holds."""
     picked = (labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
               .where(F.col("key").isNotNull() & F.col("label").isNotNull()).groupBy("key").agg(F.max("label").alias("label"))
-              .withColumnRenamed("key", key).where(learn).withColumnRenamed(key, "key")
-              .orderBy(F.xxhash64("key"), "key").limit(sample))
+              .withColumnRenamed("key", key).where(learn).withColumnRenamed(key, "key"))
+    picked = written(picked, "labels")
+    n = picked.count()
+    if n > sample:
+        # a hash threshold a little below the share leaves few rows for the exact bound to sort
+        picked = picked.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * 0.95 * sample / n))
+        picked = picked.orderBy(F.xxhash64("key"), "key").limit(sample)
     # at most ``sample`` rows of a key and a flag: small enough to broadcast
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(picked), "key")
     buckets, prefixes = settings.buckets, settings.prefixes

@@ -249,6 +249,17 @@ def test_op9_on_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
 
 
+def test_training_rows_are_bounded(spark, doc_table):
+    rows = [(i, "text %d" % i) for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    got = toxicity.training_rows(doc_table(rows), labels, key="doc_id", text="text", label="toxic", learn=F.col("doc_id") % 3 > 0,
+                                 settings=toxicity.Settings(), sample=500)
+    assert 400 < got.count() <= 500
+    few = toxicity.training_rows(doc_table(rows), labels.limit(100), key="doc_id", text="text", label="toxic",
+                                 learn=F.lit(True), settings=toxicity.Settings(), sample=500)
+    assert few.count() == 100
+
+
 def test_odd_rows_and_labels(spark, doc_table):
     rows = [(i, "you idiot clown" if i % 2 else "a kind word") for i in range(200)] + [(None, "idiot"), (300, None), (301, ""), (302, "!? 12"), (302, "!? 12")]
     label_rows = [(i, i % 2) for i in range(200)] + [(5, 0), (None, 1), (6, None), (999, 1)]
