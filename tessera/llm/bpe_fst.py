@@ -7,7 +7,8 @@ ends a token that may follow the last one, a branch outputs that token and retur
 Determinisation keeps the set of open branches, each with the output it still owes; what all
 branches agree on is emitted at once. A branch lives at most as long as the longest token, so the
 look-ahead is bounded. States and transitions are built when first met and kept in a bounded
-cache; when it is full, it is dropped and grows anew.
+cache; when it is full, further ones are built for the moment, and after many of these the cache
+is dropped and grows anew.
 
 Decoding. Ids become bytes by gathering from one array of all tokens' bytes; an incremental UTF-8
 state machine turns the byte stream into text, carrying an unfinished character of up to three
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.texts import Memo, map_texts, releasing, worker_cache
 
 #: Determinised states kept, pieces whose ids are kept, characters of a pre-token window, ids of a decoded block.
-STATES, MEMO_ROOM, WINDOW, DECODE_BLOCK = 90_000, 150_000, 1 << 18, 1 << 16
+STATES, MEMO_ROOM, WINDOW, DECODE_BLOCK = 80_000, 150_000, 1 << 18, 1 << 16
 #: A rank above all ranks.
 NEVER = 1 << 62
 
@@ -84,6 +85,7 @@ class Transducer:
         for state in self.states.values():
             state.moves.clear()  # states refer to each other: without this they would never be freed
         self.states = {}
+        self.stored = self.passing = 0
         self.start = self._state((((), -1, 0),))
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -146,7 +148,11 @@ class Transducer:
     def _state(self, branches: tuple) -> State:
         state = self.states.get(branches)
         if state is None:
-            state = self.states[branches] = State(branches)
+            state = State(branches)
+            if len(self.states) < STATES:
+                self.states[branches] = state
+            else:
+                self.passing += 1
         return state
 
     def _move(self, state: State, byte: int) -> tuple[State, tuple]:
@@ -172,7 +178,10 @@ class Transducer:
                 n -= 1
         if n:
             out = [(owed[n:], last, node) for owed, last, node in out]
-        move = state.moves[byte] = self._state(tuple(out)), first[:n]
+        move = self._state(tuple(out)), first[:n]
+        if self.stored < 2 * STATES:
+            self.stored += 1
+            state.moves[byte] = move
         return move
 
     def _end(self, state: State, byte: int) -> tuple:
@@ -182,7 +191,10 @@ class Transducer:
             if child is not None:
                 token = self.ends[child]
                 if token >= 0 and (last < 0 or self.follows(last, token)):
-                    ids = state.ends[byte] = (*owed, token)
+                    ids = (*owed, token)
+                    if self.stored < 2 * STATES:
+                        self.stored += 1
+                        state.ends[byte] = ids
                     return ids
         raise AssertionError("every text has tokens")
 
@@ -190,7 +202,7 @@ class Transducer:
         """Ids of one pre-token."""
         if not data:
             return []
-        if len(self.states) > STATES:
+        if self.passing > 50 * STATES:
             self._clear()
         state, ids = self.start, []
         for byte in data[:-1]:
