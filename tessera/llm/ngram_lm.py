@@ -14,6 +14,11 @@ with a(w) the number of distinct contexts of w, and discounts D and E from the c
 either level (Chen and Goodman, 1998). V + 1 leaves one share for unknown words, so the
 probabilities of all words and the unknown one add up to 1 after any context.
 
+A context seen more than ``HOT_TOKENS`` times is dealt over several shards by a hash of context and
+follower, so equal bigrams still meet. Each of these shards knows a part of the context's totals;
+the second round adds the parts in the context's home shard and tells them to the blocks. The list
+of such contexts has at most one row per ``HOT_TOKENS`` tokens and goes to every task.
+
 A shard's file lies in the worker's own temporary folder and is deleted with the task; what other
 tasks need is in shared storage. Work, memory and traffic per task are bounded by the sizes of a
 block and of a shard; their numbers follow the input.
@@ -43,6 +48,8 @@ from tessera.llm.wordhash import WordHasher, mixed
 
 #: Tokens of a block, and text bytes per shard.
 BLOCK_TOKENS, SHARD_BYTES = 1_500_000, 8 << 20
+#: Times a context is seen for each shard that it is dealt to.
+HOT_TOKENS = 1_000_000
 #: Fingerprints of the document's end and of the context before its first word.
 END, BEGIN = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0xB0E0B0E0B0E0B0E3)
 
@@ -85,6 +92,10 @@ def joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
 
 
+def pair_keys(contexts: np.ndarray, followers: np.ndarray) -> np.ndarray:
+    return mixed(contexts + _GOLDEN) + followers * _GOLDEN
+
+
 def counts_array(n: np.ndarray) -> np.ndarray:
     return n.astype(np.uint32)
 
@@ -125,10 +136,47 @@ def token_blocks(docs: DataFrame, *, doc_id: str, text: str, learn: Column, shar
     return written(rows.mapInArrow(releasing(run), schema), "lm-blocks")
 
 
+class Hot:
+    """Contexts that are dealt to several shards: sorted fingerprints, and their numbers of shards."""
+
+    def __init__(self, contexts: np.ndarray, splits: np.ndarray):
+        order = np.argsort(contexts)
+        self.contexts, self.splits = contexts[order], splits[order]
+
+    def __call__(self, names: np.ndarray) -> np.ndarray:
+        """Numbers of shards, 1 for other contexts."""
+        if not len(self.contexts):
+            return np.ones(len(names), np.int64)
+        at = np.minimum(np.searchsorted(self.contexts, names), len(self.contexts) - 1)
+        return np.where(self.contexts[at] == names, self.splits[at], 1)
+
+
+def hot_contexts(blocks: DataFrame) -> Hot:
+    """Contexts seen more than ``HOT_TOKENS`` times.
+
+    A block names a context only from an even share of that on, so what is not named of a context
+    stays below ``HOT_TOKENS`` in all.
+    """
+    least, limit = max(1, HOT_TOKENS // max(1, blocks.count())), HOT_TOKENS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n_docs, vocabulary, tokens in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                words = unpacked(vocabulary.as_buffer())[0]
+                n = np.bincount(unpacked(tokens.as_buffer())[0], minlength=len(words))
+                n[words == END] = 0
+                names, n = np.append(words, BEGIN), np.append(n, n_docs)
+                yield pa.RecordBatch.from_arrays([pa.array(x[n >= least].astype(np.int64)) for x in (names.view(np.int64), n)],
+                                                 ["context", "n"])
+    found = (blocks.select(F.size("doc_ids"), "vocabulary", "tokens").mapInArrow(releasing(run), "context long, n long")
+             .groupBy("context").agg(F.sum("n").alias("n")).where(F.col("n") > limit).toArrow())
+    return Hot(found["context"].to_numpy().view(np.uint64), -(-found["n"].to_numpy() // limit))
+
+
 class Block:
     """A block's distinct bigrams, in the order in which shards are asked."""
 
-    def __init__(self, words: np.ndarray, seq: np.ndarray, lengths: np.ndarray, shards: int):
+    def __init__(self, words: np.ndarray, seq: np.ndarray, lengths: np.ndarray, shards: int, hot: Hot):
         n = len(words)  # context n is the begin
         starts = np.cumsum(lengths) - lengths
         before = np.empty(len(seq), np.uint64)
@@ -138,9 +186,16 @@ class Block:
         context, self.word = np.divmod(keys, np.uint64(n + 1))
         self.context, self.word = context.astype(np.int64), self.word.astype(np.int64)
         self.names = np.append(words, BEGIN)
-        self.shard = (follower(self.names) % np.uint64(shards)).astype(np.int64)
-        self.by_shard = np.argsort(self.shard[self.context], kind="stable")  # bigrams
-        self.names_by_shard = np.argsort(self.shard, kind="stable")  # contexts, and words
+        keys = follower(self.names)
+        self.home = (keys % np.uint64(shards)).astype(np.int64)  # of contexts, and words
+        self.by_home = np.argsort(self.home, kind="stable")
+        self.shard = self.home[self.context]  # of bigrams
+        splits = hot(self.names)[self.context]
+        dealt = np.flatnonzero(splits > 1)
+        if len(dealt):
+            pairs = mixed(pair_keys(self.names[self.context[dealt]], keys[self.word[dealt]]) ^ _GOLDEN)
+            self.shard[dealt] = (self.shard[dealt] + (pairs % splits[dealt].astype(np.uint64)).astype(np.int64)) % shards
+        self.by_shard = np.argsort(self.shard, kind="stable")
 
     def parts(self, order: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(shard, positions) of every shard that occurs."""
@@ -156,16 +211,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                        pa.array(data, pa.binary())], ["kind", "shard", "block", "data"])
 
 
-def _ask_bigrams(shards: int):
+def _ask_bigrams(shards: int, hot: Hot):
     """Blocks -> what they ask of context shards: contexts, their numbers of bigrams, followers, learned counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.array(row["lengths"], np.int64)
-                block = Block(unpacked(row["vocabulary"])[0], unpacked(row["tokens"])[0], lengths, shards)
+                block = Block(unpacked(row["vocabulary"])[0], unpacked(row["tokens"])[0], lengths, shards, hot)
                 learned = np.bincount(block.back, np.repeat(np.array(row["learns"], float), lengths)).astype(np.int64)
                 names = follower(block.names)
-                bigrams = dict(block.parts(block.by_shard, block.shard[block.context]))
+                bigrams = dict(block.parts(block.by_shard, block.shard))
                 rows = []
                 for shard, at in bigrams.items():
                     contexts, sizes = np.unique(block.context[at], return_counts=True)
@@ -203,15 +258,15 @@ def _counts_of_counts(n: np.ndarray) -> np.ndarray:
     return np.array([*((n == k).sum() for k in (1, 2, 3, 4)), (n > 0).sum(), n.sum()], np.int64)
 
 
-def _bigram_shard(shards: int):
-    """All asks of a context shard -> answers to blocks, continuation counts by word, counts of counts."""
+def _bigram_shard(shards: int, hot: Hot):
+    """All asks of a context shard -> answers to blocks, parts of dealt contexts' totals, continuation counts by word, counts of counts."""
     def run(table: pa.Table) -> pa.Table:
         shard, asks = table["shard"][0].as_py(), []
         blocks = table["block"].to_pylist()
         for data in table["data"]:
             contexts, sizes, low, high, learned = unpacked(data.as_buffer())
             owner = np.repeat(contexts, sizes)
-            asks.append((contexts, sizes, mixed(owner + _GOLDEN) + joined(low, high) * _GOLDEN, joined(low, high), learned))
+            asks.append((contexts, sizes, pair_keys(owner, joined(low, high)), joined(low, high), learned))
         keys = np.concatenate([mixed(a[2]) for a in asks])
         counts = np.concatenate([a[4] for a in asks]).astype(np.int64)
         seen = counts > 0
@@ -228,6 +283,9 @@ def _bigram_shard(shards: int):
             known = names[at] == contexts if len(names) else np.zeros(len(contexts), bool)
             told = [counts_array(np.where(known, x[at], 0)) if len(names) else np.zeros(len(contexts), np.uint32) for x in about]
             rows.append(("bigrams", shard, block, packed(counts_array(model(mixed(asked))), *told)))
+        for i in np.flatnonzero(hot(names) > 1).tolist():
+            key = follower(names[i:i + 1])
+            rows.append(("total", int(key[0] % np.uint64(shards)), 0, packed(key, *(x[i:i + 1] for x in about))))
         home = (words % np.uint64(shards)).astype(np.int64)
         order = np.argsort(home, kind="stable")
         cuts = np.flatnonzero(np.diff(home[order], prepend=-1))
@@ -239,11 +297,11 @@ def _bigram_shard(shards: int):
 
 
 def _ask_words(shards: int):
-    """Blocks -> the words they ask of word shards."""
+    """Blocks -> the words, and the begin, that they ask of word shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = follower(unpacked(data.as_buffer())[0])
+                keys = follower(np.append(unpacked(data.as_buffer())[0], BEGIN))
                 shard = (keys % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
@@ -253,12 +311,15 @@ def _ask_words(shards: int):
 
 
 def _word_shard(table: pa.Table) -> pa.Table:
-    """Continuation counts and asks of a word shard -> answers to blocks, counts of counts."""
-    shard, parts, asks = table["shard"][0].as_py(), [], []
+    """Continuation counts, parts of dealt contexts' totals and asks of a word shard -> answers to blocks, counts of counts."""
+    shard, parts, asks, dealt = table["shard"][0].as_py(), [], [], {}
     for kind, block, data in zip(table["kind"].to_pylist(), table["block"].to_pylist(), table["data"]):
         arrays = unpacked(data.as_buffer())
         if kind == "part":
             parts.append((joined(*arrays[:2]), arrays[2]))
+        elif kind == "total":
+            context, *about = (int(x[0]) for x in arrays)
+            dealt[context] = np.array(about, np.int64) + dealt.get(context, 0)
         else:
             asks.append((block, joined(*arrays)))
     keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
@@ -266,7 +327,11 @@ def _word_shard(table: pa.Table) -> pa.Table:
     total = np.bincount(back, np.concatenate([p[1] for p in parts]), len(hashes)).astype(np.int64) if parts else np.zeros(0, np.int64)
     model = Mapped(hashes, total)
     rows = [("sum", 0, 0, packed(_counts_of_counts(total)))]
-    rows += [("words", shard, block, packed(counts_array(model(keys)))) for block, keys in asks]
+    contexts = np.array(sorted(dealt), np.uint64)
+    for block, keys in asks:
+        at = np.flatnonzero(np.isin(keys, contexts))
+        abouts = np.array([dealt[k] for k in keys[at].tolist()], np.int64).T
+        rows.append(("words", shard, block, packed(counts_array(model(keys)), *([at, *abouts] if len(at) else []))))
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -282,7 +347,7 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array(d)
 
 
-def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int):
+def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int, hot: Hot):
     """A block and its answers -> its documents' scores."""
     d, e = discounts(bigram_sums), discounts(word_sums)
     n_tokens, types, known_words = int(bigram_sums[5]), int(word_sums[5]), int(word_sums[4])
@@ -296,16 +361,20 @@ def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int):
         row = table.slice(by["block"][0], 1).to_pylist()[0]
         lengths = np.array(row["lengths"], np.int64)
         words, seq = unpacked(row["vocabulary"])[0], unpacked(row["data"])[0]
-        block = Block(words, seq, lengths, shards)
+        block = Block(words, seq, lengths, shards, hot)
         count = np.zeros(len(block.context), np.int64)
         about = np.zeros((4, len(block.names)), np.int64)
-        for shard, at in block.parts(block.by_shard, block.shard[block.context]):
+        for shard, at in block.parts(block.by_shard, block.shard):
             told = unpacked(table["data"][by["bigrams"][shard]].as_buffer())
             count[at] = told[0]
             about[:, np.unique(block.context[at])] = told[1:]
-        seen = np.zeros(len(words), np.int64)
-        for shard, at in block.parts(np.argsort(block.shard[:-1], kind="stable"), block.shard[:-1]):
-            seen[at] = unpacked(table["data"][by["words"][shard]].as_buffer())[0]
+        seen = np.zeros(len(block.names), np.int64)
+        for shard, at in block.parts(block.by_home, block.home):
+            told = unpacked(table["data"][by["words"][shard]].as_buffer())
+            seen[at] = told[0]
+            if len(told) > 1:  # whole totals of dealt contexts in place of the parts
+                about[:, at[told[1]]] = told[2:]
+        seen = seen[:-1]
         p_word = np.maximum(seen - e[np.minimum(seen, 3)], 0) / max(types, 1) + back_off / (known_words + 1)
         total = about[0][block.context]
         some = np.maximum(total, 1)
@@ -348,11 +417,12 @@ def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column) -
     size = docs.agg(F.sum(F.octet_length(text).cast("long") + F.lit(8))).first()[0] or 0
     shards = blocks_of(size, SHARD_BYTES)
     blocks = token_blocks(docs, doc_id=doc_id, text=text, learn=learn, shards=shards)
-    asked = blocks.mapInArrow(releasing(_ask_bigrams(shards)), _ROW)
-    counted = written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards), _ROW), "lm-bigrams")
+    hot = hot_contexts(blocks)
+    asked = blocks.mapInArrow(releasing(_ask_bigrams(shards, hot)), _ROW)
+    counted = written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot), _ROW), "lm-bigrams")
     words = blocks.select("block", "vocabulary").mapInArrow(releasing(_ask_words(shards)), _ROW)
-    continued = written(words.unionAll(counted.where("kind = 'part'")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words")
-    score = _scores(_sums(counted), _sums(continued), shards)
+    continued = written(words.unionAll(counted.where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words")
+    score = _scores(_sums(counted), _sums(continued), shards, hot)
     none = lambda kind: F.lit(None).cast(kind)
     answers = counted.where("kind = 'bigrams'").unionAll(continued.where("kind = 'words'")).select(
         "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),

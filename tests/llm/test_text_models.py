@@ -212,6 +212,38 @@ def test_scores_equal_the_definition(spark, doc_table, monkeypatch, learned):
         assert r.train_tokens == total and r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 
+def test_a_hot_context_is_dealt_over_shards(spark, doc_table, monkeypatch, tmp_path):
+    """One word before most others, and documents of one word: no shard gets all that follows, scores stay the definition's."""
+    monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 1500)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 3000)
+    monkeypatch.setattr(ngram_lm, "HOT_TOKENS", 400, raising=False)
+    whole, folder = ngram_lm._bigram_shard, str(tmp_path)
+
+    def counted(*args):
+        run = whole(*args)
+
+        def shard(table):
+            n = sum(len(ngram_lm.unpacked(x.as_buffer())[4]) for x in table["data"])
+            with open(f"{folder}/{table['shard'][0].as_py()}", "w") as f:
+                f.write(str(n))
+            return run(table)
+        return shard
+    monkeypatch.setattr(ngram_lm, "_bigram_shard", counted)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"| w{rng.randrange(3000)}" for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    rows += [(1000 + i, f"w{rng.randrange(3000)}") for i in range(1500)]
+    got = ngram_lm.score_documents(doc_table(rows).repartition(3), doc_id="doc_id", text="text", learn=F.col("doc_id") % 10 < 7).collect()
+    want = _kneser_ney([([*brute.words(t), "</s>"], i % 10 < 7) for i, t in rows])
+    by = {i: w for (i, _), w in zip(rows, want)}
+    assert len(got) == len(rows)
+    for r in got:
+        n, known, total, base, score = by[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert max(sizes) < 1600 < sum(sizes) / 5
+
+
 def test_op4_beats_word_frequencies_on_held_out_rows(spark):
     got = queries.op4_ngram_lm(spark, SF_SMALL).collect()
     assert len(got) == len(_documents(spark))
