@@ -97,6 +97,7 @@ def pair_keys(contexts: np.ndarray, followers: np.ndarray) -> np.ndarray:
 
 
 def counts_array(n: np.ndarray) -> np.ndarray:
+    """Counts within a block or a shard's types. Counts over all blocks stay 64-bit integers."""
     return n.astype(np.uint32)
 
 
@@ -281,8 +282,8 @@ def _bigram_shard(shards: int, hot: Hot):
         for block, (contexts, _, asked, _, _) in zip(blocks, asks):
             at = np.minimum(np.searchsorted(names, contexts), max(0, len(names) - 1))
             known = names[at] == contexts if len(names) else np.zeros(len(contexts), bool)
-            told = [counts_array(np.where(known, x[at], 0)) if len(names) else np.zeros(len(contexts), np.uint32) for x in about]
-            rows.append(("bigrams", shard, block, packed(counts_array(model(mixed(asked))), *told)))
+            told = [np.where(known, x[at], 0) if len(names) else np.zeros(len(contexts), np.int64) for x in about]
+            rows.append(("bigrams", shard, block, packed(model(mixed(asked)), *told)))
         for i in np.flatnonzero(hot(names) > 1).tolist():
             key = follower(names[i:i + 1])
             rows.append(("total", int(key[0] % np.uint64(shards)), 0, packed(key, *(x[i:i + 1] for x in about))))
@@ -331,7 +332,7 @@ def _word_shard(table: pa.Table) -> pa.Table:
     for block, keys in asks:
         at = np.flatnonzero(np.isin(keys, contexts))
         abouts = np.array([dealt[k] for k in keys[at].tolist()], np.int64).T
-        rows.append(("words", shard, block, packed(counts_array(model(keys)), *([at, *abouts] if len(at) else []))))
+        rows.append(("words", shard, block, packed(model(keys), *([at, *abouts] if len(at) else []))))
     return pa.Table.from_batches([_batch(rows)])
 
 

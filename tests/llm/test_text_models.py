@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,6 +245,20 @@ def test_a_hot_context_is_dealt_over_shards(spark, doc_table, monkeypatch, tmp_p
     assert max(sizes) < 1600 < sum(sizes) / 5
 
 
+def test_counts_over_all_blocks_pass_32_bits():
+    words, n = np.array([7], np.uint64), np.array([1], np.uint32)
+    one = ngram_lm.packed(words, n, *ngram_lm.six_bytes(ngram_lm.follower(words)), np.array([3_000_000_000], np.uint32))
+    run = ngram_lm._bigram_shard(1, ngram_lm.Hot(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    told = run(pa.Table.from_batches([ngram_lm._batch([("ask", 0, block, one) for block in (1, 2)])]))
+    answers = [ngram_lm.unpacked(d.as_buffer()) for k, d in zip(told["kind"].to_pylist(), told["data"]) if k == "bigrams"]
+    assert [[int(x[0]) for x in a] for a in answers] == 2 * [[6_000_000_000, 6_000_000_000, 0, 0, 1]]
+    part = ngram_lm.packed(*ngram_lm.six_bytes(ngram_lm.follower(words)), np.array([3_000_000_000], np.uint32))
+    ask = ngram_lm.packed(*ngram_lm.six_bytes(ngram_lm.follower(words)))
+    told = ngram_lm._word_shard(pa.Table.from_batches([ngram_lm._batch([("part", 0, 0, part), ("part", 0, 0, part), ("ask", 0, 1, ask)])]))
+    answers = [ngram_lm.unpacked(d.as_buffer()) for k, d in zip(told["kind"].to_pylist(), told["data"]) if k == "words"]
+    assert int(answers[0][0][0]) == 6_000_000_000
+
+
 def test_op4_beats_word_frequencies_on_held_out_rows(spark):
     got = queries.op4_ngram_lm(spark, SF_SMALL).collect()
     assert len(got) == len(_documents(spark))
