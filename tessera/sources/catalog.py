@@ -35,12 +35,12 @@ def tile_catalog(cat: DataFrame, *, root: str, suffix: str = "_byldem.parquet")
                            .alias("fparquet"), "n_files")
 
 
-def union_catalogs(parts: Sequence[DataFrame]) -> DataFrame:
-    """Several listings as one catalogue, columns matched by name; a path listed twice stays once."""
+def union_catalogs(parts: Sequence[DataFrame], *, distinct: bool = False) -> DataFrame:
+    """Several listings as one catalogue, columns matched by name; a path listed twice stays twice, or once if ``distinct``."""
     out = parts[0].select("res", "tile", "path")
     for p in parts[1:]:
         out = out.unionByName(p.select("res", "tile", "path"))
-    return out.distinct()
+    return out.distinct() if distinct else out
 
 
 def rasters_by_tile(cat: DataFrame) -> DataFrame:

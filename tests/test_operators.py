@@ -17,6 +17,7 @@ from tessera.operators import sample as S
 from tessera.operators.neighbour import neighbour_fill
 from tessera.operators.numbering import index_within
 from tessera.operators.outliers import remove_outlier
+from tessera.sources import catalog as K
 from tessera.sources import sinks as SK
 
 
@@ -417,6 +418,13 @@ def test_scratch_scope_deletes_what_it_wrote(spark):
     assert outer.count() == 3
 
 
+def test_union_of_listings_that_overlap(spark):
+    one = spark.createDataFrame([(12, "t", "a.tif"), (12, "t", "b.tif"), (12, "t", "b.tif")], "res int, tile string, path string")
+    two = spark.createDataFrame([("b.tif", "t", 12), ("c.tif", "u", 12)], "path string, tile string, res int")
+    assert sorted(r.path for r in K.union_catalogs([one, two]).collect()) == ["a.tif", "b.tif", "b.tif", "b.tif", "c.tif"]
+    assert sorted(r.path for r in K.union_catalogs([one, two], distinct=True).collect()) == ["a.tif", "b.tif", "c.tif"]
+
+
 def test_a_cluster_needs_a_shared_folder(monkeypatch):
     from tessera import session
 
