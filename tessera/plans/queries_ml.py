@@ -268,12 +268,16 @@ def model_registry(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("predict_tiles", ids="R7 S10 S12 P8")
 def predict_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Surfaces of the tiles that aren't done yet, written as blocks over a grid of 16 columns."""
+    """Surfaces of the tiles that aren't done yet, written as blocks over a grid of 16 columns; null cells fill a tile's last line."""
     pixels, registry, _ = _saved(spark, sf)
     lines = S.index_ordered(pixels, order_keys=["pix"], group=["tile"], out="pixel_idx")
-    grid = lines.groupBy("tile").agg(F.lit(16).cast("long").alias("width"), F.floor(F.count(F.lit(1)) / 16).cast("long").alias("height"))
+    grid = lines.groupBy("tile").agg(F.lit(16).cast("long").alias("width"), F.ceil(F.count(F.lit(1)) / 16).cast("long").alias("height"),
+                                     F.count(F.lit(1)).alias("n"))
     grid = materialize(grid, "grid")
-    whole = lines.join(grid, "tile").where(F.col("pixel_idx") < F.col("width") * F.col("height")).drop("width", "height")
+    # models take no null features; without edem the surface is null
+    rest = (grid.where("n < width * height").select("tile", F.explode(F.sequence(F.col("n"), F.col("width") * F.col("height") - 1)).alias("pixel_idx"))
+            .select("*", *[F.lit(0.0).alias(f) for f in FEATURES]))
+    whole = lines.unionByName(rest, allowMissingColumns=True)
     done = grid.orderBy("tile").limit(3).select("tile")
     out = scratch_path(spark, "predicted")
     PR.predict_tiles(materialize(whole, "whole"), grid, registry, out, target="edem", best=5, block=8, done=materialize(done, "done"))

@@ -82,6 +82,20 @@ def test_saved_models_and_their_errors(spark, data, tmp_path):
         PR.predict_tiles(pixels, grid, registry, f"{root}/out", target="edem")
 
 
+def test_predict_tiles_writes_every_pixel(spark, monkeypatch, tmp_path):
+    from conftest import SF_SMALL
+
+    from tessera.plans import queries_ml as Q
+    monkeypatch.setattr(Q, "scratch_path", lambda _, name: f"file://{tmp_path}/{name}")
+    want = {r.tile: r["count"] for r in Q.labelled(spark, SF_SMALL).groupBy("tile").count().collect()}
+    cells = {r.tile: r.cells for r in Q.predict_tiles(spark, SF_SMALL).collect()}
+    assert any(n % 16 for t, n in want.items() if t in cells)
+    assert cells == {t: -(-want[t] // 16) * 16 for t in sorted(want)[3:]}
+    blocks = spark.read.parquet(f"file://{tmp_path}/predicted")
+    full = blocks.select("tile", F.explode("data").alias("v")).groupBy("tile").agg(F.count("v").alias("n")).collect()
+    assert {r.tile: r.n for r in full} == {t: want[t] for t in cells}
+
+
 def test_rules_of_patience(spark):
     assert [T.early_stopping_rounds(n) for n in (10, 400, 500, 1000, 1001, 5000)] == [20, 40, 100, 100, 50, 250]
     from tessera.operators import metrics as M
