@@ -10,14 +10,16 @@ lack. So by the pigeonhole principle a document that reaches the threshold holds
 sketched shingle: no link is lost. Documents smaller than the threshold allows are pruned by
 size. Candidates are confirmed by exact containment of the shingle strings.
 
-Items with fewer words than a shingle prove nothing and match nothing; so do null and empty
-texts. Rows with a null item id are no items; documents with a null id are reported under null.
+Items with fewer words than a shingle match nothing, as in the query's SQL; ``contained_items``
+warns of how many there are, and ``short_items`` names them. Null and empty texts match nothing. Rows with a null item id are no items; documents with a null id are reported under null.
 Repeated rows give one link. Empty tables give no rows. Only the named columns are read. A text
 is worked on as a whole in one row; it needs some ten times its size in memory.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,12 @@ def shingle_strings(word_list: Column, width: int) -> Column:
         w, width, lambda i: F.concat_ws(" ", F.slice(w, i + F.lit(1), width)))))
 
 
+def short_items(items: DataFrame, *, item_id: str, text: str, width: int = 5) -> DataFrame:
+    """``item_id, n_words`` of the items that have words, but fewer than a shingle: no document is compared with them."""
+    return (items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.size(words(F.col(text))).alias("n_words"))
+            .where(F.col("n_words").between(1, width - 1)).distinct())
+
+
 def item_sketches(items: DataFrame, *, item_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Items (``item_id, item_shingles, n_item``) and sketches (``probe, item_id, least``), both written."""
     own = (items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("_w"))
@@ -79,6 +87,9 @@ def contained_items(docs: DataFrame, items: DataFrame, *, doc_id: str, text: str
 
     ``text_key`` hashes id and text: it names the row also where ids are null or repeat.
     """
+    n_short = short_items(items, item_id=item_id, text=item_text, width=width).count()
+    if n_short:
+        warnings.warn(f"{n_short} items have fewer than {width} words and are compared with no document", stacklevel=2)
     own, probes = item_sketches(items, item_id=item_id, text=item_text, width=width, percent=percent)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), text_key(doc_id, text).alias("text_key"))
     # every shingle of a document carries the document's size, which prunes the items that are too large for it

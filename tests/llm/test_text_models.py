@@ -152,6 +152,17 @@ def test_contained_items(spark, doc_table, monkeypatch):
     assert decontaminate.contained_items(doc_table(rows), item_table.limit(0), **args).count() == 0
 
 
+def test_items_shorter_than_a_shingle_are_reported(spark, doc_table):
+    items = spark.createDataFrame([(1, "one Two three four"), (2, "a b c d e"), (3, ""), (None, "x y"), (4, "yes"), (4, "yes"), (5, None)],
+                                  "item_id long, text string")
+    docs = doc_table([(1, "yes one two three four"), (2, "so a b c d e")])
+    with pytest.warns(UserWarning, match="^2 items have fewer than 5 words"):
+        links = decontaminate.contained_items(docs, items, doc_id="doc_id", text="text", item_id="item_id", item_text="text")
+    assert [(r.doc_id, r.item_id) for r in links.collect()] == [(2, 2)]
+    short = decontaminate.short_items(items, item_id="item_id", text="text")
+    assert {(r.item_id, r.n_words) for r in short.collect()} == {(1, 4), (4, 1)}
+
+
 # language model
 
 def _kneser_ney(docs):
