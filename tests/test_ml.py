@@ -96,6 +96,28 @@ def test_predict_tiles_writes_every_pixel(spark, monkeypatch, tmp_path):
     assert {r.tile: r.n for r in full} == {t: want[t] for t in cells}
 
 
+def test_searches_fit_every_candidate(spark, monkeypatch):
+    """The lists that reach the fits are F1's grid and all that random_candidates lists of either space."""
+    from conftest import SF_SMALL
+
+    from tessera.plans import queries_ml as Q
+    tried = []
+
+    def search(train, valid, candidates, **_):
+        tried.append([dict(c) for c in candidates])
+        return [{"rank": 1, "candidate": 0, **candidates[0], "rmse": 0.0, "r2": 0.0}]
+    listed = {}
+    for r in Q.random_candidates(spark, SF_SMALL).collect():
+        listed.setdefault(r.space, []).append((r.stepSize, r.maxDepth, r.leaves, r.columns))
+    monkeypatch.setattr(Q.SE, "search", search)
+    for query in (Q.grid_search, Q.random_search, Q.random_search_log):
+        query(spark, SF_SMALL).collect()
+    assert {(c["stepSize"], c["maxDepth"], c["leaves"]) for c in tried[0]} == {(s, d, n) for s in (0.2, 0.1) for d in (10, 12) for n in (25, 35)}
+    for space, got in zip(("uniform", "log"), tried[1:]):
+        assert sorted((c["stepSize"], c["maxDepth"], c["leaves"], c["columns"]) for c in got) == sorted(listed[space])
+        assert len(got) == 8
+
+
 def test_rules_of_patience(spark):
     assert [T.early_stopping_rounds(n) for n in (10, 400, 500, 1000, 1001, 5000)] == [20, 40, 100, 100, 50, 250]
     from tessera.operators import metrics as M
