@@ -91,14 +91,17 @@ def map_texts(df: DataFrame, key: str, text: str, make: Callable[[], Callable[[l
 
 
 class Memo(dict):
-    """A bounded memo: up to ``room`` results are kept, later new keys are computed each time."""
+    """A bounded memo: up to ``room`` results are kept, later new keys are computed each time.
 
-    def __init__(self, compute: Callable, room: int):
+    Keys over ``longest`` are never kept, so the memo's bytes are bounded, too.
+    """
+
+    def __init__(self, compute: Callable, room: int, longest: int = 64):
         super().__init__()
-        self.compute, self.room = compute, room
+        self.compute, self.room, self.longest = compute, room, longest
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) < self.room:
+        if len(self) < self.room and len(key) <= self.longest:
             self[key] = value
         return value
