@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, decontaminate, near_dup, ngram_lm, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, near_dup, ngram_lm, sentence_pieces, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -165,3 +165,9 @@ def op9_toxicity(spark, sf_dir):
 def op10_jump_shards(spark, sf_dir):
     return (shard.jump_shards(read_table(spark, sf_dir, "documents"), key="doc_id", text="text", shards=24)
             .withColumnRenamed("key", "doc_id"))
+
+
+@query("op11_sentence_pieces")
+def op11_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.round_trip(read_table(spark, sf_dir, "documents"), key="doc_id", text="text",
+                                      model=public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("key", "doc_id")
