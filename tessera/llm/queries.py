@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, decontaminate, near_dup, ngram_lm, sentence_pieces, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, hard_negatives, near_dup, ngram_lm, sentence_pieces, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -171,3 +171,26 @@ def op10_jump_shards(spark, sf_dir):
 def op11_sentence_pieces(spark, sf_dir):
     return sentence_pieces.round_trip(read_table(spark, sf_dir, "documents"), key="doc_id", text="text",
                                       model=public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("key", "doc_id")
+
+
+@query("op12_hard_negatives", sql="""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(sum(a.x * c.x) AS BIGINT) AS score
+      FROM c a JOIN c ON a.d = c.d AND a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+             CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INTEGER) AS positive_rank
+      FROM s WHERE same QUALIFY positive_rank <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score, positive_rank
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op12_hard_negatives(spark, sf_dir):
+    # a seventh of the labels is wrong on purpose
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), row_id="vec_id", vector="embedding", label=label,
+                                         is_anchor=F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
