@@ -3,20 +3,19 @@
 Components become integers floor(256 * x). A block of candidates is kept as postings, one list
 per dimension with the non-zero weights; each sparse query row scatters its weights times the
 postings into one dense score array per block, ``argpartition`` selects the block's k best, and
-a window merges the blocks. Query blocks times candidate blocks form a grid of bounded cells, so
-no task holds all queries or all candidates.
-
-Vectors that are null or hold a null or a non-finite component take no part. Vectors of unequal
-length count as sparse rows (missing components are 0; an empty vector scores 0 with all). Ties
-go to the smaller vec_id. Rows with a null id take no part. A repeated query id is answered once
-per row; candidates with the query's own id are skipped. An empty table gives no rows. Scores
-that could pass 63 bits raise an error instead of wrapping.
+a window merges the blocks. Query blocks times candidate blocks form a grid of cells bounded by
+their memory, so no task holds all queries or all candidates.
+
+Vectors that are null or hold a null or a non-finite component take no part; every other vector
+does, whatever its size: products beyond 63 bits are formed with Python's integers, and a component
+or a result that does not fit in 63 bits raises. Vectors of unequal length count as sparse rows
+(missing components are 0; an empty vector scores 0 with all). Ties go to the smaller vec_id. Rows
+with a null id take no part. A repeated query id is answered once per row, a repeated candidate
+counts once per row; candidates with the query's own id are skipped. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,28 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import blocks_of, written
+from tessera.llm.common import written
+from tessera.llm.vectors import as_long, block_count, block_of, each, flat, in_range, largest_product, quantised, sizes_of
 
-#: Rows in a block of candidates and of queries: bounds a cell's memory.
-CANDIDATE_BLOCK, QUERY_BLOCK = 4096, 512
 _SCHEMA = "query_row long, query_id long, vec_id long, score long"
 
 
-def quantised(vector: Column) -> Column:
-    """floor(256 * x) per component; null where the vector can't take part."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > 2.0**52))
-    ints = F.transform(vector, lambda x: F.floor(x.cast("double") * 256.0).cast("long"))
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(False)), ints)
-
-
 def _rows(table: pa.Table, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers, ids, and the vectors as one value array with offsets."""
     own = table.filter(pc.equal(table["side"], side)).combine_chunks()
-    lists = own["v"].combine_chunks() if own.num_rows else pa.array([], pa.list_(pa.int64()))
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))).astype(np.int64)
-    return (own["row"].to_numpy(), own["id"].to_numpy(), lists.flatten().to_numpy(zero_copy_only=False), offsets)
+    return own["row"].to_numpy(), own["id"].to_numpy(), *flat(own, "v")
 
 
 def _postings(values: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
@@ -80,6 +67,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         at = np.flatnonzero(scores >= cut)
     else:
         at = np.arange(len(scores))
+    if scores.dtype == object:
+        return np.array(sorted(at.tolist(), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     return at[np.lexsort((ids[at], -scores[at]))[:k]]
 
 
@@ -89,11 +78,9 @@ def _cell(k: int):
         _, c_id, c_val, c_off = _rows(table, 1)
         found: dict[str, list] = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
         if len(q_id) and len(c_id):
-            most = int(np.abs(q_val).max(initial=0)) * int(np.abs(c_val).max(initial=0)) * max(1, int(np.diff(q_off).max(initial=1)))
-            if most >= 2**63:
-                raise ValueError("an inner product may pass 63 bits")
+            most = largest_product(q_val, c_val, int(np.diff(q_off).max(initial=1)))
             # int32 halves the memory traffic where the scores provably fit
-            kind = np.int32 if most < 2**31 else np.int64
+            kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
             postings = [(at, w.astype(kind)) for at, w in _postings(c_val, c_off)]
             scores, step = np.empty(len(c_id), kind), np.empty(len(c_id), kind)
             for i in range(len(q_id)):
@@ -104,17 +91,17 @@ def _cell(k: int):
                         if isinstance(at, slice):
                             scores += np.multiply(weight, w, out=step)
                         else:
-                            scores[at] += weight * kind(w)
+                            scores[at] += weight * (w if kind is object else kind(w))
                 open_ = np.flatnonzero(c_id != q_id[i])
                 if not len(open_):
                     continue
                 own = scores if len(open_) == len(c_id) else scores[open_]
                 ids = c_id if len(open_) == len(c_id) else c_id[open_]
-                top = _best(own.astype(np.int64), ids, k)
+                top = _best(own if kind is object else own.astype(np.int64), ids, k)
                 found["query_row"].append(np.full(len(top), q_row[i]))
                 found["query_id"].append(np.full(len(top), q_id[i]))
                 found["vec_id"].append(ids[top])
-                found["score"].append(own[top].astype(np.int64))
+                found["score"].append(as_long(own[top]))
         return pa.table({n: np.concatenate(v) if v else np.array([], np.int64) for n, v in found.items()})
     return search
 
@@ -124,16 +111,12 @@ def top_k(vectors: DataFrame, *, row_id: str, vector: str, is_query: Column, k:
     v = written(vectors.select(F.col(row_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v"),
                                F.monotonically_increasing_id().alias("row"), is_query.alias("asks"))
                 .where(F.col("id").isNotNull() & F.col("v").isNotNull()), "vectors")
-    sizes = v.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    n_c, n_q = blocks_of(sizes["n"], CANDIDATE_BLOCK), blocks_of(sizes["q"] or 0, QUERY_BLOCK)
-    block = lambda n, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n)).cast("int")
-    asks = v.where("asks").select(
-        F.lit(0).alias("side"), "row", "id", "v", block(n_q, 1).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"))
-    held = v.select(
-        F.lit(1).alias("side"), "row", "id", "v", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"),
-        block(n_c, 2).alias("cb")).select("side", "row", "id", "v", "qb", "cb")
+    n, q, width = sizes_of(v, F.col("asks"), "v")
+    n_c = block_count(vectors.sparkSession, n, width)
+    n_q = max(1, -(-q // max(1, -(-n // n_c))))  # as many queries as candidates in a cell
+    asks = v.where("asks").select(F.lit(0).alias("side"), "row", "id", "v", block_of("row", n_q, 1).alias("qb"), each(n_c).alias("cb"))
+    held = v.select(F.lit(1).alias("side"), "row", "id", "v", each(n_q).alias("qb"), block_of("row", n_c, 2).alias("cb"))
     best = asks.unionByName(held).groupBy("qb", "cb").applyInArrow(_cell(k), _SCHEMA)
     by_query = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", in_range("score").alias("score")))
