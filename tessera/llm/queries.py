@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe_fst, decontaminate, hard_negatives, near_dup, ngram_lm, sentence_pieces, shard, token_count, token_records, topk, toxicity, url_filter
+from tessera.llm import bpe_fst, decontaminate, hard_negatives, near_dup, ngram_lm, prefix_trie, sentence_pieces, shard, token_count, token_records, topk, toxicity, url_filter
 from tessera.llm.common import read_table
 from tessera.llm.registry import query
 from tessera.session import scratch_path
@@ -194,3 +194,37 @@ def op12_hard_negatives(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), row_id="vec_id", vector="embedding", label=label,
                                          is_anchor=F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
+#: DuckDB: unsigned CRC-32 of the conversation's number as text, bit by bit (-1 stands for a shift).
+_CRC_SQL = """xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+@query("op13_prefix_trie", sql=f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(octet_length(encode(coalesce(role, '')))
+                  || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS r, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_CRC_SQL} % 4 AS h FROM t),
+u AS (SELECT c.conv_id, 0 AS part, r, role, text FROM c JOIN t ON t.conv_id = c.base AND r < h
+      UNION ALL SELECT c.conv_id, 1, r, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND r >= h),
+w AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, r) AS d, role, text FROM u),
+p AS (SELECT conv_id, d, text, string_agg(md5(octet_length(encode(role)) || ':' || role || text), '' ORDER BY d)
+             OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS path FROM w),
+n AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'),
+             lambda x: x <> ''))) AS w FROM p GROUP BY ALL
+      UNION ALL SELECT '', 0, min(conv_id), count(*), 0 FROM c HAVING count(*) > 0),
+e AS (SELECT coalesce(path, '') AS path, string_agg(conv_id, ',' ORDER BY conv_id) AS ids
+      FROM c LEFT JOIN (SELECT conv_id, max_by(path, d) AS path FROM p GROUP BY 1) USING (conv_id) GROUP BY 1),
+k AS (SELECT left(path, len(path) - 32) AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf FROM n LEFT JOIN k USING (path)),
+a AS (SELECT left(path, 32 * unnest(range(0, d + 1))) AS path, leaf, (n_convs - 1) * w AS own FROM f),
+s AS (SELECT path, sum(leaf) AS n_leaves, sum(own) AS saved_tokens FROM a GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, g.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM f JOIN s USING (path) LEFT JOIN e USING (path) LEFT JOIN n g ON f.d > 0 AND g.path = left(f.path, len(f.path) - 32)""")
+def op13_prefix_trie(spark, sf_dir):
+    # conversations of one family of 20 begin with the same turns
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text",
+                                         family=20, heads=id_crc("conv") % 4, most=3)

@@ -12,7 +12,7 @@ from brute import SF_SMALL  # noqa: F401
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
     assert [n for n, _ in C.STAGES] == ["toxicity", "near_dup", "decontaminate", "byte_bpe"]
 
