@@ -6,6 +6,8 @@ the source the prefix began. White space is then squeezed, escaped and headed as
 and the record goes along. Pieces are byte ranges of the normalised text, so the record projects
 each of them to a byte span of the source: the spans are those of the library's own proto. A byte
 piece of an unknown character is an empty span but for the last one, which holds the character.
+A stretch in which no key matches and spaces are only escaped is recorded as one run: each of its
+pieces stands for as many source bytes as it has itself, an escaped space for one.
 
 Merging works per unit (white space and what follows it): no piece of the vocabulary goes on into
 white space, which is checked when a model is read. Texts are normalised in windows of about a
@@ -26,6 +28,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,7 +44,7 @@ SPACE = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Characters of a text that are normalised at a time, units that a worker remembers, and the longest of them.
-WINDOW, MEMO_ROOM, LONG_UNIT = 1 << 20, 150_000, 64
+WINDOW, MEMO_ROOM, LONG_UNIT = 1 << 20, 400_000, 64
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -115,7 +118,7 @@ class CharMap:
         size = struct.unpack_from("<I", blob)[0] if blob else 0
         self.units = np.frombuffer(blob, "<u4", size // 4, 4).tolist() if blob else []
         self.texts = blob[4 + size:]
-        self.mapped = Memo(lambda c: self._walk(c.encode())[1], 1 << 16)
+        self.mapped = Memo(lambda c: any(self._walk(c.encode())), 1 << 16)
 
     @staticmethod
     def _offset(unit: int) -> int:
@@ -147,12 +150,13 @@ class CharMap:
             return None
         return len(data[:best[0]].decode()), self.texts[best[1]:self.texts.index(b"\0", best[1])]
 
+    def first_of(self, text: str) -> list[str]:
+        """Characters of a text with which a key may begin."""
+        return [c for c in set(text) if self.mapped[c]] if self.units else []
+
     def hits(self, text: str, start: int, end: int) -> Iterator[tuple[int, int, bytes]]:
         """(position, characters, replacement) of the keys met from ``start``; the last may pass ``end``."""
-        if not self.units:
-            return
-        mapped = self.mapped
-        first = [c for c in set(text[start:end]) if mapped[c] or self._walk(c.encode())[0]]
+        first = self.first_of(text[start:end])
         if not first:
             return
         free = start
@@ -222,13 +226,23 @@ class Normalizer:
             out.append((data, origins, mapped))
         return out, after_space
 
-    def __call__(self, text: str, window: int = WINDOW) -> Iterator[tuple[str, np.ndarray]]:
-        """Stretches of the normalised text; origins have one entry more, where the stretch ends in the source."""
+    def __call__(self, text: str, window: int = WINDOW, runs: bool = True) -> Iterator[tuple[str, np.ndarray | int]]:
+        """Stretches of the normalised text with their origins, which have one entry more: where the stretch ends in the source.
+
+        With ``runs``, the origins of a stretch that is one run are only its first source byte.
+        """
         model, start, base = self.model, 0, 0
         after_space, headed, body = model.squeeze, not model.dummy_prefix, None if model.squeeze else 0
         held: tuple[bytes, np.ndarray] = b"", np.empty(0, np.int64)  # spaces that may be the last of the text
         while start < len(text):
             end = self._cut(text, start + window)
+            if runs and model.dummy_prefix and model.escape and not model.squeeze:
+                part = text[start:end]
+                if SPACE not in part and not self.map.first_of(part):
+                    yield ("" if headed else SPACE) + part.replace(" ", SPACE), base
+                    headed, start = True, end
+                    base += len(part.encode()) if end < len(text) else 0
+                    continue
             while True:
                 parts, stop, past = self._stretch(text, start, end, base)
                 if stop == end or stop >= len(text):
@@ -275,16 +289,32 @@ class Codec:
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.unknown = model.kinds.index(UNKNOWN)
         self.bytes = {int(model.pieces[i][3:5], 16): i for i, k in enumerate(model.kinds) if k == BYTE}
-        self.surfaces = ["" if k == CONTROL else model.unknown_surface if k == UNKNOWN else p.replace(SPACE, " ")
-                         for p, k in zip(model.pieces, model.kinds)]
+        self.names = [str(i) for i in range(len(model.pieces))]
+        self.headed = model.dummy_prefix and model.escape  # every unit begins with white space
         self.byte_of = np.full(len(model.pieces), -1, np.int64)
         for byte, i in self.bytes.items():
             self.byte_of[i] = byte
-        self.memo = Memo(self._unit, MEMO_ROOM)
+        # a byte below 128 is a character whatever is around it
+        self.surfaces = ["" if k == CONTROL else model.unknown_surface if k == UNKNOWN else chr(b) if 0 <= b < 128 else p.replace(SPACE, " ")
+                         for p, k, b in zip(model.pieces, model.kinds, self.byte_of.tolist())]
+        self.memo = Memo(lambda u: self._pieces(SPACE + u if self.headed and u[:1] != SPACE else u), MEMO_ROOM)
+        self.inner = Memo(self._pieces, MEMO_ROOM // 10)
 
     def merged(self, unit: str) -> list[str]:
         """The unit's characters merged by score, highest first, leftmost among equals."""
         parts, n = list(unit), len(unit)
+        if n <= LONG_UNIT:
+            order, never = self.order.get, float("inf")
+            able_at = [order(a + b, never) for a, b in zip(parts, parts[1:])]
+            while able_at and (best := min(able_at)) < never:
+                i = able_at.index(best)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del able_at[i]
+                if i < len(able_at):
+                    able_at[i] = order(parts[i] + parts[i + 1], never)
+                if i:
+                    able_at[i - 1] = order(parts[i - 1] + parts[i], never)
+            return parts
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         able: list[tuple[float, int, str]] = []
 
@@ -308,45 +338,64 @@ class Codec:
                 offer(before[i])
         return [p for p in parts if p]
 
-    def _unit(self, unit: str) -> bytes:
-        """(id, normalised bytes) of the unit's pieces, as 32-bit integers."""
-        out: list[int] = []
+    def _pieces(self, unit: str) -> bytes:
+        """(id, normalised bytes, source bytes in a plain run) of the unit's pieces, as 32-bit integers."""
+        out = array("i")
         for piece in self.merged(unit):
-            own = self.ids.get(piece)
+            own, size = self.ids.get(piece), len(piece.encode())
             if own is not None:
-                out += own, len(piece.encode())
+                out.extend((own, size, size - 2 * piece.count(SPACE)))
             elif self.model.byte_fallback:
-                for byte in piece.encode():
-                    out += self.bytes[byte], 1
+                data = piece.encode()
+                for n, byte in enumerate(data):
+                    out.extend((self.bytes[byte], 1, size if n + 1 == size else 0))
             else:
-                out += self.unknown, len(piece.encode())
-        return np.array(out, "<i4").tobytes()
+                out.extend((self.unknown, size, size - 2 * piece.count(SPACE)))
+        return out.tobytes()
 
     def _units(self, text: str) -> list[str]:
-        """Units of a normalised text; long ones are cut where no piece joins the two characters."""
-        units = _UNIT.findall(text)
-        if len(text) < LONG_UNIT or max(map(len, units)) <= LONG_UNIT:
+        """Units of a normalised text, without their white space where that is one."""
+        if self.headed and SPACE * 2 not in text:
+            units = text.split(SPACE)
+            del units[0]
             return units
-        out: list[str] = []
-        for unit in units:
-            if len(unit) > LONG_UNIT:
-                cuts = [i + 1 for i, pair in enumerate(zip(unit, unit[1:])) if "".join(pair) not in self.pairs]
-                out += [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+        return _UNIT.findall(text)
+
+    def _long(self, unit: str) -> bytes:
+        """A long unit, cut where no piece joins the two characters."""
+        if self.headed and unit[:1] != SPACE:
+            unit = SPACE + unit
+        cuts = [i + 1 for i, pair in enumerate(zip(unit, unit[1:])) if "".join(pair) not in self.pairs]
+        return b"".join(map(self.inner.__getitem__, [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]))
+
+    def _found(self, text: str) -> np.ndarray:
+        """(id, normalised bytes, source bytes in a plain run) of the pieces of a normalised text."""
+        units = self._units(text)
+        if len(text) > LONG_UNIT and max(map(len, units)) > LONG_UNIT:
+            found = [self.memo[u] if len(u) <= LONG_UNIT else self._long(u) for u in units]
+        else:
+            found = map(self.memo.__getitem__, units)
+        return np.frombuffer(b"".join(found), "<i4").reshape(-1, 3)
+
+    def encode(self, text: str, window: int = WINDOW, runs: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids, and first and next source bytes of a text's pieces, window by window."""
+        for data, origins in self.normalizer(text, window, runs):
+            found = self._found(data)
+            ids = found[:, 0]
+            if run := isinstance(origins, int):
+                ends = np.cumsum(found[:, 2], dtype=np.int64) + origins
+                if not origins:
+                    ends -= 1  # the space that heads the text is no source byte
+                begins = ends - found[:, 2]
+                begins[:1] = origins
             else:
-                out.append(unit)
-        return out
-
-    def encode(self, text: str, window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids, first and last-but-one source bytes of a text's pieces, window by window."""
-        for data, origins in self.normalizer(text, window):
-            found = np.frombuffer(b"".join(map(self.memo.__getitem__, self._units(data))), "<i4").reshape(-1, 2)
-            ids, ends = found[:, 0], np.cumsum(found[:, 1], dtype=np.int64)
-            begins = ends - found[:, 1]
+                ends = np.cumsum(found[:, 1], dtype=np.int64)
+                begins = ends - found[:, 1]
             if not self.model.byte_fallback and (unknown := ids == self.unknown).any():
                 # neighbouring unknown pieces are one
                 first = ~(unknown & np.concatenate(([False], unknown[:-1])))
                 ids, begins, ends = ids[first], begins[first], ends[np.append(np.flatnonzero(first)[1:], len(first)) - 1]
-            yield ids, origins[begins], origins[ends]
+            yield (ids, begins, ends) if run else (ids, origins[begins], origins[ends])
 
     def _bytes_text(self, data: bytes) -> str:
         """UTF-8 in which every byte of no character is U+FFFD on its own."""
@@ -366,15 +415,15 @@ class Codec:
             return ""
         if int(ids.min()) < 0 or int(ids.max()) >= len(self.surfaces):
             raise ValueError("unknown token id")
-        values = self.byte_of[ids]
-        at = np.flatnonzero(values >= 0)
-        parts = list(map(self.surfaces.__getitem__, ids.tolist()))
-        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else ():
-            parts[run[0]:run[-1] + 1] = [self._bytes_text(values[run].astype(np.uint8).tobytes()), *[""] * (len(run) - 1)]
-        model = self.model
+        numbers, model = ids.tolist(), self.model
+        high = np.flatnonzero(self.byte_of[ids] >= 128)
+        parts = list(map(self.surfaces.__getitem__, numbers))
+        for run in np.split(high, np.flatnonzero(np.diff(high) > 1) + 1) if len(high) else ():
+            data = self.byte_of[ids[run]].astype(np.uint8).tobytes()
+            parts[run[0]:run[-1] + 1] = [self._bytes_text(data), *[""] * (len(run) - 1)]
         if model.dummy_prefix or model.squeeze:
-            for i in range(len(ids)):
-                if model.kinds[ids[i]] == NORMAL and model.pieces[ids[i]].startswith(SPACE):
+            for i, number in enumerate(numbers):
+                if model.kinds[number] == NORMAL and model.pieces[number].startswith(SPACE):
                     parts[i] = parts[i][1:]
                     if not model.squeeze:
                         break
@@ -436,7 +485,7 @@ def round_trip(df: DataFrame, *, key: str, text: str, model: str) -> DataFrame:
                 ids, begins, ends = _joined(own, t)
                 decoded = own.decode(ids)
                 out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
+                out["ids_sha256"].append(hashlib.sha256(",".join(map(own.names.__getitem__, ids.tolist())).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
                 out["same"].append(decoded == t)
                 out["covered"].append(bool((begins[1:] == ends[:-1]).all()) and [0, *ends[-1:]][-1] == len(t.encode()))
