@@ -3,9 +3,9 @@
 * Learners come from a registry keyed by name, with keyword parameters
   (the reference's positional mix-up between seed and device is avoided).
 * Early stopping is NOT Spark's ``validationIndicatorCol`` rule (which has no
-  patience): a GBT is fitted for ``rounds`` trees, its validation curve comes
-  from ``evaluateEachIteration``, W4's patience rule picks the best iteration,
-  and the model is cut to its first k trees, which score as one model.
+  patience). With a patience, a GBT is boosted by ``ml.boost``, which stops inside
+  the fit by W4's rule and keeps the first k trees as one model. Without one, all
+  rounds are fitted and the curve comes from ``evaluateEachIteration``.
 * Every fit and every score is a distributed Spark job; only metrics, curves
   (one value per round) and importances (one value per feature) reach the
   driver.
@@ -17,14 +17,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressionModel, GBTRegressor,
-                                   GeneralizedLinearRegression, LinearRegression, RandomForestRegressor)
+from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressor, GeneralizedLinearRegression,
+                                   LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.metrics import early_stopping_rounds, rmse_r2_aggs  # noqa: F401
+from tessera.ml.boost import Trees, boost, write_forest
+from tessera.operators.metrics import best_iteration, early_stopping_rounds, rmse_r2_aggs  # noqa: F401
+from tessera.session import scratch_path
 
 FEATURES_COL = "features"
 
@@ -63,31 +64,14 @@ def learning_curve(model, valid: DataFrame) -> list[float]:
     return [math.sqrt(x) for x in model.evaluateEachIteration(valid, "squared")]
 
 
-def best_iteration(curve: Sequence[float], patience: int | None) -> tuple[int, int | None]:
-    """W4 on a driver-side curve (one value per round): (best iteration, stop iteration).
-
-    Iterations are 1-based. ``patience=None`` means no early stopping.
-    """
-    best_i, best_v, stop = 0, math.inf, None
-    for i, v in enumerate(curve, start=1):
-        if v < best_v:
-            best_i, best_v = i, v
-        if patience is not None and i - best_i >= patience:
-            stop = i
-            break
-    return best_i, stop
-
-
 def first_k_model(model, k: int):
     """A GBT model of the first k trees: one model, one ``transform``, whatever k is."""
     k = max(1, min(k, model.getNumTrees))
-    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
-    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    weights = gateway.new_array(gateway.jvm.double, k)
-    for i, (tree, weight) in enumerate(zip(java.trees()[:k], model.treeWeights[:k])):
-        trees[i], weights[i] = tree, float(weight)
-    short = GBTRegressionModel(gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(
-        f"{model.uid}_{k}", trees, weights, model.numFeatures))
+    spark = SparkSession.getActiveSession()
+    whole = scratch_path(spark, "whole_gbt")
+    save_model(model, whole)
+    short = write_forest(spark, spark.read.parquet(f"{whole}/data"), spark.read.parquet(f"{whole}/treesMetadata"), whole,
+                         scratch_path(spark, "first_gbt"), k)
     return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
@@ -117,13 +101,19 @@ class FitResult:
 
 def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str = "gbt",
                 rounds: int = 20, seed: int | None = 42, patience: int | None = None,
-                params: dict | None = None) -> FitResult:
+                params: dict | None = None, path: str | None = None) -> FitResult:
     """M1: fit on assembled ``train``, score on assembled ``valid``.
 
-    For GBT: ``patience`` (e.g. from X8) applies W4 with use-best-model;
-    ``None`` keeps all rounds.
+    For GBT: ``patience`` (e.g. from X8) applies W4 with use-best-model and ends the fit when it
+    applies; ``None`` keeps the best of all rounds. ``path`` is the folder of a fit with a
+    patience, from which an interrupted one goes on.
     """
     params = dict(params or {})
+    if learner == "gbt" and patience is not None:
+        step = params.pop("stepSize", 0.1)
+        res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path)
+        m = score(res.model.transform(valid), label)
+        return FitResult(learner, seed, rounds, res.best_iter, m["rmse"], m["r2"], m["n"], res.model, res.curve, res.stop_iter)
     if learner == "gbt":
         params.setdefault("maxIter", rounds)
     est = make_learner(learner, label=label, seed=seed, **params)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,6 +45,21 @@ def early_stopping_rounds(rounds: Column | int) -> Column | int:
     return max(least, int(rounds * share))
 
 
+def best_iteration(curve: Sequence[float], patience: int | None) -> tuple[int, int | None]:
+    """W4 on a driver-side curve (one value per round): (best iteration, stop iteration).
+
+    Iterations are 1-based. ``patience=None`` means no early stopping; an empty curve has best iteration 0.
+    """
+    best_i, best_v, stop = 0, math.inf, None
+    for i, v in enumerate(curve, start=1):
+        if v < best_v:
+            best_i, best_v = i, v
+        if patience is not None and i - best_i >= patience:
+            stop = i
+            break
+    return best_i, stop
+
+
 def patience_stop(curve: DataFrame, patience: int | Column, *, run: Sequence[str] = ("run",),
                   iteration: str = "iteration", metric: str = "rmse") -> DataFrame:
     """W4 + A9: best iteration under patience early stopping (use_best_model).

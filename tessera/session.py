@@ -107,6 +107,12 @@ def materialize(df, name: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Paths of the tables that ``materialize`` has written, in order.
 _WRITTEN: list[str] = []
 
@@ -120,5 +126,4 @@ def scratch_scope(spark: SparkSession):
     finally:
         own, _WRITTEN[start:] = _WRITTEN[start:], []
         for path in own:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete_path(spark, path)
