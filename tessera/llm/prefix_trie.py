@@ -38,7 +38,7 @@ from tessera.llm.texts import releasing
 
 #: Rows of a range partition, nodes or elements of a group, depths of a chain that stay together, children of a salted
 #: group, elements that one group may rank, and rows up to which a side is broadcast.
-RANGE_ROWS, GROUP, CHAIN, CHILDREN, LAST, BROADCAST_ROWS = 1_000_000, 40_000, 4096, 10_000, 20_000, 300_000
+RANGE_ROWS, GROUP, CHAIN, CHILDREN, LAST, BROADCAST_ROWS = 1_000_000, 40_000, 4096, 200, 20_000, 300_000
 #: Low bits of an id: members whose ids share the others are one block when ids are digested.
 ID_BITS = 16
 
