@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -59,8 +60,10 @@ class Trees:
         one = stage.setPredictionCol("_stage").transform(df)
         return one.withColumn(RUNNING, F.col(RUNNING) + F.lit(weight) * F.col("_stage")).drop("_stage")
 
-    def save(self, stage, path: str) -> None:
-        stage.write().overwrite().save(path)
+    def save(self, spark: SparkSession, stages: list, path: str) -> None:
+        """The block's trees, one folder each, several at a time."""
+        with ThreadPool(4) as pool:
+            pool.map(lambda s: s[1].write().overwrite().save(stage_path(path, s[0])), stages)
 
     def model(self, spark: SparkSession, path: str, k: int, label: str) -> GBTRegressionModel:
         """The first k trees as one model, which is below ``path`` and scores with one ``transform``."""
@@ -105,16 +108,16 @@ class Lines:
         x, y = F.col(feature).cast("double"), F.col(TARGET)
         got = df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.avg(y).alias("mean")).first()
         flat = got["slope"] is None  # a constant feature has no slope
-        return number, feature, 0.0 if flat else got["slope"], got["mean"] if flat else got["intercept"]
+        return feature, 0.0 if flat else got["slope"], got["mean"] if flat else got["intercept"]
 
     def add(self, df: DataFrame, stage, weight: float) -> DataFrame:
-        _, feature, slope, intercept = stage
+        feature, slope, intercept = stage
         line = F.lit(intercept) + F.lit(slope) * F.col(feature).cast("double")
         return df.withColumn(RUNNING, F.col(RUNNING) + F.lit(weight) * line)
 
-    def save(self, stage, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([stage], "round int, feature string, slope double, intercept double").coalesce(1).write.mode("overwrite").parquet(path)
+    def save(self, spark: SparkSession, stages: list, path: str) -> None:
+        table = spark.createDataFrame([(number, *stage) for number, stage in stages], "round int, feature string, slope double, intercept double")
+        table.coalesce(1).write.mode("overwrite").parquet(stage_path(path, stages[0][0]))
 
     def model(self, spark: SparkSession, path: str, k: int, label: str) -> DataFrame:
         """Table of the first k lines with their weight."""
@@ -164,12 +167,12 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
         return len(curve) >= rounds or best_iteration(curve, patience)[1] is not None
     while not over():
         held = {part: spark.read.parquet(rows(number, part)).persist() for part in parts}
-        now, new = dict(held), []
+        now, new, stages = dict(held), [], []
         residual = F.col(label).cast("double") - F.col(RUNNING)
         while len(new) < block and not over():
             i = len(curve) + 1
             stage = learner.fit(now["train"].withColumn(TARGET, learner.target(i, residual)), i, seed)
-            learner.save(stage, stage_path(path, i))
+            stages.append((i, stage))
             now = {part: learner.add(df, stage, learner.weight(i)) for part, df in now.items()}
             rmse = now["valid"].agg(*rmse_r2_aggs(label, RUNNING)).first()["rmse"]
             curve.append(rmse if digits is None or rmse is None else round(rmse, digits))
@@ -177,6 +180,7 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
         if not over():
             for part, df in now.items():
                 df.write.mode("overwrite").parquet(rows(number + 1, part))
+        learner.save(spark, stages, path)
         spark.createDataFrame(new, _PROGRESS).coalesce(1).write.mode("overwrite").parquet(f"{path}/progress/block={number}")
         for df in held.values():
             df.unpersist()

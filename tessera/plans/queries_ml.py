@@ -1,4 +1,4 @@
-"""Registered rows-only queries: Spark ML training, search and selection.
+"""Registered queries: Spark ML training, search and selection (M1-M11, F1-F6); rows only, where a fit can't be written in SQL.
 
 All fits use the whole labelled pixel table (px rows with a reference),
 imputed (I1) and split exactly by seeded hash (N4/N5/N6). Rounds are enough for
@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from tessera.ml import predict as PR
 from tessera.ml import search as SE
 from tessera.ml import train as T
+from tessera.ml.boost import Lines, boost
 from tessera.operators import impute as I
 from tessera.operators import sample as S
 from tessera.operators.metrics import ensemble_mean_wide, rmse_r2_aggs
-from tessera.plans.queries_eval import labelled
+from tessera.plans.fixtures import with_fixtures as W
+from tessera.plans.queries_data import md5
+from tessera.plans.queries_eval import LABELLED_SQL, labelled
 from tessera.plans.registry import query
 from tessera.session import materialize, scratch_path, scratch_scope
 
@@ -62,6 +65,57 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return T.results_frame(spark, [{**res.metrics_row(), "model_path": path}], FIT_SCHEMA)
 
 
+#: Bound, patience and step of the boosted lines.
+LINE_ROUNDS, LINE_PATIENCE, LINE_STEP = 400, 8, 1.0
+
+
+def _boosted_lines_sql() -> str:
+    """The rounds on means and covariances instead of rows: a line a round, the features in turn."""
+    n = len(FEATURES)
+    xs = [f"x{i}" for i in range(n)]
+    cov = lambda a, b: f"c_{min(a, b)}_{max(a, b)}"
+    moments = ", ".join(["avg(y) m_y", "var_pop(y) c_y_y", *[f"avg({x}) m_{x}" for x in xs], *[f"covar_pop({x}, y) {cov(x, 'y')}" for x in xs],
+                         *[f"covar_pop({a}, {b}) {cov(a, b)}" for i, a in enumerate(xs) for b in xs[i:]]])
+    slopes = " ".join(
+        f"when {j} then ({cov(x, 'y')} - ({' + '.join(f'b{k} * {cov(z, x)}' for k, z in enumerate(xs))})) / nullif({cov(x, x)}, 0)"
+        for j, x in enumerate(xs))
+    slope = f"coalesce(case i % {n} {slopes} end, 0)"
+    mean_x = f"case i % {n} {' '.join(f'when {j} then m_{x}' for j, x in enumerate(xs))} end"
+    left = f"(m_y - c - ({' + '.join(f'b{k} * m_{x}' for k, x in enumerate(xs))}))"
+    spread = (f"v.c_y_y - 2 * ({' + '.join(f'b{k} * v.{cov(x, chr(121))}' for k, x in enumerate(xs))}) + "
+              f"{' + '.join(f'b{k} * b{l} * v.{cov(x, z)}' for k, x in enumerate(xs) for l, z in enumerate(xs))}")
+    off = f"(v.m_y - c - ({' + '.join(f'b{k} * v.m_{x}' for k, x in enumerate(xs))}))"
+    body = f"""
+with b as ({LABELLED_SQL}),
+q as (select zdif y, {", ".join(f"cast({f} as double) {x}" for f, x in zip(FEATURES, xs))},
+             row_number() over (order by {md5('pix', 43)}, pix) <= ceil(0.1::double * count(*) over ()) held from b),
+t as (select {moments} from q where not held), v as (select {moments} from q where held),
+r(i, c, {", ".join(f"b{k}" for k in range(n))}) as (
+  select 0, 0.0::double, {", ".join("0.0::double" for _ in xs)}
+  union all
+  select i + 1, c + {LINE_STEP}::double * ({left} - {slope} * {mean_x}),
+         {", ".join(f"case when i % {n} = {k} then b{k} + {LINE_STEP}::double * {slope} else b{k} end" for k in range(n))}
+  from r, t where i < {LINE_ROUNDS}),
+e as (select i iteration, round(sqrt({spread} + {off} * {off}), 1) rmse from r, v where i > 0),
+w as (select *, arg_min(iteration, struct_pack(m := rmse, i := iteration)) over (order by iteration) best from e),
+z as (select min(iteration) stop_iteration from w where iteration - best >= {LINE_PATIENCE})
+select cast(iteration as integer) iteration, rmse, cast(max(best) over () as integer) best_iteration, cast(stop_iteration as integer) stop_iteration
+from w, z where iteration <= coalesce(stop_iteration, {LINE_ROUNDS})"""
+    return W(body, "px").replace("WITH", "WITH RECURSIVE", 1)
+
+
+@query("boosted_lines", ids="M1 M5 M10 W4 A9", sql=_boosted_lines_sql())
+def boosted_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted least-squares lines on the labelled pixels: the curve up to where the patience ends the fit."""
+    with scratch_scope(spark):
+        b = materialize(labelled(spark, sf).select("pix", LABEL, *FEATURES), "lines_input")
+        d = S.split_by_share(b, 0.1, key="pix", seed=43)
+        res = boost(d.where(F.col("part") == "train"), d.where(F.col("part") == "valid"), label=LABEL, learner=Lines(FEATURES, LINE_STEP),
+                    rounds=LINE_ROUNDS, patience=LINE_PATIENCE, digits=1)
+    rows = [{"iteration": i, "rmse": v, "best_iteration": res.best_iter, "stop_iteration": res.stop_iter} for i, v in enumerate(res.curve, start=1)]
+    return T.results_frame(spark, rows, "iteration int, rmse double, best_iteration int, stop_iteration int")
+
+
 @query("learning_curve", ids="M10")
 def learning_curve(spark: SparkSession, sf: str) -> DataFrame:
     with _split(spark, sf) as (train, valid):
