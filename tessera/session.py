@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,12 +119,18 @@ _WRITTEN: list[str] = []
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession):
-    """Delete at the end what ``materialize`` wrote inside: for callers whose results no longer read it."""
+def scratch_scope(spark: SparkSession, keep: Sequence[str] = ()):
+    """Delete at the end what ``materialize`` wrote inside, but for the tables named in ``keep``.
+
+    For callers whose results no longer read it, or read only what they keep.
+    """
     start = len(_WRITTEN)
     try:
         yield
     finally:
         own, _WRITTEN[start:] = _WRITTEN[start:], []
         for path in own:
-            delete_path(spark, path)
+            if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] in keep:
+                _WRITTEN.append(path)
+            else:
+                delete_path(spark, path)
