@@ -9,9 +9,10 @@ a group is a connected component. Steps:
    its other bands (an unchanged original rather than a much changed copy), is compared with every
    other member: as many pairs as members. Pairs pass a bound on the set sizes and on the estimate
    before the exact check on full sets.
-3. Links give components. Buckets that still hold several components are looked at again: a node
-   whose shingles found in other components are too few for any link is out, by proof; what is
-   left is compared in blocks of bounded size, exactly, and reports only links that join.
+3. Links give components. Buckets of three and more members that still hold several components are
+   looked at again: a node of which too few signature slots are found in other components, fewer
+   than any link's, is out; what is left is compared in blocks of bounded size, exactly, and reports
+   only links that join.
 
 So no link is lost beyond what banding misses (25 bands of 4: 1e-8 of pairs at 0.85, 2e-6 at 0.8)
 and pairs of a group are never listed.
@@ -36,6 +37,7 @@ from tessera.llm import superminhash as smh
 from tessera.llm.common import written
 from tessera.llm.components import UnionFind, components
 from tessera.llm.texts import map_texts, releasing
+from tessera.session import scratch_scope
 
 BANDS, ROWS = 25, 4
 #: Members of a block in the exhaustive step.
@@ -95,11 +97,16 @@ def _checked(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def shingle_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, *, doc_id: str, text: str, width: int) -> DataFrame:
-    """Written table ``node, shingles`` (sorted 64-bit fingerprints as bytes) of the wanted nodes."""
+def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """``node, t``: one text for each of the wanted nodes."""
     need = written(wanted.join(nodes.select("node", "text_key"), "node").select("node", "text_key"), "wanted")
     one = docs.select(text_key(doc_id, text).alias("text_key"), F.col(text).alias("t"))
-    found = one.join(_checked(need, need.count()), "text_key").select("node", "t")
+    return one.join(_checked(need, need.count()), "text_key").select("node", "t")
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, *, doc_id: str, text: str, width: int) -> DataFrame:
+    """Written table ``node, shingles`` (sorted 64-bit fingerprints as bytes) of the wanted nodes."""
+    found = _texts_of(docs, nodes, wanted, doc_id=doc_id, text=text)
 
     def make():
         shingler = smh.Shingler(width)
@@ -126,8 +133,7 @@ def hub_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     sized = (pairs.join(side("a"), "a").join(side("b"), "b")
              .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent))
     # an estimate six standard deviations below the threshold settles the pair
-    j, slots = percent / 100, BANDS * ROWS
-    least = int(slots * (j - 6 * (j * (1 - j) / slots) ** 0.5))
+    slots, least = BANDS * ROWS, least_equal(percent)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,34 +158,43 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _several(members: DataFrame) -> DataFrame:
-    """Members (bucket, node, root, n) of buckets that hold more than one component."""
-    mixed = (members.groupBy(F.col("bucket").alias("_b")).agg(F.min("root").alias("x"), F.max("root").alias("y"),
-                                                              F.min("n").alias("n_least"), F.count("*").alias("company"))
+    """Members (bucket, node, root, company) of buckets that hold more than one component."""
+    mixed = (members.groupBy(F.col("bucket").alias("_b")).agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("company"))
              .where("x <> y").drop("x", "y"))
-    return members.drop("n_least", "company").join(mixed, F.col("bucket") == F.col("_b")).drop("_b")
+    return members.select("bucket", "node", "root").join(mixed, F.col("bucket") == F.col("_b")).drop("_b")
+
+
+def least_equal(percent: int) -> int:
+    """Equal slots that a pair at the threshold has, but for six standard deviations."""
+    j, slots = percent / 100, BANDS * ROWS
+    return int(slots * (j - 6 * (j * (1 - j) / slots) ** 0.5))
 
 
-def linkable(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, *, doc_id: str, text: str, width: int) -> DataFrame:
+    """``node, slots`` (whole signatures as 64-bit values) of the wanted nodes."""
+    def make():
+        shingler = smh.Shingler(width)
+        return lambda texts: {"slots": [smh.signature(s, BANDS * ROWS).view(np.int64) for s in shingler(texts)]}
+    found = map_texts(_texts_of(docs, nodes, wanted, doc_id=doc_id, text=text), "node", "t", make, [("slots", "array<long>", pa.list_(pa.int64()))])
+    return found.withColumnRenamed("key", "node")
+
+
+def linkable(open_: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """The members that may have a link to another component.
 
-    v of a node's n shingles occur in other components too. A partner of size m shares v at most,
-    so the similarity is at most v / (n + m - v), where m is no less than the least size in the
-    bucket and no less than what is shared.
+    u of a node's slots have a value that occurs in another component too. No partner outside the
+    node's own component has more slots in common with it, so the estimate that settles pairs
+    settles all of the node's at once if u is below its bound. Work is linear in the members, and
+    the same for every length of text.
     """
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.int64()))], ["node", "s"])
-
     owners = open_.select("node", "root").distinct()
-    parts = (sets.join(owners.select("node"), "node", "left_semi").select("node", "shingles")
-             .mapInArrow(releasing(spread), "node long, s array<long>")
-             .join(owners, "node").select("node", "root", F.explode("s").alias("s")))
-    shared = (parts.groupBy(F.col("s").alias("_s")).agg(F.min("root").alias("x"), F.max("root").alias("y"))
-              .where("x <> y").select("_s"))
-    v = parts.join(shared, F.col("s") == F.col("_s")).groupBy(F.col("node").alias("_n")).agg(F.count("*").alias("v"))
-    most = F.lit(100) * F.col("v") >= F.lit(percent) * (F.col("n") + F.greatest("n_least", "v") - F.col("v"))
-    return open_.join(v, F.col("node") == F.col("_n")).where(most).drop("_n", "v")
+    # repeated rows (same id, same text) give the same node twice
+    parts = (signs.join(owners, "node").select("node", "root", F.posexplode("slots").alias("slot", "value")).distinct())
+    shared = (parts.groupBy(F.col("slot").alias("_s"), F.col("value").alias("_v")).agg(F.min("root").alias("x"), F.max("root").alias("y"))
+              .where("x <> y").select("_s", "_v"))
+    enough = (parts.join(shared, (F.col("slot") == F.col("_s")) & (F.col("value") == F.col("_v"))).groupBy("node").agg(F.count("*").alias("u"))
+              .where(F.col("u") >= least_equal(percent)).select(F.col("node").alias("_n")))
+    return open_.join(enough, F.col("node") == F.col("_n"), "left_semi")
 
 
 def _block_links(percent: int):
@@ -225,20 +240,25 @@ def block_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def groups(docs: DataFrame, *, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches, nodes, and ``node, root`` of the nodes that are linked with others."""
+    with scratch_scope(docs.sparkSession, keep=["llm-sketches", "llm-nodes", "llm-groups"]):
+        return _groups(docs, doc_id=doc_id, text=text, width=width, percent=percent)
+
+
+def _groups(docs: DataFrame, *, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     sketch = sketches(docs, doc_id=doc_id, text=text, width=width)
     nodes = set_nodes(sketch)
     members = buckets(nodes)
     pairs = hub_pairs(members, nodes, percent)
-    fetch = lambda wanted: shingle_sets(docs, nodes, wanted, doc_id=doc_id, text=text, width=width)
-    sets = fetch(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
-    roots = written(components(verified(pairs, sets, percent)), "roots")
-
-    placed = (members.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-              .join(nodes.select("node", "n"), "node"))
-    open_ = written(_several(placed), "open")
-    sets = fetch(open_.select("node").distinct())
-    open_ = written(linkable(open_, sets, percent), "linkable")
-    rest = written(_several(open_), "rest")
+    args = dict(doc_id=doc_id, text=text, width=width)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    roots = written(components(verified(pairs, shingle_sets(docs, nodes, ends, **args), percent)), "roots")
+
+    placed = members.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # two members have been compared: one of them is the hub
+    open_ = written(_several(placed).where("company > 2"), "open")
+    signs = signatures(docs, nodes, open_.select("node").distinct(), **args)
+    rest = written(_several(linkable(open_, signs, percent)), "rest")
+    sets = shingle_sets(docs, nodes, rest.select("node").distinct(), **args)
     bridges = written(components(written(block_links(rest, sets, percent), "bridges")), "bridged")
     renamed = bridges.select(F.col("node").alias("root"), F.col("root").alias("to"))
     final = (roots.join(renamed, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
