@@ -19,6 +19,7 @@ from tessera.plans.fixtures import with_fixtures as W
 from tessera.plans.registry import query
 from tessera.session import materialize
 from tessera.sources import catalog as K
+from tessera.sources import files as FI
 from tessera.sources import raster as RS
 from tessera.sources import sinks as SK
 
@@ -49,14 +50,10 @@ def scan_projected(spark: SparkSession, sf: str) -> DataFrame:
     return SK.scan_tiles(spark, [f"{sf}/orders.parquet"], columns=["o_orderkey", "o_totalprice"], source_col=None)
 
 
-FILES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
-
-@query("discover_files", ids="S3", sql="select unnest([" + ", ".join(f"'{t}.parquet'" for t in FILES) + "]) name")
+@query("discover_files", ids="S3")
 def discover_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of the pixel tables' folder, by name."""
-    name = F.element_at(F.split("path", "/"), -1)
-    return K.discover_files(spark, sf, "*.parquet").select(name.alias("name")).where(name.isin(*[f"{t}.parquet" for t in FILES]))
+    """Every Parquet file of the folder, with its length; a test compares it with the file system."""
+    return K.discover_files(spark, sf, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
 # ------------------------------------------------------------------------ catalogue
@@ -130,16 +127,26 @@ BANDS = range(1, fx.RAS_WIDTH + 1)
     f"embedding[{b}] emb_band{b}" for b in BANDS) + " from embeddings")
 def multiband_to_columns(spark: SparkSession, sf: str) -> DataFrame:
     emb = fx.table(spark, sf, "embeddings").select(F.col("label").alias("tile"), "vec_id", F.lit("emb").alias("var"), "embedding")
-    named = RS.band_arrays(emb, data="embedding", group=["tile"], keep=["vec_id"])
-    return RS.align_columns(named, keys=["vec_id"], names=[f"emb_band{b}" for b in BANDS])
+    return RS.band_columns(emb, keys=["vec_id"], data="embedding", names=[f"emb_band{b}" for b in BANDS])
 
 
 @query("align_columns", ids="J1", sql=W("select tile, rn, " + ", ".join(
     f"max(case when col = {c} then v end) c{c}" for c in range(fx.RAS_WIDTH)) + " from ras group by tile, rn", "ras"))
 def align_columns(spark: SparkSession, sf: str) -> DataFrame:
-    long = fx.ras(spark, sf).select("tile", "rn", F.concat(F.lit("c"), F.col("col").cast("string")).alias("name"),
-                                    F.col("v").alias("value"))
-    return RS.align_columns(long, keys=["tile", "rn"], names=[f"c{c}" for c in range(fx.RAS_WIDTH)])
+    return RS.band_columns(fx.ras_rows(spark, sf), keys=["tile", "rn"], data="embedding", names=[f"c{c}" for c in range(fx.RAS_WIDTH)])
+
+
+@query("lines_to_columns", ids="S5 S6 J1", sql=W("""
+select a.tile, a.pixel_idx, a.v emb_band1, b.v emb_band2, abs(a.v) mag
+from ras a join ras b on a.tile = b.tile and a.rn = b.rn and b.col = 63 - a.col""", "ras"))
+def lines_to_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a variable with two bands and of one with a single band, zipped into a wide pixel table."""
+    rows = fx.ras_rows(spark, sf).select("tile", "rn", "embedding")
+    line = lambda var, band, data: F.struct(F.lit(var).alias("var"), F.lit(band).alias("band"), data.alias("data"))
+    bands = F.array(line("emb", 1, F.col("embedding")), line("emb", 2, F.reverse("embedding")),
+                    line("mag", 1, F.transform("embedding", lambda x: F.abs(x))))
+    lines = RS.band_names(rows.select("tile", "rn", F.explode(bands).alias("b")).select("tile", "rn", "b.*"))
+    return RS.lines_to_columns(lines, width=fx.RAS_WIDTH, row="rn", names=["emb_band1", "emb_band2", "mag"])
 
 
 @query("nodata_to_null", ids="P11", sql=W("""
@@ -177,11 +184,15 @@ select tile, status, reason, n, v_sum from (
   left join (select tile, cast(count(*) as bigint) n, round(sum(round(cast(v as double), 4)), 4) v_sum from ras group by tile) p
        on p.tile = g.tile)""", "ras", "ras_grid"))
 def ingest_with_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """A tile with wrong rows, one whose file can't be read, one without rows; kept pixels and status together."""
+    """A tile with wrong rows, one whose file isn't Parquet, one without rows: found while the files are read."""
+    from tessera.session import scratch_path
+    root, schema = scratch_path(spark, "ingest"), "pixel_idx long, v float"
     grid = fx.ras_grid(spark, sf)
     empty = grid.limit(1).select(F.lit(1000).alias("tile"), F.lit(64).cast("long").alias("width"), F.lit(2).cast("long").alias("height"))
-    failed = grid.where("tile = 3").select("tile", F.lit("unreadable file").alias("reason"))
-    good, status = RS.ingest_with_quarantine(fx.ras(spark, sf), grid.unionByName(empty), failed=failed)
+    fx.ras(spark, sf).where("tile <> 3").select("tile", "pixel_idx", "v").write.partitionBy("tile").parquet(root)
+    grid.where("tile = 3").select(F.lit("no raster").alias("value")).write.text(f"{root}/tile=3")
+    spark.createDataFrame([], schema).write.parquet(f"{root}/tile=1000")
+    good, status = FI.ingest_files(spark, root, schema, grid.unionByName(empty), tile=F.regexp_extract("path", r"/tile=(-?\d+)/", 1).cast("int"))
     kept = good.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round(F.col("v").cast("double"), 4)), 4).alias("v_sum"))
     return status.join(kept, "tile", "left").select("tile", "status", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "v_sum")
 
@@ -457,15 +468,15 @@ n as (select roi, pix, edem - ldem zdif, f_qty, cast((row_number() over (partiti
 select roi, chunk, cast(count(*) as bigint) n, min(pix) min_pix, max(pix) max_pix, round(sum(zdif), 2) zdif, round(sum(f_qty), 2) f_qty
 from n group by all""", "px"))
 def region_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """The region cleaning job: per region clean (N2), align the columns (P7), write chunks of fixed size (S9), read back."""
+    """The region cleaning job: clean (N2) with the regions' own means, align the columns (P7), write chunks of fixed size (S9), read back."""
+    from tessera.operators.numbering import index_ordered
     from tessera.session import scratch_path
     px = fx.px(spark, sf).select("roi", "tile", "pix", "edem", "ldem", "f_qty")
-    regions = [r.roi for r in px.select("roi").distinct().orderBy("roi").collect()]  # a handful
+    cleaned = I.fill_per_tile(C.clean_filter(px, ["edem", "ldem"], LO, HI), ["f_qty"], tile="roi")
+    numbered = index_ordered(cleaned, order_keys=["pix"], group=["roi"], out="_i")
+    chunks = numbered.select("roi", F.expr(f"_i div {REGION_CHUNK}").alias("chunk"), "pix", (F.col("edem") - F.col("ldem")).alias("zdif"), "f_qty")
     out = scratch_path(spark, "region_chunks")
-    for roi in regions:
-        cleaned = S.clean_tiles(px.where(F.col("roi") == roi), tcol="edem", rcol="ldem", lval=LO, hval=HI, exclude=["roi", "tile", "pix"])
-        numbered = S.chunk_ids(cleaned, REGION_CHUNK, order_key=["pix"])
-        SK.write_chunks(numbered.withColumn("zdif", F.col("edem") - F.col("ldem")), f"{out}/roi={roi}", rows_per_file=REGION_CHUNK, chunk="chunk")
+    SK.write_chunks(chunks.repartition("roi", "chunk"), out, rows_per_file=REGION_CHUNK, chunk=["roi", "chunk"])
     back = spark.read.parquet(out)
     return back.groupBy("roi", F.col("chunk").cast("long").alias("chunk")).agg(
         F.count(F.lit(1)).alias("n"), F.min("pix").alias("min_pix"), F.max("pix").alias("max_pix"),

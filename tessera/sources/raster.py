@@ -55,6 +55,44 @@ def band_arrays(rows: DataFrame, *, data: str, var: str = "var", group: Sequence
     return rows.select(*group, *keep, F.explode(F.transform(data, one)).alias("_b")).select(*group, *keep, "_b.name", "_b.value")
 
 
+def band_columns(rows: DataFrame, *, keys: Sequence[str], data: str, names: Sequence[str]) -> DataFrame:
+    """J1 on lines that hold one value per band: one column per name, aligned on ``keys``.
+
+    Nothing is exploded: a line's values become columns. Keys that repeat and lines of another
+    length raise; NaN becomes null.
+    """
+    one = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(data).alias("_d"))
+    checked = (F.when(F.col("_n") > 1, F.raise_error(F.lit("several lines for the same keys")))
+               .when(F.size("_d") != len(names), F.raise_error(F.lit(f"a line without {len(names)} values"))).otherwise(F.col("_d")))
+    one = one.select(*keys, checked.alias("_d"))
+    value = lambda i: F.col("_d")[i].cast("float")
+    return one.select(*keys, *[F.when(~F.isnan(value(i)), value(i)).alias(n) for i, n in enumerate(names)])
+
+
+def lines_to_columns(rows: DataFrame, *, width: int | str, names: Sequence[str], data: str = "data", row: str = "row",
+                     name: str = "name", keep: Sequence[str] = ("tile",)) -> DataFrame:
+    """S5 + S6 + J1 in one: raster lines of all bands -> (keep..., pixel_idx, one column per name).
+
+    Lines of the same (keep, row) meet, are zipped cell by cell and exploded once, so what is
+    shuffled is one row per line and band, never a cell. A band that a line lacks is null there;
+    two lines of one band and lines of unequal length raise; names outside ``names`` are left out.
+    """
+    w = F.lit(width) if isinstance(width, int) else F.col(width)
+    arrays = []
+    for i, n in enumerate(names):
+        hit = F.col(name) == F.lit(n)
+        arrays += [F.count(F.when(hit, 1)).alias(f"_n{i}"), F.first(F.when(hit, F.col(data)), ignorenulls=True).alias(f"_a{i}")]
+    met = rows.where(F.col(name).isin(*names)).groupBy(*keep, F.col(row).cast("long").alias("_row"), w.cast("long").alias("_w")).agg(*arrays)
+    sizes = F.array_compact(F.array(*[F.when(F.col(f"_a{i}").isNotNull(), F.size(f"_a{i}")) for i in range(len(names))]))
+    blank = F.array_repeat(F.lit(None).cast("float"), F.coalesce(F.array_max(sizes), F.lit(0)))
+    zipped = F.arrays_zip(*[F.coalesce(F.col(f"_a{i}").cast("array<float>"), blank).alias(f"c{i}") for i in range(len(names))])
+    checked = (F.when(F.greatest(*[F.col(f"_n{i}") for i in range(len(names))], F.lit(0)) > 1, F.raise_error(F.lit("duplicate line of a band")))
+               .when(F.array_min(sizes) != F.array_max(sizes), F.raise_error(F.lit("lines of unequal length"))).otherwise(zipped))
+    cells = met.select(*keep, "_row", "_w", F.posexplode(checked).alias("_col", "_v"))
+    value = lambda i: F.col("_v").getField(f"c{i}")
+    return cells.select(*keep, (F.col("_row") * F.col("_w") + F.col("_col")).alias("pixel_idx"), *[value(i).alias(n) for i, n in enumerate(names)])
+
+
 def align_columns(long: DataFrame, *, keys: Sequence[str], names: Sequence[str],
                   name: str = "name", value: str = "value") -> DataFrame:
     """One column per name, aligned on ``keys`` (full-outer semantics).
@@ -84,29 +122,32 @@ def nodata_to_null(value: Column, nodata: Column | float | None) -> Column:
     return F.when(keep, v)
 
 
-def grid_check(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile") -> DataFrame:
+def grid_check(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile", counts: DataFrame | None = None) -> DataFrame:
     """Rows per tile against width*height -> (tile, n, expected, ok).
 
+    ``counts`` (tile, n) spares the scan where the rows are counted already.
     Every tile of either side is reported: a tile of the grid without a row has
     n = 0 and fails; a tile without a grid entry (unknown resolution) only
     warns, expected and ok are null.
     """
-    counts = pixels.groupBy(tile).agg(F.count(F.lit(1)).cast("long").alias("_n"))
+    if counts is None:
+        counts = pixels.groupBy(tile).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    counts = counts.withColumnRenamed("n", "_n")
     g = grid.select(F.col(tile).alias("_g"), (F.col("width").cast("long") * F.col("height").cast("long")).alias("expected"))
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
     return (counts.join(g, F.col(tile).eqNullSafe(F.col("_g")), "full")
             .select(F.coalesce(tile, "_g").alias(tile), n.alias("n"), "expected", (n == F.col("expected")).alias("ok")))
 
 
-def ingest_with_quarantine(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile", failed: DataFrame | None = None
-                           ) -> tuple[DataFrame, DataFrame]:
+def ingest_with_quarantine(pixels: DataFrame, grid: DataFrame, *, tile: str = "tile", failed: DataFrame | None = None,
+                           counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """All tiles in one job; tiles that cannot be used go to a quarantine table with a reason.
 
     ``failed`` (tile, reason) adds what the reader or the catalogue found: an unreadable
-    file, no rasters, no reference raster. Returns (pixels of good tiles, status table
+    file, no rasters, no reference raster; ``counts`` spares a scan. Returns (pixels of good tiles, status table
     (tile, status, reason)); a tile of the grid without a row is quarantined too.
     """
-    chk = grid_check(pixels, grid, tile=tile)
+    chk = grid_check(pixels, grid, tile=tile, counts=counts)
     if failed is not None:
         reasons = failed.groupBy(F.col(tile).alias("_f")).agg(F.min("reason").alias("_why"))
         chk = chk.join(reasons, F.col(tile).eqNullSafe(F.col("_f")), "full").withColumn(tile, F.coalesce(tile, "_f")).drop("_f")

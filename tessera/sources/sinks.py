@@ -46,37 +46,66 @@ def write_tiles(df: DataFrame, path: str, *, tile: str = "tile", key: str = "pix
 
 
 def write_chunks(df: DataFrame, path: str, *, rows_per_file: int = 100_000,
-                 chunk: str | None = None) -> None:
-    """Files of at most ``rows_per_file`` rows; with ``chunk`` one directory per chunk id."""
+                 chunk: str | Sequence[str] | None = None) -> None:
+    """Files of at most ``rows_per_file`` rows; with ``chunk`` one directory per chunk id (or ids)."""
     w = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if chunk:
-        w = w.partitionBy(chunk)
+        w = w.partitionBy(*([chunk] if isinstance(chunk, str) else chunk))
     w.parquet(path)
 
 
+def pixel_lines(pixels: DataFrame, *, width: int | str, height: int | str, value: str = "v", tile: str = "tile",
+                idx: str = "pixel_idx") -> DataFrame:
+    """Pixels -> raster lines (tile, line, height, data array<float>); a group is one line of ``width`` cells.
+
+    A line with missing, repeated or surplus cells raises.
+    """
+    own = lambda x: (F.lit(x) if isinstance(x, int) else F.col(x)).cast("long")
+    cells = pixels.select(tile, own(width).alias("_w"), own(height).alias("height"), F.col(idx).alias("_i"), F.col(value).cast("float").alias("_v"))
+    lines = cells.selectExpr(tile, "_w", "height", "_i div _w AS line", "_i % _w AS _i", "_v").groupBy(tile, "line").agg(
+        F.max("_w").alias("_w"), F.max("height").alias("height"), F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_cells"))
+    # sorted places 0, 1, 2, ...: neither a gap nor a repeat
+    whole = (F.size("_cells") == F.col("_w")) & F.forall(F.transform("_cells", lambda x, i: x.getField("_i") == i), lambda x: x)
+    wrong = F.concat(F.lit("line of "), F.size("_cells").cast("string"), F.lit(" cells, or with repeated ones, where the grid has "),
+                     F.col("_w").cast("string"))
+    return lines.select(tile, "line", "height", F.when(whole, F.transform("_cells", lambda x: x.getField("_v")))
+                        .otherwise(F.raise_error(wrong)).alias("data"))
+
+
+def line_blocks(lines: DataFrame, *, block: int, tile: str = "tile", line: str = "line", height: int | str = "height",
+                data: str = "data") -> DataFrame:
+    """Raster lines -> blocks of ``block x block`` cells, ragged at the right/bottom edge.
+
+    -> (tile, brow, bcol, h, w, n, data array<float> row-major). Every line is cut into its blocks'
+    pieces, so a block is made of ``block`` rows, not of block^2 cells. A block with missing or
+    repeated lines, or lines of unequal length, raises.
+    """
+    high = (F.lit(height) if isinstance(height, int) else F.col(height)).cast("long")
+    pieces = lines.select(tile, F.col(line).cast("long").alias("_l"), high.alias("_h"), F.col(data).alias("_d"),
+                          F.explode(F.sequence(F.lit(0), F.floor((F.size(data) - 1) / block).cast("int"))).alias("bcol"))
+    cut = pieces.select(tile, F.floor(F.col("_l") / block).alias("brow"), F.col("bcol").cast("long").alias("bcol"), "_l", "_h",
+                        F.slice("_d", F.col("bcol") * block + 1, F.lit(block)).alias("_p"))
+    agg = cut.groupBy(tile, "brow", "bcol").agg(
+        F.max(F.least(F.lit(block).cast("long"), F.col("_h") - F.col("brow") * block)).alias("h"), F.max(F.size("_p")).cast("long").alias("w"),
+        F.min(F.size("_p")).alias("_least"), F.count(F.lit(1)).alias("_n"),
+        F.array_sort(F.collect_list(F.struct("_l", "_p"))).alias("_pieces"))
+    # h sorted line numbers from the first to the last of the block: neither a gap nor a repeat
+    in_order = F.forall(F.transform("_pieces", lambda x, i: x.getField("_l") == F.col("brow") * block + i), lambda x: x)
+    whole = (F.col("_n") == F.col("h")) & (F.col("_least") == F.col("w")) & in_order
+    wrong = F.concat(F.lit("block of "), F.col("_n").cast("string"), F.lit(" lines, or with repeated or unequal ones, where the grid has "),
+                     F.col("h").cast("string"))
+    return agg.select(tile, "brow", "bcol", "h", "w", (F.col("h") * F.col("w")).alias("n"),
+                      F.when(whole, F.flatten(F.transform("_pieces", lambda x: x.getField("_p")))).otherwise(F.raise_error(wrong)).alias("data"))
+
+
 def pixel_blocks(pixels: DataFrame, *, width: int | str, height: int | str, block: int, value: str = "v",
                  tile: str = "tile", idx: str = "pixel_idx") -> DataFrame:
-    """Pixels -> blocks of ``block x block`` cells, ragged at the right/bottom edge.
+    """Pixels -> blocks, by way of raster lines (``pixel_lines``, ``line_blocks``).
 
-    -> (tile, brow, bcol, h, w, n, data array<float> row-major). ``width`` and
-    ``height`` (numbers or columns) are the tile's grid: a block's shape follows
-    from them, and a block with missing, repeated or surplus cells raises. A
-    group is one block, so its size is bounded by block^2 whatever the data size.
+    ``width`` and ``height`` (numbers or columns) are the tile's grid.
     """
-    own = lambda x: (F.lit(x) if isinstance(x, int) else F.col(x)).cast("long")
-    cells = pixels.select(tile, own(width).alias("_w"), own(height).alias("_h"), F.col(idx).alias("_i"), F.col(value).alias("_v"))
-    cells = cells.selectExpr(tile, "_w", "_h", "_i", "_v", f"(_i div _w) div {block} AS brow", f"(_i % _w) div {block} AS bcol")
-    agg = cells.groupBy(tile, "brow", "bcol").agg(
-        F.max(F.least(F.lit(block).cast("long"), F.col("_h") - F.col("brow") * block)).alias("h"),
-        F.max(F.least(F.lit(block).cast("long"), F.col("_w") - F.col("bcol") * block)).alias("w"),
-        F.count(F.lit(1)).alias("n"), F.count_distinct("_i").alias("_cells_n"),
-        F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_cells"))
-    whole = (F.col("n") == F.col("h") * F.col("w")) & (F.col("_cells_n") == F.col("n"))
-    wrong = F.concat(F.lit("block of "), F.col("n").cast("string"), F.lit(" cells where the grid has "),
-                     (F.col("h") * F.col("w")).cast("string"))
-    data = F.transform("_cells", lambda x: x.getField("_v").cast("float"))
-    return agg.select(tile, "brow", "bcol", "h", "w", "n",
-                      F.when(whole, data).otherwise(F.raise_error(wrong)).alias("data"))
+    lines = pixel_lines(pixels, width=width, height=height, value=value, tile=tile, idx=idx)
+    return line_blocks(lines, block=block, tile=tile)
 
 
 def write_blocks(blocks: DataFrame, path: str, *, tile: str = "tile") -> None:
