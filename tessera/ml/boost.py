@@ -29,6 +29,8 @@ from tessera.operators.metrics import best_iteration, rmse_r2_aggs
 from tessera.session import delete_path, scratch_path
 
 FEATURES_COL = "features"
+#: Rounds of a block.
+BLOCK = 25
 #: Running prediction and fitting target, beside the caller's columns.
 RUNNING, TARGET = "_running", "_target"
 _PROGRESS = "block int, round int, rmse double, weight double, settings string"
@@ -143,7 +145,7 @@ def _progress(spark: SparkSession, path: str) -> list:
 
 
 def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: int, patience: int | None = None,
-          seed: int = 42, block: int = 25, path: str | None = None, digits: int | None = None) -> Boosted:
+          seed: int = 42, block: int = BLOCK, path: str | None = None, digits: int | None = None) -> Boosted:
     """Fit up to ``rounds`` rounds, stop ``patience`` rounds behind the best validation RMSE, keep the best.
 
     ``path`` is the fit's folder in shared storage; an interrupted fit goes on from there. ``digits``

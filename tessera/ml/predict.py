@@ -14,6 +14,8 @@ import importlib
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, IllegalArgumentException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ from tessera.sources.sinks import pixel_blocks, write_blocks
 REGISTRY = "model string, path string, features array<string>, status int, rmse double"
 
 
+#: What Spark says of files that are missing, empty or damaged, as against a job that failed.
+BROKEN_FILES = ["FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "FileNotFoundException", "InvalidInputException",
+                "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "requirement failed", "empty collection", "ParseException", "MappingException"]
+
+
 def saved_models(spark: SparkSession, root: str, ending: str = "_model") -> DataFrame:
     """(model, path) of the model directories below ``root``, by their metadata files; no content is read."""
     files = discover_files(spark, root, "part-*", recursive=True)
@@ -36,14 +43,22 @@ def saved_models(spark: SparkSession, root: str, ending: str = "_model") -> Data
 
 
 def load_model(spark: SparkSession, path: str):
-    """Load whatever learner was saved; a directory that holds no readable model raises ValueError."""
+    """Load whatever learner was saved; a directory that holds no readable model raises ValueError.
+
+    Only what a broken directory causes says so: missing or unreadable files and a description without
+    a known class. A job that fails for another reason (a lost executor) fails here, too.
+    """
     try:
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
         package, _, name = meta["class"].rpartition(".")
         module = importlib.import_module(package.replace("org.apache.spark.ml", "pyspark.ml"))
         return getattr(module, name).load(path)
-    except Exception as e:
+    except (AnalysisException, IllegalArgumentException, ImportError, AttributeError, KeyError, TypeError, ValueError) as e:
         raise ValueError(f"no model can be loaded from {path}") from e
+    except (Py4JJavaError, SparkRuntimeException) as e:
+        if any(sign in str(e) for sign in BROKEN_FILES):
+            raise ValueError(f"no model can be loaded from {path}") from e
+        raise
 
 
 def usable(registry: DataFrame) -> DataFrame:

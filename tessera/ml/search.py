@@ -7,13 +7,16 @@ each score is a distributed Spark job on the same cached, assembled data.
 from __future__ import annotations
 
 import itertools
+import json
 import math
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.ml.select import permuted_columns
+from tessera.ml.select import numbered_rows, shuffled_columns
 from tessera.ml.train import assemble, feature_importance, make_learner, score, train_model
 from tessera.session import materialize
 
@@ -42,14 +45,13 @@ def choice(values: Sequence):
     return lambda u: F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(u * F.lit(len(values))) + 1).cast("int"))
 
 
-# the learning rate uniform or log-uniform, depth an integer or a choice, leaves and the
-# share of columns a tree sees. A Spark tree has no leaf limit: minInstancesPerNode bounds the leaves
-# to rows / minInstancesPerNode, so ``leaves`` is turned into it when a candidate is fitted.
+# F2 and F3, fixed values of the searches: the learning rate uniform or log-uniform, the depth a choice
+# or an integer, leaves, and the share of columns a tree sees. A Spark tree has no leaf limit:
+# minInstancesPerNode bounds the leaves to rows / minInstancesPerNode, so ``leaves`` is turned into it
+# when a candidate is fitted.
 SPACES = {
-    "uniform": {"stepSize": uniform(0.01, 0.3), "maxDepth": choice([3, 4, 5, 6]), "leaves": randint(8, 64),
-                "columns": uniform(0.4, 1.0)},
-    "log": {"stepSize": log_uniform(0.01, 0.3), "maxDepth": randint(3, 6), "leaves": choice([16, 32, 64]),
-            "columns": choice([0.5, 0.75, 1.0])},
+    "uniform": {"stepSize": uniform(0.09, 0.34), "maxDepth": choice([10, 12]), "leaves": randint(20, 39)},
+    "log": {"stepSize": log_uniform(0.01, 0.2), "maxDepth": randint(15, 19), "columns": uniform(0.6, 1.0), "leaves": choice([31])},
 }
 
 
@@ -75,12 +77,12 @@ def fit_params(candidate: dict, rows: int) -> dict:
 
 
 def search(train: DataFrame, valid: DataFrame, candidates: list[dict], *, label: str, learner: str = "gbt",
-           rounds: int = 20, seed: int = 42) -> list[dict]:
-    """Fit every candidate on ``train`` (assembled), score on ``valid``; rows sorted by rmse."""
+           rounds: int = 20, seed: int = 42, patience: int | None = None) -> list[dict]:
+    """Fit every candidate on ``train`` (assembled), up to ``rounds`` with a ``patience``, score on ``valid``; rows sorted by rmse."""
     rows, n = [], train.count()
     for i, params in enumerate(candidates):
-        res = train_model(train, valid, label=label, learner=learner, rounds=rounds, seed=seed, params=fit_params(params, n))
-        rows.append({"candidate": i, **params, "rmse": res.rmse, "r2": res.r2})
+        res = train_model(train, valid, label=label, learner=learner, rounds=rounds, seed=seed, patience=patience, params=fit_params(params, n))
+        rows.append({"candidate": i, **params, "rmse": res.rmse, "r2": res.r2, "best_iter": res.best_iter, "stop_iter": res.stop_iter})
     rows.sort(key=lambda r: (r["rmse"], r["candidate"]))
     for rank, r in enumerate(rows, start=1):
         r["rank"] = rank
@@ -171,13 +173,14 @@ def boruta(df: DataFrame, features: Sequence[str], *, label: str, key: str, max_
         raise ValueError(f"{max_iter} iterations can't decide at a level of {level:g}: take {math.ceil(-math.log2(level)) + 1} or more")
     hits, tried = {f: 0 for f in features}, {f: 0 for f in features}
     decision = {f: "tentative" for f in features}
-    rows = materialize(df.select(key, label, *features), "boruta")
+    rows = materialize(numbered_rows(df.select(key, label, *features), key=key), "boruta")
+    n = rows.count()
     for it in range(max_iter):
         live = [f for f in features if decision[f] != "rejected"]
         if not any(decision[f] == "tentative" for f in live):
             break
         seeds = {f: seed + 1000 * it + j for j, f in enumerate(features) if f in live}
-        shadowed = permuted_columns(rows, seeds, key=key, suffix="_shadow")
+        shadowed = shuffled_columns(rows, seeds, n=n, suffix="_shadow")
         cols = live + [f"{f}_shadow" for f in live]
         rf = make_learner("rf", label=label, seed=seed + it, numTrees=num_trees, maxDepth=max_depth)
         imp = dict(feature_importance(rf.fit(assemble(shadowed, cols)), cols))
@@ -195,6 +198,57 @@ def boruta(df: DataFrame, features: Sequence[str], *, label: str, key: str, max_
             for f in features]
 
 
+def halving_plan(rows: int, cost: dict[str, float], budget: float, rungs: int) -> list[float]:
+    """Shares of the rows at each rung, the last one the largest, whose cost stays within the budget.
+
+    A fit costs rows x rounds. Half of the learners (the dearest, at worst) go on from rung to rung,
+    on twice the share; the shares are as large as the budget allows, and 1 at most.
+    """
+    dear = sorted(cost.values(), reverse=True)
+    per_share, left = 0.0, len(dear)
+    for r in range(rungs):
+        per_share += 2.0**r * sum(dear[:left]) * rows
+        left = max(1, -(-left // 2))
+    first = budget / per_share
+    if first * rows < 1:
+        raise ValueError("the budget doesn't pay for a single row a learner")
+    return [min(1.0, first * 2.0**r) for r in range(rungs)]
+
+
+def leaderboard_halving(train: DataFrame, tuning: DataFrame, holdout: DataFrame, *, label: str, learners: dict[str, dict],
+                        budget: float, rank: str, seed: int = 42) -> list[dict]:
+    """M8 within a budget of rows x rounds: successive halving over nested samples.
+
+    ``rank`` is each training row's position in a seeded order from 0 (so samples of growing share
+    are prefixes of each other). Every rung fits the learners that are left, scores them on
+    ``tuning`` and drops the worse half; the winner is scored on ``holdout``. Returns the
+    elimination table: a row per fit, with what it cost.
+    """
+    rounds = {name: float(params.get("maxIter", params.get("numTrees", 1))) for name, params in learners.items()}
+    n, left, table = train.count(), sorted(learners), []
+    rungs = max(1, math.ceil(math.log2(len(learners)))) if len(learners) > 1 else 1
+    shares = halving_plan(n, rounds, budget, rungs)
+    spent, model = 0.0, None
+    for rung, share in enumerate(shares, start=1):
+        take = max(1, math.floor(share * n))
+        part = train.where(F.col(rank) < take)
+        scored = []
+        for name in left:
+            spent += take * rounds[name]
+            model = make_learner(name, label=label, seed=seed, **learners[name]).fit(part)
+            scored.append((score(model.transform(tuning), label)["rmse"], name, model))
+        scored.sort(key=lambda s: s[:2])
+        keep = max(1, -(-len(left) // 2)) if rung < len(shares) else 1
+        for place, (rmse, name, _) in enumerate(scored, start=1):
+            table.append({"rung": rung, "rows": take, "model": name, "rmse_tuning": rmse, "place": place, "kept": place <= keep,
+                          "cost": take * rounds[name], "spent": spent, "rmse_holdout": None})
+        left = [name for _, name, _ in scored[:keep]]
+        model = scored[0][2]
+    best = next(r for r in table if r["rung"] == len(shares) and r["place"] == 1)
+    best["rmse_holdout"] = score(model.transform(holdout), label)["rmse"]
+    return table
+
+
 def leaderboard_fit(train: DataFrame, tuning: DataFrame, holdout: DataFrame, *, label: str,
                     learners: dict[str, dict], seed: int = 42) -> list[dict]:
     """M8: fit each learner family, score on the tuning and the holdout split, rank by tuning rmse."""
@@ -209,3 +263,109 @@ def leaderboard_fit(train: DataFrame, tuning: DataFrame, holdout: DataFrame, *,
     for rank, r in enumerate(rows, start=1):
         r["rank"] = rank
     return rows
+
+
+class FitMemo:
+    """Results of fits, keyed by features and parameters: every work item is fitted once, also after a restart.
+
+    With a ``path``, each new result is one small file below it, which a later memo reads again.
+    """
+
+    def __init__(self, train: DataFrame, valid: DataFrame, *, label: str, rounds: int, seed: int = 42, path: str | None = None):
+        self.train, self.valid, self.label, self.rounds, self.seed, self.path = train, valid, label, rounds, seed, path
+        self.spark, self.results, self.fits, self.hits = train.sparkSession, {}, 0, 0
+        self.n = train.count()
+        if path is not None:
+            try:
+                for r in self.spark.read.schema(_MEMO).parquet(f"{path}/*").collect():  # one row per fit
+                    self.results[r["item"]] = (r["rmse"], json.loads(r["importances"]))
+            except AnalysisException:
+                pass  # nothing there yet
+
+    def item(self, features: Sequence[str], candidate: dict) -> str:
+        return json.dumps([sorted(features), sorted(candidate.items()), self.label, self.rounds, self.seed], default=str)
+
+    def model(self, features: Sequence[str], candidate: dict):
+        model, _ = _fit_subset(self.train, self.valid, sorted(features), label=self.label, learner="gbt", rounds=self.rounds, seed=self.seed,
+                               params=fit_params(candidate, self.n))
+        return model
+
+    def __call__(self, features: Sequence[str], candidate: dict) -> tuple[float, dict[str, float]]:
+        """(validation RMSE, importance per feature) of the candidate on these features."""
+        item = self.item(features, candidate)
+        if item in self.results:
+            self.hits += 1
+            return self.results[item]
+        self.fits += 1
+        model, m = _fit_subset(self.train, self.valid, sorted(features), label=self.label, learner="gbt", rounds=self.rounds, seed=self.seed,
+                               params=fit_params(candidate, self.n))
+        self.results[item] = m["rmse"], dict(feature_importance(model, sorted(features)))
+        if self.path is not None:
+            row = (item, m["rmse"], json.dumps(self.results[item][1]))
+            self.spark.createDataFrame([row], _MEMO).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{uuid.uuid5(uuid.NAMESPACE_OID, item)}")
+        return self.results[item]
+
+
+_MEMO = "item string, rmse double, importances string"
+
+
+def race(memo: FitMemo, features: Sequence[str], candidates: Sequence[dict], z: float = 2.58) -> list[dict]:
+    """Paired elimination: candidates whose errors on the same rows are worse than the best one's beyond doubt are out.
+
+    All candidates are fitted on all features and predict the validation rows as columns of one scan;
+    per candidate the mean and deviation of its squared errors' difference to the best one's decide.
+    """
+    scored = assemble(memo.valid, sorted(features))
+    for i, c in enumerate(candidates):
+        scored = memo.model(features, c).setPredictionCol(f"_p{i}").transform(scored)
+    errors = [(F.col(memo.label) - F.col(f"_p{i}")) ** 2 for i in range(len(candidates))]
+    mean = scored.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(errors)]).first()
+    best = min(range(len(candidates)), key=lambda i: (mean[f"m{i}"], i))
+    gaps = [e - errors[best] for e in errors]
+    got = scored.agg(F.count(F.lit(1)).alias("n"), *[F.avg(g).alias(f"d{i}") for i, g in enumerate(gaps)],
+                     *[F.stddev_samp(g).alias(f"s{i}") for i, g in enumerate(gaps)]).first()
+    rows = []
+    for i, c in enumerate(candidates):
+        error = (got[f"s{i}"] or 0.0) / math.sqrt(got["n"])
+        rows.append({"candidate": i, "params": c, "rmse": math.sqrt(mean[f"m{i}"]), "gap": got[f"d{i}"], "error": error,
+                     "kept": i == best or got[f"d{i}"] <= z * error})
+    return rows
+
+
+def search_select(memo: FitMemo, features: Sequence[str], candidates: Sequence[dict], *, how: str, min_features: int = 1) -> list[dict]:
+    """F4/F5 joined with a search: each candidate that survives the race eliminates (``rfe``) or adds (``rfa``) features.
+
+    Rows: one per candidate and subset, ``best`` marks the pair with the smallest RMSE (fewer features
+    on ties). Subsets that several candidates or methods meet with the same parameters are fitted once.
+    """
+    rows = []
+    for r in race(memo, features, candidates):
+        if not r["kept"]:
+            continue
+        c, tried = r["params"], []
+        _, imp = memo(features, c)
+        order = sorted(features, key=lambda f: (-imp[f], f))
+        if how == "rfa":
+            tried = [order[:k] for k in range(1, len(order) + 1)]
+        elif how == "rfe":
+            current = list(order)
+            while True:
+                tried.append(current)
+                if len(current) <= min_features:
+                    break
+                _, imp = memo(current, c)
+                current = sorted(current, key=lambda f: (-imp[f], f))[:-1]
+        else:
+            raise ValueError("how is 'rfe' or 'rfa'")
+        rows += [{"candidate": r["candidate"], "n_features": len(s), "features": ",".join(sorted(s)), "rmse": memo(s, c)[0]} for s in tried]
+    best = min(rows, key=lambda r: (r["rmse"], r["n_features"], r["candidate"]))
+    return [{**r, "best": r is best} for r in rows]
+
+
+def search_boruta(memo: FitMemo, df: DataFrame, features: Sequence[str], candidates: Sequence[dict], *, key: str, **params) -> list[dict]:
+    """F6 joined with a search: Boruta's features (confirmed or undecided; all, if none is), then the candidates on these."""
+    chosen = [r["feature"] for r in boruta(df, features, label=memo.label, key=key, **params) if r["decision"] != "rejected"] or list(features)
+    rows = [{"candidate": r["candidate"], "n_features": len(chosen), "features": ",".join(sorted(chosen)), "rmse": memo(chosen, r["params"])[0]}
+            for r in race(memo, chosen, candidates) if r["kept"]]
+    best = min(rows, key=lambda r: (r["rmse"], r["candidate"]))
+    return [{**r, "best": r is best} for r in rows]

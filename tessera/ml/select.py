@@ -8,11 +8,13 @@ gathered in one task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import seeded_hash
-from tessera.operators.numbering import index_within
+from tessera.operators.numbering import index_ordered, index_within
 
 _HASH_BITS_BLOCK = 1 << 40  # 60-bit hash prefix -> at most 2^20 blocks
 
@@ -47,3 +49,51 @@ def permuted_columns(df: DataFrame, seeds: dict[str, int], *, key: str, suffix:
             "_pos", F.col(col).alias(col + suffix))
         out = out.join(by_hash, on="_pos", how="inner")
     return out.drop("_pos")
+
+
+#: Rounds of the network, and steps in which a position outside [0, n) must have come back inside.
+_ROUNDS, _WALK = 4, 16
+
+
+def shuffled_position(pos: Column, n: int, seed: int) -> Column:
+    """A seeded bijection of [0, n): a Feistel network on pairs, walked on until it lands inside.
+
+    n positions are pairs (l, r) of Z_a x Z_b with a = ceil(sqrt(n)) and a * b the next multiple, so
+    fewer than a of them lie outside and a walk of more than one step is rare (one in sqrt(n)). Up
+    to n = 225, 16 steps are enough by counting; beyond, a longer walk has a chance below 1e-18 a
+    row, and raises.
+    """
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    b = max(1, -(-n // a))
+
+    def step(x: Column) -> Column:
+        left, right = F.floor(x / F.lit(b)), F.pmod(x, F.lit(b))
+        for i in range(_ROUNDS):
+            if i % 2 == 0:
+                left = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(seed), F.lit(i)), F.lit(a)), F.lit(a))
+            else:
+                right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(seed), F.lit(i)), F.lit(b)), F.lit(b))
+        return (left * b + right).cast("long")
+    first = step(pos.cast("long"))
+    walked = F.aggregate(F.sequence(F.lit(2), F.lit(_WALK)), first, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    lost = F.raise_error(F.lit("a position didn't come back inside")).cast("long")
+    return F.when(first < n, first).otherwise(F.when(walked < n, walked).otherwise(lost))
+
+
+def numbered_rows(df: DataFrame, *, key: str, out: str = "_pos") -> DataFrame:
+    """``df`` with each row's position in key order, from 0: what ``shuffled_columns`` starts from."""
+    return index_ordered(df, order_keys=[key], out=out)
+
+
+def shuffled_columns(df: DataFrame, seeds: dict[str, int], *, n: int, pos: str = "_pos", suffix: str = "_shadow") -> DataFrame:
+    """Add ``{col}{suffix}`` for every column of ``seeds``, each shuffled on its own, with one join for all.
+
+    Each row sends its values to the positions that the columns' bijections give; what arrives at a
+    position is one row, which is joined to the row there. Columns travel as doubles.
+    """
+    cols = list(seeds)
+    sent = F.array(*[F.struct(shuffled_position(F.col(pos), n, seeds[c]).alias("to"), F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                     for i, c in enumerate(cols)])
+    there = df.select(F.explode(sent).alias("s")).groupBy(F.col("s.to").alias("_to")).agg(
+        *[F.max(F.when(F.col("s.c") == i, F.col("s.v"))).alias(c + suffix) for i, c in enumerate(cols)])
+    return df.join(there, F.col(pos) == F.col("_to")).drop("_to")

@@ -23,7 +23,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegres
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.ml.boost import Trees, boost, write_forest
+from tessera.ml.boost import BLOCK, Trees, boost, write_forest
 from tessera.operators.metrics import best_iteration, early_stopping_rounds, rmse_r2_aggs  # noqa: F401
 from tessera.session import scratch_path
 
@@ -105,11 +105,12 @@ def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str
     """M1: fit on assembled ``train``, score on assembled ``valid``.
 
     For GBT: ``patience`` (e.g. from X8) applies W4 with use-best-model and ends the fit when it
-    applies; ``None`` keeps the best of all rounds. ``path`` is the folder of a fit with a
-    patience, from which an interrupted one goes on.
+    applies; ``None`` keeps the best of all rounds. Up to one block of rounds is fitted whole and
+    cut, with the same result but for the trees' random samples. ``path`` is the folder of a fit
+    with a patience, from which an interrupted one goes on.
     """
     params = dict(params or {})
-    if learner == "gbt" and patience is not None:
+    if learner == "gbt" and patience is not None and (rounds > BLOCK or path is not None):
         step = params.pop("stepSize", 0.1)
         res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path)
         m = score(res.model.transform(valid), label)

@@ -256,18 +256,22 @@ def predict_top5(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("predict_surface", ids="R1 R7 I2 P5", sql=W(f"""
-with tr as (select edem - ldem zdif, f_qty from px where roi <> 'ASIA' and ldem is not null),
-m as (select regr_slope(zdif, f_qty) s, regr_intercept(zdif, f_qty) i from tr),
-sc as (select tile, pix, edem, coalesce(f_qty, avg(f_qty) over (partition by tile)) f_qty from px where roi = 'ASIA')
-select tile, pix, round(edem - (i + s * f_qty), 4) ml_edem from sc, m""", "px"))
+with tr as (select r.roi, edem - ldem zdif, f_qty from px join (select distinct roi from px) r on px.roi <> r.roi where ldem is not null),
+m as (select roi, regr_slope(zdif, f_qty) s, regr_intercept(zdif, f_qty) i from tr group by roi),
+sc as (select roi, tile, pix, edem, coalesce(f_qty, avg(f_qty) over (partition by tile)) f_qty from px)
+select sc.roi, tile, pix, round(edem - (i + s * f_qty), 4) ml_edem from sc left join m on sc.roi = m.roi""", "px"))
 def predict_surface(spark: SparkSession, sf: str) -> DataFrame:
-    p = fx.px(spark, sf)
-    train = C.target_difference(p.where((F.col("roi") != "ASIA") & F.col("ldem").isNotNull()), "edem", "ldem")
-    model = fit_baseline(train, label="zdif", feature="f_qty")
-    todo = I.fill_per_tile(p.where(F.col("roi") == "ASIA").select("tile", "pix", "edem", "f_qty"), ["f_qty"])
-    scored = predict_baseline(todo, model, feature="f_qty", out="ml_zdif")
+    """Every pixel of every region, each region by the model of all the others."""
+    p = materialize(fx.px(spark, sf).select("roi", "tile", "pix", "edem", "ldem", "f_qty"), "px_regions")
+    regions = p.select("roi").distinct()
+    train = C.target_difference(C.dropnulls_bycol(p, "ldem"), "edem", "ldem").select(F.col("roi").alias("_own"), "zdif", "f_qty")
+    # one aggregate over rows times regions (a handful), combined before the shuffle
+    others = train.join(F.broadcast(materialize(regions, "regions")), F.col("_own") != F.col("roi"))
+    model = fit_baseline(others, label="zdif", feature="f_qty", by=["roi"])
+    todo = I.fill_per_tile(p.select("roi", "tile", "pix", "edem", "f_qty"), ["f_qty"])
+    scored = predict_baseline(todo, model, feature="f_qty", out="ml_zdif", by=["roi"])
     out = C.corrected_surface(scored, "edem", "ml_zdif", "ml_edem")
-    return round_all(out.select("tile", "pix", "ml_edem"), ["ml_edem"])
+    return round_all(out.select("roi", "tile", "pix", "ml_edem"), ["ml_edem"])
 
 
 @query("model_files", ids="S13", sql=W("""
@@ -307,7 +311,7 @@ def run_time_summary(spark: SparkSession, sf: str) -> DataFrame:
     """A runs table, appended day by day as runs end, summed over all of them."""
     from tessera.session import scratch_path
     runs = fx.table(spark, sf, "events").select(F.col("event_type").alias("tile"), F.col("value").alias("elapsed_s"),
-                                                (F.dayofmonth("ts") % 2).alias("half"))
+                                                F.coalesce(F.dayofmonth("ts") % 2, F.lit(0)).alias("half"))
     path = scratch_path(spark, "runs")
     for half in (0, 1):
         SK.append_table(runs.where(F.col("half") == half).drop("half"), path)

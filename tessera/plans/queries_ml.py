@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import seeded_hash
 from tessera.ml import predict as PR
 from tessera.ml import search as SE
 from tessera.ml import train as T
@@ -30,6 +31,8 @@ FEATURES = ["f_qty", "f_disc", "f_tax", "f_n"]
 LABEL = "zdif"
 ROUNDS = 40
 SEARCH_ROUNDS = 10
+#: Bound and patience of a candidate's fit in the searches.
+CANDIDATE_ROUNDS, CANDIDATE_PATIENCE = 15, 10
 GBT_PARAMS = {"maxDepth": 4, "subsamplingRate": 0.8, "stepSize": 0.3}
 
 
@@ -214,13 +217,14 @@ def automl_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 GRID = {"stepSize": [0.2, 0.1], "maxDepth": [10, 12], "leaves": [25, 35]}
-RANKED = "rank int, candidate int, stepSize double, maxDepth int, leaves int, columns double, rmse double, r2 double"
+RANKED = ("rank int, candidate int, stepSize double, maxDepth int, leaves int, columns double, rmse double, r2 double, "
+          "best_iter int, stop_iter int")
 
 
 @query("grid_search", ids="F1")
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     with _split(spark, sf) as (train, valid):
-        rows = SE.search(train, valid, SE.grid_candidates(GRID), label=LABEL, rounds=SEARCH_ROUNDS)
+        rows = SE.search(train, valid, SE.grid_candidates(GRID), label=LABEL, rounds=CANDIDATE_ROUNDS, patience=CANDIDATE_PATIENCE)
     return T.results_frame(spark, rows, RANKED)
 
 
@@ -231,7 +235,7 @@ def random_candidates(spark: SparkSession, sf: str) -> DataFrame:
     both = None
     for name in SE.SPACES:
         c = SE.random_candidates(spark, 8, 0, SE.SPACES[name]).withColumn("space", F.lit(name))
-        both = c if both is None else both.unionByName(c)
+        both = c if both is None else both.unionByName(c, allowMissingColumns=True)
     return (both.crossJoin(F.broadcast(rows))  # one row
             .withColumn("minInstancesPerNode", F.greatest(F.lit(1), F.floor(F.col("n") / F.col("leaves"))).cast("int")).drop("n"))
 
@@ -240,7 +244,7 @@ def _random_search(spark: SparkSession, sf: str, space: str) -> DataFrame:
     """Every candidate that ``random_candidates`` lists for the space."""
     cands = [r.asDict() for r in SE.random_candidates(spark, 8, 0, SE.SPACES[space]).orderBy("candidate").drop("candidate").collect()]
     with _split(spark, sf) as (train, valid):
-        rows = SE.search(train, valid, cands, label=LABEL, rounds=SEARCH_ROUNDS)
+        rows = SE.search(train, valid, cands, label=LABEL, rounds=CANDIDATE_ROUNDS, patience=CANDIDATE_PATIENCE)
     return T.results_frame(spark, rows, RANKED)
 
 
@@ -287,6 +291,56 @@ def boruta(spark: SparkSession, sf: str) -> DataFrame:
     return T.results_frame(spark, rows, "feature string, hits int, tried int, p_confirm double, decision string")
 
 
+JOINT = "candidate int, n_features int, features string, rmse double, best boolean"
+
+
+def _joint(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    """Three candidates of the uniform space, raced on all features, then joined with a selection of features."""
+    cands = [r.asDict() for r in SE.random_candidates(spark, 3, 0, SE.SPACES["uniform"]).orderBy("candidate").drop("candidate").collect()]
+    train, valid = _raw_split(spark, sf)
+    try:
+        memo = SE.FitMemo(train, valid, label=LABEL, rounds=SEARCH_ROUNDS // 2, path=scratch_path(spark, f"memo_{how}"))
+        if how == "boruta":
+            rows = SE.search_boruta(memo, train, FEATURES, cands, key="pix", max_iter=12)
+        else:
+            rows = SE.search_select(memo, FEATURES, cands, how=how)
+    finally:
+        train.unpersist(), valid.unpersist()
+    return T.results_frame(spark, rows, JOINT)
+
+
+@query("search_rfe", ids="F4 F2")
+def search_rfe(spark: SparkSession, sf: str) -> DataFrame:
+    return _joint(spark, sf, "rfe")
+
+
+@query("search_rfa", ids="F5 F2")
+def search_rfa(spark: SparkSession, sf: str) -> DataFrame:
+    return _joint(spark, sf, "rfa")
+
+
+@query("search_boruta", ids="F6 F2")
+def search_boruta(spark: SparkSession, sf: str) -> DataFrame:
+    return _joint(spark, sf, "boruta")
+
+
+@query("leaderboard_budget", ids="M8 M4 W6")
+def leaderboard_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """Learner families within a budget of rows x rounds: a third of what fitting all of them on all rows costs."""
+    from tessera.operators.numbering import index_ordered
+    learners = {"gbt": {"maxIter": 20, **GBT_PARAMS}, "rf": {"numTrees": 20, "maxDepth": 5}, "dt": {"maxDepth": 5}, "lr": {}}
+    with scratch_scope(spark):
+        d = materialize(S.split_three_way(_prepared(spark, sf), key="pix", seed=43), "three_ways")
+        own = d.where(F.col("part") == "train").withColumn("_h", seeded_hash("pix", 43))
+        train = T.assemble(index_ordered(own, order_keys=["_h", "pix"], out="_rank"), FEATURES).persist()
+        tuning, holdout = (T.assemble(d.where(F.col("part") == p), FEATURES) for p in ("test", "valid"))
+        budget = train.count() * (20 + 20 + 1 + 1) / 3
+        rows = SE.leaderboard_halving(train, tuning, holdout, label=LABEL, learners=learners, budget=budget, rank="_rank")
+        train.unpersist()
+    return T.results_frame(spark, rows, "rung int, rows long, model string, rmse_tuning double, place int, kept boolean, cost double, "
+                                        "spent double, rmse_holdout double")
+
+
 def _saved(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, str]:
     """(pixels to predict, registry, root): seven small models trained, saved, found again and tried."""
     root = scratch_path(spark, "saved_models")

@@ -114,8 +114,10 @@ def test_searches_fit_every_candidate(spark, monkeypatch):
         query(spark, SF_SMALL).collect()
     assert {(c["stepSize"], c["maxDepth"], c["leaves"]) for c in tried[0]} == {(s, d, n) for s in (0.2, 0.1) for d in (10, 12) for n in (25, 35)}
     for space, got in zip(("uniform", "log"), tried[1:]):
-        assert sorted((c["stepSize"], c["maxDepth"], c["leaves"], c["columns"]) for c in got) == sorted(listed[space])
+        assert sorted(((c["stepSize"], c["maxDepth"], c["leaves"], c.get("columns")) for c in got), key=str) == sorted(listed[space], key=str)
         assert len(got) == 8
+    assert all(0.09 <= s <= 0.34 and d in (10, 12) and 20 <= n <= 39 and c is None for s, d, n, c in listed["uniform"])
+    assert all(0.01 <= s <= 0.2 and 15 <= d <= 19 and n == 31 and 0.6 <= c <= 1 for s, d, n, c in listed["log"])
 
 
 def test_rules_of_patience(spark):

@@ -25,6 +25,10 @@ ML = {
     "automl_leaderboard": lambda r: len({round(x["rmse_tuning"], 6) for x in r}) == len(r) == 6,
     "grid_search": lambda r: len(r) == 8 and [x["rank"] for x in r] == list(range(1, 9)),
     "random_search": lambda r: len(r) == 8 and len({x["stepSize"] for x in r}) == 8,
+    "leaderboard_budget": lambda r: r[-1]["spent"] <= sum(20 * x["rows"] for x in r) and sum(x["rmse_holdout"] is not None for x in r) == 1,
+    "search_rfe": lambda r: sum(x["best"] for x in r) == 1 and {x["n_features"] for x in r} == {1, 2, 3, 4},
+    "search_rfa": lambda r: sum(x["best"] for x in r) == 1 and {x["n_features"] for x in r} == {1, 2, 3, 4},
+    "search_boruta": lambda r: sum(x["best"] for x in r) == 1 and len({x["features"] for x in r}) == 1,
     "rfe": lambda r: sum(x["selected"] for x in r) == r[0]["n_features"],
     "rfa": lambda r: sum(x["best"] for x in r) == 1,
     "boruta": lambda r: any(x["decision"] == "confirmed" for x in r),
