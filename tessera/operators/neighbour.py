@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import INTEGRAL_TYPES
-from tessera.session import join_null_safe
+from tessera.session import join_null_safe, small_side
 
 
 def _result(df: DataFrame, name: str):
@@ -45,19 +45,24 @@ ONE_LEVEL_MAX_ROWS = 1 << 22  # largest tile sorted as one window partition unde
 
 
 def neighbour_fill(df: DataFrame, cols: Sequence[str], *, key: str = "pixel_idx",
-                   tile: str = "tile", block: int | str | None = "auto") -> DataFrame:
+                   tile: str = "tile", block: int | str | None = "auto", slab: str | None = None) -> DataFrame:
     """W1 on ``cols``. ``block``: "auto" (one small job decides from the largest
     tile), an int (two-level with that block size) or None (one window per tile).
+    ``slab`` is a column that holds the blocks already: on a table clustered by
+    (tile, slab) the pixels are not shuffled.
     """
     cols = [c for c in cols if c in df.columns]  # unknown columns are ignored
     if not cols:
         return df
+    if slab is not None:
+        return _two_level(df, cols, key=key, tile=tile, blk=slab)
     if block == "auto":
         largest = df.groupBy(tile).count().agg(F.max("count")).collect()[0][0] or 0
         block = None if largest <= ONE_LEVEL_MAX_ROWS else DEFAULT_BLOCK
     if block is None:
         return _one_level(df, cols, key=key, tile=tile)
-    return _two_level(df, cols, key=key, tile=tile, block=block)
+    blocked = df.withColumn("_blk", F.floor(F.col(key) / F.lit(block)).cast("long"))
+    return _two_level(blocked, cols, key=key, tile=tile, blk="_blk").drop("_blk")
 
 
 def _one_level(df: DataFrame, cols: list[str], *, key: str, tile: str) -> DataFrame:
@@ -72,26 +77,25 @@ def _one_level(df: DataFrame, cols: list[str], *, key: str, tile: str) -> DataFr
     return with_nb.select(*[_result(df, n) if n in cols else F.col(n) for n in df.columns])
 
 
-def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, block: int) -> DataFrame:
-    blocked = df.withColumn("_blk", F.floor(F.col(key) / F.lit(block)).cast("long"))
-
+def _two_level(df: DataFrame, cols: list[str], *, key: str, tile: str, blk: str) -> DataFrame:
     # Per block: last non-null value of each column and the (possibly null) first cell.
     summary_aggs = []
     for c in cols:
         summary_aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key))).alias("_last_" + c))
         # min_by keeps a null value at the smallest key (a null first cell stays null)
         summary_aggs.append(F.min_by(F.col(c), F.col(key)).alias("_first_" + c))
-    summary = blocked.groupBy(tile, "_blk").agg(*summary_aggs)
+    summary = df.groupBy(tile, blk).agg(*summary_aggs)
 
-    wb = Window.partitionBy(tile).orderBy("_blk")
+    wb = Window.partitionBy(tile).orderBy(blk)
     wb_before = wb.rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        tile, "_blk",
+        tile, blk,
         *[F.last(F.col("_last_" + c), ignorenulls=True).over(wb_before).alias("_in_" + c) for c in cols],
         *[F.lead(F.col("_first_" + c), 1).over(wb).alias("_nx_" + c) for c in cols])
 
-    joined = join_null_safe(blocked, carry, [tile, "_blk"], "left")
-    w = Window.partitionBy(tile, "_blk").orderBy(key)
+    # one row per block; broadcast if that is few, so that the pixels stay where they are
+    joined = join_null_safe(df, small_side(carry, "carry"), [tile, blk], "left")
+    w = Window.partitionBy(tile, blk).orderBy(key)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     helpers = [F.lead(F.col(key), 1).over(w).isNull().alias("_is_last")]
     for c in cols:

@@ -19,11 +19,19 @@ from tessera.plans.fixtures import with_fixtures as W
 from tessera.plans.registry import query
 from tessera.session import materialize
 from tessera.sources import catalog as K
+from tessera.sources import clustered as CL
 from tessera.sources import files as FI
 from tessera.sources import raster as RS
 from tessera.sources import sinks as SK
 
 LO, HI = 5000, 450000  # P1 range on px (FIXTURES B1)
+W1_SQL = """select tile, pixel_idx, coalesce(v, (prv + nxt) / 2, prv, nxt) v
+from (select tile, pixel_idx, v,
+             last_value(v ignore nulls) over (partition by tile order by pixel_idx
+                                              rows between unbounded preceding and 1 preceding) prv,
+             lead(v) over (partition by tile order by pixel_idx) nxt
+      from {src})"""
+
 MD5 = "md5(cast({k} as varchar) || ':{s}')"
 
 
@@ -214,6 +222,59 @@ def pixel_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("tile", "brow", "bcol", "h", "w", "n", cells.alias("data"))
 
 
+@query("clustered_blocks", ids="S7 S10", sql=W("""
+select b.tile, b.brow, b.bcol, b.h, b.w, b.n, b.data from (
+select tile, rn // 24 brow, cast(col // 24 as bigint) bcol, cast(max(rn) - min(rn) + 1 as bigint) h,
+       cast(max(col) - min(col) + 1 as bigint) w, cast(count(*) as bigint) n,
+       array_to_string(list(cast(round(cast(v as double) * 10000) as bigint) order by rn, col), ',') data
+from ras group by all) b""", "ras"))
+def clustered_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks made in place from a table clustered by (tile, block row)."""
+    from tessera.session import scratch_path
+    pixels = fx.ras(spark, sf).select("tile", "pixel_idx", "v").join(fx.ras_grid(spark, sf, wrong_mod=None), "tile")
+    name = CL.write_clustered(pixels, scratch_path(spark, "clustered"), block=24 * fx.RAS_WIDTH, buckets=8)
+    blocks = SK.pixel_blocks(CL.read_clustered(spark, name), width=fx.RAS_WIDTH, height="height", block=24, slab=CL.SLAB)
+    cells = F.concat_ws(",", F.transform("data", lambda x: F.round(x.cast("double") * 10000).cast("long").cast("string")))
+    return blocks.select("tile", "brow", "bcol", "h", "w", "n", cells.alias("data"))
+
+
+@query("clustered_fill", ids="S7 W1 I2", sql=W(f"""
+with f as ({W1_SQL.format(src='ev')}), m as (select tile, avg(v) mean from ev group by tile)
+select f.tile, f.pixel_idx, f.v, round(coalesce(e.v, mean), 4) by_mean
+from f join ev e on f.tile = e.tile and f.pixel_idx = e.pixel_idx join m on m.tile = f.tile""", "ev"))
+def clustered_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbour fill and tile means on a table clustered by (tile, slab)."""
+    from tessera.session import scratch_path
+    name = CL.write_clustered(fx.ev(spark, sf).select("tile", "pixel_idx", "v"), scratch_path(spark, "clustered"), block=512, buckets=8)
+    rows = CL.read_clustered(spark, name).withColumn("by_mean", F.col("v"))
+    out = I.fill_per_tile(neighbour_fill(rows, ["v"], slab=CL.SLAB), ["by_mean"])
+    return out.select("tile", "pixel_idx", "v", F.round("by_mean", 4).alias("by_mean"))
+
+
+@query("grid_check_footers", ids="P8 A2", sql=W(GRID_CHECK_SQL, "ras", "ras_grid"))
+def grid_check_footers(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid check from the footers of a table partitioned by tile: no pixel is read."""
+    from tessera.session import scratch_path
+    out = scratch_path(spark, "by_tile")
+    pixels = fx.ras(spark, sf).select("tile", "pixel_idx", "v")
+    pixels.write.partitionBy("tile").parquet(out)
+    return RS.grid_check(pixels, fx.ras_grid(spark, sf), counts=CL.footer_counts(spark, out).select("tile", "n"))
+
+
+@query("sketch_bounds", ids="A6 O3")
+def sketch_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate percentile bounds of all tiles and of one region's, from one table of sketches."""
+    px = fx.px(spark, sf).select("roi", "tile", "edem", "f_qty")
+    sketches = CL.tile_sketches(px.withColumn("tile", F.struct("roi", "tile")), ["edem", "f_qty"])
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    both = None
+    for name, part in (("all", sketches), ("ASIA", sketches.where(F.col("tile.roi") == "ASIA"))):
+        one = CL.sketch_bounds(part, probs).withColumn("region", F.lit(name))
+        both = one if both is None else both.unionByName(one)
+    return both.select("region", "column", "n", F.posexplode("quantiles").alias("i", "value")).select(
+        "region", "column", "n", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("p"), "value")
+
+
 @query("write_tiles", ids="S7", sql=W("select tile, cast(count(*) as bigint) n from px group by tile", "px"))
 def write_tiles(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.session import scratch_path
@@ -346,14 +407,6 @@ def fill_features_per_tile(spark: SparkSession, sf: str) -> DataFrame:
     return round_all(d.select("tile", "pix", "f_qty", "f_disc", "f_tax"), ["f_qty", "f_disc", "f_tax"])
 
 
-W1_SQL = """select tile, pixel_idx, coalesce(v, (prv + nxt) / 2, prv, nxt) v
-from (select tile, pixel_idx, v,
-             last_value(v ignore nulls) over (partition by tile order by pixel_idx
-                                              rows between unbounded preceding and 1 preceding) prv,
-             lead(v) over (partition by tile order by pixel_idx) nxt
-      from {src})"""
-
-
 @query("neighbour_fill", ids="W1", sql=W(W1_SQL.format(src="ev"), "ev"))
 def neighbour_fill_q(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.ev(spark, sf).select("tile", "pixel_idx", "v")

@@ -55,35 +55,37 @@ def write_chunks(df: DataFrame, path: str, *, rows_per_file: int = 100_000,
 
 
 def pixel_lines(pixels: DataFrame, *, width: int | str, height: int | str, value: str = "v", tile: str = "tile",
-                idx: str = "pixel_idx") -> DataFrame:
+                idx: str = "pixel_idx", slab: str | None = None) -> DataFrame:
     """Pixels -> raster lines (tile, line, height, data array<float>); a group is one line of ``width`` cells.
 
-    A line with missing, repeated or surplus cells raises.
+    A line with missing, repeated or surplus cells raises. ``slab`` is a column that holds whole
+    lines of a tile: it stays, and on a table clustered by (tile, slab) nothing is shuffled.
     """
+    by = [tile] if slab is None else [tile, slab]
     own = lambda x: (F.lit(x) if isinstance(x, int) else F.col(x)).cast("long")
-    cells = pixels.select(tile, own(width).alias("_w"), own(height).alias("height"), F.col(idx).alias("_i"), F.col(value).cast("float").alias("_v"))
-    lines = cells.selectExpr(tile, "_w", "height", "_i div _w AS line", "_i % _w AS _i", "_v").groupBy(tile, "line").agg(
+    cells = pixels.select(*by, own(width).alias("_w"), own(height).alias("height"), F.col(idx).alias("_i"), F.col(value).cast("float").alias("_v"))
+    lines = cells.selectExpr(*by, "_w", "height", "_i div _w AS line", "_i % _w AS _i", "_v").groupBy(*by, "line").agg(
         F.max("_w").alias("_w"), F.max("height").alias("height"), F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_cells"))
     # sorted places 0, 1, 2, ...: neither a gap nor a repeat
     whole = (F.size("_cells") == F.col("_w")) & F.forall(F.transform("_cells", lambda x, i: x.getField("_i") == i), lambda x: x)
     wrong = F.concat(F.lit("line of "), F.size("_cells").cast("string"), F.lit(" cells, or with repeated ones, where the grid has "),
                      F.col("_w").cast("string"))
-    return lines.select(tile, "line", "height", F.when(whole, F.transform("_cells", lambda x: x.getField("_v")))
+    return lines.select(*by, "line", "height", F.when(whole, F.transform("_cells", lambda x: x.getField("_v")))
                         .otherwise(F.raise_error(wrong)).alias("data"))
 
 
 def line_blocks(lines: DataFrame, *, block: int, tile: str = "tile", line: str = "line", height: int | str = "height",
-                data: str = "data") -> DataFrame:
+                data: str = "data", slab: str | None = None) -> DataFrame:
     """Raster lines -> blocks of ``block x block`` cells, ragged at the right/bottom edge.
 
     -> (tile, brow, bcol, h, w, n, data array<float> row-major). Every line is cut into its blocks'
     pieces, so a block is made of ``block`` rows, not of block^2 cells. A block with missing or
-    repeated lines, or lines of unequal length, raises.
+    repeated lines, or lines of unequal length, raises. ``slab`` is a column that holds the block row.
     """
     high = (F.lit(height) if isinstance(height, int) else F.col(height)).cast("long")
-    pieces = lines.select(tile, F.col(line).cast("long").alias("_l"), high.alias("_h"), F.col(data).alias("_d"),
+    pieces = lines.select(tile, *([] if slab is None else [slab]), F.col(line).cast("long").alias("_l"), high.alias("_h"), F.col(data).alias("_d"),
                           F.explode(F.sequence(F.lit(0), F.floor((F.size(data) - 1) / block).cast("int"))).alias("bcol"))
-    cut = pieces.select(tile, F.floor(F.col("_l") / block).alias("brow"), F.col("bcol").cast("long").alias("bcol"), "_l", "_h",
+    cut = pieces.select(tile, (F.floor(F.col("_l") / block) if slab is None else F.col(slab)).alias("brow"), F.col("bcol").cast("long").alias("bcol"), "_l", "_h",
                         F.slice("_d", F.col("bcol") * block + 1, F.lit(block)).alias("_p"))
     agg = cut.groupBy(tile, "brow", "bcol").agg(
         F.max(F.least(F.lit(block).cast("long"), F.col("_h") - F.col("brow") * block)).alias("h"), F.max(F.size("_p")).cast("long").alias("w"),
@@ -99,18 +101,19 @@ def line_blocks(lines: DataFrame, *, block: int, tile: str = "tile", line: str =
 
 
 def pixel_blocks(pixels: DataFrame, *, width: int | str, height: int | str, block: int, value: str = "v",
-                 tile: str = "tile", idx: str = "pixel_idx") -> DataFrame:
+                 tile: str = "tile", idx: str = "pixel_idx", slab: str | None = None) -> DataFrame:
     """Pixels -> blocks, by way of raster lines (``pixel_lines``, ``line_blocks``).
 
-    ``width`` and ``height`` (numbers or columns) are the tile's grid.
+    ``width`` and ``height`` (numbers or columns) are the tile's grid. ``slab``: a column that holds
+    the block row, ``pixel_idx div (width * block)``; on a table clustered by it nothing is shuffled.
     """
-    lines = pixel_lines(pixels, width=width, height=height, value=value, tile=tile, idx=idx)
-    return line_blocks(lines, block=block, tile=tile)
+    lines = pixel_lines(pixels, width=width, height=height, value=value, tile=tile, idx=idx, slab=slab)
+    return line_blocks(lines, block=block, tile=tile, slab=slab)
 
 
-def write_blocks(blocks: DataFrame, path: str, *, tile: str = "tile") -> None:
-    """Block table partitioned by tile; a tile's blocks are dealt over tasks by block row."""
-    (blocks.repartition(tile, "brow").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_blocks(blocks: DataFrame, path: str, *, tile: str = "tile", dealt: bool = False) -> None:
+    """Block table partitioned by tile; a tile's blocks are dealt over tasks by block row, unless they are ``dealt`` so."""
+    ((blocks if dealt else blocks.repartition(tile, "brow")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(tile).parquet(path))
 
 
