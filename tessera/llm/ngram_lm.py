@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney language model (order 2), counted and applied in Spark.
+"""Interpolated modified Kneser-Ney language model (order 2 or 3), counted and applied in Spark.
 
 The model is never in one place. Documents are packed once into blocks of tokens (a written
 table). A block's distinct bigrams go, as packed arrays, to the shards of a hash of the context.
@@ -14,6 +14,11 @@ with a(w) the number of distinct contexts of w, and discounts D and E from the c
 either level (Chen and Goodman, 1998). V + 1 leaves one share for unknown words, so the
 probabilities of all words and the unknown one add up to 1 after any context.
 
+With order 3 a round by pair of words comes first. Its shards count trigrams and answer for them, and
+pass on after how many words each bigram was seen; these continuation counts take the place of the
+bigrams' own in the rounds above, and p(w | uv) has the same form with p(w | v) inside. Pairs of words
+are not dealt over several shards.
+
 A context seen more than ``HOT_TOKENS`` times is dealt over several shards by a hash of context and
 follower, so equal bigrams still meet. Each of these shards knows a part of the context's totals;
 the second round adds the parts in the context's home shard and tells them to the blocks. The list
@@ -96,6 +101,11 @@ def pair_keys(contexts: np.ndarray, followers: np.ndarray) -> np.ndarray:
     return mixed(contexts + _GOLDEN) + followers * _GOLDEN
 
 
+def pair_names(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Fingerprints of contexts of two words."""
+    return mixed(mixed(one + _GOLDEN) ^ (two * _GOLDEN))
+
+
 def counts_array(n: np.ndarray) -> np.ndarray:
     """Counts within a block or a shard's types. Counts over all blocks stay 64-bit integers."""
     return n.astype(np.uint32)
@@ -174,6 +184,47 @@ def hot_contexts(blocks: DataFrame) -> Hot:
     return Hot(found["context"].to_numpy().view(np.uint64), -(-found["n"].to_numpy() // limit))
 
 
+def shards_of(contexts: np.ndarray, followers: np.ndarray, shards: int, hot: Hot) -> np.ndarray:
+    """The shard of each bigram: its context's home, or one of those that the context is dealt to."""
+    out = (follower(contexts) % np.uint64(shards)).astype(np.int64)
+    splits = hot(contexts)
+    dealt = np.flatnonzero(splits > 1)
+    if len(dealt):
+        pairs = mixed(pair_keys(contexts[dealt], followers[dealt]) ^ _GOLDEN)
+        out[dealt] = (out[dealt] + (pairs % splits[dealt].astype(np.uint64)).astype(np.int64)) % shards
+    return out
+
+
+def in_parts(order: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, positions) of every shard that occurs; ``order`` sorts by shard."""
+    own = shard[order]
+    cuts = np.flatnonzero(np.diff(own, prepend=-1))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)]):
+        yield int(own[a]), order[a:b]
+
+
+class Trigrams:
+    """A block's distinct trigrams: contexts of two words, and the word that follows."""
+
+    def __init__(self, block: Block, seq: np.ndarray, lengths: np.ndarray, shards: int):
+        n = np.uint64(len(block.names))  # the last name is the begin
+        one = np.empty(len(seq), np.uint64)
+        one[2:] = seq[:-2]
+        starts = np.cumsum(lengths) - lengths
+        one[starts] = n - np.uint64(1)
+        more = starts[lengths > 1]
+        one[more + 1] = n - np.uint64(1)
+        contexts, at = np.unique(one * n + block.context[block.back].astype(np.uint64), return_inverse=True)
+        first, second = np.divmod(contexts, n)
+        self.lower = second.astype(np.int64)
+        self.names = pair_names(block.names[first.astype(np.int64)], block.names[self.lower])
+        keys, self.back = np.unique(at.astype(np.uint64) * n + seq, return_inverse=True)
+        context, word = np.divmod(keys, n)
+        self.context, self.word = context.astype(np.int64), word.astype(np.int64)
+        self.shard = (follower(self.names) % np.uint64(shards)).astype(np.int64)[self.context]
+        self.by_shard = np.argsort(self.shard, kind="stable")
+
+
 class Block:
     """A block's distinct bigrams, in the order in which shards are asked."""
 
@@ -190,21 +241,9 @@ class Block:
         keys = follower(self.names)
         self.home = (keys % np.uint64(shards)).astype(np.int64)  # of contexts, and words
         self.by_home = np.argsort(self.home, kind="stable")
-        self.shard = self.home[self.context]  # of bigrams
-        splits = hot(self.names)[self.context]
-        dealt = np.flatnonzero(splits > 1)
-        if len(dealt):
-            pairs = mixed(pair_keys(self.names[self.context[dealt]], keys[self.word[dealt]]) ^ _GOLDEN)
-            self.shard[dealt] = (self.shard[dealt] + (pairs % splits[dealt].astype(np.uint64)).astype(np.int64)) % shards
+        self.shard = shards_of(self.names[self.context], keys[self.word], shards, hot)  # of bigrams
         self.by_shard = np.argsort(self.shard, kind="stable")
 
-    def parts(self, order: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(shard, positions) of every shard that occurs."""
-        own = shard[order]
-        cuts = np.flatnonzero(np.diff(own, prepend=-1))
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)]):
-            yield int(own[a]), order[a:b]
-
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kind, shard, block, data = zip(*rows) if rows else ((), (), (), ())
@@ -212,21 +251,29 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                        pa.array(data, pa.binary())], ["kind", "shard", "block", "data"])
 
 
-def _ask_bigrams(shards: int, hot: Hot):
-    """Blocks -> what they ask of context shards: contexts, their numbers of bigrams, followers, learned counts."""
+def _ask(shards: int, hot: Hot, order: int, level: int):
+    """Blocks -> what they ask of the context shards of bigrams or trigrams (``level``).
+
+    Contexts, their numbers of n-grams, followers, learned counts; for trigrams also the contexts' second
+    words. Below the order the counts come from the level above, and a block asks without any.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.array(row["lengths"], np.int64)
-                block = Block(unpacked(row["vocabulary"])[0], unpacked(row["tokens"])[0], lengths, shards, hot)
-                learned = np.bincount(block.back, np.repeat(np.array(row["learns"], float), lengths)).astype(np.int64)
+                seq = unpacked(row["tokens"])[0]
+                block = Block(unpacked(row["vocabulary"])[0], seq, lengths, shards, hot)
+                own = block if level == 2 else Trigrams(block, seq, lengths, shards)
+                learned = np.zeros(len(own.context), np.int64)
+                if level == order:
+                    learned += np.bincount(own.back, np.repeat(np.array(row["learns"], float), lengths), len(learned)).astype(np.int64)
                 names = follower(block.names)
-                bigrams = dict(block.parts(block.by_shard, block.shard))
                 rows = []
-                for shard, at in bigrams.items():
-                    contexts, sizes = np.unique(block.context[at], return_counts=True)
+                for shard, at in in_parts(own.by_shard, own.shard):
+                    contexts, sizes = np.unique(own.context[at], return_counts=True)
+                    lower = [block.names[own.lower[contexts]]] if level == 3 else []
                     rows.append(("ask", shard, row["block"], packed(
-                        block.names[contexts], counts_array(sizes), *six_bytes(names[block.word[at]]), counts_array(learned[at]))))
+                        own.names[contexts], counts_array(sizes), *six_bytes(names[own.word[at]]), counts_array(learned[at]), *lower)))
                     if len(rows) >= 64:
                         yield _batch(rows)
                         rows = []
@@ -259,55 +306,87 @@ def _counts_of_counts(n: np.ndarray) -> np.ndarray:
     return np.array([*((n == k).sum() for k in (1, 2, 3, 4)), (n > 0).sum(), n.sum()], np.int64)
 
 
-def _bigram_shard(shards: int, hot: Hot):
-    """All asks of a context shard -> answers to blocks, parts of dealt contexts' totals, continuation counts by word, counts of counts."""
-    def run(table: pa.Table) -> pa.Table:
-        shard, asks = table["shard"][0].as_py(), []
-        blocks = table["block"].to_pylist()
+class Counted:
+    """All messages to a context shard, added up, and its answers to the blocks."""
+
+    def __init__(self, table: pa.Table, kind: str):
+        shard, self.rows = table["shard"][0].as_py(), []
+        asks = []
         for data in table["data"]:
-            contexts, sizes, low, high, learned = unpacked(data.as_buffer())
-            owner = np.repeat(contexts, sizes)
-            asks.append((contexts, sizes, pair_keys(owner, joined(low, high)), joined(low, high), learned))
+            contexts, sizes, low, high, learned, *lower = unpacked(data.as_buffer())
+            asks.append((contexts, sizes, pair_keys(np.repeat(contexts, sizes), joined(low, high)), joined(low, high), learned, *lower))
         keys = np.concatenate([mixed(a[2]) for a in asks])
         counts = np.concatenate([a[4] for a in asks]).astype(np.int64)
-        seen = counts > 0
-        hashes, first, back = np.unique(keys[seen], return_index=True, return_inverse=True)
-        total = np.bincount(back, counts[seen], len(hashes)).astype(np.int64)
+        self.seen = counts > 0
+        hashes, self.first, back = np.unique(keys[self.seen], return_index=True, return_inverse=True)
+        total = np.bincount(back, counts[self.seen], len(hashes)).astype(np.int64)
         model = Mapped(hashes, total)
-        # contexts of the learned bigrams: totals, and how many followers once, twice, more often
-        names, context = np.unique(np.concatenate([np.repeat(a[0], a[1]) for a in asks])[seen][first], return_inverse=True)
+        self.asks = asks
+        # contexts of the learned n-grams: totals, and how many followers once, twice, more often
+        names, context = np.unique(self.learned([np.repeat(a[0], a[1]) for a in asks]), return_inverse=True)
         about = [np.bincount(context, w, len(names)).astype(np.int64) for w in (total, total == 1, total == 2, total >= 3)]
-        words, contexts_of = np.unique(np.concatenate([a[3] for a in asks])[seen][first], return_counts=True)
-        rows = [("sum", 0, 0, packed(_counts_of_counts(total)))]
-        for block, (contexts, _, asked, _, _) in zip(blocks, asks):
+        self.names, self.about = names, about
+        self.rows.append(("sum", 0, 0, packed(_counts_of_counts(total))))
+        for what, block, (contexts, _, asked, *_) in zip(table["kind"].to_pylist(), table["block"].to_pylist(), asks):
+            if what == "part":
+                continue
             at = np.minimum(np.searchsorted(names, contexts), max(0, len(names) - 1))
             known = names[at] == contexts if len(names) else np.zeros(len(contexts), bool)
             told = [np.where(known, x[at], 0) if len(names) else np.zeros(len(contexts), np.int64) for x in about]
-            rows.append(("bigrams", shard, block, packed(model(mixed(asked)), *told)))
-        for i in np.flatnonzero(hot(names) > 1).tolist():
-            key = follower(names[i:i + 1])
-            rows.append(("total", int(key[0] % np.uint64(shards)), 0, packed(key, *(x[i:i + 1] for x in about))))
+            self.rows.append((kind, shard, block, packed(model(mixed(asked)), *told)))
+
+    def learned(self, arrays: list[np.ndarray]) -> np.ndarray:
+        """One entry per distinct learned n-gram of arrays with one entry per asked n-gram."""
+        return np.concatenate(arrays)[self.seen][self.first]
+
+
+def _trigram_shard(shards: int, hot: Hot):
+    """All asks of a shard of word pairs -> answers to blocks, continuation counts of bigrams by their context, counts of counts."""
+    def run(table: pa.Table) -> pa.Table:
+        own = Counted(table, "trigrams")
+        second = own.learned([np.repeat(a[5], a[1]) for a in own.asks])
+        last = own.learned([a[3] for a in own.asks])
+        order = np.lexsort((last, second))
+        second, last = second[order], last[order]
+        new = np.flatnonzero(np.append(True, (second[1:] != second[:-1]) | (last[1:] != last[:-1]))[:len(second)])
+        n = np.diff(np.append(new, len(second)))
+        second, last = second[new], last[new]
+        shard = shards_of(second, last, shards, hot)
+        for to, at in in_parts(np.argsort(shard, kind="stable"), shard):
+            contexts, sizes = np.unique(second[at], return_counts=True)
+            own.rows.append(("part", to, 0, packed(contexts, counts_array(sizes), *six_bytes(last[at]), counts_array(n[at]))))
+        return pa.Table.from_batches([_batch(own.rows)])
+    return run
+
+
+def _bigram_shard(shards: int, hot: Hot):
+    """All messages to a context shard -> answers to blocks, parts of dealt contexts' totals, continuation counts by word, counts of counts."""
+    def run(table: pa.Table) -> pa.Table:
+        own = Counted(table, "bigrams")
+        words, contexts_of = np.unique(own.learned([a[3] for a in own.asks]), return_counts=True)
+        for i in np.flatnonzero(hot(own.names) > 1).tolist():
+            key = follower(own.names[i:i + 1])
+            own.rows.append(("total", int(key[0] % np.uint64(shards)), 0, packed(key, *(x[i:i + 1] for x in own.about))))
         home = (words % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(home, kind="stable")
-        cuts = np.flatnonzero(np.diff(home[order], prepend=-1))
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
-            at = order[a:b]
-            rows.append(("part", int(home[order[a]]), 0, packed(*six_bytes(words[at]), counts_array(contexts_of[at]))))
-        return pa.Table.from_batches([_batch(rows)])
+        for to, at in in_parts(np.argsort(home, kind="stable"), home):
+            own.rows.append(("part", to, 0, packed(*six_bytes(words[at]), counts_array(contexts_of[at]))))
+        return pa.Table.from_batches([_batch(own.rows)])
     return run
 
 
-def _ask_words(shards: int):
-    """Blocks -> the words, and the begin, that they ask of word shards."""
+def _ask_words(shards: int, counted: bool):
+    """Blocks -> the words, and the begin, that they ask of word shards; ``counted``: with how often they occur in learned rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = follower(np.append(unpacked(data.as_buffer())[0], BEGIN))
+            for row in batch.to_pylist():
+                keys = follower(np.append(unpacked(row["vocabulary"])[0], BEGIN))
                 shard = (keys % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-                yield _batch([("ask", int(shard[order[a]]), block, packed(*six_bytes(keys[order[a:b]])))
-                              for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)])])
+                n = []
+                if counted:
+                    learns = np.repeat(np.array(row["learns"], float), row["lengths"])
+                    n = [counts_array(np.bincount(unpacked(row["tokens"])[0], learns, len(keys)).astype(np.int64))]
+                yield _batch([("ask", to, row["block"], packed(*six_bytes(keys[at]), *(x[at] for x in n)))
+                              for to, at in in_parts(np.argsort(shard, kind="stable"), shard)])
     return run
 
 
@@ -322,17 +401,20 @@ def _word_shard(table: pa.Table) -> pa.Table:
             context, *about = (int(x[0]) for x in arrays)
             dealt[context] = np.array(about, np.int64) + dealt.get(context, 0)
         else:
-            asks.append((block, joined(*arrays)))
+            asks.append((block, joined(*arrays[:2]), arrays[2:]))
+    raw_keys, raw_back = np.unique(np.concatenate([a[1] for a in asks if a[2]] or [np.zeros(0, np.uint64)]), return_inverse=True)
+    raw = np.bincount(raw_back, np.concatenate([a[2][0] for a in asks if a[2]] or [np.zeros(0)]), len(raw_keys)).astype(np.int64)
     keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
     hashes, back = np.unique(keys, return_inverse=True)
     total = np.bincount(back, np.concatenate([p[1] for p in parts]), len(hashes)).astype(np.int64) if parts else np.zeros(0, np.int64)
     model = Mapped(hashes, total)
     rows = [("sum", 0, 0, packed(_counts_of_counts(total)))]
     contexts = np.array(sorted(dealt), np.uint64)
-    for block, keys in asks:
+    for block, keys, counted in asks:
         at = np.flatnonzero(np.isin(keys, contexts))
         abouts = np.array([dealt[k] for k in keys[at].tolist()], np.int64).T
-        rows.append(("words", shard, block, packed(model(keys), *([at, *abouts] if len(at) else []))))
+        own = [raw[np.searchsorted(raw_keys, keys)]] if counted else []
+        rows.append(("words", shard, block, packed(model(keys), *own, *([at, *abouts] if len(at) else []))))
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -348,10 +430,19 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array(d)
 
 
-def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int, hot: Hot):
-    """A block and its answers -> its documents' scores."""
-    d, e = discounts(bigram_sums), discounts(word_sums)
-    n_tokens, types, known_words = int(bigram_sums[5]), int(word_sums[5]), int(word_sums[4])
+def _interpolated(count: np.ndarray, about: np.ndarray, d: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Probabilities from counts, what is known of their contexts (total, followers once, twice, more often), and the lower order."""
+    total = about[0]
+    some = np.maximum(total, 1)
+    share = np.where(total > 0, (d[1] * about[1] + d[2] * about[2] + d[3] * about[3]) / some, 1.0)
+    return np.where(total > 0, np.maximum(count - d[np.minimum(count, 3)], 0) / some, 0.0) + share * lower
+
+
+def _scores(sums: list[np.ndarray], shards: int, hot: Hot):
+    """A block and its answers -> its documents' scores; ``sums`` of the levels from the highest order down to words."""
+    *levels, e = map(discounts, sums)
+    d, order, word_sums = levels[-1], len(sums), sums[-1]
+    n_tokens, types, known_words = int(sums[0][5]), int(word_sums[5]), int(word_sums[4])
     once, twice = int(word_sums[0]), int(word_sums[1])
     back_off = (e[1] * once + e[2] * twice + e[3] * (known_words - once - twice)) / types if types else 1.0
 
@@ -365,26 +456,34 @@ def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int, hot: Ho
         block = Block(words, seq, lengths, shards, hot)
         count = np.zeros(len(block.context), np.int64)
         about = np.zeros((4, len(block.names)), np.int64)
-        for shard, at in block.parts(block.by_shard, block.shard):
+        for shard, at in in_parts(block.by_shard, block.shard):
             told = unpacked(table["data"][by["bigrams"][shard]].as_buffer())
             count[at] = told[0]
             about[:, np.unique(block.context[at])] = told[1:]
-        seen = np.zeros(len(block.names), np.int64)
-        for shard, at in block.parts(block.by_home, block.home):
+        seen, raw = np.zeros((2, len(block.names)), np.int64)
+        for shard, at in in_parts(block.by_home, block.home):
             told = unpacked(table["data"][by["words"][shard]].as_buffer())
             seen[at] = told[0]
+            if order > 2:
+                raw[at] = told.pop(1)
             if len(told) > 1:  # whole totals of dealt contexts in place of the parts
                 about[:, at[told[1]]] = told[2:]
         seen = seen[:-1]
         p_word = np.maximum(seen - e[np.minimum(seen, 3)], 0) / max(types, 1) + back_off / (known_words + 1)
-        total = about[0][block.context]
-        some = np.maximum(total, 1)
-        left = (d[1] * about[1] + d[2] * about[2] + d[3] * about[3])[block.context]
-        share = np.where(total > 0, left / some, 1.0)
-        p = np.where(total > 0, np.maximum(count - d[np.minimum(count, 3)], 0) / some, 0.0) + share * p_word[block.word]
-        # a word's own count: as a context, or for the end the number of documents that begin
-        own = about[0][:-1].copy()
-        own[words == END] = about[0][-1]
+        p = _interpolated(count, about[:, block.context], d, p_word[block.word])[block.back]
+        if order > 2:
+            three = Trigrams(block, seq, lengths, shards)
+            count = np.zeros(len(three.context), np.int64)
+            above = np.zeros((4, len(three.names)), np.int64)
+            for shard, at in in_parts(three.by_shard, three.shard):
+                told = unpacked(table["data"][by["trigrams"][shard]].as_buffer())
+                count[at] = told[0]
+                above[:, np.unique(three.context[at])] = told[1:]
+            p = _interpolated(count[three.back], above[:, three.context[three.back]], levels[0], p)
+            own = raw[:-1]
+        else:  # a word's own count: as a context, or for the end the number of documents that begin
+            own = about[0][:-1].copy()
+            own[words == END] = about[0][-1]
         base = np.log10((own + 0.1) / (n_tokens + 0.1 * (known_words + 1)))
         starts = np.cumsum(lengths) - lengths
         add = lambda x: np.add.reduceat(x, starts)
@@ -392,7 +491,7 @@ def _scores(bigram_sums: np.ndarray, word_sums: np.ndarray, shards: int, hot: Ho
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "learned": pa.array(row["learns"], pa.bool_()),
             "n_tokens": pa.array(lengths), "n_known": pa.array(add((own > 0)[seq].astype(np.int64))),
             "train_tokens": pa.array(np.full(len(lengths), n_tokens)), "base_score": pa.array(add(base[seq])),
-            "score": pa.array(add(np.log10(p)[block.back]))})
+            "score": pa.array(add(np.log10(p)))})
     return run
 
 
@@ -409,26 +508,33 @@ def _sums(answers: DataFrame) -> np.ndarray:
     return np.array(list(got), np.int64)
 
 
-def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column) -> DataFrame:
+def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column, order: int = 2) -> DataFrame:
     """``doc_id, learned, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     ``score`` is the log10 probability of the text under the model of the rows where ``learn``
-    holds; ``base_score`` that under their smoothed word frequencies.
+    holds; ``base_score`` that under their smoothed word frequencies. ``order`` is 2 or 3.
     """
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     size = docs.agg(F.sum(F.octet_length(text).cast("long") + F.lit(8))).first()[0] or 0
     shards = blocks_of(size, SHARD_BYTES)
     blocks = token_blocks(docs, doc_id=doc_id, text=text, learn=learn, shards=shards)
     hot = hot_contexts(blocks)
-    asked = blocks.mapInArrow(releasing(_ask_bigrams(shards, hot)), _ROW)
-    counted = written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot), _ROW), "lm-bigrams")
-    words = blocks.select("block", "vocabulary").mapInArrow(releasing(_ask_words(shards)), _ROW)
-    continued = written(words.unionAll(counted.where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words")
-    score = _scores(_sums(counted), _sums(continued), shards, hot)
+    levels, asked = [], blocks.mapInArrow(releasing(_ask(shards, hot, order, 2)), _ROW)
+    if order == 3:
+        threes = blocks.mapInArrow(releasing(_ask(shards, hot, order, 3)), _ROW)
+        levels.append(written(threes.groupBy("shard").applyInArrow(_trigram_shard(shards, hot), _ROW), "lm-trigrams"))
+        asked = asked.unionAll(levels[0].where("kind = 'part'"))
+    levels.append(written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot), _ROW), "lm-bigrams"))
+    words = blocks.select("block", "vocabulary", "tokens", "lengths", "learns").mapInArrow(releasing(_ask_words(shards, order > 2)), _ROW)
+    levels.append(written(words.unionAll(levels[-1].where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words"))
+    score = _scores([_sums(level) for level in levels], shards, hot)
     none = lambda kind: F.lit(None).cast(kind)
-    answers = counted.where("kind = 'bigrams'").unionAll(continued.where("kind = 'words'")).select(
-        "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),
-        none("array<boolean>").alias("learns"), none("binary").alias("vocabulary"))
     own = blocks.select(F.lit("block").alias("kind"), F.lit(0).alias("shard"), "block", F.col("tokens").alias("data"), "doc_ids",
                         "lengths", "learns", "vocabulary")
-    return own.unionAll(answers).groupBy("block").applyInArrow(
+    for level in levels:
+        own = own.unionAll(level.where("kind IN ('trigrams', 'bigrams', 'words')").select(
+            "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),
+            none("array<boolean>").alias("learns"), none("binary").alias("vocabulary")))
+    return own.groupBy("block").applyInArrow(
         score, "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

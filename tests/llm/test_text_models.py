@@ -204,6 +204,71 @@ def _kneser_ney(docs):
              sum(math.log10(after(v, x)) for v, x in zip(["<s>", *w[:-1]], w))) for w, _ in docs]
 
 
+def _level(counts):
+    """Discounts of a level, and per context its total and its followers seen once, twice, more often."""
+    n = [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
+    d = [0, 0.5, 0.5, 0.5]
+    if n[0] and n[1]:
+        y, d = n[0] / (n[0] + 2 * n[1]), [0.0]
+        for k in (1, 2, 3):
+            d.append(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0), k) if n[k - 1] else d[-1])
+    about = defaultdict(lambda: [0, 0, 0, 0])
+    for gram, c in counts.items():
+        about[gram[:-1]][0] += c
+        about[gram[:-1]][min(c, 3)] += 1
+    return d, about
+
+
+def _kneser_ney_3(docs):
+    """As _kneser_ney, with order 3 and the recursion written out over levels of counts."""
+    three = Counter()
+    for w, learned in docs:
+        if learned:
+            padded = ["<s>", "<s>", *w]
+            three.update(zip(padded, padded[1:], padded[2:]))
+    uni = Counter(x for w, learned in docs if learned for x in w)
+    levels = [three]
+    while len(next(iter(levels[-1]))) > 1:
+        levels.append(Counter(gram[1:] for gram in levels[-1]))
+    levels = [(c, *_level(c)) for c in levels]
+
+    def p(gram):
+        counts, d, about = levels[3 - len(gram)]
+        x = about.get(gram[:-1], [0, 0, 0, 0])
+        lower = p(gram[1:]) if len(gram) > 1 else 1 / (len(uni) + 1)
+        if not x[0]:
+            return lower
+        c = counts[gram]
+        return (max(c - d[min(c, 3)], 0) + sum(d[k] * x[k] for k in (1, 2, 3)) * lower) / x[0]
+    words = [*uni, None]
+    for context in [g[:2] for g in list(three)[:4]] + [("no", "such")]:
+        assert abs(sum(p((*context, w)) for w in words) - 1) < 1e-9
+    total = sum(uni.values())
+    return [(len(w), sum(uni[x] > 0 for x in w), total, sum(math.log10((uni[x] + 0.1) / (total + 0.1 * (len(uni) + 1))) for x in w),
+             sum(math.log10(p(g)) for g in zip(["<s>", "<s>", *w], ["<s>", *w], w))) for w, _ in docs]
+
+
+@pytest.mark.parametrize("hot", [400, 10**6])
+def test_order_3_equals_the_definition(spark, doc_table, monkeypatch, hot):
+    for name, value in (("BLOCK_TOKENS", 700), ("SHARD_BYTES", 3000), ("HOT_TOKENS", hot)):
+        monkeypatch.setattr(ngram_lm, name, value)
+    rng = random.Random(hot)
+    rows = [(i, " ".join(VOCABULARY[int(rng.expovariate(0.2)) % 60] for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, "Never Seen\tbefore"), (203, "w1 W1 w1"), (203, "w1 W1 w1"), (204, "w2 " * 2000)]
+    got = ngram_lm.score_documents(doc_table(rows).repartition(3), doc_id="doc_id", text="text", learn=F.col("doc_id") % 10 < 7, order=3).collect()
+    want = _kneser_ney_3([([*brute.words(t), "</s>"], i % 10 < 7) for i, t in rows])
+    by = {(i, w[0], w[1]): w for (i, _), w in zip(rows, want)}
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    for r in got:
+        _, _, total, base, score = by[r.doc_id, r.n_tokens, r.n_known]
+        assert r.train_tokens == total and r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
+    none = ngram_lm.score_documents(doc_table(rows[:9]), doc_id="doc_id", text="text", learn=F.lit(False), order=3).collect()
+    assert all(r.score == r.base_score == r.n_known == r.train_tokens == 0 for r in none) and len(none) == 9
+    assert ngram_lm.score_documents(doc_table([]), doc_id="doc_id", text="text", learn=F.lit(True), order=3).count() == 0
+    with pytest.raises(ValueError, match="order"):
+        ngram_lm.score_documents(doc_table(rows), doc_id="doc_id", text="text", learn=F.lit(True), order=4)
+
+
 @pytest.mark.parametrize("learned", [0, 3, 10])
 def test_scores_equal_the_definition(spark, doc_table, monkeypatch, learned):
     monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 700)
