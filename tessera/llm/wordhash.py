@@ -13,6 +13,8 @@ import numpy as np
 
 #: Bytes hashed at once.
 WINDOW = 1 << 20
+#: Bytes of the longest word that a table keeps.
+LONGEST = 64
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x2545F4914F6CDD1D
@@ -58,11 +60,23 @@ class WordHasher:
             yield at, end
             at = end
 
+    def _long(self, a: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One word longer than a window, hashed window by window: each continues the polynomial where the last one ended."""
+        self._grow(WINDOW)
+        h = np.zeros(1, np.uint64)
+        for at in range(start, end, WINDOW):
+            part = self.values[a[at:min(end, at + WINDOW)]]
+            h += (part * self.power[:len(part)]).sum(dtype=np.uint64, keepdims=True) * np.array([pow(_BASE, at - start, 1 << 64)], np.uint64)
+        return mixed(h + np.array([end - start], np.uint64) * _GOLDEN), np.array([start]), np.array([end])
+
     def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a = np.frombuffer(data, np.uint8)
         broken = _BREAK[a]
         found = []
         for at, end in self._windows(broken):
+            if end - at > WINDOW:
+                found.append(self._long(a, at, end - bool(broken[end - 1])))
+                continue
             edge = np.diff(broken[at:end].view(np.int8), prepend=1, append=1)
             starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
             self._grow(end - at)
@@ -76,7 +90,7 @@ class WordHasher:
 
 
 class WordTable:
-    """Fingerprint -> run of values, as sorted arrays; keeps up to ``room`` words.
+    """Fingerprint -> run of values, as sorted arrays; keeps up to ``room`` words of at most ``LONGEST`` bytes.
 
     New words go to a small sorted run that joins the large one when it has a quarter of its
     size, so a word is moved only a few times.
@@ -106,11 +120,14 @@ class WordTable:
         new = np.flatnonzero(size < 0)
         pool = self.pool
         if len(new):
+            short = ends[first[new]] - starts[first[new]] <= LONGEST
+            new, n_kept = np.concatenate((new[short], new[~short])), int(short.sum())  # what isn't kept comes last
             values, size[new] = self.compute([data[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             place[new] = len(pool) + np.cumsum(size[new]) - size[new]
             pool = np.concatenate((pool, values)) if len(pool) else values
+            new = new[:n_kept]
             if sum(len(r[0]) for r in self.runs) + len(new) <= self.room:
-                self.pool = pool
+                self.pool = pool[:len(self.pool) + int(size[new].sum())]
                 self.runs[1] = self._merge(self.runs[1], (known[new], place[new], size[new]))
                 if 4 * len(self.runs[1][0]) > len(self.runs[0][0]):
                     self.runs = [self._merge(*self.runs), (known[:0], place[:0], size[:0])]

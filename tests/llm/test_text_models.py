@@ -395,3 +395,64 @@ def test_odd_rows_and_labels(spark, doc_table):
     assert len({r.score for r in base}) == 1 and 0 < base[0].score < 0.3
     model = fit(labels.where("toxic = 1"))
     assert toxicity.score_table(doc_table([]), model, key="doc_id", text="text").count() == 0
+
+
+def test_scores_equal_a_double_loop_over_pairs(spark):
+    """Bias, weights of the terms that occur, and every pair of them: the definition, term by term."""
+    rng = np.random.default_rng(3)
+    settings = toxicity.Settings()
+    texts = ["you are bad", "Bad BAD bad people", "", None, "people of the word " * 50, "nothing known here", "x" * 100_000 + " bad"]
+    words = ["you", "bad", "people", "word", "the"]
+    terms = np.unique([t for w in words for t in toxicity.terms_of(next(iter(toxicity.word_set(w))), settings.buckets, settings.prefixes)])
+    model = toxicity.Model(-1.5, settings.buckets, settings.prefixes, terms.astype(np.int64), rng.normal(size=len(terms)),
+                           rng.normal(size=(len(terms), settings.factors)) / 3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.key: r.score for r in toxicity.score_table(df, model, key="doc_id", text="text").collect()}
+    place = {int(t): i for i, t in enumerate(model.terms)}
+    for n, text in enumerate(texts):
+        own = sorted({place[t] for w in toxicity.word_set(text or "") for t in toxicity.terms_of(w, settings.buckets, settings.prefixes) if t in place})
+        z = model.bias + sum(float(model.weights[i]) for i in own)
+        for a in range(len(own)):
+            for b in range(a + 1, len(own)):
+                z += sum(float(x) * float(y) for x, y in zip(model.factors[own[a]], model.factors[own[b]]))
+        assert got[n] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+
+
+def test_a_word_longer_than_a_window(monkeypatch):
+    rng = np.random.default_rng(1)
+    long = bytes(rng.integers(97, 123, 5000, dtype=np.uint8))
+    data = b"ab " + long + b" cd " + long + long + b"\n" + long.upper()
+    whole = wordhash.WordHasher()(data)
+    monkeypatch.setattr(wordhash, "WINDOW", 700)
+    got = wordhash.WordHasher()(data)
+    for one, two in zip(whole, got):
+        assert one.tolist() == two.tolist()
+    assert got[0][1] == got[0][4] != got[0][3]
+
+
+def test_a_huge_word_takes_bounded_memory():
+    import tracemalloc
+    data = b"x" * 50_000_000 + b" y"
+    tracemalloc.start()
+    hashes, starts, ends = wordhash.WordHasher()(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ends.tolist() == [50_000_000, 50_000_002] and len(set(hashes.tolist())) == 2
+    assert peak < 4 * len(data)  # marks of a byte each and their list, no number per byte
+
+
+def test_tables_and_memos_keep_no_long_words():
+    from tessera.llm.texts import Memo
+    memo = Memo(len, 10**6)
+    assert sum(memo["x" * n] for n in range(10_000)) == sum(range(10_000)) and max(map(len, memo)) <= 64
+    calls = []
+
+    def compute(found):
+        calls.append(found)
+        return np.concatenate([np.frombuffer(w[:3], np.uint8).astype(np.uint16) for w in found]), np.array([min(3, len(w)) for w in found])
+    table, hasher = wordhash.WordTable(compute, 1000), wordhash.WordHasher(fold=False)
+    for _ in range(2):
+        data = b"abc " + b"z" * 10_000 + b" de " + b"y" * 65 + b" abc fgh"
+        values, sizes = table.over(data, *hasher(data))
+        assert bytes(values.astype(np.uint8).tolist()) == b"abczzzdeyyyabcfgh" and sizes.tolist() == [3, 3, 2, 3, 3, 3]
+    assert sorted(calls[1]) == sorted([b"z" * 10_000, b"y" * 65]) and len(table.pool) == 8

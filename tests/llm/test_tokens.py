@@ -158,3 +158,16 @@ def test_op6_digests(spark):
         ids = np.array(library.encode_ordinary(docs[r.doc_id]), "<u4")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_op2_and_op5_queries(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    rows = queries.op2_token_counts(spark, SF_SMALL).collect()
+    assert {(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in rows} == {
+        (i, len((t or "").encode()), len(_library(BYTE, t)), len(_library(BYTE, t)) > 1024) for i, t in docs.items()}
+    start, want = 0, {}
+    for i in sorted(docs):
+        ids = [*_library(WORD, docs[i]), 1]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op5_token_records(spark, SF_SMALL).collect()} == want
