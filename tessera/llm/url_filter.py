@@ -5,7 +5,9 @@ is a beta-binomial shrunk towards the level above: a host's prior mean is the po
 its registered domain, a domain's that of its suffix, a suffix's the overall rate. The prior's
 weight at a level is estimated by moments from how far the rates of that level spread around
 their parents beyond binomial noise. A url is blocked where the lower bound of the posterior of
-its bad rate passes ``max_bad``: few bad pages alone never block a host.
+its bad rate passes ``max_bad``: few bad pages alone never block a host. The bound is the normal
+approximation of the beta; with a prior weight of 2 and more it lies within 0.06 of the exact 5 %
+quantile (a test measures it), and on the cautious side where the bad rate is high.
 
 Null urls and urls without ``://`` have an empty host and path, no rule and the overall rate.
 Urls are judged row by row, so repeated rows repeat; an empty table gives no rows; without
@@ -21,8 +23,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ascii_lower, written
 
-#: Two-part public suffixes that count as one (a parameter of the functions below).
-SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "gov.uk", "org.uk")
+#: Two-part public suffixes that count as one. No full list of public suffixes is at hand here: a caller
+#: passes the entries of one that have two parts as ``suffixes``; these are the most common ones.
+SUFFIXES = ("ac.at", "ac.id", "ac.il", "ac.in", "ac.jp", "ac.kr", "ac.nz", "ac.uk", "ac.za", "blogspot.com", "co.at", "co.id", "co.il", "co.in",
+            "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my",
+            "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn",
+            "edu.in", "github.io", "gitlab.io", "go.jp", "go.kr", "gob.mx", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "govt.nz",
+            "herokuapp.com", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "netlify.app", "nhs.uk", "or.at", "or.jp", "or.kr", "org.au",
+            "org.br", "org.cn", "org.in", "org.nz", "org.uk", "org.za", "pages.dev", "sch.uk", "vercel.app", "web.app", "wordpress.com")
 
 
 def host_of(url: Column) -> Column:
@@ -78,15 +86,16 @@ def host_reputation(outcomes: DataFrame, *, url: str, bad: str, z: float = 1.645
              .withColumn("domain", domain_of(F.col("host"), suffixes))
              .withColumn("suffix", suffix_of(F.col("host"), suffixes)))
     hosts = written(hosts, "hosts")  # one row per labelled host: every level below reads it again
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    overall = tops.agg(
+    # each level and each posterior is written once: what is below reads a table, not the plan above it
+    domains = written(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "domains")
+    tops = written(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "suffixes")
+    overall = written(tops.agg(
         (F.coalesce(F.sum("k"), F.lit(0)) + F.lit(base_rate * base_weight)).alias("a"),
-        (F.coalesce(F.sum("n") - F.sum("k"), F.lit(0)) + F.lit((1 - base_rate) * base_weight)).alias("b"))
+        (F.coalesce(F.sum("n") - F.sum("k"), F.lit(0)) + F.lit((1 - base_rate) * base_weight)).alias("b")), "overall")
     # one row: the grand mean is attached by a broadcast of that row
-    top = _shrunk(tops.join(F.broadcast(overall.select(_mean().alias("prior")))), "suffix")
-    domain = _shrunk(domains.join(top.select("suffix", _mean().alias("prior")), "suffix"), "domain")
-    host = _shrunk(hosts.join(domain.select("domain", _mean().alias("prior")), "domain"), "host")
+    top = _shrunk(written(tops.join(F.broadcast(overall.select(_mean().alias("prior")))), "suffix-priors"), "suffix")
+    domain = _shrunk(written(domains.join(top.select("suffix", _mean().alias("prior")), "suffix"), "domain-priors"), "domain")
+    host = _shrunk(written(hosts.join(domain.select("domain", _mean().alias("prior")), "domain"), "host-priors"), "host")
     return overall, top, domain, host
 
 
@@ -107,9 +116,9 @@ def _shrunk(level: DataFrame, key: str, least: float = 2.0, most: float = 1000.0
         F.sum(F.col("n") * one).alias("noise"))
     m = F.when(F.col("between") > 0, F.col("noise") / F.col("between") - 1).otherwise(F.lit(most))
     weight = weight.select(F.coalesce(F.least(F.greatest(m, F.lit(least)), F.lit(most)), F.lit(most)).alias("weight"))
-    return level.join(F.broadcast(weight)).select(
+    return written(level.join(F.broadcast(weight)).select(
         key, (F.col("k") + p * F.col("weight")).alias("a"),
-        (F.col("n") - F.col("k") + (1 - p) * F.col("weight")).alias("b"))
+        (F.col("n") - F.col("k") + (1 - p) * F.col("weight")).alias("b")), f"{key}-posteriors")
 
 
 def lower_bound(a: Column, b: Column, z: float) -> Column:

@@ -61,3 +61,45 @@ def test_query(spark):
         rule = _rule(host, path, queries.URL_RULES)
         assert (r.host, r.path, r.rule) == (host, path, rule and rule[1])
         assert r.verdict == (rule[0] if rule else r.verdict) and r.verdict in ("allow", "block")
+
+
+def _beta_quantile(a, b, p, steps=4000):
+    """By summing the density on a fine grid (for a, b from 1 on)."""
+    import math
+    top = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    total = 0.0
+    for i in range(steps):
+        x = (i + 0.5) / steps
+        total += math.exp(top + (a - 1) * math.log(x) + (b - 1) * math.log(1 - x)) / steps
+        if total >= p:
+            return x
+    return 1.0
+
+
+def test_bound_against_the_exact_quantile(spark):
+    from pyspark.sql import functions as F
+    pairs = [(a, b) for a in (1.0, 1.5, 2.0, 5.0, 20.0, 100.0) for b in (1.0, 1.2, 3.0, 10.0, 80.0)]
+    df = spark.createDataFrame(pairs, "a double, b double").select("a", "b", url_filter.lower_bound(F.col("a"), F.col("b"), 1.645).alias("x"))
+    for r in df.collect():
+        exact = _beta_quantile(r.a, r.b, 0.05)
+        assert abs(r.x - exact) < 0.06
+        if r.a >= r.b and r.x > 0.5:
+            assert r.x - exact < 0.06
+
+
+def test_repeated_rows_and_long_urls(spark):
+    long = "http://a.b.org/" + "x" * 200_000 + "?" + "y" * 1000
+    rows = [(1, long), (1, long), (2, "http://" + "h" * 100_000 + ".org/fr/"), (None, "http://b.net/")]
+    outcomes = spark.createDataFrame([("http://a.b.org/1", 1)] * 3, "url string, bad int")
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), outcomes, page_id="page_id", url="url",
+                                 rules=queries.URL_RULES).collect()
+    assert len(got) == 4 and sorted((r.page_id is None, len(r.host), len(r.path)) for r in got) == [
+        (False, 7, 200_001), (False, 7, 200_001), (False, 100_004, 4), (True, 5, 1)]
+    assert {r.rule for r in got} == {None, "org/fr/", "net/"}
+
+
+def test_suffixes_are_a_parameter(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("x.github.io",), ("x.y.own.zz",)], "h string")
+    got = df.select(url_filter.domain_of(F.col("h")).alias("d"), url_filter.domain_of(F.col("h"), ["own.zz"]).alias("o")).collect()
+    assert [tuple(r) for r in got] == [("x.github.io", "github.io"), ("own.zz", "y.own.zz")]
