@@ -10,12 +10,13 @@ count for every distinct value into a single task. Instead:
 1. one pass: ``count`` and a ``percentile_approx`` bracket ``[q(p - d), q(p + d)]``
    around every wanted probability (redone at higher accuracy only for very
    large tables);
-2. one pass: every row is tagged with the brackets it lies in and with its zone
-   (below, in or above each bracket), and ``(tag, value)`` is counted: equal
+2. one pass without a shuffle counts the rows below and up to the end of each
+   bracket, which proves that the order statistics lie in their brackets
+   (otherwise a bracket is widened and the pass repeated);
+3. one pass tags only the rows in a bracket and counts ``(bracket, value)``: equal
    values are one row, so a value that fills most of the column costs no task
-   more than any other. The zone counts prove that the order statistics lie in
-   their brackets (otherwise a bracket is widened and the pass repeated); the
-   running count over the distinct values of a bracket picks them.
+   more than any other. The running count over the distinct values of a bracket
+   picks the order statistics.
 
 NaN is a missing value like null: neither takes part.
 """
@@ -23,12 +24,13 @@ NaN is a missing value like null: neither takes part.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import require_columns
-from tessera.session import materialize, scratch_scope
 
 METHODS = ("zscore", "iqr", "percentile")
 
@@ -63,20 +65,16 @@ def _pick(x: DataFrame, lo: list[float], hi: list[float], need: list[tuple[int,
     """
     k = len(lo)
     v = F.col("_x")
-    zone = F.lit(0)
-    for i in range(k):
-        zone = zone + F.when(v < F.lit(lo[i]), 1 << (2 * i)).otherwise(0) + F.when(v <= F.lit(hi[i]), 2 << (2 * i)).otherwise(0)
-    tags = [F.struct(F.lit(-1).alias("_p"), zone.cast("double").alias("_v"))]
-    tags += [F.when((v >= F.lit(lo[i])) & (v <= F.lit(hi[i])), F.struct(F.lit(i).alias("_p"), v.alias("_v"))) for i in range(k)]
-    tagged = x.select(F.explode(F.array_compact(F.array(*tags))).alias("_t")).select("_t._p", "_t._v")
-    counts = materialize(tagged.groupBy("_p", "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile_counts")
-    # at most 2k + 1 zones occur
-    zones = [(int(r["_v"]), r["_c"]) for r in counts.where("_p = -1").collect()]
-    below = [sum(c for z, c in zones if z & (1 << (2 * i))) for i in range(k)]
-    upto = [sum(c for z, c in zones if z & (2 << (2 * i))) for i in range(k)]
+    zones = x.agg(*[F.count_if(v < F.lit(lo[i])).alias(f"b{i}") for i in range(k)], *[F.count_if(v <= F.lit(hi[i])).alias(f"u{i}") for i in range(k)]).first()
+    below, upto = [zones[f"b{i}"] for i in range(k)], [zones[f"u{i}"] for i in range(k)]
+    # only the few rows of the brackets are tagged and shuffled
+    inside = [(v >= F.lit(lo[i])) & (v <= F.lit(hi[i])) for i in range(k)]
+    tags = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in range(k)]))
+    tagged = x.where(reduce(or_, inside)).select(F.explode(tags).alias("_p"), v.alias("_v"))
+    counts = tagged.groupBy("_p", "_v").agg(F.count(F.lit(1)).alias("_c"))
     # distinct values of a bracket, about 2 * margin * n of them at most
     running = F.sum("_c").over(Window.partitionBy("_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.where("_p >= 0").withColumn("_end", running).withColumn("_start", F.col("_end") - F.col("_c"))
+    ranked = counts.withColumn("_end", running).withColumn("_start", F.col("_end") - F.col("_c"))
     ranks = [(i, r, r - below[i]) for i in range(k) for r in sorted(set(need[i]))]
     wanted = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(r).cast("long").alias("r"), F.lit(d).cast("long").alias("d")) for i, r, d in ranks])
     hits = ranked.select("_v", F.explode(F.filter(wanted, lambda w: (w["p"] == F.col("_p")) & (w["d"] >= F.col("_start"))
@@ -92,8 +90,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
     ``BRACKET_ROWS`` rows (4n / accuracy), within [1e4, 1e6]: cheap sketches on
     small tables, at most ~4M bracket rows per probability at 10^12 rows. The
     first sketch uses the smallest accuracy and is redone only when the count
-    it returns asks for more (over ~250M rows), so smaller tables take two
-    passes in all: sketch, then pick-and-prove.
+    it returns asks for more (over ~250M rows), so smaller tables take three
+    passes in all: sketch, prove, pick.
     """
     x = df.select(_present(col).alias("_x")).where(F.col("_x").isNotNull())
     acc = accuracy or MIN_ACCURACY
@@ -110,8 +108,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *,
     pos = [p * (n - 1) for p in probs]
     need = [(math.floor(h), min(math.floor(h) + 1, n - 1)) for h in pos]
     while True:
-        with scratch_scope(df.sparkSession):
-            picked, below, upto = _pick(x, lo, hi, need)
+        picked, below, upto = _pick(x, lo, hi, need)
         if all(below[i] <= need[i][0] and need[i][1] < upto[i] for i in range(len(probs))):
             break
         margin *= 16  # bracket missed (never expected from the sketch guarantee): widen

@@ -441,7 +441,8 @@ def clean_tiles(spark: SparkSession, sf: str) -> DataFrame:
 @query("sample_per_tile", ids="W2", sql=W(f"""
 select tile, pix from px qualify row_number() over (partition by tile order by {md5('pix', 43)}, pix) <= 100""", "px"))
 def sample_per_tile(spark: SparkSession, sf: str) -> DataFrame:
-    return S.sample_per_group(fx.px(spark, sf), 100, key="pix", seed=43, group=["tile"]).select("tile", "pix")
+    px = materialize(fx.px(spark, sf).select("tile", "pix"), "px_keys")  # the passes read a table, not a join of five
+    return S.sample_per_group(px, 100, key="pix", seed=43, group=["tile"]).select("tile", "pix")
 
 
 @query("sample_per_tile_large", ids="W2", sql=W(f"""
@@ -454,7 +455,7 @@ def sample_per_tile_large(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sample_n", ids="N3", sql=W(f"select pix from px order by {md5('pix', 43)}, pix limit 1000", "px"))
 def sample_n(spark: SparkSession, sf: str) -> DataFrame:
-    return S.sample_n(fx.px(spark, sf), 1000, key="pix", seed=43).select("pix")
+    return S.sample_n(materialize(fx.px(spark, sf).select("pix"), "px_keys"), 1000, key="pix", seed=43).select("pix")
 
 
 @query("clean_sample_tiles", ids="N1", sql=W(
@@ -462,7 +463,7 @@ def sample_n(spark: SparkSession, sf: str) -> DataFrame:
               qualify row_number() over (partition by tile order by {md5('pix', 43)}, pix) <= 200)\n"""
     + CLEAN_FILL_SQL.format(src="c", mode=MODE_SQL.format(src="c")), "pxs"))
 def clean_sample_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    d = S.clean_sample_tiles(fx.pxs(spark, sf), 200, tcol="edem", rcol="ldem", key="pix", lval=LO, hval=HI,
+    d = S.clean_sample_tiles(materialize(fx.pxs(spark, sf), "pxs"), 200, tcol="edem", rcol="ldem", key="pix", lval=LO, hval=HI,
                              exclude=["roi"])
     return d.select(*PX_COLS)
 
