@@ -37,6 +37,10 @@ def _next_key(hi: Column, lo: Column) -> tuple[Column, Column]:
     return top.bitwiseAND(F.lit(_M32)), carry.bitwiseAND(F.lit(_M32))
 
 
+#: Jumps that nearly every key needs at most.
+STEPS = 64
+
+
 def jump_state(key: Column, shards: int) -> Column:
     """struct(b, j): b is the shard among ``shards``, j >= shards the next jump of this key."""
     if shards < 1:
@@ -53,8 +57,13 @@ def jump_state(key: Column, shards: int) -> Column:
         moved = F.struct(hi.alias("hi"), lo.alias("lo"), s["j"].alias("b"), jump.cast("long").alias("j"))
         return F.when(s["j"] < F.lit(shards), moved).otherwise(s)
 
-    # every jump goes forward by one shard at least, so ``shards`` steps always suffice
-    return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step)
+    # A key jumps about ln(shards) times: the chance of more than STEPS is below 1e-20 up to a million shards.
+    # Every jump goes forward by one shard at least, so ``shards`` steps always suffice for the rest.
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, STEPS))), start, step)
+    if shards <= STEPS:
+        return first
+    more = lambda s: F.aggregate(F.sequence(F.lit(STEPS + 1), F.lit(shards)), s, step)
+    return F.get(F.transform(F.array(first), lambda s: F.when(s["j"] < F.lit(shards), more(s)).otherwise(s)), F.lit(0))
 
 
 def jump_hash(key: Column, shards: int) -> Column:

@@ -4,15 +4,18 @@ import zlib
 from collections import Counter
 
 import brute
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import queries, shard
 from brute import SF_SMALL, doc_table  # noqa: F401
 
 
-def test_jump_hash_is_the_published_one(spark):
+@pytest.mark.parametrize("steps", [64, 3])
+def test_jump_hash_is_the_published_one(spark, monkeypatch, steps):
+    monkeypatch.setattr(shard, "STEPS", steps)  # with 3, many keys need the rest of the steps
     df = spark.range(500).select(F.xxhash64("id").alias("k"))
-    for n in (1, 2, 24, 100):
+    for n in (1, 2, 24, 100, 5000 if steps == 64 else 30):
         for r in df.select("k", shard.jump_hash(F.col("k"), n).alias("s")).collect():
             assert r.s == brute.jump(r.k, n)
 
