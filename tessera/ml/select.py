@@ -43,7 +43,7 @@ def permuted_columns(df: DataFrame, seeds: dict[str, int], *, key: str, suffix:
     Every shuffled copy is derived from ``df`` itself and joined on position,
     so the plan grows linearly with the number of columns.
     """
-    out = index_within(df, order_key=key, out="_pos")
+    out = index_within(df, order_key=key, out="_pos", dense=False)
     for col, seed in seeds.items():
         by_hash = hash_position(df.select(key, col), key=key, seed=seed).select(
             "_pos", F.col(col).alias(col + suffix))

@@ -28,6 +28,7 @@ from tessera.session import join_null_safe, materialize, small_side
 # 65,536. Fixed-length hex prefixes sort like their values, so buckets are
 # compared as strings.
 _DIGITS1, _DIGITS2 = 3, 4
+MOST_BLOCKS = 10_000  # blocks whose offsets one task may sum up, beside four times those of dense keys
 DIRECT_RANK_LIMIT = 1_000_000  # rows of one boundary bucket ranked in one task
 
 
@@ -41,14 +42,21 @@ def key_struct(key: str | Sequence[str]) -> Column:
 
 
 def index_within(df: DataFrame, *, order_key: str, group: Sequence[str] = (),
-                 block: int = 1 << 20, out: str = "idx", tiebreak: Sequence[str] = ()) -> DataFrame:
+                 block: int = 1 << 20, out: str = "idx", tiebreak: Sequence[str] = (), dense: bool = True) -> DataFrame:
     """0-based position of each row inside ``group`` ordered by ``order_key`` (nulls first).
 
     ``order_key`` must be an integral column, unique inside a group together
-    with ``tiebreak``, and dense: blocks are ranges of its value. For sparse or
-    composite keys use ``index_ordered``.
+    with ``tiebreak``. Blocks are ranges of its value, so it has to be dense;
+    where a caller can't know that (``dense=False``), its least and greatest
+    value are looked up, and a sparse key goes to ``index_ordered``, which is
+    also the way for composite keys.
     """
     group = list(group)
+    if not dense:
+        seen = df.agg(F.count(F.lit(1)).alias("n"), F.min(order_key).alias("lo"), F.max(order_key).alias("hi")).first()
+        blocks = 0 if seen["lo"] is None else (seen["hi"] - seen["lo"]) // block + 1
+        if blocks > MOST_BLOCKS + 4 * (seen["n"] // block):
+            return index_ordered(df, order_keys=[order_key, *tiebreak], group=group, rows_per_block=block, out=out)
     blk = F.floor(F.col(order_key) / F.lit(block)).cast("long")
     return _numbered(df.withColumn("_blk", blk), group, [order_key, *tiebreak], out)
 
@@ -58,9 +66,11 @@ def index_ordered(df: DataFrame, *, order_keys: Sequence[str], group: Sequence[s
     """``index_within`` for any keys: blocks are range partitions of about equal row counts.
 
     The range-partitioned rows are written once, so a restarted task sees the
-    same blocks; offsets run over rows / ``rows_per_block`` blocks.
+    same blocks; offsets run over rows / ``rows_per_block`` blocks. The input is
+    written first: counting, finding the ranges and dealing the rows read that table.
     """
     group = list(group)
+    df = materialize(df, "unranged")
     blocks = max(1, -(-df.count() // rows_per_block))
     ranged = materialize(df.repartitionByRange(blocks, *group, *order_keys)
                          .withColumn("_blk", F.spark_partition_id()), "ranged")

@@ -139,7 +139,7 @@ def chunk_ids(df: DataFrame, size: int, *, order_key: Key, chunk: str = "chunk",
     columns (``["tile", "pixel_idx"]``: chunks run through the tiles) in range
     partitions of equal size.
     """
-    numbered = (index_within(df, order_key=order_key, block=block, out="_pos") if isinstance(order_key, str)
+    numbered = (index_within(df, order_key=order_key, block=block, out="_pos", dense=False) if isinstance(order_key, str)
                 else index_ordered(df, order_keys=list(order_key), rows_per_block=block, out="_pos"))
     return numbered.withColumn(chunk, F.floor(F.col("_pos") / F.lit(size)).cast("long")).drop("_pos")
 

@@ -94,3 +94,18 @@ def test_halving_stays_within_its_budget(parts):
     with pytest.raises(ValueError, match="budget"):
         SE.leaderboard_halving(ranked, held, held, label="y", learners=learners, budget=2, rank="_rank")
     assert SE.halving_plan(1000, {"a": 1.0}, 500.0, 1) == [0.5] and SE.halving_plan(10, {"a": 1.0, "b": 1.0}, 1e9, 1) == [1.0]
+
+
+def test_sparse_keys_are_numbered_in_even_blocks(spark, monkeypatch):
+    from tessera.operators import numbering as N
+    ranged = []
+    whole = N.index_ordered
+    monkeypatch.setattr(N, "index_ordered", lambda *a, **k: ranged.append(1) or whole(*a, **k))
+    monkeypatch.setattr(N, "MOST_BLOCKS", 5)
+    keys = [i * i * 1000 + 7 for i in range(400)]
+    df = spark.createDataFrame([(k, k % 3) for k in keys], "key long, g int")
+    for sparse, block in ((True, 50), (False, 1 << 40)):
+        out = N.index_within(df, order_key="key", block=block, dense=False).collect()
+        assert [r.idx for r in sorted(out, key=lambda r: r.key)] == list(range(400)) and bool(ranged) == sparse
+        ranged.clear()
+    assert N.index_within(df.limit(0), order_key="key", dense=False).count() == 0
