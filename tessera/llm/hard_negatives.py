@@ -42,7 +42,7 @@ def _matrix(values: np.ndarray, offsets: np.ndarray, width: int, kind) -> np.nda
     """Vectors as rows of ``width`` components."""
     sizes = np.diff(offsets)
     if len(sizes) and (sizes == width).all():
-        return values.reshape(-1, width).astype(kind)
+        return values.reshape(len(sizes), width).astype(kind)
     out = np.zeros((len(sizes), width), kind)
     rows = np.repeat(np.arange(len(sizes)), sizes)
     out[rows, np.arange(len(values)) - np.repeat(offsets[:-1], sizes)] = values

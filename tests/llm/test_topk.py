@@ -110,3 +110,12 @@ def test_threshold_stops_early():
     assert scores[best[0]].tolist() == sorted((held @ anchor).tolist(), reverse=True)[:5]
     best, _, read = hard_negatives.Lists(held).search(anchor, np.ones(4000, bool), [(10**7, 10**8)], 5, np.arange(4000))
     assert read < 200 and not len(best[0])  # the threshold is below the window at once
+
+
+def test_vectors_without_components(spark):
+    df = spark.createDataFrame([(i, i % 2, []) for i in range(9)], "vec_id long, label int, embedding array<float>")
+    got = hard_negatives.hard_negatives(df, row_id="vec_id", vector="embedding", label=F.col("label"), is_anchor=F.col("vec_id") == 4,
+                                        positives=2, negatives=3).collect()
+    assert sorted(tuple(r)[:6] for r in got) == [(4, p, n + 1, 2 * n + 1, 0, 0) for p in (0, 2) for n in range(3)]
+    best = topk.top_k(df, row_id="vec_id", vector="embedding", is_query=F.col("vec_id") == 4, k=2).collect()
+    assert sorted(tuple(r) for r in best) == [(4, 1, 0, 0), (4, 2, 1, 0)]
