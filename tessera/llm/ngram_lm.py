@@ -25,7 +25,8 @@ the second round adds the parts in the context's home shard and tells them to th
 of such contexts has at most one row per ``HOT_TOKENS`` tokens and goes to every task.
 
 A shard's file lies in the worker's own temporary folder and is deleted with the task; what other
-tasks need is in shared storage. Work, memory and traffic per task are bounded by the sizes of a
+tasks need is in shared storage. With a ``model_path`` every shard's sorted arrays are stored there,
+and ``score_with`` scores other documents from them: a task maps the one shard that it answers for. Work, memory and traffic per task are bounded by the sizes of a
 block and of a shard; their numbers follow the input.
 
 Words are fingerprints of 64 bits (contexts) and 48 bits (followers), so two different words are
@@ -306,10 +307,38 @@ def _counts_of_counts(n: np.ndarray) -> np.ndarray:
     return np.array([*((n == k).sum() for k in (1, 2, 3, 4)), (n > 0).sum(), n.sum()], np.int64)
 
 
+def _about(names: np.ndarray, about: list[np.ndarray], contexts: np.ndarray) -> list[np.ndarray]:
+    """What a shard knows of contexts, 0 for unknown ones."""
+    if not len(names):
+        return [np.zeros(len(contexts), np.int64)] * len(about)
+    at = np.minimum(np.searchsorted(names, contexts), len(names) - 1)
+    return [np.where(names[at] == contexts, x[at], 0) for x in about]
+
+
+def _stored_shard(kind: str):
+    """A stored context shard and all asks of it -> answers, from its arrays mapped into memory."""
+    def run(table: pa.Table) -> pa.Table:
+        shard, kinds = table["shard"][0].as_py(), table["kind"].to_pylist()
+        if "model" in kinds:
+            hashes, total, names, *about = unpacked(table["data"][kinds.index("model")].as_buffer())
+        else:  # no learned n-gram has fallen to this shard
+            hashes, total, names, *about = (np.zeros(0, t) for t in (np.uint64, np.int64, np.uint64, *[np.int64] * 4))
+        model = Mapped(hashes, total)
+        del hashes, total
+        rows = []
+        for what, block, data in zip(kinds, table["block"].to_pylist(), table["data"]):
+            if what == "ask":
+                contexts, sizes, low, high, *_ = unpacked(data.as_buffer())
+                asked = pair_keys(np.repeat(contexts, sizes), joined(low, high))
+                rows.append((kind, shard, block, packed(model(mixed(asked)), *_about(names, about, contexts))))
+        return pa.Table.from_batches([_batch(rows)])
+    return run
+
+
 class Counted:
-    """All messages to a context shard, added up, and its answers to the blocks."""
+    """All messages to a context shard, added up, and its answers to the blocks; its arrays too, if they are to be kept."""
 
-    def __init__(self, table: pa.Table, kind: str):
+    def __init__(self, table: pa.Table, kind: str, keep: bool = False):
         shard, self.rows = table["shard"][0].as_py(), []
         asks = []
         for data in table["data"]:
@@ -327,23 +356,22 @@ class Counted:
         about = [np.bincount(context, w, len(names)).astype(np.int64) for w in (total, total == 1, total == 2, total >= 3)]
         self.names, self.about = names, about
         self.rows.append(("sum", 0, 0, packed(_counts_of_counts(total))))
+        if keep:
+            self.rows.append(("model", shard, 0, packed(hashes, total, names, *about)))
         for what, block, (contexts, _, asked, *_) in zip(table["kind"].to_pylist(), table["block"].to_pylist(), asks):
             if what == "part":
                 continue
-            at = np.minimum(np.searchsorted(names, contexts), max(0, len(names) - 1))
-            known = names[at] == contexts if len(names) else np.zeros(len(contexts), bool)
-            told = [np.where(known, x[at], 0) if len(names) else np.zeros(len(contexts), np.int64) for x in about]
-            self.rows.append((kind, shard, block, packed(model(mixed(asked)), *told)))
+            self.rows.append((kind, shard, block, packed(model(mixed(asked)), *_about(names, about, contexts))))
 
     def learned(self, arrays: list[np.ndarray]) -> np.ndarray:
         """One entry per distinct learned n-gram of arrays with one entry per asked n-gram."""
         return np.concatenate(arrays)[self.seen][self.first]
 
 
-def _trigram_shard(shards: int, hot: Hot):
+def _trigram_shard(shards: int, hot: Hot, keep: bool = False):
     """All asks of a shard of word pairs -> answers to blocks, continuation counts of bigrams by their context, counts of counts."""
     def run(table: pa.Table) -> pa.Table:
-        own = Counted(table, "trigrams")
+        own = Counted(table, "trigrams", keep)
         second = own.learned([np.repeat(a[5], a[1]) for a in own.asks])
         last = own.learned([a[3] for a in own.asks])
         order = np.lexsort((last, second))
@@ -359,10 +387,10 @@ def _trigram_shard(shards: int, hot: Hot):
     return run
 
 
-def _bigram_shard(shards: int, hot: Hot):
+def _bigram_shard(shards: int, hot: Hot, keep: bool = False):
     """All messages to a context shard -> answers to blocks, parts of dealt contexts' totals, continuation counts by word, counts of counts."""
     def run(table: pa.Table) -> pa.Table:
-        own = Counted(table, "bigrams")
+        own = Counted(table, "bigrams", keep)
         words, contexts_of = np.unique(own.learned([a[3] for a in own.asks]), return_counts=True)
         for i in np.flatnonzero(hot(own.names) > 1).tolist():
             key = follower(own.names[i:i + 1])
@@ -390,32 +418,49 @@ def _ask_words(shards: int, counted: bool):
     return run
 
 
-def _word_shard(table: pa.Table) -> pa.Table:
-    """Continuation counts, parts of dealt contexts' totals and asks of a word shard -> answers to blocks, counts of counts."""
-    shard, parts, asks, dealt = table["shard"][0].as_py(), [], [], {}
-    for kind, block, data in zip(table["kind"].to_pylist(), table["block"].to_pylist(), table["data"]):
-        arrays = unpacked(data.as_buffer())
-        if kind == "part":
-            parts.append((joined(*arrays[:2]), arrays[2]))
-        elif kind == "total":
-            context, *about = (int(x[0]) for x in arrays)
-            dealt[context] = np.array(about, np.int64) + dealt.get(context, 0)
+def _word_shard(keep: bool = False):
+    """Continuation counts, parts of dealt contexts' totals and asks of a word shard -> answers to blocks, counts of counts.
+
+    A stored shard comes as one ``model`` message in place of the counts.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        shard, parts, asks, dealt, held = table["shard"][0].as_py(), [], [], {}, None
+        for kind, block, data in zip(table["kind"].to_pylist(), table["block"].to_pylist(), table["data"]):
+            arrays = unpacked(data.as_buffer())
+            if kind == "part":
+                parts.append((joined(*arrays[:2]), arrays[2]))
+            elif kind == "total":
+                context, *about = (int(x[0]) for x in arrays)
+                dealt[context] = np.array(about, np.int64) + dealt.get(context, 0)
+            elif kind == "model":
+                held = arrays
+            else:
+                asks.append((block, joined(*arrays[:2]), arrays[2:]))
+        raw_keys, raw_back = np.unique(np.concatenate([a[1] for a in asks if a[2]] or [np.zeros(0, np.uint64)]), return_inverse=True)
+        raw = np.bincount(raw_back, np.concatenate([a[2][0] for a in asks if a[2]] or [np.zeros(0)]), len(raw_keys)).astype(np.int64)
+        if held is None:
+            keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
+            hashes, back = np.unique(keys, return_inverse=True)
+            total = np.bincount(back, np.concatenate([p[1] for p in parts]), len(hashes)).astype(np.int64) if parts else np.zeros(0, np.int64)
+            contexts = np.array(sorted(dealt), np.uint64)
+            abouts = np.array([dealt[k] for k in contexts.tolist()], np.int64).reshape(-1, 4).T
         else:
-            asks.append((block, joined(*arrays[:2]), arrays[2:]))
-    raw_keys, raw_back = np.unique(np.concatenate([a[1] for a in asks if a[2]] or [np.zeros(0, np.uint64)]), return_inverse=True)
-    raw = np.bincount(raw_back, np.concatenate([a[2][0] for a in asks if a[2]] or [np.zeros(0)]), len(raw_keys)).astype(np.int64)
-    keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-    hashes, back = np.unique(keys, return_inverse=True)
-    total = np.bincount(back, np.concatenate([p[1] for p in parts]), len(hashes)).astype(np.int64) if parts else np.zeros(0, np.int64)
-    model = Mapped(hashes, total)
-    rows = [("sum", 0, 0, packed(_counts_of_counts(total)))]
-    contexts = np.array(sorted(dealt), np.uint64)
-    for block, keys, counted in asks:
-        at = np.flatnonzero(np.isin(keys, contexts))
-        abouts = np.array([dealt[k] for k in keys[at].tolist()], np.int64).T
-        own = [raw[np.searchsorted(raw_keys, keys)]] if counted else []
-        rows.append(("words", shard, block, packed(model(keys), *own, *([at, *abouts] if len(at) else []))))
-    return pa.Table.from_batches([_batch(rows)])
+            hashes, total, raw_keys, raw, contexts, *abouts = held
+        model = Mapped(hashes, total)
+        rows = [("sum", 0, 0, packed(_counts_of_counts(total)))]
+        if keep:
+            rows.append(("model", shard, 0, packed(hashes, total, raw_keys, raw, contexts, *abouts)))
+        for block, keys, counted in asks:
+            own = []
+            if counted:
+                own = [raw[np.searchsorted(raw_keys, keys)] if held is None else _about(raw_keys, [raw], keys)[0]]
+            at = np.flatnonzero(np.isin(keys, contexts))
+            if len(at):
+                to = np.searchsorted(contexts, keys[at])
+                own += [at, *(x[to] for x in abouts)]
+            rows.append(("words", shard, block, packed(model(keys), *own)))
+        return pa.Table.from_batches([_batch(rows)])
+    return run
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
@@ -508,33 +553,71 @@ def _sums(answers: DataFrame) -> np.ndarray:
     return np.array(list(got), np.int64)
 
 
-def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column, order: int = 2) -> DataFrame:
+def _answered(blocks: DataFrame, levels: list[DataFrame], sums: list[np.ndarray], shards: int, hot: Hot) -> DataFrame:
+    """Blocks meet their answers."""
+    none = lambda kind: F.lit(None).cast(kind)
+    own = blocks.select(F.lit("block").alias("kind"), F.lit(0).alias("shard"), "block", F.col("tokens").alias("data"), "doc_ids",
+                        "lengths", "learns", "vocabulary")
+    for level in levels:
+        own = own.unionAll(level.where("kind IN ('trigrams', 'bigrams', 'words')").select(
+            "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),
+            none("array<boolean>").alias("learns"), none("binary").alias("vocabulary")))
+    return own.groupBy("block").applyInArrow(
+        _scores(sums, shards, hot),
+        "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+_LEVELS = {3: "trigrams", 2: "bigrams", 1: "words"}
+
+
+def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column, order: int = 2, model_path: str | None = None) -> DataFrame:
     """``doc_id, learned, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     ``score`` is the log10 probability of the text under the model of the rows where ``learn``
-    holds; ``base_score`` that under their smoothed word frequencies. ``order`` is 2 or 3.
+    holds; ``base_score`` that under their smoothed word frequencies. ``order`` is 2 or 3. With
+    ``model_path`` the shards' sorted arrays are stored there for ``score_with``.
     """
     if order not in (2, 3):
         raise ValueError("the order is 2 or 3")
     size = docs.agg(F.sum(F.octet_length(text).cast("long") + F.lit(8))).first()[0] or 0
-    shards = blocks_of(size, SHARD_BYTES)
+    shards, keep = blocks_of(size, SHARD_BYTES), model_path is not None
     blocks = token_blocks(docs, doc_id=doc_id, text=text, learn=learn, shards=shards)
     hot = hot_contexts(blocks)
     levels, asked = [], blocks.mapInArrow(releasing(_ask(shards, hot, order, 2)), _ROW)
     if order == 3:
         threes = blocks.mapInArrow(releasing(_ask(shards, hot, order, 3)), _ROW)
-        levels.append(written(threes.groupBy("shard").applyInArrow(_trigram_shard(shards, hot), _ROW), "lm-trigrams"))
+        levels.append(written(threes.groupBy("shard").applyInArrow(_trigram_shard(shards, hot, keep), _ROW), "lm-trigrams"))
         asked = asked.unionAll(levels[0].where("kind = 'part'"))
-    levels.append(written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot), _ROW), "lm-bigrams"))
+    levels.append(written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot, keep), _ROW), "lm-bigrams"))
     words = blocks.select("block", "vocabulary", "tokens", "lengths", "learns").mapInArrow(releasing(_ask_words(shards, order > 2)), _ROW)
-    levels.append(written(words.unionAll(levels[-1].where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard, _ROW), "lm-words"))
-    score = _scores([_sums(level) for level in levels], shards, hot)
-    none = lambda kind: F.lit(None).cast(kind)
-    own = blocks.select(F.lit("block").alias("kind"), F.lit(0).alias("shard"), "block", F.col("tokens").alias("data"), "doc_ids",
-                        "lengths", "learns", "vocabulary")
-    for level in levels:
-        own = own.unionAll(level.where("kind IN ('trigrams', 'bigrams', 'words')").select(
-            "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),
-            none("array<boolean>").alias("learns"), none("binary").alias("vocabulary")))
-    return own.groupBy("block").applyInArrow(
-        score, "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    levels.append(written(words.unionAll(levels[-1].where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard(keep), _ROW), "lm-words"))
+    sums = [_sums(level) for level in levels]
+    if keep:
+        for n, level in zip(range(order, 0, -1), levels):
+            level.where("kind = 'model'").select("shard", "data").write.mode("overwrite").parquet(f"{model_path}/{_LEVELS[n]}")
+        about = [(order, shards, [x.tolist() for x in sums], hot.contexts.view(np.int64).tolist(), hot.splits.tolist())]
+        docs.sparkSession.createDataFrame(about, _ABOUT).coalesce(1).write.mode("overwrite").parquet(f"{model_path}/about")
+    return _answered(blocks, levels, sums, shards, hot)
+
+
+_ABOUT = "order int, shards int, sums array<array<long>>, hot array<long>, splits array<long>"
+
+
+def score_with(docs: DataFrame, model_path: str, *, doc_id: str, text: str) -> DataFrame:
+    """New documents under a stored model: the columns of ``score_documents``, none of the rows learned."""
+    spark = docs.sparkSession
+    about = spark.read.schema(_ABOUT).parquet(f"{model_path}/about").first()
+    order, shards = about["order"], about["shards"]
+    hot = Hot(np.array(about["hot"], np.int64).view(np.uint64), np.array(about["splits"], np.int64))
+    blocks = token_blocks(docs, doc_id=doc_id, text=text, learn=F.lit(False), shards=shards)
+    levels = []
+    for n in range(order, 0, -1):
+        held = spark.read.schema("shard int, data binary").parquet(f"{model_path}/{_LEVELS[n]}").select(
+            F.lit("model").alias("kind"), "shard", F.lit(0).cast("long").alias("block"), "data")
+        if n > 1:
+            asks, answer = blocks.mapInArrow(releasing(_ask(shards, hot, 0, n)), _ROW), _stored_shard(_LEVELS[n])
+        else:
+            words = blocks.select("block", "vocabulary", "tokens", "lengths", "learns")
+            asks, answer = words.mapInArrow(releasing(_ask_words(shards, order > 2)), _ROW), _word_shard()
+        levels.append(written(asks.unionAll(held).groupBy("shard").applyInArrow(answer, _ROW), f"lm-{_LEVELS[n]}"))
+    return _answered(blocks, levels, [np.array(x, np.int64) for x in about["sums"]], shards, hot)

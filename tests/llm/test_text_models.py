@@ -269,6 +269,23 @@ def test_order_3_equals_the_definition(spark, doc_table, monkeypatch, hot):
         ngram_lm.score_documents(doc_table(rows), doc_id="doc_id", text="text", learn=F.lit(True), order=4)
 
 
+@pytest.mark.parametrize("order,hot", [(2, 10**6), (2, 300), (3, 300)])
+def test_a_stored_model_scores_other_documents(spark, doc_table, monkeypatch, tmp_path, order, hot):
+    for name, value in (("BLOCK_TOKENS", 700), ("SHARD_BYTES", 3000), ("HOT_TOKENS", hot)):
+        monkeypatch.setattr(ngram_lm, name, value)
+    rng = random.Random(order)
+    text = lambda: " ".join(VOCABULARY[int(rng.expovariate(0.2)) % 60] for _ in range(rng.randint(0, 60)))
+    rows = [(i, text()) for i in range(100)] + [(1, "w3 " * 900)]
+    new = [(1000 + i, text()) for i in range(30)] + [(1100, None), (1101, "Never seen"), (1102, "w3 w3"), (1102, "w3 w3")]
+    path = f"file://{tmp_path}/model"
+    both = ngram_lm.score_documents(doc_table(rows + new).repartition(3), doc_id="doc_id", text="text", learn=F.col("doc_id") < 1000, order=order,
+                                    model_path=path).where("doc_id >= 1000").collect()
+    got = ngram_lm.score_with(doc_table(new), path, doc_id="doc_id", text="text").collect()
+    key = lambda r: (r.doc_id, r.learned, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+    assert sorted(map(key, got)) == sorted(map(key, both)) and len(got) == len(new)
+    assert ngram_lm.score_with(doc_table([]), path, doc_id="doc_id", text="text").count() == 0
+
+
 @pytest.mark.parametrize("learned", [0, 3, 10])
 def test_scores_equal_the_definition(spark, doc_table, monkeypatch, learned):
     monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 700)
@@ -330,7 +347,7 @@ def test_counts_over_all_blocks_pass_32_bits():
     assert [[int(x[0]) for x in a] for a in answers] == 2 * [[6_000_000_000, 6_000_000_000, 0, 0, 1]]
     part = ngram_lm.packed(*ngram_lm.six_bytes(ngram_lm.follower(words)), np.array([3_000_000_000], np.uint32))
     ask = ngram_lm.packed(*ngram_lm.six_bytes(ngram_lm.follower(words)))
-    told = ngram_lm._word_shard(pa.Table.from_batches([ngram_lm._batch([("part", 0, 0, part), ("part", 0, 0, part), ("ask", 0, 1, ask)])]))
+    told = ngram_lm._word_shard()(pa.Table.from_batches([ngram_lm._batch([("part", 0, 0, part), ("part", 0, 0, part), ("ask", 0, 1, ask)])]))
     answers = [ngram_lm.unpacked(d.as_buffer()) for k, d in zip(told["kind"].to_pylist(), told["data"]) if k == "words"]
     assert int(answers[0][0][0]) == 6_000_000_000
 
