@@ -73,7 +73,8 @@ class Trees:
         nodes = spark.read.parquet(f"{path}/stages/*/data").withColumn("treeID", number - 1)
         trees = spark.read.parquet(f"{path}/stages/*/treesMetadata").withColumn("_1", number - 1)
         weight = F.when(F.col("_1") == 0, F.lit(self.weight(1))).otherwise(F.lit(self.weight(2)))
-        return write_forest(spark, nodes, trees.withColumn("_3", weight), stage_path(path, 1), f"{path}/model", k, labelCol=label)
+        return write_forest(spark, nodes, trees.withColumn("_3", weight), stage_path(path, 1), f"{path}/model", k, labelCol=label,
+                            predictionCol="prediction")
 
 
 def write_forest(spark: SparkSession, nodes: DataFrame, trees: DataFrame, like: str, out: str, k: int, **params) -> GBTRegressionModel:
