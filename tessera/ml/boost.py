@@ -5,8 +5,10 @@ prediction and scores the validation rows; W4's patience rule ends the fit as so
 so thousands of rounds are only a bound. Rounds come in blocks. At the end of a block the rows are
 written with their running prediction, then its learners' curve; only that last write makes the
 block count. A fit that is called again with the same folder goes on behind the last whole block.
-Inside a block the running prediction is an expression over the block's learners, so a round costs
-the learner's own passes and one aggregate, and no join.
+Inside a block the running prediction is an expression over the last few learners, kept in memory
+every ``CHAIN`` rounds, so a round costs the learner's own passes and one aggregate, and no join. Only
+the columns that the learner reads are written. Trees can fit their first rounds in one go, which bins
+the rows once for all of these rounds; the patience rule then cuts what it wouldn't have fitted.
 
 With trees and a sampling rate of 1 the model equals Spark's gradient boosting with squared loss
 for the same rounds: the first tree has weight 1, later ones are fitted to twice the residual and
@@ -16,6 +18,7 @@ have the step as weight. Null labels and features are an error (impute first).
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -31,7 +34,9 @@ from tessera.session import delete_path, scratch_path
 FEATURES_COL = "features"
 #: Rounds of a block.
 BLOCK = 25
-#: Running prediction and fitting target, beside the caller's columns.
+#: Rounds whose learners the running prediction is computed from before it is kept.
+CHAIN = 4
+#: Running prediction and fitting target, beside the label and what the learner reads.
 RUNNING, TARGET = "_running", "_target"
 _PROGRESS = "block int, round int, rmse double, weight double, settings string"
 
@@ -46,6 +51,9 @@ class Trees:
     def __init__(self, step: float = 0.1, **params):
         self.step, self.params = step, params
 
+    def reads(self) -> list[str]:
+        return [FEATURES_COL, *([self.params["weightCol"]] if "weightCol" in self.params else [])]
+
     def settings(self) -> str:
         return f"trees {self.step} {sorted(self.params.items())}"
 
@@ -55,6 +63,14 @@ class Trees:
     def target(self, number: int, residual):
         return residual if number == 1 else residual * 2.0
 
+    def start(self, df: DataFrame, rounds: int, seed: int, label: str) -> GBTRegressionModel:
+        """The first rounds in one go: the trees, and the random samples, of as many single fits."""
+        return GBTRegressor(featuresCol=FEATURES_COL, labelCol=label, maxIter=rounds, stepSize=self.step, seed=seed + 1, **self.params).fit(df)
+
+    def curve(self, model: GBTRegressionModel, valid: DataFrame) -> list[float]:
+        """Validation RMSE after each of the model's rounds."""
+        return [math.sqrt(x) for x in model.evaluateEachIteration(valid, "squared")]
+
     def fit(self, df: DataFrame, number: int, seed: int):
         return GBTRegressor(featuresCol=FEATURES_COL, labelCol=TARGET, maxIter=1, seed=seed + number, **self.params).fit(df)
 
@@ -63,15 +79,15 @@ class Trees:
         return one.withColumn(RUNNING, F.col(RUNNING) + F.lit(weight) * F.col("_stage")).drop("_stage")
 
     def save(self, spark: SparkSession, stages: list, path: str) -> None:
-        """The block's trees, one folder each, several at a time."""
+        """The block's models, one folder each under the number of its first tree, several at a time."""
         with ThreadPool(4) as pool:
             pool.map(lambda s: s[1].write().overwrite().save(stage_path(path, s[0])), stages)
 
     def model(self, spark: SparkSession, path: str, k: int, label: str) -> GBTRegressionModel:
         """The first k trees as one model, which is below ``path`` and scores with one ``transform``."""
         number = F.regexp_extract(F.col("_metadata.file_path"), r"/stages/(\d+)/", 1).cast("int")
-        nodes = spark.read.parquet(f"{path}/stages/*/data").withColumn("treeID", number - 1)
-        trees = spark.read.parquet(f"{path}/stages/*/treesMetadata").withColumn("_1", number - 1)
+        nodes = spark.read.parquet(f"{path}/stages/*/data").withColumn("treeID", F.col("treeID") + number - 1)
+        trees = spark.read.parquet(f"{path}/stages/*/treesMetadata").withColumn("_1", F.col("_1") + number - 1)
         weight = F.when(F.col("_1") == 0, F.lit(self.weight(1))).otherwise(F.lit(self.weight(2)))
         return write_forest(spark, nodes, trees.withColumn("_3", weight), stage_path(path, 1), f"{path}/model", k, labelCol=label,
                             predictionCol="prediction")
@@ -97,6 +113,9 @@ class Lines:
     def __init__(self, features: Sequence[str], step: float = 0.5):
         self.features, self.step = list(features), step
 
+    def reads(self) -> list[str]:
+        return self.features
+
     def settings(self) -> str:
         return f"lines {self.step} {self.features}"
 
@@ -146,11 +165,12 @@ def _progress(spark: SparkSession, path: str) -> list:
 
 
 def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: int, patience: int | None = None,
-          seed: int = 42, block: int = BLOCK, path: str | None = None, digits: int | None = None) -> Boosted:
+          seed: int = 42, block: int = BLOCK, path: str | None = None, digits: int | None = None, first: int = 0) -> Boosted:
     """Fit up to ``rounds`` rounds, stop ``patience`` rounds behind the best validation RMSE, keep the best.
 
     ``path`` is the fit's folder in shared storage; an interrupted fit goes on from there. ``digits``
-    rounds the curve before the rule looks at it.
+    rounds the curve before the rule looks at it. ``first``: rounds of a first block that is fitted in
+    one go (trees only).
     """
     spark = train.sparkSession
     path = path or scratch_path(spark, "boost")
@@ -164,15 +184,23 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
     parts = {"train": train, "valid": valid}
     if not done:
         for part, df in parts.items():
-            df.withColumn(RUNNING, F.lit(0.0)).write.mode("overwrite").parquet(rows(0, part))
+            cols = list(dict.fromkeys([label, *learner.reads()]))
+            df.select(*cols).withColumn(RUNNING, F.lit(0.0)).write.mode("overwrite").parquet(rows(0, part))
 
     def over() -> bool:
         return len(curve) >= rounds or best_iteration(curve, patience)[1] is not None
     while not over():
         held = {part: spark.read.parquet(rows(number, part)).persist() for part in parts}
-        now, new, stages = dict(held), [], []
+        now, new, stages, kept = dict(held), [], [], []
         residual = F.col(label).cast("double") - F.col(RUNNING)
-        while len(new) < block and not over():
+        if first and not curve:
+            stage = learner.start(now["train"], min(first, rounds), seed, label)
+            stages.append((1, stage))
+            now = {part: learner.add(df, stage, 1.0) for part, df in now.items()}
+            found = learner.curve(stage, held["valid"])
+            curve.extend(found[:best_iteration(found, patience)[1]])  # a stop of None takes all
+            new = [(number, i, v, learner.weight(i), settings) for i, v in enumerate(curve, start=1)]
+        while not (first and number == 0) and len(new) < block and not over():
             i = len(curve) + 1
             stage = learner.fit(now["train"].withColumn(TARGET, learner.target(i, residual)), i, seed)
             stages.append((i, stage))
@@ -180,12 +208,19 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
             rmse = now["valid"].agg(*rmse_r2_aggs(label, RUNNING)).first()["rmse"]
             curve.append(rmse if digits is None or rmse is None else round(rmse, digits))
             new.append((number, i, curve[-1], learner.weight(i), settings))
+            if len(new) % CHAIN == 0 and len(new) < block and not over():
+                now, before = {part: df.persist() for part, df in now.items()}, kept
+                for df in now.values():
+                    df.count()
+                for df in before:
+                    df.unpersist()
+                kept = list(now.values())
         if not over():
             for part, df in now.items():
                 df.write.mode("overwrite").parquet(rows(number + 1, part))
         learner.save(spark, stages, path)
         spark.createDataFrame(new, _PROGRESS).coalesce(1).write.mode("overwrite").parquet(f"{path}/progress/block={number}")
-        for df in held.values():
+        for df in [*held.values(), *kept]:
             df.unpersist()
         delete_path(spark, f"{path}/rows-{number:05d}")
         number += 1

@@ -112,7 +112,8 @@ def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str
     params = dict(params or {})
     if learner == "gbt" and patience is not None and (rounds > BLOCK or path is not None):
         step = params.pop("stepSize", 0.1)
-        res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path)
+        res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path,
+                    first=BLOCK)
         m = score(res.model.transform(valid), label)
         return FitResult(learner, seed, rounds, res.best_iter, m["rmse"], m["r2"], m["n"], res.model, res.curve, res.stop_iter)
     if learner == "gbt":

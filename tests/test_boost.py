@@ -27,6 +27,43 @@ def test_blocks_equal_one_fit(parts, tmp_path):
     assert len(res.model.featureImportances) == 2 and res.model.getLabelCol() == "y"
 
 
+def test_first_block_in_one_go_equals_single_rounds(parts, tmp_path):
+    """Random samples of the rows included; the rule cuts inside the block."""
+    train, valid = parts
+    args = dict(label="y", learner=B.Trees(0.3, maxDepth=3, subsamplingRate=0.8), rounds=9, block=9, seed=5)
+    for patience in (None, 1):
+        one = B.boost(train, valid, path=f"file://{tmp_path}/one-{patience}", patience=patience, **args)
+        all_ = B.boost(train, valid, path=f"file://{tmp_path}/first-{patience}", patience=patience, first=9, **args)
+        assert all_.curve == pytest.approx(one.curve) and (all_.best_iter, all_.stop_iter) == (one.best_iter, one.stop_iter)
+        assert all_.model.getNumTrees == one.model.getNumTrees == one.best_iter
+        assert T.score(all_.model.transform(valid), "y")["rmse"] == pytest.approx(min(one.curve))
+        again = B.boost(train, valid, path=f"file://{tmp_path}/first-{patience}", patience=patience, first=9, **args)
+        assert again.curve == all_.curve
+
+
+def test_running_prediction_is_kept_every_few_rounds(parts, monkeypatch):
+    """No round's input is computed from more than ``CHAIN`` learners (before: from all of the block)."""
+    train, valid = parts
+    added = []
+
+    class Counted(B.Trees):
+        def fit(self, df, number, seed):
+            plan = df._jdf.queryExecution().withCachedData().toString()
+            added.append(plan.split("InMemoryRelation")[0].count("_stage"))
+            return super().fit(df, number, seed)
+    B.boost(train, valid, label="y", learner=Counted(0.3, maxDepth=2), rounds=11, block=11)
+    assert len(added) == 11 and max(added) == max(added[:B.CHAIN]) and added[B.CHAIN] == added[0] == 0
+
+
+def test_rounds_behind_the_first_block(parts, tmp_path):
+    train, valid = parts
+    args = dict(label="y", rounds=7, block=3)
+    one = B.boost(train, valid, learner=B.Trees(0.3, maxDepth=3), path=f"file://{tmp_path}/one", **args)
+    both = B.boost(train, valid, learner=B.Trees(0.3, maxDepth=3), path=f"file://{tmp_path}/both", first=4, **args)
+    assert both.curve == pytest.approx(one.curve) and both.model.getNumTrees == one.best_iter
+    assert T.score(both.model.transform(valid), "y")["rmse"] == pytest.approx(min(one.curve))
+
+
 class Flaky(B.Trees):
     """Fails once in a given round, and counts the rounds it fits."""
 
