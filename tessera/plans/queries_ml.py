@@ -38,14 +38,18 @@ GBT_PARAMS = {"maxDepth": 4, "subsamplingRate": 0.8, "stepSize": 0.3}
 
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
     b = labelled(spark, sf).select("tile", "pix", "edem", "ldem", LABEL, *FEATURES)
-    # written once: every fit, split job and score reads this table
-    return materialize(I.fill_nulls(b, exclude=["tile", "pix"]), "ml_input")
+    # kept for the fill statistics and the fill, then written once: every fit, split job and score reads that table
+    b = b.persist()
+    try:
+        return materialize(I.fill_nulls(b, exclude=["tile", "pix"]), "ml_input")
+    finally:
+        b.unpersist()
 
 
 @contextmanager
-def _split(spark: SparkSession, sf: str, share: float = 0.1, seed: int = 43, features=FEATURES):
+def _split(spark: SparkSession, sf: str, share: float = 0.1, seed: int = 43, features=FEATURES, data: DataFrame | None = None):
     with scratch_scope(spark):  # results are metrics and models: nothing reads the input afterwards
-        d = S.split_by_share(_prepared(spark, sf), share, key="pix", seed=seed)
+        d = S.split_by_share(_prepared(spark, sf) if data is None else data, share, key="pix", seed=seed)
         train = T.assemble(d.where(F.col("part") == "train"), features).persist()
         valid = T.assemble(d.where(F.col("part") == "valid"), features).persist()
         try:
@@ -344,10 +348,10 @@ def leaderboard_budget(spark: SparkSession, sf: str) -> DataFrame:
 def _saved(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, str]:
     """(pixels to predict, registry, root): seven small models trained, saved, found again and tried."""
     root = scratch_path(spark, "saved_models")
-    rows = []
+    rows, pixels = [], _prepared(spark, sf)
     learners = [("gbt", 21, {**GBT_PARAMS}), ("gbt", 43, {**GBT_PARAMS}), ("gbt", 13, {"maxDepth": 3}), ("rf", 42, {"numTrees": 10}),
                 ("rf", 7, {"numTrees": 5, "maxDepth": 6}), ("dt", 42, {"maxDepth": 5}), ("lr", None, {})]
-    with _split(spark, sf) as (train, valid):
+    with _split(spark, sf, data=pixels) as (train, valid):
         for name, seed, params in learners:
             res = T.train_model(train, valid, label=LABEL, learner=name, rounds=SEARCH_ROUNDS, seed=seed, params=params)
             model = f"{name}_{SEARCH_ROUNDS}_{seed or 0}_model"
@@ -358,7 +362,7 @@ def _saved(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, str]:
     scores = spark.createDataFrame(rows, "model string, features array<string>, rmse double")
     registry = PR.try_models(spark, PR.saved_models(spark, root)).join(scores, "model", "left").select(
         "model", "path", "features", "status", "rmse")
-    return _prepared(spark, sf), materialize(registry, "registry"), root
+    return pixels, materialize(registry, "registry"), root
 
 
 @query("predict_saved_models", ids="R1 R2 R7 S13 M11 P5 P10 P15")
