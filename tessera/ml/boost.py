@@ -7,7 +7,7 @@ written with their running prediction, then its learners' curve; only that last
 block count. A fit that is called again with the same folder goes on behind the last whole block.
 Inside a block the running prediction is an expression over the last few learners, kept in memory
 every ``CHAIN`` rounds, so a round costs the learner's own passes and one aggregate, and no join. Only
-the columns that the learner reads are written. Trees can fit their first rounds in one go, which bins
+the columns that the learner reads go beyond a fit's first block. Trees can fit their first rounds in one go, which bins
 the rows once for all of these rounds; the patience rule then cuts what it wouldn't have fitted.
 
 With trees and a sampling rate of 1 the model equals Spark's gradient boosting with squared loss
@@ -36,7 +36,7 @@ FEATURES_COL = "features"
 BLOCK = 25
 #: Rounds whose learners the running prediction is computed from before it is kept.
 CHAIN = 4
-#: Running prediction and fitting target, beside the label and what the learner reads.
+#: Running prediction and fitting target, beside the caller's columns.
 RUNNING, TARGET = "_running", "_target"
 _PROGRESS = "block int, round int, rmse double, weight double, settings string"
 
@@ -180,17 +180,17 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
         raise ValueError(f"{path} holds a fit with other settings: {done[0]['settings']}")
     curve = [r["rmse"] for r in done]
     number = max((r["block"] for r in done), default=-1) + 1
+    cols = list(dict.fromkeys([label, *learner.reads(), RUNNING]))
     rows = lambda b, part: f"{path}/rows-{b:05d}/{part}"
     parts = {"train": train, "valid": valid}
     if not done:
         for part, df in parts.items():
-            cols = list(dict.fromkeys([label, *learner.reads()]))
-            df.select(*cols).withColumn(RUNNING, F.lit(0.0)).write.mode("overwrite").parquet(rows(0, part))
+            df.withColumn(RUNNING, F.lit(0.0)).write.mode("overwrite").parquet(rows(0, part))
 
     def over() -> bool:
         return len(curve) >= rounds or best_iteration(curve, patience)[1] is not None
     while not over():
-        held = {part: spark.read.parquet(rows(number, part)).persist() for part in parts}
+        held = {part: spark.read.parquet(rows(number, part)).select(*cols).persist() for part in parts}
         now, new, stages, kept = dict(held), [], [], []
         residual = F.col(label).cast("double") - F.col(RUNNING)
         if first and not curve:
