@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.texts import Memo, forget, map_texts, releasing, slices
+from tessera.llm.texts import Memo, forget, map_texts, releasing, slices, small_batches
 
 #: Labelled rows that a fit takes at most.
 SAMPLE = 20_000
@@ -212,6 +212,7 @@ def keep_below(docs: DataFrame, model: Model, *, text: str, limit: float) -> Dat
 
     Batches pass through as they came; only a slice of their texts at a time becomes Python strings.
     """
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -473,3 +473,22 @@ def test_tables_and_memos_keep_no_long_words():
         values, sizes = table.over(data, *hasher(data))
         assert bytes(values.astype(np.uint8).tolist()) == b"abczzzdeyyyabcfgh" and sizes.tolist() == [3, 3, 2, 3, 3, 3]
     assert sorted(calls[1]) == sorted([b"z" * 10_000, b"y" * 65]) and len(table.pool) == 8
+
+
+def test_batches_of_long_texts_are_small(spark, doc_table):
+    from tessera.llm import texts
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_arrays([[b.nbytes]], ["n"])
+    docs = doc_table([(i, "word " * 10_000) for i in range(400)]).coalesce(1)
+    try:
+        spark.conf.unset(name)
+        toxicity.score_table(docs, toxicity.Model(0.0, 16, ()), key="doc_id", text="text")
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= 2 * texts.BATCH_BYTES
+        spark.conf.set(name, "1000000")  # a session's own limit stays
+        texts.small_batches(spark)
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.unset(name)
