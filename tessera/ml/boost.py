@@ -10,6 +10,8 @@ every ``CHAIN`` rounds, so a round costs the learner's own passes and one aggreg
 the columns that the learner reads go beyond a fit's first block. Trees can fit their first rounds in one go, which bins
 the rows once for all of these rounds; the patience rule then cuts what it wouldn't have fitted.
 
+``boost_cells`` fits a given number of rounds on cells instead of rows.
+
 With trees and a sampling rate of 1 the model equals Spark's gradient boosting with squared loss
 for the same rounds: the first tree has weight 1, later ones are fitted to twice the residual and
 have the step as weight. Null labels and features are an error (impute first).
@@ -24,18 +26,22 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.ml import cells as CE
 from tessera.operators.metrics import best_iteration, rmse_r2_aggs
-from tessera.session import delete_path, scratch_path
+from tessera.session import delete_path, materialize, scratch_path, scratch_scope
 
 FEATURES_COL = "features"
 #: Rounds of a block.
 BLOCK = 25
 #: Rounds whose learners the running prediction is computed from before it is kept.
 CHAIN = 4
+#: Rounds whose rows one pass draws in a fit on cells.
+DRAWN = 10
 #: Running prediction and fitting target, beside the caller's columns.
 RUNNING, TARGET = "_running", "_target"
 _PROGRESS = "block int, round int, rmse double, weight double, settings string"
@@ -83,14 +89,16 @@ class Trees:
         with ThreadPool(4) as pool:
             pool.map(lambda s: s[1].write().overwrite().save(stage_path(path, s[0])), stages)
 
-    def model(self, spark: SparkSession, path: str, k: int, label: str) -> GBTRegressionModel:
-        """The first k trees as one model, which is below ``path`` and scores with one ``transform``."""
+    def model(self, spark: SparkSession, path: str, k: int, label: str, grid: list | None = None, **params) -> GBTRegressionModel:
+        """The first k trees as one model, which is below ``path`` and scores with one ``transform``; ``grid``: of trees on bins."""
         number = F.regexp_extract(F.col("_metadata.file_path"), r"/stages/(\d+)/", 1).cast("int")
         nodes = spark.read.parquet(f"{path}/stages/*/data").withColumn("treeID", F.col("treeID") + number - 1)
         trees = spark.read.parquet(f"{path}/stages/*/treesMetadata").withColumn("_1", F.col("_1") + number - 1)
         weight = F.when(F.col("_1") == 0, F.lit(self.weight(1))).otherwise(F.lit(self.weight(2)))
+        if grid is not None:
+            nodes = CE.on_rows(nodes, grid)
         return write_forest(spark, nodes, trees.withColumn("_3", weight), stage_path(path, 1), f"{path}/model", k, labelCol=label,
-                            predictionCol="prediction")
+                            predictionCol="prediction", **params)
 
 
 def write_forest(spark: SparkSession, nodes: DataFrame, trees: DataFrame, like: str, out: str, k: int, **params) -> GBTRegressionModel:
@@ -227,3 +235,44 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
     curve = curve[:rounds]
     best, stop = best_iteration(curve, patience)
     return Boosted(best, stop, curve, learner.model(spark, path, best, label), path)
+
+
+def boost_cells(train: DataFrame, *, label: str, rounds: int, seed: int, rows: int, params: dict) -> GBTRegressionModel:
+    """Spark's gradient boosting with squared loss for all ``rounds``, on the cells of a large assembled table.
+
+    With a ``subsamplingRate`` every row is drawn or left out for each round, as there; a pass over the
+    binned rows draws for ``DRAWN`` rounds. The trees' thresholds are the features' own again at the end.
+    """
+    params = dict(params)
+    step, rate = params.pop("stepSize", 0.1), params.pop("subsamplingRate", 1.0)
+    spark = train.sparkSession
+    path = scratch_path(spark, "boost_cells")
+    tasks = max(spark.sparkContext.defaultParallelism, 1)
+    learner = Trees(step, **CE.weighted_params(params, max(1, round(rows * rate))))
+    flat, names = CE.scalars(train, FEATURES_COL, label=label)
+    grid = CE.grid(flat, names, rows=rows)
+    features = VectorAssembler(inputCols=names, outputCol=FEATURES_COL, handleInvalid="error")
+    with scratch_scope(spark):
+        held = materialize(CE.binned(flat.select(*names, CE.given(label)), names, grid), "binned")
+        now, stages, kept = None, [], []
+        for start in range(1, rounds + 1, DRAWN):
+            numbers = range(start, min(start + DRAWN, rounds + 1))
+            new = CE.drawn(held, names, label=label, numbers=numbers, rate=rate, seed=seed)
+            new = new.withColumn(RUNNING, F.lit(0.0)) if now is None else new.join(now.select(*names, RUNNING), names)
+            before, now = kept, features.transform(materialize(new.repartition(tasks), "drawn")).persist()
+            kept = [now]
+            for df in before:
+                df.unpersist()
+            for i in numbers:
+                left = F.col(f"_y{i}") / F.col(f"_n{i}") - F.col(RUNNING)
+                own = now.where(F.col(f"_n{i}") > 0).select(FEATURES_COL, learner.target(i, left).alias(TARGET), F.col(f"_n{i}").alias(CE.WEIGHT))
+                stages.append((i, learner.fit(own, i, seed)))
+                now = learner.add(now, stages[-1][1], learner.weight(i))
+                if (i - start + 1) % CHAIN == 0:
+                    now = now.persist()
+                    now.count()
+                    kept.append(now)
+        for df in kept:
+            df.unpersist()
+        learner.save(spark, stages, path)
+        return learner.model(spark, path, rounds, label, grid, weightCol="", stepSize=step, subsamplingRate=rate)

@@ -23,8 +23,8 @@ from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegres
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.ml.boost import BLOCK, Trees, boost, write_forest
-from tessera.ml.cells import LEAST_ROWS
+from tessera.ml import cells as CE
+from tessera.ml.boost import BLOCK, Trees, boost, boost_cells, write_forest
 from tessera.operators.metrics import best_iteration, early_stopping_rounds, rmse_r2_aggs  # noqa: F401
 from tessera.session import scratch_path
 
@@ -107,7 +107,8 @@ def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str
 
     For GBT: ``patience`` (e.g. from X8) applies W4 with use-best-model and ends the fit when it
     applies; ``None`` keeps the best of all rounds. Up to one block of rounds is fitted whole and
-    cut, with the same result but for the trees' random samples. ``path`` is the folder of a fit
+    cut, with the same result but for the trees' random samples. Fits without a patience, and those cut,
+    read the cells of a large table (``boost.boost_cells``). ``path`` is the folder of a fit
     with a patience, from which an interrupted one goes on; its first block is fitted in one go on a
     large table.
     """
@@ -115,13 +116,16 @@ def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str
     if learner == "gbt" and patience is not None and (rounds > BLOCK or path is not None):
         step = params.pop("stepSize", 0.1)
         res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path,
-                    first=BLOCK if train.count() >= LEAST_ROWS else 0)
+                    first=BLOCK if train.count() >= CE.LEAST_ROWS else 0)
         m = score(res.model.transform(valid), label)
         return FitResult(learner, seed, rounds, res.best_iter, m["rmse"], m["r2"], m["n"], res.model, res.curve, res.stop_iter)
-    if learner == "gbt":
-        params.setdefault("maxIter", rounds)
-    est = make_learner(learner, label=label, seed=seed, **params)
-    model = est.fit(train)
+    n = train.count() if learner == "gbt" and CE.drawable(params) else 0
+    if n >= CE.LEAST_ROWS:
+        model = boost_cells(train, label=label, rounds=rounds, seed=seed or 0, rows=n, params=params)
+    else:
+        if learner == "gbt":
+            params.setdefault("maxIter", rounds)
+        model = make_learner(learner, label=label, seed=seed, **params).fit(train)
     if learner == "gbt":
         curve = learning_curve(model, valid)
         best, stop = best_iteration(curve, patience)

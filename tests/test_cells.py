@@ -7,8 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.ml import boost as B
 from tessera.ml import cells as CE
 from tessera.ml import search as SE
+from tessera.ml import train as T
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +78,35 @@ def test_a_null_is_an_error(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, None)], "a double, y double")
     with pytest.raises(Exception, match="y is null"):
         CE.cells(df, df, ["a"], label="y", rows=3)
+
+
+def test_boosting_on_cells_equals_boosting_on_rows(parts, monkeypatch):
+    train, valid = (SE.assemble(p, FEATURES) for p in parts)
+    def run():
+        return T.train_model(train, valid, label="y", rounds=13, seed=5, params={"stepSize": 0.3, "maxDepth": 4})
+    want, seen, fit = run(), [], B.Trees.fit
+    monkeypatch.setattr(CE, "LEAST_ROWS", 1)
+    monkeypatch.setattr(B.Trees, "fit", lambda self, df, i, seed: seen.append(df.count()) or fit(self, df, i, seed))
+    got = run()
+    assert got.curve == pytest.approx(want.curve, rel=1e-9) and got.best_iter == want.best_iter and got.rmse == pytest.approx(want.rmse)
+    assert len(seen) == 13 and max(seen) < 2400  # fewer cells than rows, in every round
+    assert dict(T.feature_importance(got.model, FEATURES)) == pytest.approx(dict(T.feature_importance(want.model, FEATURES)), rel=1e-6)
+    assert got.model.getOrDefault("subsamplingRate") == 1.0 and got.model.getNumTrees == got.best_iter
+
+
+def test_boosting_on_cells_draws_rows_for_each_round(parts, monkeypatch):
+    train, valid = (SE.assemble(p, FEATURES) for p in parts)
+    args = dict(label="y", rounds=12, params={"stepSize": 0.3, "maxDepth": 4, "subsamplingRate": 0.5})
+    want = T.train_model(train, valid, seed=5, **args)
+    monkeypatch.setattr(CE, "LEAST_ROWS", 1)
+    got, other = (T.train_model(train, valid, seed=s, **args) for s in (5, 6))
+    assert got.curve == pytest.approx(want.curve, rel=0.2) and got.curve != other.curve
+    rows = parts[0].withColumn("cell", F.floor(F.col("z")))
+    out = CE.drawn(rows, ["cell"], label="y", numbers=[1, 2], rate=0.5, seed=5).collect()
+    sizes = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}
+    assert len(out) == len(sizes) and any(r._n1 != r._n2 for r in out)
+    for i in (1, 2):
+        assert all(0 < r[f"_n{i}"] < sizes[r["cell"]] for r in out) and abs(sum(r[f"_n{i}"] for r in out) / 2400 - 0.5) < 0.06
+    whole = CE.drawn(rows, ["cell"], label="y", numbers=[1], rate=1.0, seed=5)
+    assert whole.agg(F.sum("_n1"), F.sum("_y1")).first() == pytest.approx(tuple(parts[0].agg(F.count("y").cast("double"), F.sum("y")).first()))
+    assert not CE.drawable({"subsamplingRate": 0.8, "minInstancesPerNode": 9}) and CE.drawable({"subsamplingRate": 0.8})
