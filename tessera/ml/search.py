@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,11 +102,8 @@ def search(train: DataFrame, valid: DataFrame, candidates: list[dict], *, label:
 
 def _vector_cells(train: DataFrame, valid: DataFrame, *, label: str, rows: int) -> CE.Cells:
     """Cells of assembled splits."""
-    first = train.select(FEATURES_COL).first()
-    names = [f"_x{i}" for i in range(len(first[0]))]
-    flat = lambda df: df.select(label, vector_to_array(FEATURES_COL).alias("_v")).select(
-        label, *[F.col("_v")[i].alias(x) for i, x in enumerate(names)])
-    return CE.cells(flat(train), flat(valid), names, label=label, rows=rows)
+    flat, names = CE.scalars(train, FEATURES_COL, label=label)
+    return CE.cells(flat, CE.scalars(valid, FEATURES_COL, label=label)[0], names, label=label, rows=rows)
 
 
 def _large(train: DataFrame, valid: DataFrame, features: Sequence[str], *, label: str, learner: str, params: dict) -> CE.Cells | None:

@@ -55,6 +55,38 @@ def permuted_columns(df: DataFrame, seeds: dict[str, int], *, key: str, suffix:
 _ROUNDS, _WALK = 4, 16
 
 
+def _sides(n: int) -> tuple[int, int]:
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    return a, max(1, -(-n // a))
+
+
+def _pair(x: Column, n: int) -> list[Column]:
+    b = _sides(n)[1]
+    return [F.floor(x / F.lit(b)), F.pmod(x, F.lit(b))]
+
+
+def _turn(left: Column, right: Column, i: int, n: int, seed: int) -> Column:
+    """Round i of the network: the new left (even rounds) or right half."""
+    own, other, side = (left, right, _sides(n)[0]) if i % 2 == 0 else (right, left, _sides(n)[1])
+    return F.pmod(own + F.pmod(F.xxhash64(other, F.lit(seed), F.lit(i)), F.lit(side)), F.lit(side))
+
+
+def _joined(left: Column, right: Column, n: int) -> Column:
+    return (left * _sides(n)[1] + right).cast("long")
+
+
+def _inside(first: Column, n: int, seed: int) -> Column:
+    """``first``, walked on where it lies outside."""
+    def step(x: Column) -> Column:
+        pair = _pair(x, n)
+        for i in range(_ROUNDS):
+            pair[i % 2] = _turn(*pair, i, n, seed)
+        return _joined(*pair, n)
+    walked = F.aggregate(F.sequence(F.lit(2), F.lit(_WALK)), first, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    lost = F.raise_error(F.lit("a position didn't come back inside")).cast("long")
+    return F.when(first < n, first).otherwise(F.when(walked < n, walked).otherwise(lost))
+
+
 def shuffled_position(pos: Column, n: int, seed: int) -> Column:
     """A seeded bijection of [0, n): a Feistel network on pairs, walked on until it lands inside.
 
@@ -63,21 +95,26 @@ def shuffled_position(pos: Column, n: int, seed: int) -> Column:
     to n = 225, 16 steps are enough by counting; beyond, a longer walk has a chance below 1e-18 a
     row, and raises.
     """
-    a = max(1, math.isqrt(max(0, n - 1)) + 1)
-    b = max(1, -(-n // a))
+    pair = _pair(pos.cast("long"), n)
+    for i in range(_ROUNDS):
+        pair[i % 2] = _turn(*pair, i, n, seed)
+    return _inside(_joined(*pair, n), n, seed)
 
-    def step(x: Column) -> Column:
-        left, right = F.floor(x / F.lit(b)), F.pmod(x, F.lit(b))
-        for i in range(_ROUNDS):
-            if i % 2 == 0:
-                left = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(seed), F.lit(i)), F.lit(a)), F.lit(a))
-            else:
-                right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(seed), F.lit(i)), F.lit(b)), F.lit(b))
-        return (left * b + right).cast("long")
-    first = step(pos.cast("long"))
-    walked = F.aggregate(F.sequence(F.lit(2), F.lit(_WALK)), first, lambda x, _: F.when(x < n, x).otherwise(step(x)))
-    lost = F.raise_error(F.lit("a position didn't come back inside")).cast("long")
-    return F.when(first < n, first).otherwise(F.when(walked < n, walked).otherwise(lost))
+
+def with_shuffled_positions(df: DataFrame, seeds: dict[str, int], *, n: int, pos: str) -> DataFrame:
+    """``df`` with a column ``shuffled_position`` under each name of ``seeds``.
+
+    As one expression the network repeats its halves in every round and is read as often again by the
+    walk, which can't be compiled; here each round is a column of its own, computed once a row, and
+    only positions outside walk.
+    """
+    halves = {out: (f"{out}_l", f"{out}_r") for out in seeds}
+    df = df.withColumns({h: c for names in halves.values() for h, c in zip(names, _pair(F.col(pos).cast("long"), n))})
+    for i in range(_ROUNDS):
+        df = df.withColumns({names[i % 2]: _turn(F.col(names[0]), F.col(names[1]), i, n, seeds[out]) for out, names in halves.items()})
+    df = df.withColumns({out: _joined(F.col(left), F.col(right), n) for out, (left, right) in halves.items()})
+    df = df.drop(*[h for names in halves.values() for h in names])
+    return df.withColumns({out: _inside(F.col(out), n, seed) for out, seed in seeds.items()})
 
 
 def numbered_rows(df: DataFrame, *, key: str, out: str = "_pos") -> DataFrame:
@@ -92,8 +129,9 @@ def shuffled_columns(df: DataFrame, seeds: dict[str, int], *, n: int, pos: str =
     position is one row, which is joined to the row there. Columns travel as doubles.
     """
     cols = list(seeds)
-    sent = F.array(*[F.struct(shuffled_position(F.col(pos), n, seeds[c]).alias("to"), F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+    placed = with_shuffled_positions(df.select(pos, *cols), {f"_to{i}": seeds[c] for i, c in enumerate(cols)}, n=n, pos=pos)
+    sent = F.array(*[F.struct(F.col(f"_to{i}").alias("to"), F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
                      for i, c in enumerate(cols)])
-    there = df.select(F.explode(sent).alias("s")).groupBy(F.col("s.to").alias("_to")).agg(
+    there = placed.select(F.explode(sent).alias("s")).groupBy(F.col("s.to").alias("_to")).agg(
         *[F.max(F.when(F.col("s.c") == i, F.col("s.v"))).alias(c + suffix) for i, c in enumerate(cols)])
     return df.join(there, F.col(pos) == F.col("_to")).drop("_to")

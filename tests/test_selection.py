@@ -29,6 +29,14 @@ def test_shuffled_positions_are_spread(spark):
     assert abs(sum((r.id - mean) * (r.to - mean) for r in rows)) / sum((r.id - mean) ** 2 for r in rows) < 0.04
 
 
+@pytest.mark.parametrize("n", [1, 5, 225, 4099])
+def test_positions_of_several_columns_equal_single_ones(spark, n):
+    df = SL.with_shuffled_positions(spark.range(n), {"a": 3, "b": 4}, n=n, pos="id")
+    assert df.where((F.col("a") != SL.shuffled_position(F.col("id"), n, 3)) | (F.col("b") != SL.shuffled_position(F.col("id"), n, 4))).count() == 0
+    rounds = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "xxhash64(" in line and "aggregate(" not in line]
+    assert len(rounds) == SL._ROUNDS and all(line.count("xxhash64(") == 2 for line in rounds)  # one hash a round and column
+
+
 def test_shuffled_columns_keep_their_values(spark):
     df = spark.createDataFrame([(i * 3, float(i), None if i % 10 == 0 else float(-i)) for i in range(300)], "key long, a double, b double")
     rows = SL.shuffled_columns(SL.numbered_rows(df, key="key"), {"a": 1, "b": 2}, n=300)
