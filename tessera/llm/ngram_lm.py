@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import mmap
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import blocks_of, written
-from tessera.llm.texts import releasing, slices
+from tessera.llm.texts import releasing, releasing_group, slices, small_batches
 from tessera.llm.wordhash import WordHasher, mixed
 
 #: Tokens of a block, and text bytes per shard.
@@ -107,6 +107,19 @@ def pair_names(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return mixed(mixed(one + _GOLDEN) ^ (two * _GOLDEN))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and each key's place among them: ``np.unique`` with fewer arrays at once."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[:len(keys)]
+    ordered = ordered[new]
+    place = np.cumsum(new)
+    place -= 1
+    back = np.empty(len(keys), np.int64)
+    back[order] = place
+    return ordered, back
+
+
 def counts_array(n: np.ndarray) -> np.ndarray:
     """Counts within a block or a shard's types. Counts over all blocks stay 64-bit integers."""
     return n.astype(np.uint32)
@@ -114,6 +127,7 @@ def counts_array(n: np.ndarray) -> np.ndarray:
 
 def token_blocks(docs: DataFrame, *, doc_id: str, text: str, learn: Column, shards: int) -> DataFrame:
     """Written table of blocks: ids, lengths and learning flags of documents, vocabulary, token sequence."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(learn, F.lit(True)).alias("learn"))
     schema = "block long, doc_ids array<long>, lengths array<int>, learns array<boolean>, vocabulary binary, tokens binary"
@@ -123,7 +137,7 @@ def token_blocks(docs: DataFrame, *, doc_id: str, text: str, learn: Column, shar
         ids, learns, lengths, parts, size, made = [], [], [], [], 0, 0
 
         def block() -> pa.RecordBatch:
-            words, seq = np.unique(np.concatenate(parts), return_inverse=True)
+            words, seq = distinct(np.concatenate(parts))
             columns = [pa.array([task << 32 | made]), pa.array([ids], pa.list_(pa.int64())),
                        pa.array([lengths], pa.list_(pa.int32())), pa.array([learns], pa.list_(pa.bool_())),
                        pa.array([packed(words)], pa.binary()), pa.array([packed(seq.astype(np.uint32))], pa.binary())]
@@ -215,11 +229,11 @@ class Trigrams:
         one[starts] = n - np.uint64(1)
         more = starts[lengths > 1]
         one[more + 1] = n - np.uint64(1)
-        contexts, at = np.unique(one * n + block.context[block.back].astype(np.uint64), return_inverse=True)
+        contexts, at = distinct(one * n + block.context[block.back].astype(np.uint64))
         first, second = np.divmod(contexts, n)
         self.lower = second.astype(np.int64)
         self.names = pair_names(block.names[first.astype(np.int64)], block.names[self.lower])
-        keys, self.back = np.unique(at.astype(np.uint64) * n + seq, return_inverse=True)
+        keys, self.back = distinct(at.astype(np.uint64) * n + seq)
         context, word = np.divmod(keys, n)
         self.context, self.word = context.astype(np.int64), word.astype(np.int64)
         self.shard = (follower(self.names) % np.uint64(shards)).astype(np.int64)[self.context]
@@ -235,14 +249,20 @@ class Block:
         before = np.empty(len(seq), np.uint64)
         before[1:] = seq[:-1]
         before[starts] = n
-        keys, self.back = np.unique(before * np.uint64(n + 1) + seq, return_inverse=True)
-        context, self.word = np.divmod(keys, np.uint64(n + 1))
-        self.context, self.word = context.astype(np.int64), self.word.astype(np.int64)
+        before *= np.uint64(n + 1)
+        before += seq
+        keys, self.back = distinct(before)
+        del before
+        context, word = np.divmod(keys, np.uint64(n + 1))
+        self.context, self.word = context.view(np.int64), word.view(np.int64)
         self.names = np.append(words, BEGIN)
         keys = follower(self.names)
-        self.home = (keys % np.uint64(shards)).astype(np.int64)  # of contexts, and words
+        self.home = (keys % np.uint64(shards)).astype(np.int32)  # of contexts, and words
         self.by_home = np.argsort(self.home, kind="stable")
-        self.shard = shards_of(self.names[self.context], keys[self.word], shards, hot)  # of bigrams
+        self.shard = self.home[self.context]  # of bigrams
+        dealt = np.flatnonzero((hot(self.names) > 1)[self.context])
+        if len(dealt):
+            self.shard[dealt] = shards_of(self.names[self.context[dealt]], keys[self.word[dealt]], shards, hot)
         self.by_shard = np.argsort(self.shard, kind="stable")
 
 
@@ -267,7 +287,7 @@ def _ask(shards: int, hot: Hot, order: int, level: int):
                 own = block if level == 2 else Trigrams(block, seq, lengths, shards)
                 learned = np.zeros(len(own.context), np.int64)
                 if level == order:
-                    learned += np.bincount(own.back, np.repeat(np.array(row["learns"], float), lengths), len(learned)).astype(np.int64)
+                    learned = np.bincount(own.back[np.repeat(np.array(row["learns"], bool), lengths)], minlength=len(learned))
                 names = follower(block.names)
                 rows = []
                 for shard, at in in_parts(own.by_shard, own.shard):
@@ -340,40 +360,49 @@ class Counted:
 
     def __init__(self, table: pa.Table, kind: str, keep: bool = False):
         shard, self.rows = table["shard"][0].as_py(), []
-        asks = []
-        for data in table["data"]:
-            contexts, sizes, low, high, learned, *lower = unpacked(data.as_buffer())
-            asks.append((contexts, sizes, pair_keys(np.repeat(contexts, sizes), joined(low, high)), joined(low, high), learned, *lower))
-        keys = np.concatenate([mixed(a[2]) for a in asks])
-        counts = np.concatenate([a[4] for a in asks]).astype(np.int64)
-        self.seen = counts > 0
-        hashes, self.first, back = np.unique(keys[self.seen], return_index=True, return_inverse=True)
-        total = np.bincount(back, counts[self.seen], len(hashes)).astype(np.int64)
+        # of each message: contexts, their numbers of n-grams, followers in two parts, learned counts, contexts' second words
+        self.asks = [unpacked(data.as_buffer()) for data in table["data"]]
+        self.seen = [a[4] > 0 for a in self.asks]
+        keys = np.concatenate([self.hashes(a)[seen] for a, seen in zip(self.asks, self.seen)])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+        hashes, self.first = keys[new], order[new]
+        del keys
+        counts = np.concatenate([a[4][seen] for a, seen in zip(self.asks, self.seen)])[order]
+        del order
+        total = np.add.reduceat(counts, new, dtype=np.int64) if len(new) else np.zeros(0, np.int64)
+        del counts, new
         model = Mapped(hashes, total)
-        self.asks = asks
         # contexts of the learned n-grams: totals, and how many followers once, twice, more often
-        names, context = np.unique(self.learned([np.repeat(a[0], a[1]) for a in asks]), return_inverse=True)
+        names, context = distinct(self.learned(lambda a: np.repeat(a[0], a[1])))
         about = [np.bincount(context, w, len(names)).astype(np.int64) for w in (total, total == 1, total == 2, total >= 3)]
         self.names, self.about = names, about
         self.rows.append(("sum", 0, 0, packed(_counts_of_counts(total))))
         if keep:
             self.rows.append(("model", shard, 0, packed(hashes, total, names, *about)))
-        for what, block, (contexts, _, asked, *_) in zip(table["kind"].to_pylist(), table["block"].to_pylist(), asks):
+        del hashes, total, context
+        for what, block, a in zip(table["kind"].to_pylist(), table["block"].to_pylist(), self.asks):
             if what == "part":
                 continue
-            self.rows.append((kind, shard, block, packed(model(mixed(asked)), *_about(names, about, contexts))))
+            self.rows.append((kind, shard, block, packed(model(self.hashes(a)), *_about(names, about, a[0]))))
+
+    @staticmethod
+    def hashes(ask: list[np.ndarray]) -> np.ndarray:
+        contexts, sizes, low, high, *_ = ask
+        return mixed(pair_keys(np.repeat(contexts, sizes), joined(low, high)))
 
-    def learned(self, arrays: list[np.ndarray]) -> np.ndarray:
-        """One entry per distinct learned n-gram of arrays with one entry per asked n-gram."""
-        return np.concatenate(arrays)[self.seen][self.first]
+    def learned(self, get: Callable[[list[np.ndarray]], np.ndarray]) -> np.ndarray:
+        """One entry per distinct learned n-gram; ``get`` gives one per n-gram of a message."""
+        return np.concatenate([get(a)[seen] for a, seen in zip(self.asks, self.seen)])[self.first]
 
 
 def _trigram_shard(shards: int, hot: Hot, keep: bool = False):
     """All asks of a shard of word pairs -> answers to blocks, continuation counts of bigrams by their context, counts of counts."""
     def run(table: pa.Table) -> pa.Table:
         own = Counted(table, "trigrams", keep)
-        second = own.learned([np.repeat(a[5], a[1]) for a in own.asks])
-        last = own.learned([a[3] for a in own.asks])
+        second = own.learned(lambda a: np.repeat(a[5], a[1]))
+        last = own.learned(lambda a: joined(a[2], a[3]))
         order = np.lexsort((last, second))
         second, last = second[order], last[order]
         new = np.flatnonzero(np.append(True, (second[1:] != second[:-1]) | (last[1:] != last[:-1]))[:len(second)])
@@ -391,7 +420,7 @@ def _bigram_shard(shards: int, hot: Hot, keep: bool = False):
     """All messages to a context shard -> answers to blocks, parts of dealt contexts' totals, continuation counts by word, counts of counts."""
     def run(table: pa.Table) -> pa.Table:
         own = Counted(table, "bigrams", keep)
-        words, contexts_of = np.unique(own.learned([a[3] for a in own.asks]), return_counts=True)
+        words, contexts_of = np.unique(own.learned(lambda a: joined(a[2], a[3])), return_counts=True)
         for i in np.flatnonzero(hot(own.names) > 1).tolist():
             key = follower(own.names[i:i + 1])
             own.rows.append(("total", int(key[0] % np.uint64(shards)), 0, packed(key, *(x[i:i + 1] for x in own.about))))
@@ -475,12 +504,17 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array(d)
 
 
-def _interpolated(count: np.ndarray, about: np.ndarray, d: np.ndarray, lower: np.ndarray) -> np.ndarray:
+def _interpolated(count: np.ndarray, context: np.ndarray, about: np.ndarray, d: np.ndarray, lower: np.ndarray) -> np.ndarray:
     """Probabilities from counts, what is known of their contexts (total, followers once, twice, more often), and the lower order."""
     total = about[0]
     some = np.maximum(total, 1)
     share = np.where(total > 0, (d[1] * about[1] + d[2] * about[2] + d[3] * about[3]) / some, 1.0)
-    return np.where(total > 0, np.maximum(count - d[np.minimum(count, 3)], 0) / some, 0.0) + share * lower
+    p = count - d[np.minimum(count, 3)]
+    np.maximum(p, 0, out=p)
+    p /= some[context]
+    p[(total == 0)[context]] = 0.0
+    p += share[context] * lower
+    return p
 
 
 def _scores(sums: list[np.ndarray], shards: int, hot: Hot):
@@ -515,7 +549,7 @@ def _scores(sums: list[np.ndarray], shards: int, hot: Hot):
                 about[:, at[told[1]]] = told[2:]
         seen = seen[:-1]
         p_word = np.maximum(seen - e[np.minimum(seen, 3)], 0) / max(types, 1) + back_off / (known_words + 1)
-        p = _interpolated(count, about[:, block.context], d, p_word[block.word])[block.back]
+        p = _interpolated(count, block.context, about, d, p_word[block.word])[block.back]
         if order > 2:
             three = Trigrams(block, seq, lengths, shards)
             count = np.zeros(len(three.context), np.int64)
@@ -524,7 +558,7 @@ def _scores(sums: list[np.ndarray], shards: int, hot: Hot):
                 told = unpacked(table["data"][by["trigrams"][shard]].as_buffer())
                 count[at] = told[0]
                 above[:, np.unique(three.context[at])] = told[1:]
-            p = _interpolated(count[three.back], above[:, three.context[three.back]], levels[0], p)
+            p = _interpolated(count[three.back], three.context[three.back], above, levels[0], p)
             own = raw[:-1]
         else:  # a word's own count: as a context, or for the end the number of documents that begin
             own = about[0][:-1].copy()
@@ -563,7 +597,7 @@ def _answered(blocks: DataFrame, levels: list[DataFrame], sums: list[np.ndarray]
             "kind", "shard", "block", "data", none("array<long>").alias("doc_ids"), none("array<int>").alias("lengths"),
             none("array<boolean>").alias("learns"), none("binary").alias("vocabulary")))
     return own.groupBy("block").applyInArrow(
-        _scores(sums, shards, hot),
+        releasing_group(_scores(sums, shards, hot)),
         "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -586,11 +620,11 @@ def score_documents(docs: DataFrame, *, doc_id: str, text: str, learn: Column, o
     levels, asked = [], blocks.mapInArrow(releasing(_ask(shards, hot, order, 2)), _ROW)
     if order == 3:
         threes = blocks.mapInArrow(releasing(_ask(shards, hot, order, 3)), _ROW)
-        levels.append(written(threes.groupBy("shard").applyInArrow(_trigram_shard(shards, hot, keep), _ROW), "lm-trigrams"))
+        levels.append(written(threes.groupBy("shard").applyInArrow(releasing_group(_trigram_shard(shards, hot, keep)), _ROW), "lm-trigrams"))
         asked = asked.unionAll(levels[0].where("kind = 'part'"))
-    levels.append(written(asked.groupBy("shard").applyInArrow(_bigram_shard(shards, hot, keep), _ROW), "lm-bigrams"))
+    levels.append(written(asked.groupBy("shard").applyInArrow(releasing_group(_bigram_shard(shards, hot, keep)), _ROW), "lm-bigrams"))
     words = blocks.select("block", "vocabulary", "tokens", "lengths", "learns").mapInArrow(releasing(_ask_words(shards, order > 2)), _ROW)
-    levels.append(written(words.unionAll(levels[-1].where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(_word_shard(keep), _ROW), "lm-words"))
+    levels.append(written(words.unionAll(levels[-1].where("kind IN ('part', 'total')")).groupBy("shard").applyInArrow(releasing_group(_word_shard(keep)), _ROW), "lm-words"))
     sums = [_sums(level) for level in levels]
     if keep:
         for n, level in zip(range(order, 0, -1), levels):
@@ -619,5 +653,5 @@ def score_with(docs: DataFrame, model_path: str, *, doc_id: str, text: str) -> D
         else:
             words = blocks.select("block", "vocabulary", "tokens", "lengths", "learns")
             asks, answer = words.mapInArrow(releasing(_ask_words(shards, order > 2)), _ROW), _word_shard()
-        levels.append(written(asks.unionAll(held).groupBy("shard").applyInArrow(answer, _ROW), f"lm-{_LEVELS[n]}"))
+        levels.append(written(asks.unionAll(held).groupBy("shard").applyInArrow(releasing_group(answer), _ROW), f"lm-{_LEVELS[n]}"))
     return _answered(blocks, levels, [np.array(x, np.int64) for x in about["sums"]], shards, hot)

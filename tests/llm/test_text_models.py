@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -492,3 +493,44 @@ def test_batches_of_long_texts_are_small(spark, doc_table):
         assert spark.conf.get(name) == "1000000"
     finally:
         spark.conf.unset(name)
+
+
+def test_language_model_tasks_hold_few_arrays():
+    """Bytes that a shard and a block hold at most, an n-gram (tracemalloc counts NumPy's arrays)."""
+    hot, rng, asked, lengths = ngram_lm.Hot(np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.random.default_rng(3), [], [1000] * 150
+    words = np.append(np.unique(wordhash.mixed(np.arange(20_000, dtype=np.uint64))), ngram_lm.END)
+    words.sort()
+    for block in range(4):
+        seq = (rng.zipf(1.3, 150_000) % 20_000).astype(np.uint32)
+        row = {"block": block, "lengths": lengths, "learns": [True] * 150, "vocabulary": ngram_lm.packed(words), "tokens": ngram_lm.packed(seq)}
+        asked += ngram_lm._ask(2, hot, 2, 2)(iter([pa.RecordBatch.from_pylist([row])]))
+    asked = pa.Table.from_batches(asked)
+    shard = asked.filter(pa.array([s == 0 for s in asked["shard"].to_pylist()]))
+    n = sum(len(ngram_lm.unpacked(x.as_buffer())[4]) for x in shard["data"])
+
+    def held(run):
+        run()
+        tracemalloc.start()
+        run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+    assert held(lambda: ngram_lm._bigram_shard(2, hot)(shard)) < 85 * n
+    n = len(np.unique(ngram_lm.Block(words, seq, np.array(lengths), 2, hot).back))
+    about, where = rng.integers(1, 9, (4, 20_000)), rng.integers(0, 20_000, n)
+    assert held(lambda: ngram_lm._interpolated(np.ones(n, np.int64), where, about, np.full(4, 0.5), np.ones(n))) < 55 * n
+    keys = rng.integers(0, 1000, 100_000).astype(np.uint64)
+    for some in (keys, keys[:0]):
+        for got, want in zip(ngram_lm.distinct(some), np.unique(some, return_inverse=True)):
+            assert (got == want).all() and got.dtype == want.dtype
+
+
+def test_language_model_reads_texts_in_small_batches(spark, doc_table):
+    from tessera.llm import texts
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        spark.conf.unset(name)
+        got = ngram_lm.score_documents(doc_table([(1, "a b"), (2, None)]), doc_id="doc_id", text="text", learn=F.lit(True))
+        assert spark.conf.get(name) == str(texts.BATCH_BYTES) and got.count() == 2
+    finally:
+        spark.conf.unset(name)
