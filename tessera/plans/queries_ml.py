@@ -291,7 +291,7 @@ def rfa(spark: SparkSession, sf: str) -> DataFrame:
 @query("boruta", ids="F6")
 def boruta(spark: SparkSession, sf: str) -> DataFrame:
     with scratch_scope(spark):
-        rows = SE.boruta(_prepared(spark, sf), FEATURES, label=LABEL, key="pix", max_iter=12, seed=42)
+        rows = SE.boruta(_prepared(spark, sf), FEATURES, label=LABEL, key="pix", max_iter=200, seed=42)
     return T.results_frame(spark, rows, "feature string, hits int, tried int, p_confirm double, decision string")
 
 

@@ -117,3 +117,23 @@ def test_sparse_keys_are_numbered_in_even_blocks(spark, monkeypatch):
         assert [r.idx for r in sorted(out, key=lambda r: r.key)] == list(range(400)) and bool(ranged) == sparse
         ranged.clear()
     assert N.index_within(df.limit(0), order_key="key", dense=False).count() == 0
+
+
+def test_boruta_query_goes_on_until_every_feature_is_decided(spark, monkeypatch):
+    from tessera.plans import queries_ml as Q
+    rows = spark.range(20).select(F.col("id").alias("pix"), F.rand(1).alias(Q.LABEL), *[F.rand(i).alias(f) for i, f in enumerate(Q.FEATURES)])
+    seen = []
+
+    class Forest:
+        def fit(self, df):
+            seen.append(df.columns)
+
+    def importance(model, cols):  # one feature beats the shadows in every other of 14 iterations, then never again
+        odd = 1.0 if len(seen) <= 14 and len(seen) % 2 else 0.0
+        return [(c, 0.5 if c.endswith("_shadow") else odd if c == "f_tax" else 1.0) for c in cols]
+    monkeypatch.setattr(Q, "_prepared", lambda *a: rows)
+    monkeypatch.setattr(SE, "make_learner", lambda *a, **k: Forest())
+    monkeypatch.setattr(SE, "feature_importance", importance)
+    got = {r.feature: r for r in Q.boruta(spark, "none").collect()}
+    assert got["f_tax"].decision == "rejected" and got["f_tax"].tried == len(seen) == 27 and got["f_tax"].hits == 7
+    assert all(got[f].decision == "confirmed" and got[f].tried == 7 for f in Q.FEATURES if f != "f_tax")
