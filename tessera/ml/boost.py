@@ -10,7 +10,7 @@ every ``CHAIN`` rounds, so a round costs the learner's own passes and one aggreg
 the columns that the learner reads go beyond a fit's first block. Trees can fit their first rounds in one go, which bins
 the rows once for all of these rounds; the patience rule then cuts what it wouldn't have fitted.
 
-``boost_cells`` fits a given number of rounds on cells instead of rows.
+``boost_cells`` fits on cells instead of rows, also with a patience; it has no blocks to go on from.
 
 With trees and a sampling rate of 1 the model equals Spark's gradient boosting with squared loss
 for the same rounds: the first tree has weight 1, later ones are fitted to twice the residual and
@@ -44,6 +44,8 @@ CHAIN = 4
 DRAWN = 10
 #: Running prediction and fitting target, beside the caller's columns.
 RUNNING, TARGET = "_running", "_target"
+#: Row count and sum of squared deviations of a validation cell.
+_ROWS, _SPREAD = "_rows", "_spread"
 _PROGRESS = "block int, round int, rmse double, weight double, settings string"
 
 
@@ -237,42 +239,83 @@ def boost(train: DataFrame, valid: DataFrame, *, label: str, learner, rounds: in
     return Boosted(best, stop, curve, learner.model(spark, path, best, label), path)
 
 
-def boost_cells(train: DataFrame, *, label: str, rounds: int, seed: int, rows: int, params: dict) -> GBTRegressionModel:
-    """Spark's gradient boosting with squared loss for all ``rounds``, on the cells of a large assembled table.
+@dataclass
+class Bins:
+    """A large table's rows with every feature as the number of its bin, and the cells of its validation rows."""
+    train: DataFrame
+    valid: DataFrame
+    features: list[str]
+    grid: list[list[float]]
+    rows: int
+
+
+def bins(train: DataFrame, valid: DataFrame, *, label: str, rows: int) -> Bins:
+    """What ``boost_cells`` reads, written once for any number of fits on these assembled splits.
+
+    A validation cell has its mean label, its row count and the sum of its squared deviations, which is all that
+    an RMSE needs: the rows of a cell have the same prediction.
+    """
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, 1)
+    flat, names = CE.scalars(train, FEATURES_COL, label=label)
+    grid = CE.grid(flat, names, rows=rows)
+    held = materialize(CE.binned(flat.select(*names, CE.given(label)), names, grid).repartition(tasks), "binned")
+    other = CE.scalars(valid, FEATURES_COL, label=label)[0]
+    cells = CE.binned(other.select(*names, CE.given(label)), names, grid).groupBy(*names).agg(
+        F.count(F.lit(1)).cast("double").alias(_ROWS), F.avg(label).alias(label), (F.var_pop(label) * F.count(F.lit(1))).alias(_SPREAD))
+    return Bins(held, materialize(cells.repartition(tasks), "valid_cells"), names, grid, rows)
+
+
+def _curve(scored: DataFrame, label: str, numbers: Sequence[int]) -> list[float]:
+    """RMSE over the rows of the validation cells, for each prediction ``_at{i}``."""
+    squares = [F.sum(F.col(_SPREAD) + F.col(_ROWS) * (F.col(label) - F.col(f"_at{i}")) ** 2) for i in numbers]
+    return list(scored.agg(*[F.sqrt(s / F.sum(_ROWS)).alias(f"_at{i}") for i, s in zip(numbers, squares)]).first())
+
+
+def boost_cells(own: Bins, *, label: str, rounds: int, seed: int, params: dict, patience: int | None = None) -> Boosted:
+    """Spark's gradient boosting with squared loss for up to ``rounds``, on the cells of a large assembled table.
 
     With a ``subsamplingRate`` every row is drawn or left out for each round, as there; a pass over the
-    binned rows draws for ``DRAWN`` rounds. The trees' thresholds are the features' own again at the end.
+    binned rows draws for ``DRAWN`` rounds. The patience rule is looked at every ``CHAIN`` rounds and cuts what
+    went beyond its stop. The trees' thresholds are the features' own again at the end.
     """
     params = dict(params)
     step, rate = params.pop("stepSize", 0.1), params.pop("subsamplingRate", 1.0)
-    spark = train.sparkSession
+    spark = own.train.sparkSession
     path = scratch_path(spark, "boost_cells")
     tasks = max(spark.sparkContext.defaultParallelism, 1)
-    learner = Trees(step, **CE.weighted_params(params, max(1, round(rows * rate))))
-    flat, names = CE.scalars(train, FEATURES_COL, label=label)
-    grid = CE.grid(flat, names, rows=rows)
+    learner = Trees(step, **CE.weighted_params(params, max(1, round(own.rows * rate))))
+    names = own.features
     features = VectorAssembler(inputCols=names, outputCol=FEATURES_COL, handleInvalid="error")
     with scratch_scope(spark):
-        held = materialize(CE.binned(flat.select(*names, CE.given(label)), names, grid), "binned")
-        now, stages, kept = None, [], []
-        for start in range(1, rounds + 1, DRAWN):
-            numbers = range(start, min(start + DRAWN, rounds + 1))
-            new = CE.drawn(held, names, label=label, numbers=numbers, rate=rate, seed=seed)
-            new = new.withColumn(RUNNING, F.lit(0.0)) if now is None else new.join(now.select(*names, RUNNING), names)
-            before, now = kept, features.transform(materialize(new.repartition(tasks), "drawn")).persist()
-            kept = [now]
-            for df in before:
-                df.unpersist()
-            for i in numbers:
-                left = F.col(f"_y{i}") / F.col(f"_n{i}") - F.col(RUNNING)
-                own = now.where(F.col(f"_n{i}") > 0).select(FEATURES_COL, learner.target(i, left).alias(TARGET), F.col(f"_n{i}").alias(CE.WEIGHT))
-                stages.append((i, learner.fit(own, i, seed)))
-                now = learner.add(now, stages[-1][1], learner.weight(i))
-                if (i - start + 1) % CHAIN == 0:
-                    now = now.persist()
-                    now.count()
-                    kept.append(now)
-        for df in kept:
+        now, stages, kept, curve = None, [], [], []
+        scored = features.transform(own.valid).select(label, _ROWS, _SPREAD, FEATURES_COL, F.lit(0.0).alias(RUNNING)).persist()
+        first = scored
+        while len(curve) < rounds and best_iteration(curve, patience)[1] is None:
+            i = len(stages) + 1
+            if (i - 1) % DRAWN == 0:
+                numbers = range(i, min(i + DRAWN, rounds + 1))
+                new = CE.drawn(own.train, names, label=label, numbers=numbers, rate=rate, seed=seed)
+                new = new.withColumn(RUNNING, F.lit(0.0)) if now is None else new.join(now.select(*names, RUNNING), names)
+                before, now = kept, features.transform(materialize(new.repartition(tasks), "drawn")).persist()
+                kept = [now]
+                for df in before:
+                    df.unpersist()
+            left = F.col(f"_y{i}") / F.col(f"_n{i}") - F.col(RUNNING)
+            fitted = now.where(F.col(f"_n{i}") > 0).select(FEATURES_COL, learner.target(i, left).alias(TARGET), F.col(f"_n{i}").alias(CE.WEIGHT))
+            stages.append((i, learner.fit(fitted, i, seed)))
+            now = learner.add(now, stages[-1][1], learner.weight(i))
+            scored = learner.add(scored, stages[-1][1], learner.weight(i)).withColumn(f"_at{i}", F.col(RUNNING))
+            if (i - numbers[0] + 1) % CHAIN == 0 or i == numbers[-1]:
+                now, scored = now.persist(), scored.persist()
+                curve += _curve(scored, label, range(len(curve) + 1, i + 1))
+                now.count()
+                kept.append(now)
+                first.unpersist()
+                first, scored = scored, scored.select(*[c for c in scored.columns if not c.startswith("_at")])
+        for df in [*kept, first]:
             df.unpersist()
-        learner.save(spark, stages, path)
-        return learner.model(spark, path, rounds, label, grid, weightCol="", stepSize=step, subsamplingRate=rate)
+        curve = curve[:best_iteration(curve, patience)[1]]  # a stop of None takes all
+        best, stop = best_iteration(curve, patience)
+        learner.save(spark, stages[:best], path)
+        model = learner.model(spark, path, best, label, own.grid, weightCol="", stepSize=step, subsamplingRate=rate)
+    return Boosted(best, stop, curve, model, path)

@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.ml import cells as CE
-from tessera.ml.boost import BLOCK, Trees, boost, boost_cells, write_forest
+from tessera.ml.boost import BLOCK, Bins, Trees, boost, boost_cells, write_forest
+from tessera.ml.boost import bins as written_bins
 from tessera.operators.metrics import best_iteration, early_stopping_rounds, rmse_r2_aggs  # noqa: F401
-from tessera.session import scratch_path
+from tessera.session import scratch_path, scratch_scope
 
 FEATURES_COL = "features"
 
@@ -100,32 +101,41 @@ class FitResult:
                 "best_iter": best, "stop_iter": self.stop_iter, "n_valid": self.n_valid}
 
 
+def large_bins(train: DataFrame, valid: DataFrame, *, label: str, params: dict) -> Bins | None:
+    """What boosted fits on these splits read, where the table is large and the parameters let them read cells."""
+    n = train.count() if CE.drawable(params) else 0
+    return written_bins(train, valid, label=label, rows=n) if n >= CE.LEAST_ROWS else None
+
+
 def train_model(train: DataFrame, valid: DataFrame, *, label: str, learner: str = "gbt",
                 rounds: int = 20, seed: int | None = 42, patience: int | None = None,
-                params: dict | None = None, path: str | None = None) -> FitResult:
+                params: dict | None = None, path: str | None = None, bins: Bins | None = None) -> FitResult:
     """M1: fit on assembled ``train``, score on assembled ``valid``.
 
     For GBT: ``patience`` (e.g. from X8) applies W4 with use-best-model and ends the fit when it
     applies; ``None`` keeps the best of all rounds. Up to one block of rounds is fitted whole and
-    cut, with the same result but for the trees' random samples. Fits without a patience, and those cut,
-    read the cells of a large table (``boost.boost_cells``). ``path`` is the folder of a fit
-    with a patience, from which an interrupted one goes on; its first block is fitted in one go on a
-    large table.
+    cut, with the same result but for the trees' random samples. Fits on a large table read its cells
+    (``boost.boost_cells``), which ``bins`` may have ready. ``path`` is the folder of a fit
+    with a patience, from which an interrupted one goes on; that reads rows, and its first block is fitted
+    in one go on a large table.
     """
     params = dict(params or {})
+    if learner == "gbt" and path is None and CE.drawable(params):
+        with scratch_scope(train.sparkSession):
+            own = bins or large_bins(train, valid, label=label, params=params)
+            if own is not None:
+                res = boost_cells(own, label=label, rounds=rounds, seed=seed or 0, params=params, patience=patience)
+                m = score(res.model.transform(valid), label)
+                return FitResult(learner, seed, rounds, res.best_iter, m["rmse"], m["r2"], m["n"], res.model, res.curve, res.stop_iter)
     if learner == "gbt" and patience is not None and (rounds > BLOCK or path is not None):
         step = params.pop("stepSize", 0.1)
         res = boost(train, valid, label=label, learner=Trees(step, **params), rounds=rounds, patience=patience, seed=seed or 0, path=path,
                     first=BLOCK if train.count() >= CE.LEAST_ROWS else 0)
         m = score(res.model.transform(valid), label)
         return FitResult(learner, seed, rounds, res.best_iter, m["rmse"], m["r2"], m["n"], res.model, res.curve, res.stop_iter)
-    n = train.count() if learner == "gbt" and CE.drawable(params) else 0
-    if n >= CE.LEAST_ROWS:
-        model = boost_cells(train, label=label, rounds=rounds, seed=seed or 0, rows=n, params=params)
-    else:
-        if learner == "gbt":
-            params.setdefault("maxIter", rounds)
-        model = make_learner(learner, label=label, seed=seed, **params).fit(train)
+    if learner == "gbt":
+        params.setdefault("maxIter", rounds)
+    model = make_learner(learner, label=label, seed=seed, **params).fit(train)
     if learner == "gbt":
         curve = learning_curve(model, valid)
         best, stop = best_iteration(curve, patience)

@@ -50,8 +50,7 @@ def _prepared(spark: SparkSession, sf: str) -> DataFrame:
 def _split(spark: SparkSession, sf: str, share: float = 0.1, seed: int = 43, features=FEATURES, data: DataFrame | None = None):
     with scratch_scope(spark):  # results are metrics and models: nothing reads the input afterwards
         d = S.split_by_share(_prepared(spark, sf) if data is None else data, share, key="pix", seed=seed)
-        train = T.assemble(d.where(F.col("part") == "train"), features).persist()
-        valid = T.assemble(d.where(F.col("part") == "valid"), features).persist()
+        train, valid = (T.assemble(d.where(F.col("part") == p), features).select(LABEL, T.FEATURES_COL).persist() for p in ("train", "valid"))
         try:
             yield train, valid
         finally:
@@ -144,10 +143,10 @@ def seed_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     seeds = [21, 43, 13]
     rows = []
     with _split(spark, sf) as (train, valid):
-        scored = valid
+        scored, bins = valid, T.large_bins(train, valid, label=LABEL, params=GBT_PARAMS)
         for s in seeds:
             res = T.train_model(train, valid, label=LABEL, rounds=ROUNDS, seed=s,
-                                patience=T.early_stopping_rounds(ROUNDS), params=GBT_PARAMS)
+                                patience=T.early_stopping_rounds(ROUNDS), params=GBT_PARAMS, bins=bins)
             rows.append(res.metrics_row())
             scored = res.model.setPredictionCol(f"p_{s}").transform(scored)
         # k predictions as columns of one scan, averaged without a join

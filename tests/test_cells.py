@@ -110,3 +110,19 @@ def test_boosting_on_cells_draws_rows_for_each_round(parts, monkeypatch):
     whole = CE.drawn(rows, ["cell"], label="y", numbers=[1], rate=1.0, seed=5)
     assert whole.agg(F.sum("_n1"), F.sum("_y1")).first() == pytest.approx(tuple(parts[0].agg(F.count("y").cast("double"), F.sum("y")).first()))
     assert not CE.drawable({"subsamplingRate": 0.8, "minInstancesPerNode": 9}) and CE.drawable({"subsamplingRate": 0.8})
+
+
+def test_boosting_with_a_patience_on_cells_equals_boosting_on_rows(parts, monkeypatch):
+    train, valid = (SE.assemble(p, ["z", "noise"]) for p in parts)
+    args = dict(label="y", rounds=26, patience=3, seed=5, params={"stepSize": 0.9, "maxDepth": 5})
+    want, seen, fit = T.train_model(train, valid, **args), [], B.Trees.fit
+    assert want.stop_iter is not None and want.stop_iter < 26
+    monkeypatch.setattr(CE, "LEAST_ROWS", 1)
+    monkeypatch.setattr(B.Trees, "start", None)  # no fit of a whole block on rows
+    monkeypatch.setattr(B.Trees, "fit", lambda self, df, i, seed: seen.append(df.count()) or fit(self, df, i, seed))
+    bins = T.large_bins(train, valid, label="y", params=args["params"])
+    for got in (T.train_model(train, valid, **args), T.train_model(train, valid, bins=bins, **args)):
+        assert got.curve == pytest.approx(want.curve, rel=1e-9) and (got.best_iter, got.stop_iter) == (want.best_iter, want.stop_iter)
+        assert got.rmse == pytest.approx(want.rmse) and got.n_valid == 600 and got.model.getNumTrees == got.best_iter
+    assert max(seen) < 2400 and len(seen) <= 2 * (want.stop_iter + B.CHAIN)
+    assert bins.valid.agg(F.sum(B._ROWS)).first()[0] == 600 and bins.train.count() == 2400
