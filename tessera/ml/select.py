@@ -8,7 +8,9 @@ gathered in one task).
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,3 +137,30 @@ def shuffled_columns(df: DataFrame, seeds: dict[str, int], *, n: int, pos: str =
     there = placed.select(F.explode(sent).alias("s")).groupBy(F.col("s.to").alias("_to")).agg(
         *[F.max(F.when(F.col("s.c") == i, F.col("s.v"))).alias(c + suffix) for i, c in enumerate(cols)])
     return df.join(there, F.col(pos) == F.col("_to")).drop("_to")
+
+
+def bin_ends(df: DataFrame, features: Sequence[str]) -> dict[str, list[int]]:
+    """Running row counts of each feature's bins 0, 1, ... of a binned table (``cells.binned``); the last one is the row count."""
+    own = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("int").alias("b")) for i, c in enumerate(features)]))
+    got = df.select(own.alias("s")).groupBy("s.f", "s.b").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per feature and bin
+    sizes = {(r["f"], r["b"]): r["n"] for r in got}
+    last = {i: max((b for f, b in sizes if f == i), default=0) for i in range(len(features))}
+    return {c: list(itertools.accumulate(sizes.get((i, b), 0) for b in range(last[i] + 1))) for i, c in enumerate(features)}
+
+
+def _bin_at(pos: Column, ends: Sequence[int], first: int = 0) -> Column:
+    """The bin that holds a position of the rows lined up by bin; ``ends`` are the running counts of all bins but the last."""
+    if not ends:
+        return F.lit(float(first))
+    m = len(ends) // 2
+    return F.when(pos < ends[m], _bin_at(pos, ends[:m], first)).otherwise(_bin_at(pos, ends[m + 1:], first + m + 1))
+
+
+def shuffled_bins(df: DataFrame, seeds: dict[str, int], ends: dict[str, list[int]], *, n: int, pos: str = "_pos", suffix: str = "_shadow") -> DataFrame:
+    """``shuffled_columns`` for a binned table, without moving a row.
+
+    A column lined up by bin is known from its bins' running counts alone, so the bin at the position that
+    the column's bijection gives a row is looked up there: every bin is dealt as often as the column has it.
+    """
+    placed = with_shuffled_positions(df, {f"_to{i}": s for i, s in enumerate(seeds.values())}, n=n, pos=pos)
+    return placed.select(*df.columns, *[_bin_at(F.col(f"_to{i}"), ends[c][:-1]).alias(c + suffix) for i, c in enumerate(seeds)])

@@ -137,3 +137,35 @@ def test_boruta_query_goes_on_until_every_feature_is_decided(spark, monkeypatch)
     got = {r.feature: r for r in Q.boruta(spark, "none").collect()}
     assert got["f_tax"].decision == "rejected" and got["f_tax"].tried == len(seen) == 27 and got["f_tax"].hits == 7
     assert all(got[f].decision == "confirmed" and got[f].tried == 7 for f in Q.FEATURES if f != "f_tax")
+
+
+def test_shadows_of_bins_keep_their_counts_and_move_no_row(spark):
+    df = spark.range(300).select(F.col("id").alias("_pos"), (F.col("id") % 7).cast("double").alias("a"),
+                                 F.when(F.col("id") < 280, 0.0).otherwise(3.0).alias("b"), F.lit(0.0).alias("c"))
+    ends = SL.bin_ends(df, ["a", "b", "c"])
+    assert ends == {"a": [43, 86, 129, 172, 215, 258, 300], "b": [280, 280, 280, 300], "c": [300]}
+    shadowed = SL.shuffled_bins(df, {"a": 1, "b": 2, "c": 3}, ends, n=300)
+    out = shadowed.collect()
+    assert len(out) == 300 and shadowed.columns == [*df.columns, "a_shadow", "b_shadow", "c_shadow"]
+    for c in ("a", "b", "c"):
+        assert sorted(r[f"{c}_shadow"] for r in out) == sorted(r[c] for r in out)
+    assert sum(r.a == r.a_shadow for r in out) < 75 and sum(r.b == r.b_shadow == 3 for r in out) < 8
+    plan = shadowed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_boruta_of_a_large_table_reads_bins(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i // 2 if i % 9 else None, x := rng.random(), rng.random(), rng.random(), rng.random(), 10 * x + rng.random()) for i in range(400)]
+    df = spark.createDataFrame(rows, "pix long, signal double, noise double, n2 double, n3 double, y double")
+    fitted = []
+    monkeypatch.setattr(SE.CE, "LEAST_ROWS", 1)
+    monkeypatch.setattr(SE, "shuffled_columns", None)  # no row is sent anywhere
+    monkeypatch.setattr(SE, "assemble", lambda d, cols, whole=SE.assemble: fitted.append((d, cols)) or whole(d, cols))
+    got = {r["feature"]: r for r in SE.boruta(df, ["signal", "noise", "n2", "n3"], label="y", key="pix", max_iter=25, num_trees=8, max_depth=4)}
+    assert got["signal"]["decision"] == "confirmed" and got["signal"]["tried"] < 10
+    assert "rejected" in {got[f]["decision"] for f in ("noise", "n2", "n3")}
+    assert "confirmed" not in {got[f]["decision"] for f in ("noise", "n2", "n3")}
+    first, cols = fitted[0]
+    assert first.count() == 400 and first.agg(F.sum("y")).first()[0] == pytest.approx(sum(r[-1] for r in rows))
+    assert first.agg(F.max("signal"), F.max("signal_shadow")).first() == (31.0, 31.0) and len(cols) == 8
